@@ -8,7 +8,7 @@ CTE chains generated from the catalogue parameters.
 
 from __future__ import annotations
 
-from dispersa.plans.queries import K, K_SQRT
+from dispersa.plans.queries import DIGITS, K, K_SQRT, L, SEED, k
 
 # Text handling, mirroring dispersa.functions.text.
 _LINES = r"""
@@ -86,3 +86,123 @@ ORACLE: dict[str, str] = {
         " // count(*))::BIGINT AS avg_len FROM wc"
     ),
 }
+
+
+# --- points -------------------------------------------------------------------------------
+
+_PTS = "pts AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS p FROM embeddings)"
+_SAMPLE = (
+    f"smp AS (SELECT id, p FROM pts ORDER BY md5(concat('{SEED}:', CAST(id AS VARCHAR))), id LIMIT {k})"
+)
+
+
+def _r(expr: str, name: str) -> str:
+    return f"round({expr}, {DIGITS}) AS {name}"
+
+
+def kcenter_chain(src: str, kk: int, name: str) -> str:
+    """CTEs ``{name}0..{name}{kk-1}`` and ``{name}`` = (part, id, p, md, ord) over ``src(part, id, p)``."""
+    ctes = [
+        f"{name}0 AS (SELECT part, id, p, CAST(NULL AS DOUBLE) AS md, 0 AS ord FROM {src} "
+        f"QUALIFY row_number() OVER (PARTITION BY part ORDER BY id) = 1)"
+    ]
+    prev_state, prev_c = src, f"{name}0"
+    for r in range(1, kk):
+        d = "list_distance(s.p, c.p)"
+        md = d if r == 1 else f"least(s.md, {d})"
+        ctes.append(
+            f"{name}s{r} AS (SELECT s.part, s.id, s.p, {md} AS md FROM {prev_state} s "
+            f"JOIN {prev_c} c ON s.part = c.part AND s.id <> c.id)"
+        )
+        ctes.append(
+            f"{name}{r} AS (SELECT part, id, p, md, {r} AS ord FROM {name}s{r} "
+            f"QUALIFY row_number() OVER (PARTITION BY part ORDER BY md DESC, id) = 1)"
+        )
+        prev_state, prev_c = f"{name}s{r}", f"{name}{r}"
+    union = " UNION ALL ".join(f"SELECT * FROM {name}{r}" for r in range(kk))
+    ctes.append(f"{name} AS ({union})")
+    return ",\n".join(ctes)
+
+
+def matching_chain(src: str, kk: int, name: str) -> str:
+    """CTE ``{name}`` = (round, id) of greedy matching over ``src(id, p)`` (k < n assumed)."""
+    ctes = []
+    taken = None
+    for r in range(1, kk // 2 + 1):
+        cond = ""
+        if taken:
+            cond = f"WHERE a.id NOT IN (SELECT id FROM {taken}) AND b.id NOT IN (SELECT id FROM {taken}) "
+        ctes.append(
+            f"{name}r{r} AS (SELECT a.id AS i, b.id AS j FROM {src} a JOIN {src} b ON a.id < b.id {cond}"
+            f"ORDER BY list_distance(a.p, b.p) DESC, a.id, b.id LIMIT 1)"
+        )
+        prev = f"SELECT id FROM {taken} UNION ALL " if taken else ""
+        ctes.append(f"{name}t{r} AS ({prev}SELECT i AS id FROM {name}r{r} UNION ALL SELECT j FROM {name}r{r})")
+        taken = f"{name}t{r}"
+    parts = [f"SELECT {r} AS round, i AS id FROM {name}r{r} UNION ALL SELECT {r}, j FROM {name}r{r}"
+             for r in range(1, kk // 2 + 1)]
+    if kk % 2:
+        where = f"WHERE id NOT IN (SELECT id FROM {taken})" if taken else ""
+        ctes.append(f"{name}o AS (SELECT min(id) AS id FROM {src} {where})")
+        parts.append(f"SELECT {kk // 2 + 1}, id FROM {name}o")
+    ctes.append(f"{name} AS ({' UNION ALL '.join(parts)})")
+    return ",\n".join(ctes)
+
+
+_CORE = (
+    f"{_PTS},\nparted AS (SELECT id % {L} AS part, id, p FROM pts),\n"
+    + kcenter_chain("parted", k, "core")
+    + ",\ncorepts AS (SELECT id, p FROM core),\n"
+    + matching_chain("corepts", k, "dm")
+    + ",\nanswer AS (SELECT dm.round, dm.id, corepts.p FROM dm JOIN corepts USING (id))"
+)
+
+ORACLE.update({
+    "parse_points": (
+        "SELECT p_partkey AS id, CAST(p_size AS DOUBLE) AS x, CAST(p_retailprice AS DOUBLE) AS y, 2 AS dim FROM part"
+    ),
+    "point_distances": (
+        f"WITH {_PTS}, {_SAMPLE} SELECT s.id AS i, t.id AS j, "
+        f"{_r('list_distance(s.p, t.p) * list_distance(s.p, t.p)', 'sqdist')}, "
+        f"{_r('list_distance(s.p, t.p)', 'dist')} FROM smp s, pts t"
+    ),
+    "point_set_summary": (
+        f"SELECT count(*)::BIGINT AS n_points, max(len(embedding))::INTEGER AS dim, {k} AS k, {L} AS l FROM embeddings"
+    ),
+    "exact_diameter": (
+        f"WITH {_PTS} SELECT {_r('coalesce(max(list_distance(a.p, b.p)), 0)', 'max_dist')} "
+        "FROM pts a JOIN pts b ON a.id < b.id"
+    ),
+    "sampled_diameter": (
+        f"WITH {_PTS}, {_SAMPLE} SELECT {_r('max(list_distance(s.p, t.p))', 'max_dist')} FROM smp s, pts t"
+    ),
+    "min_distance_to_centers": (
+        f"WITH {_PTS}, {_SAMPLE} SELECT t.id, {_r('min(list_distance(s.p, t.p))', 'min_dist')} "
+        "FROM smp s, pts t GROUP BY t.id"
+    ),
+    "k_center": (
+        f"WITH {_PTS},\nallpts AS (SELECT 0 AS part, id, p FROM pts),\n{kcenter_chain('allpts', k, 'kc')}\n"
+        f"SELECT ord, id, {_r('md', 'min_dist')} FROM kc"
+    ),
+    "k_center_diameter": (
+        f"WITH {_PTS},\nallpts AS (SELECT 0 AS part, id, p FROM pts),\n{kcenter_chain('allpts', k, 'kc')}\n"
+        f"SELECT {_r('coalesce(max(list_distance(a.p, b.p)), 0)', 'max_dist')} FROM kc a JOIN kc b ON a.id < b.id"
+    ),
+    "coreset_k_center": (
+        f"WITH {_PTS},\nparted AS (SELECT id % {L} AS part, id, p FROM pts),\n{kcenter_chain('parted', k, 'core')}\n"
+        f"SELECT part, ord, id, {_r('md', 'min_dist')} FROM core"
+    ),
+    "farthest_pair": (
+        f"WITH {_PTS} SELECT a.id AS i, b.id AS j, {_r('list_distance(a.p, b.p)', 'dist')} "
+        "FROM pts a JOIN pts b ON a.id < b.id ORDER BY list_distance(a.p, b.p) DESC, a.id, b.id LIMIT 1"
+    ),
+    "greedy_matching": f"WITH {_PTS},\n{matching_chain('pts', k, 'gm')}\nSELECT round, id FROM gm",
+    "average_pairwise_distance": (
+        f"WITH {_PTS} SELECT {_r('avg(list_distance(a.p, b.p))', 'avg_dist')} FROM pts a JOIN pts b ON a.id < b.id"
+    ),
+    "diversity_maximization": f"WITH {_CORE}\nSELECT round, id FROM answer",
+    "diversity_score": (
+        f"WITH {_CORE}\nSELECT {_r('avg(list_distance(a.p, b.p))', 'avg_dist')} "
+        "FROM answer a JOIN answer b ON a.id < b.id"
+    ),
+})

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dispersa.operators import counts, words
+from dispersa.operators import counts, diameter, diversity, kcenter, pairs, words
 from dispersa.sources import tables
 from dispersa.sources import text as text_src
 
@@ -104,6 +104,78 @@ def q_average_word_length(spark, sf):
     return words.average_word_length(words.word_count(_lines(spark, sf)))
 
 
+# --- points -------------------------------------------------------------------------------
+
+def _pts(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.embedding_points(spark, sf)
+
+
+def _r(col: str) -> "F.Column":
+    return F.round(F.col(col), DIGITS).alias(col)
+
+
+def q_parse_points(spark, sf):
+    lines = text_src.format_point_lines(tables.table(spark, sf, "part"), "p_partkey", ["p_size", "p_retailprice"])
+    pts = text_src.parse_points(lines)
+    return pts.select("id", F.col("p")[0].alias("x"), F.col("p")[1].alias("y"), F.size("p").alias("dim"))
+
+
+def q_point_distances(spark, sf):
+    pts = _pts(spark, sf)
+    d = diameter.distances_to_set(pts, diameter.sample_points(pts, k, SEED))
+    return d.select("i", "j", _r("sqdist"), _r("dist"))
+
+
+def q_point_set_summary(spark, sf):
+    return diameter.point_set_summary(_pts(spark, sf), k, L)
+
+
+def q_exact_diameter(spark, sf):
+    return diameter.exact_diameter(_pts(spark, sf)).select(_r("max_dist"))
+
+
+def q_sampled_diameter(spark, sf):
+    return diameter.sampled_diameter(_pts(spark, sf), k, SEED).select(_r("max_dist"))
+
+
+def q_min_distance_to_centers(spark, sf):
+    pts = _pts(spark, sf)
+    return diameter.min_distance_to_set(pts, diameter.sample_points(pts, k, SEED)).select("id", _r("min_dist"))
+
+
+def q_k_center(spark, sf):
+    return kcenter.farthest_first(_pts(spark, sf), k).select("ord", "id", _r("min_dist"))
+
+
+def q_k_center_diameter(spark, sf):
+    return diameter.k_center_diameter(_pts(spark, sf), k).select(_r("max_dist"))
+
+
+def q_coreset_k_center(spark, sf):
+    return diversity.core_set(_pts(spark, sf), k, L).select("part", "ord", "id", _r("min_dist"))
+
+
+def q_farthest_pair(spark, sf):
+    return pairs.farthest_pair(_pts(spark, sf)).select("i", "j", _r("dist"))
+
+
+def q_greedy_matching(spark, sf):
+    return diversity.greedy_matching(_pts(spark, sf), k).select("round", "id")
+
+
+def q_average_pairwise_distance(spark, sf):
+    return pairs.average_pairwise_distance(_pts(spark, sf)).select(_r("avg_dist"))
+
+
+def q_diversity_maximization(spark, sf):
+    return diversity.diversity_maximization(_pts(spark, sf), k, L).select("round", "id")
+
+
+def q_diversity_score(spark, sf):
+    answer = diversity.diversity_maximization(_pts(spark, sf), k, L)
+    return diversity.diversity_score(answer).select(_r("avg_dist"))
+
+
 QUERIES: dict[str, Query] = {
     "parse_object_class": q_parse_object_class,
     "balanced_repartition": q_balanced_repartition,
@@ -122,5 +194,19 @@ QUERIES: dict[str, Query] = {
     "word_count_partitioned": q_word_count_partitioned,
     "distinct_word_count": q_distinct_word_count,
     "average_word_length": q_average_word_length,
+    "parse_points": q_parse_points,
+    "point_distances": q_point_distances,
+    "point_set_summary": q_point_set_summary,
+    "exact_diameter": q_exact_diameter,
+    "sampled_diameter": q_sampled_diameter,
+    "min_distance_to_centers": q_min_distance_to_centers,
+    "k_center": q_k_center,
+    "k_center_diameter": q_k_center_diameter,
+    "coreset_k_center": q_coreset_k_center,
+    "farthest_pair": q_farthest_pair,
+    "greedy_matching": q_greedy_matching,
+    "average_pairwise_distance": q_average_pairwise_distance,
+    "diversity_maximization": q_diversity_maximization,
+    "diversity_score": q_diversity_score,
 }
-FLAGSHIP = "class_count_modulo"
+FLAGSHIP = "diversity_maximization"
