@@ -24,15 +24,23 @@ def _c(col: Column | str) -> Column:
 
 
 def sqdist(p: Column | str, q: Column | str | Sequence[float], dim: int | None = None) -> Column:
-    """Squared Euclidean distance between point column ``p`` and a column or literal point ``q``."""
-    pc = _c(p)
+    """Squared Euclidean distance between point column ``p`` and a column or literal point ``q``.
+
+    With column names and a known width the expression is built from one SQL string
+    (one driver call instead of hundreds).
+    """
     if isinstance(q, (list, tuple)):
         vals = [float(v) for v in q]
         if dim is not None and dim != len(vals):
             raise ValueError(f"literal point has width {len(vals)}, expected {dim}")
+        pc = _c(p)
         terms = [(pc[i] - F.lit(v)) * (pc[i] - F.lit(v)) for i, v in enumerate(vals)]
         return reduce(add, terms) if terms else F.lit(0.0)
-    qc = _c(q)
+    if isinstance(p, str) and isinstance(q, str) and dim is not None and dim <= UNROLL_MAX:
+        if dim == 0:
+            return F.lit(0.0)
+        return F.expr(" + ".join(f"({p}[{i}] - {q}[{i}]) * ({p}[{i}] - {q}[{i}])" for i in range(dim)))
+    pc, qc = _c(p), _c(q)
     if dim is not None and dim <= UNROLL_MAX:
         terms = [(pc[i] - qc[i]) * (pc[i] - qc[i]) for i in range(dim)]
         return reduce(add, terms) if terms else F.lit(0.0)

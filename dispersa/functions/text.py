@@ -27,11 +27,14 @@ def split_lines(text: Column | str) -> Column:
     ``""`` and NULL give no line; one final line break does not start an extra line;
     ``"\\n"`` is one empty line.
     """
-    t = _c(text)
-    parts = F.split(t, LINE_BREAK_PATTERN, -1)
+    return drop_final_empty(F.split(_c(text), LINE_BREAK_PATTERN, -1), _c(text))
+
+
+def drop_final_empty(parts: Column, text: Column) -> Column:
+    """Lines from the raw ``split`` of ``text``: drop the empty piece after a final break."""
     n = F.size(parts)
     trimmed = F.when(F.element_at(parts, -1) == F.lit(""), F.slice(parts, 1, n - 1)).otherwise(parts)
-    return F.when(t.isNull() | (t == F.lit("")), F.array().cast("array<string>")).otherwise(trimmed)
+    return F.when(text.isNull() | (text == F.lit("")), F.array().cast("array<string>")).otherwise(trimmed)
 
 
 def split_words(line: Column | str) -> Column:

@@ -20,11 +20,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dispersa.functions.distance import dist, point_stats, require_finite
+from dispersa.functions.distance import sqdist
 from dispersa.functions.sampling import fast_order
 from dispersa.session import cut_lineage
 
 BROADCAST_BYTES = 64 << 20   # centres per round are broadcast up to this size
+COLLECT_CELLS = 1 << 20      # a result this small is kept as a local table, else checkpointed
 
 
 def farthest_first(
@@ -33,7 +34,6 @@ def farthest_first(
     by: str | None = None,
     first: str | int = "min_id",
     checkpoint_every: int = 8,
-    stats: dict | None = None,
 ) -> DataFrame:
     """``(*by, ord, id, p, min_dist)`` for the ``k`` centres of each group.
 
@@ -42,79 +42,89 @@ def farthest_first(
     starts at the smallest ``xxhash64(id, seed)``.
     ``min_dist`` of a centre is its distance to the nearest earlier centre of its group
     at the moment it was chosen (NULL for ``ord = 0``).
-    Raises ``ValueError`` if ``k < 1``, a group has fewer than ``k`` points, or a
-    coordinate is NaN (the reference's strict ``>`` never picks NaN and then fails).
+    Raises ``ValueError`` if ``k < 1``, a group has fewer than ``k`` points, widths are
+    mixed, or a coordinate is NaN (the reference's strict ``>`` never picks NaN and then
+    fails).
     """
     if k < 1:
         raise ValueError("k must be >= 1")
-    stats = stats or point_stats(points)
-    require_finite(stats, "farthest_first")
-    dim = stats["dim"]
     g = by or "_grp"
-    pts = points if by else points.withColumn(g, F.lit(0))
-    pts = pts.select(g, "id", "p")
-
-    sizes = pts.groupBy(g).agg(F.count(F.lit(1)).alias("c")).agg(
-        F.min("c").alias("smallest"), F.count(F.lit(1)).alias("groups")
-    ).first()
-    if not sizes["groups"]:
-        raise ValueError("farthest_first: empty point set")
-    if sizes["smallest"] < k:
-        raise ValueError(f"farthest_first: a group holds {sizes['smallest']} points, fewer than k={k}")
-    groups = int(sizes["groups"])
-    fits = groups * (dim + 4) * 8 <= BROADCAST_BYTES
-
-    def bcast(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if fits else df
+    pts = (points if by else points.withColumn(g, F.lit(0))).select(g, "id", "p")
 
     if first == "min_id":
         start = F.min_by(F.struct("id", "p"), F.col("id"))
     else:
         start = F.min_by(F.struct("id", "p"), F.struct(fast_order("id", int(first)), F.col("id")))
-    cen = (
-        pts.groupBy(g).agg(start.alias("c"))
-        .select(g, F.col("c.id").alias("cid"), F.col("c.p").alias("cp"),
-                F.lit(None).cast("double").alias("cmd"), F.lit(0).alias("ord"))
+    bad = F.exists("p", lambda x: F.isnan(x) | x.isNull())
+    # Round 0 and validation in one pass: first centre, size, widths and NaNs per group.
+    init = (
+        pts.groupBy(g)
+        .agg(start.alias("c"), F.count(F.lit(1)).alias("c_n"), F.min(F.size("p")).alias("dmin"),
+             F.max(F.size("p")).alias("dmax"), F.sum(F.when(bad, 1).otherwise(0)).alias("nans"))
         .persist()
     )
-    cen.count()
-    centres = [cen]
-    held: list[DataFrame] = [cen]
+    chk = init.agg(F.min("c_n").alias("smallest"), F.count(F.lit(1)).alias("groups"),
+                   F.min("dmin").alias("dmin"), F.max("dmax").alias("dmax"), F.sum("nans").alias("nans")).first()
+    held: list[DataFrame] = [init]
+    try:
+        if not chk["groups"]:
+            raise ValueError("farthest_first: empty point set")
+        if chk["dmin"] != chk["dmax"]:
+            raise ValueError(f"farthest_first: mixed widths {chk['dmin']} and {chk['dmax']}")
+        if chk["nans"]:
+            raise ValueError(f"farthest_first: {chk['nans']} point(s) hold NaN or NULL coordinates")
+        if chk["smallest"] < k:
+            raise ValueError(f"farthest_first: a group holds {chk['smallest']} points, fewer than k={k}")
+        dim, groups = int(chk["dmin"]), int(chk["groups"])
+        fits = groups * (dim + 4) * 8 <= BROADCAST_BYTES
 
-    state = (
-        pts.join(bcast(cen.select(g, "cid", "cp")), g)
-        .select(g, "id", "p", dist("p", "cp", dim).alias("min_dist"),
-                F.when(F.col("id") == F.col("cid"), F.lit(0)).alias("ord"))
-        .persist()
-    )
-    held.append(state)
-    for r in range(1, k):
-        pick = F.max_by(F.struct("id", "p", "min_dist"), F.struct("min_dist", -F.col("id")))
-        cen = (
-            state.where(F.col("ord").isNull()).groupBy(g).agg(pick.alias("c"))
-            .select(g, F.col("c.id").alias("cid"), F.col("c.p").alias("cp"),
-                    F.col("c.min_dist").alias("cmd"), F.lit(r).alias("ord"))
+        def bcast(df: DataFrame) -> DataFrame:
+            return F.broadcast(df) if fits else df
+
+        cen = init.select(g, F.col("c.id").alias("cid"), F.col("c.p").alias("cp"),
+                          F.lit(None).cast("double").alias("cmd"), F.lit(0).alias("cord"))
+        centres = [cen]
+        # The round number travels in the centres table (`cord`), not as a literal, so
+        # every round generates the same code and reuses the compiled class.
+        state = (
+            pts.join(bcast(cen.select(g, "cid", "cp", "cord")), g)
+            .select(g, "id", "p", F.sqrt(sqdist("p", "cp", dim)).alias("min_dist"),
+                    F.when(F.col("id") == F.col("cid"), F.col("cord")).alias("ord"))
             .persist()
         )
-        cen.count()  # one job: materialises `state` and the new centres
-        centres.append(cen)
-        held.append(cen)
-        if r == k - 1:
-            break
-        nxt = state.join(bcast(cen.select(g, "cid", "cp")), g).select(
-            g, "id", "p",
-            F.when(F.col("ord").isNull(), F.least("min_dist", dist("p", "cp", dim)))
-            .otherwise(F.col("min_dist")).alias("min_dist"),
-            F.when(F.col("id") == F.col("cid"), F.lit(r)).otherwise(F.col("ord")).alias("ord"),
-        )
-        state = cut_lineage(nxt) if r % checkpoint_every == 0 else nxt.persist()
         held.append(state)
+        pick = F.max_by(F.struct("id", "p", "min_dist"), F.struct("min_dist", -F.col("id")))
+        for r in range(1, k):
+            cen = (
+                state.where(F.col("ord").isNull()).groupBy(g).agg(pick.alias("c"))
+                .select(g, F.col("c.id").alias("cid"), F.col("c.p").alias("cp"),
+                        F.col("c.min_dist").alias("cmd"), F.lit(r).alias("cord"))
+                .persist()
+            )
+            cen.count()  # one job: materialises `state` and the new centres
+            centres.append(cen)
+            held.append(cen)
+            if r == k - 1:
+                break
+            nxt = state.join(bcast(cen.select(g, "cid", "cp", "cord")), g).select(
+                g, "id", "p",
+                F.when(F.col("ord").isNull(), F.least("min_dist", F.sqrt(sqdist("p", "cp", dim))))
+                .otherwise(F.col("min_dist")).alias("min_dist"),
+                F.when(F.col("id") == F.col("cid"), F.col("cord")).otherwise(F.col("ord")).alias("ord"),
+            )
+            state = cut_lineage(nxt) if r % checkpoint_every == 0 else nxt.persist()
+            held.append(state)
 
-    out = reduce(DataFrame.unionByName, centres).select(
-        *([F.col(g)] if by else []), "ord", F.col("cid").alias("id"), F.col("cp").alias("p"),
-        F.col("cmd").alias("min_dist"),
-    )
-    out = cut_lineage(out)
-    for df in held:
-        df.unpersist()
-    return out
+        out = reduce(DataFrame.unionByName, centres).select(
+            *([F.col(g)] if by else []), F.col("cord").alias("ord"), F.col("cid").alias("id"),
+            F.col("cp").alias("p"), F.col("cmd").alias("min_dist"),
+        )
+        if groups * k * (dim + 4) <= COLLECT_CELLS:
+            # Small result: keep it as a local table, independent of the cached rounds.
+            out = out.sparkSession.createDataFrame(out.collect(), out.schema)
+        else:
+            out = cut_lineage(out)
+        return out
+    finally:
+        for df in held:
+            df.unpersist()

@@ -4,13 +4,13 @@ Three word counts give the same ``(word, n)`` table through different plans:
 
 * ``word_count``: tokens → ``groupBy(word)``; Spark's partial aggregate is the per-task
   combine, one shuffle of pre-aggregated rows.
-* ``word_count_salted``: per-line term frequencies, a salt key spreads each word over
-  ``K`` groups, sum per ``(salt, word)``, then per word. The salt is a hash of the
+* ``word_count_salted``: a salt key spreads each word over ``K`` groups, count per
+  ``(salt, word)``, then sum per word. The salt is a hash of the
   token's position (line and word), not a random draw, so a retried task re-emits the
   same keys. Useful when a single word is too hot for one reducer even after the
   map-side combine.
-* ``word_count_partitioned``: per-line term frequencies combined per physical partition
-  (the partial aggregate), then summed per word.
+* ``word_count_partitioned``: counts combined per physical partition (the partial
+  aggregate), then summed per word, optionally after a round-robin spread into K parts.
 """
 
 from __future__ import annotations
@@ -49,26 +49,27 @@ def word_count(line_rows: DataFrame) -> DataFrame:
 def word_count_salted(
     line_rows: DataFrame, K: int, seed: int = 0, doc_cols: tuple[str, ...] = ("doc_id", "line_no")
 ) -> DataFrame:
+    """Two rounds: ``(salt, word)`` counts, then per word. The map-side partial aggregate
+    already gives the reference's per-document combine, so tokens feed round 1 directly."""
     if K < 1:
         raise ValueError("K must be >= 1")
-    tf = doc_term_frequency(line_rows, doc_cols)
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in doc_cols], F.col("word"), F.lit(int(seed))), F.lit(int(K)))
     return (
-        tf.withColumn("salt", salt)
-        .groupBy("salt", "word")
-        .agg(F.sum("n").alias("n"))
+        tokens(line_rows)
+        .groupBy(salt.alias("salt"), "word")
+        .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("word")
         .agg(F.sum("n").alias("n"))
     )
 
 
-def word_count_partitioned(
-    line_rows: DataFrame, num_partitions: int | None = None, doc_cols: tuple[str, ...] = ("doc_id", "line_no")
-) -> DataFrame:
-    """``num_partitions`` optionally spreads the documents round-robin first (the
-    reference's ``repartition(K)``); by default the input splits are the partitions."""
+def word_count_partitioned(line_rows: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """Combine per physical partition, then sum per word. The per-partition combine is the
+    partial ``HashAggregate`` Spark runs in every map task before the shuffle.
+    ``num_partitions`` first spreads the documents round-robin (the reference's
+    ``repartition(K)``); by default the input splits are the partitions."""
     src = line_rows.repartition(int(num_partitions)) if num_partitions else line_rows
-    return doc_term_frequency(src, doc_cols).groupBy("word").agg(F.sum("n").alias("n"))
+    return tokens(src).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def distinct_word_count(line_rows: DataFrame) -> DataFrame:

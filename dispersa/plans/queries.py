@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dispersa.plans.layout import spread_to_cores
 from dispersa.operators import counts, diameter, diversity, kcenter, pairs, words
 from dispersa.sources import tables
 from dispersa.sources import text as text_src
@@ -28,7 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
-    return words.lines(tables.documents(spark, sf))
+    return words.lines(spread_to_cores(tables.documents(spark, sf)))
 
 
 # --- class counts -------------------------------------------------------------------------
