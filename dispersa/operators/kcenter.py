@@ -9,6 +9,9 @@ the new centres (one row per group) back onto the points.
 
 All groups advance together, so no group is ever gathered into one task: a group that
 holds a third of all points is scanned by as many tasks as the data has partitions.
+When the first pass proves every group small (largest group x width <= IN_TASK_CELLS),
+each group is instead traversed inside one task with NumPy, in a single job — the
+reference's per-partition traversal, with the size bound checked first.
 Ties go to the smallest id (the reference's "lowest index wins"); chosen points are
 masked by id, so duplicates of a centre can still be chosen later, as in the reference.
 """
@@ -17,15 +20,69 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dispersa.functions.distance import sqdist
 from dispersa.functions.sampling import fast_order
 from dispersa.session import cut_lineage
+from pyspark.sql.pandas.types import to_arrow_type
 
 BROADCAST_BYTES = 64 << 20   # centres per round are broadcast up to this size
 COLLECT_CELLS = 1 << 20      # a result this small is kept as a local table, else checkpointed
+IN_TASK_CELLS = 1 << 22      # groups up to this many coordinates are traversed inside one task
+
+
+def _traverse_kernel(k: int, dim: int, g: str, g_type: pa.DataType):
+    """Whole traversal of one group in NumPy: same distances (coordinate-ordered sums),
+    same tie rule (largest min_dist, then smallest id) as the distributed rounds."""
+
+    def to_each(X: np.ndarray, c: np.ndarray) -> np.ndarray:
+        acc = np.zeros(X.shape[0])
+        for t in range(dim):
+            diff = X[:, t] - c[t]
+            acc += diff * diff
+        return np.sqrt(acc)
+
+    def kernel(key, table):
+        ids = table.column("id").to_numpy()
+        start = table.column("_start").to_numpy()
+        flat = pc.list_flatten(table.column("p").combine_chunks())
+        X = flat.to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(ids), dim)
+        pick = int(np.lexsort((ids, start))[0])
+        chosen = np.zeros(len(ids), dtype=bool)
+        picks, sel = [pick], [None]
+        chosen[pick] = True
+        md = to_each(X, X[pick])
+        for _ in range(1, k):
+            md_open = np.where(chosen, -np.inf, md)
+            best = md_open.max()
+            ties = np.nonzero(md_open == best)[0]
+            pick = int(ties[np.argmin(ids[ties])])
+            picks.append(pick)
+            sel.append(float(best))
+            chosen[pick] = True
+            md = np.minimum(md, to_each(X, X[pick]))
+        idx = np.array(picks)
+        return pa.table({
+            g: pa.array([key[0].as_py()] * len(idx), type=g_type),
+            "ord": pa.array(np.arange(len(idx), dtype=np.int32)),
+            "id": pa.array(ids[idx]),
+            "p": pa.array([X[i].tolist() for i in idx], type=pa.list_(pa.float64())),
+            "min_dist": pa.array(sel, type=pa.float64()),
+        })
+
+    return kernel
+
+
+def _materialise(out: DataFrame, cells: int) -> DataFrame:
+    """Pin a result down: a small one as a local table, a large one in the checkpoint folder."""
+    if cells <= COLLECT_CELLS:
+        return out.sparkSession.createDataFrame(out.collect(), out.schema)
+    return cut_lineage(out)
 
 
 def farthest_first(
@@ -63,7 +120,7 @@ def farthest_first(
              F.max(F.size("p")).alias("dmax"), F.sum(F.when(bad, 1).otherwise(0)).alias("nans"))
         .persist()
     )
-    chk = init.agg(F.min("c_n").alias("smallest"), F.count(F.lit(1)).alias("groups"),
+    chk = init.agg(F.min("c_n").alias("smallest"), F.max("c_n").alias("largest"), F.count(F.lit(1)).alias("groups"),
                    F.min("dmin").alias("dmin"), F.max("dmax").alias("dmax"), F.sum("nans").alias("nans")).first()
     held: list[DataFrame] = [init]
     try:
@@ -76,13 +133,31 @@ def farthest_first(
         if chk["smallest"] < k:
             raise ValueError(f"farthest_first: a group holds {chk['smallest']} points, fewer than k={k}")
         dim, groups = int(chk["dmin"]), int(chk["groups"])
+        if int(chk["largest"]) * max(dim, 1) <= IN_TASK_CELLS:
+            # Every group is provably small: one job, each group traversed in one task.
+            start_key = F.lit(0).cast("bigint") if first == "min_id" else fast_order("id", int(first))
+            g_field = pts.schema[g]
+            schema = (f"`{g}` {g_field.dataType.simpleString()}, ord int, id bigint, "
+                      "p array<double>, min_dist double")
+            kernel = _traverse_kernel(k, dim, g, to_arrow_type(g_field.dataType))
+            out = pts.withColumn("_start", start_key).groupBy(g).applyInArrow(kernel, schema)
+            out = out.select(*([F.col(g)] if by else []), "ord", "id", "p", "min_dist")
+            return _materialise(out, groups * k * (dim + 4))
         fits = groups * (dim + 4) * 8 <= BROADCAST_BYTES
 
         def bcast(df: DataFrame) -> DataFrame:
             return F.broadcast(df) if fits else df
 
-        cen = init.select(g, F.col("c.id").alias("cid"), F.col("c.p").alias("cp"),
-                          F.lit(None).cast("double").alias("cmd"), F.lit(0).alias("cord"))
+        def pin(df: DataFrame) -> DataFrame:
+            """Detach a round's centres from the state they were computed from. Without
+            this, round r's plan holds round r-1's state twice (directly and through the
+            centres), and the plan doubles every round."""
+            if fits:
+                return df.sparkSession.createDataFrame(df.collect(), df.schema)
+            return cut_lineage(df)
+
+        cen = pin(init.select(g, F.col("c.id").alias("cid"), F.col("c.p").alias("cp"),
+                              F.lit(None).cast("double").alias("cmd"), F.lit(0).alias("cord")))
         centres = [cen]
         # The round number travels in the centres table (`cord`), not as a literal, so
         # every round generates the same code and reuses the compiled class.
@@ -95,15 +170,13 @@ def farthest_first(
         held.append(state)
         pick = F.max_by(F.struct("id", "p", "min_dist"), F.struct("min_dist", -F.col("id")))
         for r in range(1, k):
-            cen = (
+            # One job: materialises `state` and brings back one new centre per group.
+            cen = pin(
                 state.where(F.col("ord").isNull()).groupBy(g).agg(pick.alias("c"))
                 .select(g, F.col("c.id").alias("cid"), F.col("c.p").alias("cp"),
                         F.col("c.min_dist").alias("cmd"), F.lit(r).alias("cord"))
-                .persist()
             )
-            cen.count()  # one job: materialises `state` and the new centres
             centres.append(cen)
-            held.append(cen)
             if r == k - 1:
                 break
             nxt = state.join(bcast(cen.select(g, "cid", "cp", "cord")), g).select(
@@ -119,12 +192,7 @@ def farthest_first(
             *([F.col(g)] if by else []), F.col("cord").alias("ord"), F.col("cid").alias("id"),
             F.col("cp").alias("p"), F.col("cmd").alias("min_dist"),
         )
-        if groups * k * (dim + 4) <= COLLECT_CELLS:
-            # Small result: keep it as a local table, independent of the cached rounds.
-            out = out.sparkSession.createDataFrame(out.collect(), out.schema)
-        else:
-            out = cut_lineage(out)
-        return out
+        return _materialise(out, groups * k * (dim + 4))
     finally:
         for df in held:
             df.unpersist()
