@@ -69,9 +69,10 @@ def _inline(points_list) -> bool:
     return sum(len(q) for _, q in points_list) <= INLINE_TERMS
 
 
-def _set_kernel(centres, mode: str):
+def _set_kernel(centres, mode: str, radii=None, bound: float = 0.0):
     """Arrow batch function over ``(id, p)`` batches against the fixed set ``centres``."""
     ids = np.array([c for c, _ in centres], dtype=np.int64)
+    radii = None if radii is None else np.asarray(radii, dtype=np.float64)
     C = np.array([q for _, q in centres], dtype=np.float64).reshape(len(centres), -1)
 
     def sq_all(batch):
@@ -93,6 +94,15 @@ def _set_kernel(centres, mode: str):
                 m = d.max()
                 if m > -np.inf:
                     yield pa.RecordBatch.from_pydict({"sqd": [float(m)]})
+            elif mode == "colmax":
+                d[nan] = -np.inf
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(d.max(axis=1))], names=["i", "sqd"])
+            elif mode == "keep":
+                # Keep a point if some pair through it could still reach the bound.
+                ub = (np.sqrt(d) + radii[:, None]).min(axis=0)
+                keep = ~(ub < bound)  # NaN rows are kept and left to the exact pass
+                if keep.any():
+                    yield b.filter(pa.array(keep))
             elif mode == "min":
                 d[nan] = np.inf
                 m = d.min(axis=0)
@@ -113,11 +123,12 @@ def _batch_matrix(col, dim: int) -> np.ndarray:
     return flat.reshape(-1, dim)
 
 
-_SET_SCHEMAS = {"max": "sqd double", "min": "id bigint, sqd double", "all": "i bigint, j bigint, sqd double"}
+_SET_SCHEMAS = {"max": "sqd double", "min": "id bigint, sqd double", "all": "i bigint, j bigint, sqd double",
+                "colmax": "i bigint, sqd double", "keep": "id bigint, p array<double>"}
 
 
-def _against_set(points: DataFrame, centres, mode: str) -> DataFrame:
-    return points.select("id", "p").mapInArrow(_set_kernel(centres, mode), _SET_SCHEMAS[mode])
+def _against_set(points: DataFrame, centres, mode: str, radii=None, bound: float = 0.0) -> DataFrame:
+    return points.select("id", "p").mapInArrow(_set_kernel(centres, mode, radii, bound), _SET_SCHEMAS[mode])
 
 
 def distances_to_set(points: DataFrame, centres: list[tuple[int, list[float]]]) -> DataFrame:
@@ -160,8 +171,57 @@ def sampled_diameter(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
     return best.select(F.coalesce(F.sqrt("sqd"), F.lit(0.0)).alias("max_dist"))
 
 
-def exact_diameter(points: DataFrame) -> DataFrame:
-    return pairs.exact_diameter(points)
+PIVOTS = 16          # pivot points used to prune farthest-pair candidates
+PRUNE_SLACK = 1e-9   # relative slack on the pruning bound (rounding of the two sides)
+SURVIVOR_SHARE = 0.5  # skip the filter pass when more than this share is expected to survive
+
+
+def farthest_pair_candidates(points: DataFrame, pivots: int = PIVOTS, seed: int = 0) -> tuple[DataFrame, float]:
+    """The points that can still be an end of the farthest pair, and a lower bound on D.
+
+    One pass gives every pivot ``c`` its radius ``R_c = max_q d(q, c)``; ``LB = max R_c``
+    is a lower bound on the diameter. If ``(a, b)`` is a farthest pair, then for every
+    pivot ``D = d(a, b) <= d(a, c) + R_c``, so ``a`` (and ``b``) satisfy
+    ``min_c (d(p, c) + R_c) >= D >= LB``; every other point is dropped. Exact, ties
+    included. A second pass applies the filter; nothing is gathered anywhere.
+    """
+    piv = sample_points(points, pivots, seed)
+    if len(piv) < 2:
+        return points, 0.0
+    _check_inline(piv, "farthest_pair_candidates")
+    rows = _against_set(points, piv, "colmax").groupBy("i").agg(F.max("sqd").alias("sqd")).collect()
+    radius = {r["i"]: float(np.sqrt(r["sqd"])) for r in rows}
+    radii = [radius[c] for c, _ in piv]
+    lb = max(radii)
+    bound = lb * (1.0 - PRUNE_SLACK)
+    # The pivots are a random sample: the share of them that would survive (each judged
+    # by the other pivots) estimates the share of all points that would. If most would,
+    # the filter pass is not worth running (e.g. high-dimensional, evenly spread points).
+    P = np.array([q for _, q in piv])
+    D = np.sqrt(((P[:, None, :] - P[None, :, :]) ** 2).sum(axis=2)) + np.array(radii)[None, :]
+    np.fill_diagonal(D, np.inf)
+    if np.mean(~(D.min(axis=1) < bound)) > SURVIVOR_SHARE:
+        return points, lb
+    return _against_set(points, piv, "keep", radii, bound), lb
+
+
+def _pruned(points: DataFrame, prune: bool) -> DataFrame:
+    if not prune:
+        return points
+    kept, _ = farthest_pair_candidates(points)
+    return kept
+
+
+def farthest_pair(points: DataFrame, prune: bool = True) -> DataFrame:
+    """``(i, j, sqdist, dist)`` — see ``pairs.farthest_pair``; candidates pruned first."""
+    return pairs.farthest_pair(_pruned(points, prune))
+
+
+def exact_diameter(points: DataFrame, prune: bool = True) -> DataFrame:
+    """``(max_dist)`` over all pairs; pivot pruning first removes points that cannot be
+    an end of the farthest pair (large savings in low dimension, two linear passes
+    otherwise)."""
+    return pairs.exact_diameter(_pruned(points, prune))
 
 
 def k_center_diameter(points: DataFrame, k: int, first: str | int = "min_id") -> DataFrame:

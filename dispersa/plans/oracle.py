@@ -157,7 +157,21 @@ _CORE = (
     + ",\nanswer AS (SELECT dm.round, dm.id, corepts.p FROM dm JOIN corepts USING (id))"
 )
 
+_PTS2 = "pts2 AS (SELECT p_partkey AS id, [CAST(p_size AS DOUBLE), CAST(p_retailprice AS DOUBLE)] AS p FROM part)"
+
 ORACLE.update({
+    "exact_diameter_2d": (
+        f"WITH {_PTS2} SELECT {_r('coalesce(max(list_distance(a.p, b.p)), 0)', 'max_dist')} "
+        "FROM pts2 a JOIN pts2 b ON a.id < b.id"
+    ),
+    "farthest_pair_2d": (
+        f"WITH {_PTS2} SELECT a.id AS i, b.id AS j, {_r('list_distance(a.p, b.p)', 'dist')} "
+        "FROM pts2 a JOIN pts2 b ON a.id < b.id ORDER BY list_distance(a.p, b.p) DESC, a.id, b.id LIMIT 1"
+    ),
+    "k_center_2d": (
+        f"WITH {_PTS2},\nallpts AS (SELECT 0 AS part, id, p FROM pts2),\n{kcenter_chain('allpts', k, 'kc')}\n"
+        f"SELECT ord, id, {_r('md', 'min_dist')} FROM kc"
+    ),
     "parse_points": (
         "SELECT p_partkey AS id, CAST(p_size AS DOUBLE) AS x, CAST(p_retailprice AS DOUBLE) AS y, 2 AS dim FROM part"
     ),

@@ -157,7 +157,7 @@ def q_coreset_k_center(spark, sf):
 
 
 def q_farthest_pair(spark, sf):
-    return pairs.farthest_pair(_pts(spark, sf)).select("i", "j", _r("dist"))
+    return diameter.farthest_pair(_pts(spark, sf)).select("i", "j", _r("dist"))
 
 
 def q_greedy_matching(spark, sf):
@@ -177,6 +177,25 @@ def q_diversity_score(spark, sf):
     return diversity.diversity_score(answer).select(_r("avg_dist"))
 
 
+# 2-d points (part: size, retail price) — the reference's diameter program works on 2-d
+# points; this set has exact duplicates and distance ties, and prunes well.
+
+def _pts2(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.part_points(spark, sf)
+
+
+def q_exact_diameter_2d(spark, sf):
+    return diameter.exact_diameter(_pts2(spark, sf)).select(_r("max_dist"))
+
+
+def q_farthest_pair_2d(spark, sf):
+    return diameter.farthest_pair(_pts2(spark, sf)).select("i", "j", _r("dist"))
+
+
+def q_k_center_2d(spark, sf):
+    return kcenter.farthest_first(_pts2(spark, sf), k).select("ord", "id", _r("min_dist"))
+
+
 QUERIES: dict[str, Query] = {
     "parse_object_class": q_parse_object_class,
     "balanced_repartition": q_balanced_repartition,
@@ -209,5 +228,8 @@ QUERIES: dict[str, Query] = {
     "average_pairwise_distance": q_average_pairwise_distance,
     "diversity_maximization": q_diversity_maximization,
     "diversity_score": q_diversity_score,
+    "exact_diameter_2d": q_exact_diameter_2d,
+    "farthest_pair_2d": q_farthest_pair_2d,
+    "k_center_2d": q_k_center_2d,
 }
 FLAGSHIP = "diversity_maximization"

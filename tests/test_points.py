@@ -278,3 +278,19 @@ def test_diversity_maximization_pipeline(spark, traversal):
     score = diversity.diversity_score(ans).first()["avg_dist"]
     pairs_ = [math.sqrt(sq(P[a], P[b])) for a, b in itertools.combinations(got, 2)]
     assert score == pytest.approx(sum(pairs_) / len(pairs_), rel=1e-12)
+
+
+@pytest.mark.parametrize("seed,dim", [(101, 2), (102, 2), (103, 5)])
+def test_pivot_pruning_is_exact(spark, monkeypatch, seed, dim):
+    monkeypatch.setattr(diameter, "SURVIVOR_SHARE", 1.0)  # always run the filter pass
+    P = random_points(seed, 150, dim, dups=15)
+    df = frame(spark, P)
+    kept, lb = diameter.farthest_pair_candidates(df, pivots=6, seed=seed)
+    d, i, j = bf_farthest_pair(P)
+    ids = {r["id"] for r in kept.collect()}
+    assert lb <= math.sqrt(d) + 1e-12 and {i, j} <= ids
+    if dim == 2:
+        assert len(ids) < len(P)
+    fp = diameter.farthest_pair(df).first()
+    assert (fp["i"], fp["j"], fp["sqdist"]) == (i, j, d)
+    assert diameter.exact_diameter(df).first()["max_dist"] == math.sqrt(d)
