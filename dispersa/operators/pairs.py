@@ -30,7 +30,9 @@ from pyspark.sql import Window
 
 from dispersa.functions.distance import point_stats
 
-MAX_BLOCK = 4096        # points per block at most: bounds a group's memory and run time
+MAX_BLOCK = 8192        # points per block at most: bounds a group's memory (two blocks of
+                        # width 64: 8 MB) and run time; n*B copies are shuffled, so larger
+                        # blocks mean less replication
 MIN_BLOCK = 64          # below this, NumPy call overhead dominates
 CELLS_PER_CHUNK = 1 << 20   # distance-matrix cells computed at once
 

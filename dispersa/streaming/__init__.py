@@ -1,0 +1,12 @@
+"""Streaming.
+
+The reference reads bounded files only: it has no stream, watermark, window or state, so
+nothing here adds a streaming operator. The single-aggregation counting operators —
+``words.text_lines``/``tokens``, ``words.word_count``, ``words.doc_term_frequency``,
+``counts.class_partials`` — are plain DataFrame transforms and run unchanged on a
+Structured Streaming source (``spark.readStream``), keeping running counts in the state
+store (output mode ``complete`` or ``update``). Chained two-round counts and the point
+operators (which loop over actions) are batch-only.
+"""
+
+STREAMABLE = ("text_lines", "tokens", "word_count", "doc_term_frequency", "class_partials")
