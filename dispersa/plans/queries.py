@@ -56,7 +56,7 @@ def q_class_count_sqrt(spark, sf):
 
 
 def q_class_count_physical(spark, sf):
-    return counts.class_count(tables.objects(spark, sf), K, "physical", repartition=True)
+    return counts.class_count(tables.objects(spark, sf), K, "physical")
 
 
 def q_class_partition_stats(spark, sf):

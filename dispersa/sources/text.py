@@ -20,6 +20,17 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Free text, one document per line (the reference's word-count input): ``(line_no, line)``.
+
+    ``line_no`` is ``monotonically_increasing_id()``: unique and increasing in file order,
+    not dense.
+    """
+    return read_lines(spark, path).select(
+        F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("line")
+    )
+
+
 def text_lines(docs: DataFrame, text_col: str = "text", key_cols: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Explode text blobs into ``(*key_cols, line_no INT, line STRING)``; ``line_no`` counts from 0.
 
