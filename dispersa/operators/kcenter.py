@@ -9,9 +9,11 @@ the new centres (one row per group) back onto the points.
 
 All groups advance together, so no group is ever gathered into one task: a group that
 holds a third of all points is scanned by as many tasks as the data has partitions.
-When the first pass proves every group small (largest group x width <= IN_TASK_CELLS),
-each group is instead traversed inside one task with NumPy, in a single job — the
-reference's per-partition traversal, with the size bound checked first.
+When there are several groups and the first pass proves every one small (largest group x
+width <= IN_TASK_CELLS), each group is instead traversed inside one task with NumPy, in a
+single job — the reference's per-partition traversal, with the size bound checked first.
+A single group (the global traversal) always runs as distributed rounds, so a whole
+input never passes through one task.
 Ties go to the smallest id (the reference's "lowest index wins"); chosen points are
 masked by id, so duplicates of a centre can still be chosen later, as in the reference.
 """
@@ -30,6 +32,7 @@ from dispersa.functions.distance import sqdist
 from dispersa.functions.sampling import fast_order
 from dispersa.session import cut_lineage
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DoubleType
 
 BROADCAST_BYTES = 64 << 20   # centres per round are broadcast up to this size
 COLLECT_CELLS = 1 << 20      # a result this small is kept as a local table, else checkpointed
@@ -78,6 +81,38 @@ def _traverse_kernel(k: int, dim: int, g: str, g_type: pa.DataType):
     return kernel
 
 
+def _sql_literal(value, dtype) -> str | None:
+    """A SQL literal that parses back to exactly ``value``, or None if not supported."""
+    name = dtype.simpleString()
+    if value is None:
+        return f"CAST(NULL AS {name})"
+    if name in ("bigint", "int", "smallint", "tinyint"):
+        return f"CAST({int(value)} AS {name})"
+    if name == "double":
+        return f"{float(value)!r}D" if np.isfinite(value) else None
+    if name == "array<double>":
+        parts = [_sql_literal(v, DoubleType()) for v in value]
+        return None if any(p is None for p in parts) else f"array({', '.join(parts)})"
+    return None
+
+
+def _local_table(spark, rows, schema) -> DataFrame:
+    """A small driver-side table as one SQL expression (one call instead of a per-row
+    conversion); doubles are written with their shortest exact repr."""
+    structs = []
+    for row in rows:
+        fields = []
+        for f in schema.fields:
+            lit = _sql_literal(row[f.name], f.dataType)
+            if lit is None:
+                return spark.createDataFrame(rows, schema)
+            fields.append(f"'{f.name}', {lit}")
+        structs.append(f"named_struct({', '.join(fields)})")
+    if not structs:
+        return spark.createDataFrame(rows, schema)
+    return spark.range(1).selectExpr(f"inline(array({', '.join(structs)}))")
+
+
 def _materialise(out: DataFrame, cells: int) -> DataFrame:
     """Pin a result down: a small one as a local table, a large one in the checkpoint folder."""
     if cells <= COLLECT_CELLS:
@@ -133,8 +168,9 @@ def farthest_first(
         if chk["smallest"] < k:
             raise ValueError(f"farthest_first: a group holds {chk['smallest']} points, fewer than k={k}")
         dim, groups = int(chk["dmin"]), int(chk["groups"])
-        if int(chk["largest"]) * max(dim, 1) <= IN_TASK_CELLS:
-            # Every group is provably small: one job, each group traversed in one task.
+        if groups > 1 and int(chk["largest"]) * max(dim, 1) <= IN_TASK_CELLS:
+            # Every group is provably small and none is the whole input: one job, each
+            # group traversed in one task.
             start_key = F.lit(0).cast("bigint") if first == "min_id" else fast_order("id", int(first))
             g_field = pts.schema[g]
             schema = (f"`{g}` {g_field.dataType.simpleString()}, ord int, id bigint, "
@@ -148,12 +184,19 @@ def farthest_first(
         def bcast(df: DataFrame) -> DataFrame:
             return F.broadcast(df) if fits else df
 
+        local_rows: list | None = []
+
         def pin(df: DataFrame) -> DataFrame:
             """Detach a round's centres from the state they were computed from. Without
             this, round r's plan holds round r-1's state twice (directly and through the
             centres), and the plan doubles every round."""
+            nonlocal local_rows
             if fits:
-                return df.sparkSession.createDataFrame(df.collect(), df.schema)
+                rows = df.collect()
+                if local_rows is not None:
+                    local_rows.extend(rows)
+                return _local_table(df.sparkSession, rows, df.schema)
+            local_rows = None
             return cut_lineage(df)
 
         cen = pin(init.select(g, F.col("c.id").alias("cid"), F.col("c.p").alias("cp"),
@@ -170,12 +213,17 @@ def farthest_first(
         held.append(state)
         pick = F.max_by(F.struct("id", "p", "min_dist"), F.struct("min_dist", -F.col("id")))
         for r in range(1, k):
+            open_pts = state.where(F.col("ord").isNull())
+            if groups == 1:
+                # One group: a top-1 (each task keeps its best row, the driver merges one
+                # row per task) — one stage, no shuffle.
+                best = open_pts.orderBy(F.col("min_dist").desc(), F.col("id").asc()).limit(1).select(
+                    g, F.col("id").alias("cid"), F.col("p").alias("cp"), F.col("min_dist").alias("cmd"))
+            else:
+                best = open_pts.groupBy(g).agg(pick.alias("c")).select(
+                    g, F.col("c.id").alias("cid"), F.col("c.p").alias("cp"), F.col("c.min_dist").alias("cmd"))
             # One job: materialises `state` and brings back one new centre per group.
-            cen = pin(
-                state.where(F.col("ord").isNull()).groupBy(g).agg(pick.alias("c"))
-                .select(g, F.col("c.id").alias("cid"), F.col("c.p").alias("cp"),
-                        F.col("c.min_dist").alias("cmd"), F.lit(r).alias("cord"))
-            )
+            cen = pin(best.withColumn("cord", F.lit(r)))
             centres.append(cen)
             if r == k - 1:
                 break
@@ -188,11 +236,20 @@ def farthest_first(
             state = cut_lineage(nxt) if r % checkpoint_every == 0 else nxt.persist()
             held.append(state)
 
+        cols = [*([g] if by else []), "ord", "id", "p", "min_dist"]
+        if local_rows is not None:
+            # All centres are already on the driver (bounded by the broadcast check).
+            schema = centres[0].select(
+                *([F.col(g)] if by else []), F.col("cord").alias("ord"), F.col("cid").alias("id"),
+                F.col("cp").alias("p"), F.col("cmd").alias("min_dist")).schema
+            data = [tuple([*([row[g]] if by else []), row["cord"], row["cid"], row["cp"], row["cmd"]])
+                    for row in local_rows]
+            return _local_table(points.sparkSession, [dict(zip(schema.names, d)) for d in data], schema).select(*cols)
         out = reduce(DataFrame.unionByName, centres).select(
             *([F.col(g)] if by else []), F.col("cord").alias("ord"), F.col("cid").alias("id"),
             F.col("cp").alias("p"), F.col("cmd").alias("min_dist"),
         )
-        return _materialise(out, groups * k * (dim + 4))
+        return cut_lineage(out)
     finally:
         for df in held:
             df.unpersist()
