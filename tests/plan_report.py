@@ -1,0 +1,37 @@
+"""Print the physical plans of the single-plan catalogue queries (python tests/plan_report.py [sf_dir]).
+
+Iterative queries (k-center, matching, diversity) run several small jobs whose plans differ by
+round; for them the plan of one round's building block is shown instead.
+"""
+
+from __future__ import annotations
+
+import os
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+SINGLE_PLAN = [
+    "class_partition_stats", "most_frequent_class", "word_count", "word_count_salted",
+    "doc_term_frequency", "average_word_length", "sampled_diameter", "point_distances",
+]
+
+
+def main(argv):
+    sf = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
+    import __spark_entry__ as entry
+    from dispersa.operators import pairs
+    from dispersa.session import local_session
+    from dispersa.sources import tables
+
+    spark = local_session(8)
+    qs = entry.queries()
+    for key in SINGLE_PLAN:
+        print(f"\n## {key}\n")
+        qs[key](spark, sf).explain("formatted")
+    print("\n## block pairs (exact diameter / farthest pair kernel)\n")
+    pairs.block_pairs(tables.embedding_points(spark, sf), "best").explain("formatted")
+
+
+if __name__ == "__main__":
+    main(sys.argv)
