@@ -90,9 +90,9 @@ def traversal(request, monkeypatch):
 
 # --- diameter and pairs ---------------------------------------------------------------------
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_pair_kernels_against_brute_force(spark, blocks, seed):
-    P = random_points(seed, 23, 3, dups=4)
+@pytest.mark.parametrize("seed,dim", [(1, 3), (2, 3), (3, 12), (4, 64)])
+def test_pair_kernels_against_brute_force(spark, blocks, seed, dim):
+    P = random_points(seed, 23, dim, dups=4)
     df = frame(spark, P)
     d, i, j = bf_farthest_pair(P)
     fp = pairs.farthest_pair(df).first()
@@ -242,9 +242,9 @@ def test_k_center_diameter_is_lower_bound(spark):
 
 # --- matching and diversity -----------------------------------------------------------------
 
-@pytest.mark.parametrize("seed,k", [(71, 2), (72, 5), (73, 6), (74, 30), (75, 1)])
-def test_greedy_matching_against_brute_force(spark, blocks, seed, k):
-    P = random_points(seed, 18, 2, dups=3)
+@pytest.mark.parametrize("seed,k,dim", [(71, 2, 2), (72, 5, 2), (73, 6, 2), (74, 30, 2), (75, 1, 2), (76, 5, 16), (77, 7, 9)])
+def test_greedy_matching_against_brute_force(spark, blocks, seed, k, dim):
+    P = random_points(seed, 18, dim, dups=3)
     got = {r["id"]: r["round"] for r in diversity.greedy_matching(frame(spark, P), k).collect()}
     assert got == bf_matching(P, k)
 
@@ -294,3 +294,14 @@ def test_pivot_pruning_is_exact(spark, monkeypatch, seed, dim):
     fp = diameter.farthest_pair(df).first()
     assert (fp["i"], fp["j"], fp["sqdist"]) == (i, j, d)
     assert diameter.exact_diameter(df).first()["max_dist"] == math.sqrt(d)
+
+
+def test_ties_survive_the_gram_candidate_path(spark, blocks):
+    pad = [0.0] * 8
+    P = {10: [0.0, 0.0] + pad, 11: [1.0, 0.0] + pad, 12: [0.0, 1.0] + pad, 13: [1.0, 1.0] + pad,
+         14: [0.5, 0.5] + pad, 15: [1.0, 1.0] + pad}
+    df = frame(spark, P)
+    fp = pairs.farthest_pair(df).first()
+    assert (fp["i"], fp["j"], fp["sqdist"]) == (10, 13, 2.0)
+    got = {r["id"]: r["round"] for r in diversity.greedy_matching(df, 4).collect()}
+    assert got == bf_matching(P, 4)
