@@ -10,6 +10,9 @@ partner among the points not taken — any better or equally far, smaller partne
 would make ``(a, c)`` win — so ``b`` is within ``a``'s first ``(taken + 1) <= k-1``
 partners. The rounds then scan ``n*(k-1)`` candidate pairs instead of ``n^2/2`` pairs.
 
+Partner lists are capped at ``PARTNERS_MAX`` and rebuilt over the remaining points once
+that many could have been taken, so large ``k`` never materialises all pairs.
+
 ``diversity_maximization(points, k, L)``: core-set = ``k`` farthest-first centres per part
 (``L`` parts), all parts advancing together, then greedy matching on the ``L*k``
 core-set points. ``diversity_score`` is the average pairwise distance of an answer.
@@ -38,10 +41,26 @@ def _rounds_frame(points: DataFrame, picks: dict[int, int]) -> DataFrame:
     )
 
 
+PARTNERS_MAX = 32   # partner-list length; lists are rebuilt when more points are taken
+
+
+def _without(points: DataFrame, taken: list[int]) -> DataFrame:
+    if not taken:
+        return points
+    if len(taken) <= 1024:
+        return points.where(~F.col("id").isin(taken))
+    ids = points.sparkSession.createDataFrame([(t,) for t in taken], "id bigint")
+    return points.join(F.broadcast(ids), "id", "left_anti")  # at most k ids
+
+
 def greedy_matching(points: DataFrame, k: int, stats: dict | None = None) -> DataFrame:
     """``(round, id, p)``: pairs get rounds ``1..k//2``, the odd point round ``k//2 + 1``.
 
     If ``k >= n`` every point is returned with round 0 (as the reference returns all).
+    Partner lists hold ``M = min(k-1, PARTNERS_MAX)`` entries and stay exact while fewer
+    than ``M`` points have been taken since they were built (see the module docstring), so
+    they are rebuilt over the remaining points every ``(M+1)//2`` rounds: at most ``n*M``
+    candidate pairs exist at any time, never all pairs.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
@@ -52,26 +71,35 @@ def greedy_matching(points: DataFrame, k: int, stats: dict | None = None) -> Dat
         return points.select(F.lit(0).alias("round"), "id", "p")
     taken: list[int] = []
     picks: dict[int, int] = {}
-    if k >= 2:
-        cand = pairs.top_partners(points, k - 1, stats=stats).select(
-            F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "sqd"
-        ).groupBy("i", "j").agg(F.max("sqd").alias("sqd")).persist()
-        try:
-            for r in range(1, k // 2 + 1):
-                live = cand
-                if taken:
-                    live = cand.where(~F.col("i").isin(taken) & ~F.col("j").isin(taken))
-                best = live.agg(
-                    F.max_by(F.struct("i", "j"), F.struct("sqd", -F.col("i"), -F.col("j"))).alias("b")
-                ).first()["b"]
-                taken += [int(best["i"]), int(best["j"])]
-                picks[int(best["i"])] = r
-                picks[int(best["j"])] = r
-        finally:
-            cand.unpersist()
+    rounds = k // 2
+    if rounds:
+        M = min(k - 1, PARTNERS_MAX)
+        per_build = (M + 1) // 2
+        r = 1
+        while r <= rounds:
+            rest = _without(points, taken)
+            rest_stats = {**stats, "n": n - len(taken)}
+            cand = pairs.top_partners(rest, M, stats=rest_stats).select(
+                F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "sqd"
+            ).groupBy("i", "j").agg(F.max("sqd").alias("sqd")).persist()
+            try:
+                built_at = len(taken)
+                for _ in range(per_build):
+                    if r > rounds:
+                        break
+                    since = taken[built_at:]
+                    live = cand.where(~F.col("i").isin(since) & ~F.col("j").isin(since)) if since else cand
+                    best = live.agg(
+                        F.max_by(F.struct("i", "j"), F.struct("sqd", -F.col("i"), -F.col("j"))).alias("b")
+                    ).first()["b"]
+                    taken += [int(best["i"]), int(best["j"])]
+                    picks[int(best["i"])] = r
+                    picks[int(best["j"])] = r
+                    r += 1
+            finally:
+                cand.unpersist()
     if k % 2:
-        rest = points.where(~F.col("id").isin(taken)) if taken else points
-        odd = rest.agg(F.min("id").alias("m")).first()["m"]
+        odd = _without(points, taken).agg(F.min("id").alias("m")).first()["m"]
         picks[int(odd)] = k // 2 + 1
     return _rounds_frame(points, picks)
 

@@ -305,3 +305,11 @@ def test_ties_survive_the_gram_candidate_path(spark, blocks):
     assert (fp["i"], fp["j"], fp["sqdist"]) == (10, 13, 2.0)
     got = {r["id"]: r["round"] for r in diversity.greedy_matching(df, 4).collect()}
     assert got == bf_matching(P, 4)
+
+
+@pytest.mark.parametrize("seed,k,dim", [(111, 11, 2), (112, 14, 9)])
+def test_matching_rebuilds_partner_lists(spark, monkeypatch, seed, k, dim):
+    monkeypatch.setattr(diversity, "PARTNERS_MAX", 3)  # rebuild every 2 rounds
+    P = random_points(seed, 30, dim, dups=4)
+    got = {r["id"]: r["round"] for r in diversity.greedy_matching(frame(spark, P), k).collect()}
+    assert got == bf_matching(P, k)
