@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dispersa.functions.distance import sqdist
+from dispersa.functions.distance import point_stats, sqdist
 from dispersa.functions.sampling import portable_order
 from dispersa.operators import pairs
 from dispersa.operators.kcenter import farthest_first
@@ -36,16 +36,32 @@ LITERAL_CELLS = 1 << 20   # at most this many coordinates of a point set are shi
 INLINE_TERMS = 256        # up to this many coordinates, the set is inlined as literals
 
 
-def sample_points(points: DataFrame, k: int, seed: int) -> list[tuple[int, list[float]]]:
+SAMPLE_OVERDRAW = 4   # the hash-prefix filter expects this many times k survivors
+
+
+def sample_points(points: DataFrame, k: int, seed: int, n: int | None = None) -> list[tuple[int, list[float]]]:
     """``k`` points, smallest ``md5('<seed>:<id>')`` first (reproducible in any SQL engine).
 
-    Runs as a per-partition top-k (``TakeOrderedAndProject``): only ``k`` rows per task
-    reach the driver.
+    A plain ``orderBy().limit(k)`` would send ``k`` rows from every partition to the
+    driver. Since md5 keys are uniform, a narrow filter first keeps the keys below a hex
+    prefix expected to hold ``SAMPLE_OVERDRAW * k`` points; if at least ``k`` survive, the
+    true first ``k`` are among them (smaller prefix means smaller key), else the range
+    doubles. About ``4k`` rows then reach the driver, whatever the partition count.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
-    rows = points.orderBy(portable_order("id", seed), F.col("id")).limit(int(k)).select("id", "p").collect()
-    return [(int(r["id"]), list(r["p"])) for r in rows]
+    key = portable_order("id", seed)
+    n = points.count() if n is None else n
+    frac = SAMPLE_OVERDRAW * k / max(n, 1)
+    while True:
+        cand = points
+        if frac < 1.0:
+            prefix = format(max(1, int(frac * 16 ** 8)), "08x")
+            cand = points.where(F.substring(key, 1, 8) < F.lit(prefix))
+        rows = cand.orderBy(key, F.col("id")).limit(int(k)).select("id", "p").collect()
+        if len(rows) == k or frac >= 1.0:
+            return [(int(r["id"]), list(r["p"])) for r in rows]
+        frac *= 2.0
 
 
 def _check_inline(points_list, what: str) -> int:
@@ -176,8 +192,10 @@ PRUNE_SLACK = 1e-9   # relative slack on the pruning bound (rounding of the two
 SURVIVOR_SHARE = 0.5  # skip the filter pass when more than this share is expected to survive
 
 
-def farthest_pair_candidates(points: DataFrame, pivots: int = PIVOTS, seed: int = 0) -> tuple[DataFrame, float]:
-    """The points that can still be an end of the farthest pair, and a lower bound on D.
+def farthest_pair_candidates(points: DataFrame, pivots: int = PIVOTS, seed: int = 0,
+                             n: int | None = None) -> tuple[DataFrame, float, bool]:
+    """The points that can still be an end of the farthest pair, a lower bound on D, and
+    whether a filter was applied.
 
     One pass gives every pivot ``c`` its radius ``R_c = max_q d(q, c)``; ``LB = max R_c``
     is a lower bound on the diameter. If ``(a, b)`` is a farthest pair, then for every
@@ -185,9 +203,9 @@ def farthest_pair_candidates(points: DataFrame, pivots: int = PIVOTS, seed: int
     ``min_c (d(p, c) + R_c) >= D >= LB``; every other point is dropped. Exact, ties
     included. A second pass applies the filter; nothing is gathered anywhere.
     """
-    piv = sample_points(points, pivots, seed)
+    piv = sample_points(points, pivots, seed, n=n)
     if len(piv) < 2:
-        return points, 0.0
+        return points, 0.0, False
     _check_inline(piv, "farthest_pair_candidates")
     rows = _against_set(points, piv, "colmax").groupBy("i").agg(F.max("sqd").alias("sqd")).collect()
     radius = {r["i"]: float(np.sqrt(r["sqd"])) for r in rows}
@@ -201,27 +219,31 @@ def farthest_pair_candidates(points: DataFrame, pivots: int = PIVOTS, seed: int
     D = np.sqrt(((P[:, None, :] - P[None, :, :]) ** 2).sum(axis=2)) + np.array(radii)[None, :]
     np.fill_diagonal(D, np.inf)
     if np.mean(~(D.min(axis=1) < bound)) > SURVIVOR_SHARE:
-        return points, lb
-    return _against_set(points, piv, "keep", radii, bound), lb
+        return points, lb, False
+    return _against_set(points, piv, "keep", radii, bound), lb, True
 
 
-def _pruned(points: DataFrame, prune: bool) -> DataFrame:
-    if not prune:
-        return points
-    kept, _ = farthest_pair_candidates(points)
-    return kept
+def _pruned(points: DataFrame, prune: bool) -> tuple[DataFrame, dict | None]:
+    """Candidates for the farthest pair, and their stats when already known."""
+    stats = point_stats(points)
+    if not prune or stats["n"] < 2:
+        return points, stats
+    kept, _, filtered = farthest_pair_candidates(points, n=stats["n"])
+    return kept, (None if filtered else stats)
 
 
 def farthest_pair(points: DataFrame, prune: bool = True) -> DataFrame:
     """``(i, j, sqdist, dist)`` — see ``pairs.farthest_pair``; candidates pruned first."""
-    return pairs.farthest_pair(_pruned(points, prune))
+    kept, stats = _pruned(points, prune)
+    return pairs.farthest_pair(kept, stats=stats)
 
 
 def exact_diameter(points: DataFrame, prune: bool = True) -> DataFrame:
     """``(max_dist)`` over all pairs; pivot pruning first removes points that cannot be
     an end of the farthest pair (large savings in low dimension, two linear passes
     otherwise)."""
-    return pairs.exact_diameter(_pruned(points, prune))
+    kept, stats = _pruned(points, prune)
+    return pairs.exact_diameter(kept, stats=stats)
 
 
 def k_center_diameter(points: DataFrame, k: int, first: str | int = "min_id") -> DataFrame:

@@ -285,7 +285,7 @@ def test_pivot_pruning_is_exact(spark, monkeypatch, seed, dim):
     monkeypatch.setattr(diameter, "SURVIVOR_SHARE", 1.0)  # always run the filter pass
     P = random_points(seed, 150, dim, dups=15)
     df = frame(spark, P)
-    kept, lb = diameter.farthest_pair_candidates(df, pivots=6, seed=seed)
+    kept, lb, _ = diameter.farthest_pair_candidates(df, pivots=6, seed=seed)
     d, i, j = bf_farthest_pair(P)
     ids = {r["id"] for r in kept.collect()}
     assert lb <= math.sqrt(d) + 1e-12 and {i, j} <= ids
@@ -313,3 +313,17 @@ def test_matching_rebuilds_partner_lists(spark, monkeypatch, seed, k, dim):
     P = random_points(seed, 30, dim, dups=4)
     got = {r["id"]: r["round"] for r in diversity.greedy_matching(frame(spark, P), k).collect()}
     assert got == bf_matching(P, k)
+
+
+def test_sample_prefix_filter_is_exact(spark, monkeypatch):
+    P = random_points(121, 300, 2)
+    df = frame(spark, P)
+    import hashlib
+
+    want = sorted(P, key=lambda i: (hashlib.md5(f"42:{i}".encode()).hexdigest(), i))[:7]
+    monkeypatch.setattr(diameter, "SAMPLE_OVERDRAW", 0.05)  # force retries with wider ranges
+    assert [i for i, _ in diameter.sample_points(df, 7, 42)] == want
+    monkeypatch.setattr(diameter, "SAMPLE_OVERDRAW", 4)
+    assert [i for i, _ in diameter.sample_points(df, 7, 42)] == want
+    assert [i for i, _ in diameter.sample_points(df, 500, 42)] == sorted(
+        P, key=lambda i: (hashlib.md5(f"42:{i}".encode()).hexdigest(), i))
