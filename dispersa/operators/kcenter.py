@@ -14,6 +14,11 @@ width <= IN_TASK_CELLS), each group is instead traversed inside one task with Nu
 single job — the reference's per-partition traversal, with the size bound checked first.
 A single group (the global traversal) always runs as distributed rounds, so a whole
 input never passes through one task.
+The state (points with their running ``min_dist``) is persisted every ``persist_every``
+rounds (default: every round below SMALL_STATE_CELLS, else every 4 — the rounds between
+recompute from the last copy instead of writing a new one) and the previous copy is
+dropped once the new one exists; lineage is cut with a
+reliable checkpoint every ``checkpoint_every`` rounds.
 Ties go to the smallest id (the reference's "lowest index wins"); chosen points are
 masked by id, so duplicates of a centre can still be chosen later, as in the reference.
 """
@@ -37,6 +42,7 @@ from pyspark.sql.types import DoubleType
 BROADCAST_BYTES = 64 << 20   # centres per round are broadcast up to this size
 COLLECT_CELLS = 1 << 20      # a result this small is kept as a local table, else checkpointed
 IN_TASK_CELLS = 1 << 22      # groups up to this many coordinates are traversed inside one task
+SMALL_STATE_CELLS = 1 << 26  # a state this small is persisted every round
 
 
 def _traverse_kernel(k: int, dim: int, g: str, g_type: pa.DataType):
@@ -126,6 +132,7 @@ def farthest_first(
     by: str | None = None,
     first: str | int = "min_id",
     checkpoint_every: int = 8,
+    persist_every: int | None = None,
 ) -> DataFrame:
     """``(*by, ord, id, p, min_dist)`` for the ``k`` centres of each group.
 
@@ -155,7 +162,8 @@ def farthest_first(
              F.max(F.size("p")).alias("dmax"), F.sum(F.when(bad, 1).otherwise(0)).alias("nans"))
         .persist()
     )
-    chk = init.agg(F.min("c_n").alias("smallest"), F.max("c_n").alias("largest"), F.count(F.lit(1)).alias("groups"),
+    chk = init.agg(F.min("c_n").alias("smallest"), F.max("c_n").alias("largest"), F.sum("c_n").alias("n"),
+                   F.count(F.lit(1)).alias("groups"),
                    F.min("dmin").alias("dmin"), F.max("dmax").alias("dmax"), F.sum("nans").alias("nans")).first()
     held: list[DataFrame] = [init]
     try:
@@ -180,6 +188,9 @@ def farthest_first(
             out = out.select(*([F.col(g)] if by else []), "ord", "id", "p", "min_dist")
             return _materialise(out, groups * k * (dim + 4))
         fits = groups * (dim + 4) * 8 <= BROADCAST_BYTES
+        if persist_every is None:
+            # Small states are cheap to copy every round; large ones are copied every 4.
+            persist_every = 1 if int(chk["n"]) * (dim + 3) <= SMALL_STATE_CELLS else 4
 
         def bcast(df: DataFrame) -> DataFrame:
             return F.broadcast(df) if fits else df
@@ -211,6 +222,7 @@ def farthest_first(
             .persist()
         )
         held.append(state)
+        cached = [state]  # persisted bases the current state may still read from
         pick = F.max_by(F.struct("id", "p", "min_dist"), F.struct("min_dist", -F.col("id")))
         for r in range(1, k):
             open_pts = state.where(F.col("ord").isNull())
@@ -225,6 +237,10 @@ def farthest_first(
             # One job: materialises `state` and brings back one new centre per group.
             cen = pin(best.withColumn("cord", F.lit(r)))
             centres.append(cen)
+            # The newest base is now materialised; older copies are no longer read.
+            for old in cached[:-1]:
+                old.unpersist()
+            cached = cached[-1:]
             if r == k - 1:
                 break
             nxt = state.join(bcast(cen.select(g, "cid", "cp", "cord")), g).select(
@@ -233,8 +249,17 @@ def farthest_first(
                 .otherwise(F.col("min_dist")).alias("min_dist"),
                 F.when(F.col("id") == F.col("cid"), F.col("cord")).otherwise(F.col("ord")).alias("ord"),
             )
-            state = cut_lineage(nxt) if r % checkpoint_every == 0 else nxt.persist()
-            held.append(state)
+            # A full copy of the points is written only every `persist_every` rounds; the
+            # rounds between recompute from the last copy (at most persist_every - 1 extra
+            # distances per point, no writes), so k rounds never hold k copies.
+            if r % checkpoint_every == 0:
+                state = cut_lineage(nxt)
+            elif r % persist_every == 0:
+                state = nxt.persist()
+                held.append(state)
+                cached.append(state)
+            else:
+                state = nxt
 
         cols = [*([g] if by else []), "ord", "id", "p", "min_dist"]
         if local_rows is not None:

@@ -38,7 +38,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     iterative loops do not grow their logical plans round after round.
     """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df.persist()  # the checkpoint write then reads the computed blocks instead of recomputing
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "dispersa") -> SparkSession:

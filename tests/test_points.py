@@ -327,3 +327,13 @@ def test_sample_prefix_filter_is_exact(spark, monkeypatch):
     assert [i for i, _ in diameter.sample_points(df, 7, 42)] == want
     assert [i for i, _ in diameter.sample_points(df, 500, 42)] == sorted(
         P, key=lambda i: (hashlib.md5(f"42:{i}".encode()).hexdigest(), i))
+
+
+@pytest.mark.parametrize("persist_every,checkpoint_every", [(1, 100), (3, 100), (2, 5), (100, 100)])
+def test_k_center_persistence_schedules(spark, monkeypatch, persist_every, checkpoint_every):
+    monkeypatch.setattr(kcenter, "IN_TASK_CELLS", 0)
+    P = random_points(131, 30, 12, dups=3)
+    got = kcenter.farthest_first(frame(spark, P), 9, persist_every=persist_every,
+                                 checkpoint_every=checkpoint_every).orderBy("ord").collect()
+    ids, sel = bf_k_center(P, 9, min(P))
+    assert [r["id"] for r in got] == ids and [r["min_dist"] for r in got] == sel
