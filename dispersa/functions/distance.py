@@ -61,6 +61,12 @@ def as_points(df, id_col: str, vec_col: str) -> "DataFrame":  # noqa: F821
     )
 
 
+def has_bad_coordinate(p: Column | str) -> Column:
+    """True if a point holds a NaN or NULL coordinate (or is NULL). Built-in and codegen'd:
+    Spark SQL compares NaN equal to NaN, and a NULL element makes the lookup NULL."""
+    return F.coalesce(F.array_contains(_c(p), F.lit(float("nan"))), F.lit(True))
+
+
 def point_stats(points) -> dict:
     """One pass over the points: count, common width, and NaN presence.
 
@@ -71,7 +77,7 @@ def point_stats(points) -> dict:
         F.min(F.size("p")).alias("dmin"),
         F.max(F.size("p")).alias("dmax"),
         F.sum(F.when(F.col("p").isNull(), 1).otherwise(0)).alias("nulls"),
-        F.sum(F.when(F.exists("p", lambda x: F.isnan(x) | x.isNull()), 1).otherwise(0)).alias("nans"),
+        F.sum(F.when(F.col("p").isNotNull() & has_bad_coordinate("p"), 1).otherwise(0)).alias("nans"),
     ).first()
     n = int(row["n"])
     if n and row["nulls"]:

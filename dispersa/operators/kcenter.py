@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dispersa.functions.distance import sqdist
+from dispersa.functions.distance import has_bad_coordinate, sqdist
 from dispersa.functions.sampling import fast_order
 from dispersa.session import cut_lineage
 from pyspark.sql.pandas.types import to_arrow_type
@@ -154,7 +154,7 @@ def farthest_first(
         start = F.min_by(F.struct("id", "p"), F.col("id"))
     else:
         start = F.min_by(F.struct("id", "p"), F.struct(fast_order("id", int(first)), F.col("id")))
-    bad = F.exists("p", lambda x: F.isnan(x) | x.isNull())
+    bad = has_bad_coordinate("p")
     # Round 0 and validation in one pass: first centre, size, widths and NaNs per group.
     init = (
         pts.groupBy(g)
