@@ -135,6 +135,9 @@ def _set_kernel(centres, mode: str, radii=None, bound: float = 0.0):
 
 
 def _batch_matrix(col, dim: int) -> np.ndarray:
+    lengths = pc.list_value_length(col)
+    if len(col) and (pc.min(lengths).as_py() != dim or pc.max(lengths).as_py() != dim or col.null_count):
+        raise ValueError(f"point widths differ from the set's width {dim} (or a point is NULL)")
     flat = pc.list_flatten(col).to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     return flat.reshape(-1, dim)
 

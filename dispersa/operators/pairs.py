@@ -55,6 +55,9 @@ def _matrix(col, dim: int) -> np.ndarray:
     arr = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
     if len(arr) == 0:
         return np.zeros((0, dim))
+    lengths = pc.list_value_length(arr)
+    if pc.min(lengths).as_py() != dim or pc.max(lengths).as_py() != dim or arr.null_count:
+        raise ValueError(f"point widths differ from the set's width {dim} (or a point is NULL)")
     flat = pc.list_flatten(arr).to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     return flat.reshape(len(arr), dim)
 
@@ -89,6 +92,9 @@ class _Block:
         if self.gram:
             self.na = np.einsum("ij,ij->i", a, a)
             self.nb = np.einsum("ij,ij->i", b, b)
+            # NaN or infinite coordinates: no usable bound, take the exact loop instead.
+            self.gram = bool(np.isfinite(self.na).all() and np.isfinite(self.nb).all())
+        if self.gram:
             eps = np.finfo(np.float64).eps
             top = (self.na.max(initial=0.0) if len(a) else 0.0) + (self.nb.max(initial=0.0) if len(b) else 0.0)
             self.tol = 4.0 * (2 * a.shape[1] + 8) * eps * top

@@ -337,3 +337,24 @@ def test_k_center_persistence_schedules(spark, monkeypatch, persist_every, check
                                  checkpoint_every=checkpoint_every).orderBy("ord").collect()
     ids, sel = bf_k_center(P, 9, min(P))
     assert [r["id"] for r in got] == ids and [r["min_dist"] for r in got] == sel
+
+
+def test_sampled_diameter_rejects_mixed_widths(spark, monkeypatch):
+    df = spark.createDataFrame([(i, [float(i), 1.0] if i % 2 else [float(i), 1.0, 2.0, 3.0]) for i in range(8)],
+                               "id bigint, p array<double>")
+    monkeypatch.setattr(diameter, "INLINE_TERMS", 0)
+    with pytest.raises(Exception):
+        diameter.sampled_diameter(df, 2).collect()
+
+
+def test_non_finite_coordinates_in_wide_points(spark, blocks):
+    P = random_points(141, 20, 12)
+    ids = sorted(P)
+    P[ids[0]] = [float("nan")] + P[ids[0]][1:]
+    df = frame(spark, P)
+    finite = {i: p for i, p in P.items() if i != ids[0]}
+    d, i, j = bf_farthest_pair(finite)
+    fp = pairs.farthest_pair(df).first()
+    assert (fp["i"], fp["j"], fp["sqdist"]) == (i, j, d)
+    P[ids[1]] = [float("inf")] + P[ids[1]][1:]
+    assert diameter.exact_diameter(frame(spark, P)).first()["max_dist"] == float("inf")
