@@ -39,14 +39,15 @@ INLINE_TERMS = 256        # up to this many coordinates, the set is inlined as l
 SAMPLE_OVERDRAW = 4   # the hash-prefix filter expects this many times k survivors
 
 
-def sample_points(points: DataFrame, k: int, seed: int, n: int | None = None) -> list[tuple[int, list[float]]]:
-    """``k`` points, smallest ``md5('<seed>:<id>')`` first (reproducible in any SQL engine).
-
-    A plain ``orderBy().limit(k)`` would send ``k`` rows from every partition to the
-    driver. Since md5 keys are uniform, a narrow filter first keeps the keys below a hex
-    prefix expected to hold ``SAMPLE_OVERDRAW * k`` points; if at least ``k`` survive, the
-    true first ``k`` are among them (smaller prefix means smaller key), else the range
-    doubles. About ``4k`` rows then reach the driver, whatever the partition count.
+def sample_frame(points: DataFrame, k: int, seed: int, n: int | None = None) -> DataFrame:
+    """The ``k`` points with the smallest ``md5('<seed>:<id>')`` (reproducible in any SQL
+    engine), as a persisted DataFrame ``(id, p)``; the caller unpersists it.
+
+    A plain ``orderBy().limit(k)`` would bring ``k`` rows from every partition together.
+    Since md5 keys are uniform, a narrow filter first keeps the keys below a hex prefix
+    expected to hold ``SAMPLE_OVERDRAW * k`` points; if at least ``k`` survive, the true
+    first ``k`` are among them (smaller prefix means smaller key), else the range doubles.
+    About ``4k`` rows then meet in one place, whatever the partition count.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
@@ -58,12 +59,24 @@ def sample_points(points: DataFrame, k: int, seed: int, n: int | None = None) ->
         if frac < 1.0:
             prefix = format(max(1, int(frac * 16 ** 8)), "08x")
             cand = points.where(F.substring(key, 1, 8) < F.lit(prefix))
-        rows = cand.orderBy(key, F.col("id")).limit(int(k)).select("id", "p").collect()
-        if len(rows) == k or frac >= 1.0:
-            return [(int(r["id"]), list(r["p"])) for r in rows]
+        sample = cand.orderBy(key, F.col("id")).limit(int(k)).select("id", "p").persist()
+        if sample.count() == k or frac >= 1.0:
+            return sample
+        sample.unpersist()
         frac *= 2.0
 
 
+def sample_points(points: DataFrame, k: int, seed: int, n: int | None = None) -> list[tuple[int, list[float]]]:
+    """``sample_frame`` brought to the driver, in key order (for small samples)."""
+    sample = sample_frame(points, k, seed, n)
+    try:
+        key = portable_order("id", seed)
+        rows = sample.orderBy(key, F.col("id")).collect()
+    finally:
+        sample.unpersist()
+    return [(int(r["id"]), list(r["p"])) for r in rows]
+
+
 def _check_inline(points_list, what: str) -> int:
     cells = sum(len(p) for _, p in points_list)
     if cells > LITERAL_CELLS:
@@ -150,34 +163,80 @@ def _against_set(points: DataFrame, centres, mode: str, radii=None, bound: float
     return points.select("id", "p").mapInArrow(_set_kernel(centres, mode, radii, bound), _SET_SCHEMAS[mode])
 
 
-def distances_to_set(points: DataFrame, centres: list[tuple[int, list[float]]]) -> DataFrame:
-    """``(i, j, sqdist, dist)`` for every centre ``i`` and every point ``j``: ``|set| * n`` rows."""
-    _check_inline(centres, "distances_to_set")
-    if _inline(centres):
+def _large_set(points: DataFrame, centres) -> DataFrame | None:
+    """The centre set as a DataFrame when it must go through ``pairs.cross_blocks`` (given
+    as a DataFrame, or a list above LITERAL_CELLS coordinates); None for the direct paths."""
+    if isinstance(centres, DataFrame):
+        return centres.select(F.col("id").cast("bigint").alias("id"), F.col("p").cast("array<double>").alias("p"))
+    if sum(len(q) for _, q in centres) > LITERAL_CELLS:
+        return points.sparkSession.createDataFrame(
+            [(int(i), [float(v) for v in q]) for i, q in centres], "id bigint, p array<double>")
+    return None
+
+
+def _cross(points: DataFrame, others: DataFrame, mode: str) -> DataFrame:
+    pst = point_stats(points)
+    ost = point_stats(others)
+    if pst["n"] and ost["n"] and pst["dim"] != ost["dim"]:
+        raise ValueError(f"point width {pst['dim']} differs from the set's width {ost['dim']}")
+    return pairs.cross_blocks(points.select("id", "p"), others, mode, pst["n"], ost["n"], pst["dim"] or ost["dim"])
+
+
+def distances_to_set(points: DataFrame, centres) -> DataFrame:
+    """``(i, j, sqdist, dist)`` for every centre ``i`` and every point ``j``: ``|set| * n`` rows.
+
+    ``centres``: a list of ``(id, p)`` or a DataFrame ``(id, p)`` of any size."""
+    big = _large_set(points, centres)
+    if big is not None:
+        d = _cross(points, big, "all")
+    elif _inline(centres):
+        _check_inline(centres, "distances_to_set")
         per = F.array(*[
             F.struct(F.lit(cid).cast("bigint").alias("i"), sq.alias("sqd"))
             for (cid, _), sq in zip(centres, _sq_to_each(centres))
         ])
         d = points.select(F.col("id").alias("j"), F.explode(per).alias("e")).select("e.i", "j", "e.sqd")
     else:
+        _check_inline(centres, "distances_to_set")
         d = _against_set(points, centres, "all")
     return d.select("i", "j", F.col("sqd").alias("sqdist"), F.sqrt("sqd").alias("dist"))
 
 
-def min_distance_to_set(points: DataFrame, centres: list[tuple[int, list[float]]]) -> DataFrame:
-    """``(id, min_dist)``: each point's distance to its nearest centre (NaN distances skipped)."""
-    _check_inline(centres, "min_distance_to_set")
-    if _inline(centres):
+def min_distance_to_set(points: DataFrame, centres) -> DataFrame:
+    """``(id, min_dist)``: each point's distance to its nearest centre (NaN distances skipped).
+
+    ``centres``: a list of ``(id, p)`` or a DataFrame ``(id, p)`` of any size."""
+    big = _large_set(points, centres)
+    if big is not None:
+        d = _cross(points, big, "min").groupBy("id").agg(F.min("sqd").alias("sqd"))
+    elif _inline(centres):
+        _check_inline(centres, "min_distance_to_set")
         terms = [F.nanvl(sq, F.lit(None).cast("double")) for sq in _sq_to_each(centres)]
         d = points.select("id", (F.least(*terms) if len(terms) > 1 else terms[0]).alias("sqd"))
     else:
+        _check_inline(centres, "min_distance_to_set")
         d = _against_set(points, centres, "min")
     return d.select("id", F.sqrt("sqd").alias("min_dist"))
 
 
 def sampled_diameter(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
-    """``(max_dist)``: max distance between a sample point and any point (0 if empty)."""
-    sample = sample_points(points, k, seed)
+    """``(max_dist)``: max distance between a sample point and any point (0 if empty).
+
+    Samples up to LITERAL_CELLS coordinates are shipped to the tasks; larger ones stay a
+    DataFrame and meet the points in ``pairs.cross_blocks``."""
+    if k < 1:
+        raise ValueError("k must be >= 1")
+    n = points.count()
+    first = points.select(F.size("p").alias("w")).first()
+    width = int(first["w"]) if first else 0
+    if min(k, n) * max(width, 1) > LITERAL_CELLS:
+        sample = sample_frame(points, k, seed, n)
+        try:
+            best = _cross(points, sample, "max").agg(F.max("sqd").alias("sqd"))
+            return _one_row(best.select(F.coalesce(F.sqrt("sqd"), F.lit(0.0)).alias("max_dist")))
+        finally:
+            sample.unpersist()
+    sample = sample_points(points, k, seed, n)
     if not sample:
         return points.sparkSession.range(1).select(F.lit(0.0).alias("max_dist"))
     _check_inline(sample, "sampled_diameter")
@@ -190,6 +249,11 @@ def sampled_diameter(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
     return best.select(F.coalesce(F.sqrt("sqd"), F.lit(0.0)).alias("max_dist"))
 
 
+def _one_row(df: DataFrame) -> DataFrame:
+    """Compute a one-row result now (its inputs are about to be released) as a local table."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 PIVOTS = 16          # pivot points used to prune farthest-pair candidates
 PRUNE_SLACK = 1e-9   # relative slack on the pruning bound (rounding of the two sides)
 SURVIVOR_SHARE = 0.5  # skip the filter pass when more than this share is expected to survive

@@ -252,6 +252,75 @@ def block_pairs(points: DataFrame, mode: str, m: int = 1, stats: dict | None = N
     return copies.groupBy("bi", "bj").applyInArrow(fn, _SCHEMAS[mode])
 
 
+def _cross_kernel(dim: int, mode: str):
+    """Set block x point block: ``max`` (one row), ``min`` (per point) or ``all`` distances."""
+
+    def kernel(key, table):
+        side = table.column("side").to_numpy()
+        ids = table.column("id").to_numpy()
+        X = _matrix(table.column("p"), dim)
+        ip, xp, iset, xset = ids[side == 0], X[side == 0], ids[side == 1], X[side == 1]
+        blk = _Block(xp, xset)
+        outs = []
+        for lo, hi in _chunks(len(ip), len(iset)):
+            d = blk.approx(lo, hi)
+            if mode == "max":
+                d[np.isnan(d)] = -np.inf
+                m = d.max() if d.size else -np.inf
+                if m > -np.inf:
+                    r, c = np.nonzero(d >= m - 2.0 * blk.tol)
+                    outs.append(blk.exact(lo, r, c, d).max())
+            elif mode == "min":
+                d[np.isnan(d)] = np.inf
+                if d.shape[1] == 0:
+                    continue
+                m = d.min(axis=1)
+                # Candidates within 2 tol of each row's approximate minimum, decided exactly.
+                r, c = np.nonzero(d <= (m + 2.0 * blk.tol)[:, None])
+                ex = blk.exact(lo, r, c, d)
+                best = np.full(hi - lo, np.inf)
+                np.minimum.at(best, r, ex)
+                best[np.isinf(best) & np.isinf(m)] = np.nan
+                outs.append((ip[lo:hi], best))
+            else:
+                r, c = np.nonzero(np.ones_like(d, dtype=bool))
+                outs.append((iset[c], ip[lo + r], _sqdist_at(xp, xset, lo + r, c)))
+        if mode == "max":
+            return pa.table({"sqd": pa.array([max(outs)] if outs else [], pa.float64())})
+        if mode == "min":
+            cat = lambda k, dt: np.concatenate([o[k] for o in outs] or [np.zeros(0, dt)])
+            return pa.table({"id": cat(0, np.int64), "sqd": cat(1, np.float64)})
+        cat = lambda k, dt: np.concatenate([o[k] for o in outs] or [np.zeros(0, dt)])
+        return pa.table({"i": cat(0, np.int64), "j": cat(1, np.int64), "sqd": cat(2, np.float64)})
+
+    return kernel
+
+
+_CROSS_SCHEMAS = {"max": "sqd double", "min": "id bigint, sqd double", "all": "i bigint, j bigint, sqd double"}
+
+
+def cross_blocks(points: DataFrame, others: DataFrame, mode: str, n: int, k: int, dim: int) -> DataFrame:
+    """All distances between ``points`` and a second, possibly large, set ``others``
+    (both ``(id, p)``; ``n`` and ``k`` rows) without a cross join: points are hashed into
+    ``Bp`` blocks and the set into ``Bs`` blocks, each side is copied to the other's
+    blocks, and every ``(bp, bs)`` group is reduced in NumPy. Groups hold at most
+    ``MAX_BLOCK`` points of each side. ``min`` returns one row per point and group (take
+    the minimum per ``id`` afterwards); ``max`` one row per group; ``all`` every distance.
+    """
+    spark = points.sparkSession
+    parallelism = spark.sparkContext.defaultParallelism
+    Bs = max(1, math.ceil(k / MAX_BLOCK))
+    Bp = max(1, math.ceil(n / MAX_BLOCK), min(math.ceil(4 * parallelism / Bs), math.ceil(n / MIN_BLOCK)))
+    p_side = points.select(
+        F.explode(F.sequence(F.lit(0), F.lit(Bs - 1))).alias("bs"),
+        F.pmod(F.xxhash64("id"), F.lit(Bp)).cast("int").alias("bp"), F.lit(0).alias("side"), "id", "p")
+    s_side = others.select(
+        F.pmod(F.xxhash64("id"), F.lit(Bs)).cast("int").alias("bs"),
+        F.explode(F.sequence(F.lit(0), F.lit(Bp - 1))).alias("bp"), F.lit(1).alias("side"), "id", "p")
+    copies = p_side.unionByName(s_side).repartition(max(1, min(Bp * Bs, 2 * parallelism)), "bp", "bs")
+    return copies.groupBy("bp", "bs").applyInArrow(_cross_kernel(dim, mode), _CROSS_SCHEMAS[mode])
+
+
 def farthest_pair(points: DataFrame, stats: dict | None = None) -> DataFrame:
     """``(i, j, sqdist, dist)``: the farthest pair, ``i < j``; ties go to the smallest ``(i, j)``.
 

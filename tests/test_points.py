@@ -358,3 +358,25 @@ def test_non_finite_coordinates_in_wide_points(spark, blocks):
     assert (fp["i"], fp["j"], fp["sqdist"]) == (i, j, d)
     P[ids[1]] = [float("inf")] + P[ids[1]][1:]
     assert diameter.exact_diameter(frame(spark, P)).first()["max_dist"] == float("inf")
+
+
+@pytest.mark.parametrize("dim", [3, 12])
+def test_large_sets_take_the_cross_block_path(spark, monkeypatch, dim):
+    monkeypatch.setattr(pairs, "MAX_BLOCK", 5)        # several blocks on both sides
+    P = random_points(151, 40, dim, dups=3)
+    df = frame(spark, P)
+    small = diameter.sampled_diameter(df, 9, 42).first()["max_dist"]
+    cen = diameter.sample_points(df, 9, 42)
+    a = {(r["i"], r["j"]): r["sqdist"] for r in diameter.distances_to_set(df, cen).collect()}
+    m = {r["id"]: r["min_dist"] for r in diameter.min_distance_to_set(df, cen).collect()}
+    monkeypatch.setattr(diameter, "LITERAL_CELLS", 4)  # any sample is now "large"
+    assert diameter.sampled_diameter(df, 9, 42).first()["max_dist"] == small
+    b = {(r["i"], r["j"]): r["sqdist"] for r in diameter.distances_to_set(df, cen).collect()}
+    m2 = {r["id"]: r["min_dist"] for r in diameter.min_distance_to_set(df, cen).collect()}
+    assert a == b and m == m2
+    cen_df = frame(spark, dict(cen))
+    m3 = {r["id"]: r["min_dist"] for r in diameter.min_distance_to_set(df, cen_df).collect()}
+    assert m3 == m
+    for (ci, cp) in cen:
+        for j in P:
+            assert b[(ci, j)] == sq(cp, P[j])
