@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dispersa.functions.text import split_words, utf16_length
+from dispersa.functions.text import split_lines, split_words, utf16_length
 from dispersa.sources.text import text_lines
 
 
@@ -37,6 +37,12 @@ def document_count(line_rows: DataFrame) -> DataFrame:
     return line_rows.agg(F.count(F.lit(1)).alias("n"))
 
 
+def blob_line_count(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(n)``: the number of documents (lines) in text blobs, from the size of each blob's
+    line array — no row per line is generated."""
+    return docs.agg(F.coalesce(F.sum(F.size(split_lines(text_col))), F.lit(0)).cast("bigint").alias("n"))
+
+
 def line_term_counts(line_rows: DataFrame, line_col: str = "line") -> DataFrame:
     """``(..., word, n)``: each line's own term counts, computed inside the row — no shuffle.
 

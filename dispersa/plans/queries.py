@@ -78,7 +78,7 @@ def q_text_lines(spark, sf):
 
 
 def q_document_count(spark, sf):
-    return words.document_count(_lines(spark, sf))
+    return words.blob_line_count(spread_to_cores(tables.documents(spark, sf)))
 
 
 def q_doc_term_frequency(spark, sf):

@@ -105,3 +105,10 @@ def test_point_lines_round_trip(spark):
     lines = text_src.format_point_lines(df, "k", ["a", "b"])
     got = {r["id"]: list(r["p"]) for r in text_src.parse_points(lines).collect()}
     assert got == {1: [7.0, 901.25], 2: [1.0, 1000.0]}
+
+
+def test_blob_line_count_matches_exploded_lines(spark):
+    docs = spark.createDataFrame([(1, "a\nb\n"), (2, ""), (3, None), (4, "\n"), (5, "x\r\ny")], "doc_id bigint, text string")
+    assert words.blob_line_count(docs).first()["n"] == words.document_count(words.lines(docs)).first()["n"] == 5
+    empty = docs.where("doc_id < 0")
+    assert words.blob_line_count(empty).first()["n"] == 0
