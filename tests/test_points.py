@@ -329,9 +329,12 @@ def test_sample_prefix_filter_is_exact(spark, monkeypatch):
         P, key=lambda i: (hashlib.md5(f"42:{i}".encode()).hexdigest(), i))
 
 
-@pytest.mark.parametrize("persist_every,checkpoint_every", [(1, 100), (3, 100), (2, 5), (100, 100)])
-def test_k_center_persistence_schedules(spark, monkeypatch, persist_every, checkpoint_every):
+@pytest.mark.parametrize("small,persist_every,checkpoint_every",
+                         [(True, 4, 100), (True, 4, 3), (False, 1, 100), (False, 3, 100), (False, 2, 5), (False, 100, 100)])
+def test_k_center_persistence_schedules(spark, monkeypatch, small, persist_every, checkpoint_every):
     monkeypatch.setattr(kcenter, "IN_TASK_CELLS", 0)
+    if not small:
+        monkeypatch.setattr(kcenter, "CACHE_CELLS", 0)
     P = random_points(131, 30, 12, dups=3)
     got = kcenter.farthest_first(frame(spark, P), 9, persist_every=persist_every,
                                  checkpoint_every=checkpoint_every).orderBy("ord").collect()
