@@ -7,13 +7,18 @@
   never raises the maximum, so this is never worse.
 * ``k_center_diameter``: exact diameter of the ``k`` farthest-first centres.
 
-Distances to a small, bounded set of points (the sample, or given centres) need no join:
-the set's size is checked, then either inlined as literals in a built-in expression
-(small sets: ``|set| * width <= INLINE_TERMS``, which still fits one whole-stage codegen
-method) or shipped with an Arrow-batched NumPy function over the point batches
-(``mapInArrow``). For 5 points of width 64 the unrolled expression overflows the
-generated-method limit and ran 3.1 s against 0.4 s for the NumPy batches on 400k points
-(local[8]), so wider sets take the Arrow path.
+Distances from every point to a set of points (the sample, or given centres) need no
+join. A small set (checked: ``|set| * width <= LITERAL_CELLS``) is collected and either
+inlined as literals in a built-in expression (``<= INLINE_TERMS`` coordinates, which
+still fits one whole-stage codegen method) or shipped with an Arrow-batched NumPy
+function over the point batches (``mapInArrow``). For 5 points of width 64 the unrolled
+expression overflows the generated-method limit and ran 3.1 s against 0.4 s for the
+NumPy batches on 400k points (local[8]), so wider sets take the Arrow path. A larger set
+stays a DataFrame and meets the points in ``pairs.cross_blocks`` (blocks of both sides,
+reduced exactly), so there is no size cap.
+
+``exact_diameter`` / ``farthest_pair`` first prune with pivots (see
+``farthest_pair_candidates``); the answer stays exact.
 """
 
 from __future__ import annotations

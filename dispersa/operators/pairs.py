@@ -9,6 +9,9 @@ between its two blocks with NumPy and returns only a summary:
 * ``sum``: the sum of the distances and the number of pairs,
 * ``partners``: for every point its ``m`` farthest partners in the other block.
 
+``cross_blocks`` does the same between two sets (points and a large sample or centre
+set): each side is hashed into blocks and copied to the other side's blocks.
+
 Each pair of distinct points is seen by exactly one block pair. A group holds two blocks,
 about ``2n/B`` points, so no group grows with the data beyond the block size, and ids
 are hashed, so a heavy group of duplicate points is spread like any other.
