@@ -13,7 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 SINGLE_PLAN = [
     "class_partition_stats", "most_frequent_class", "word_count", "word_count_salted",
-    "doc_term_frequency", "average_word_length", "sampled_diameter", "point_distances",
+    "doc_term_frequency", "document_count", "average_word_length", "sampled_diameter", "point_distances",
 ]
 
 
