@@ -1,7 +1,8 @@
 """Run every catalogue query in Spark and its oracle SQL in DuckDB, and compare.
 
 Usage: python tests/oracle_compare.py [sf_dir] [key ...]
-Prints one line per key: rows, column names and an order-insensitive value comparison.
+Prints one line per key: rows, column names, column types and an order-insensitive, exact
+comparison of the values.
 """
 
 from __future__ import annotations
@@ -18,16 +19,13 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "pages benchmark labels conversations").split()
 
 
-def _norm(v):
-    if v is None:
-        return None
-    if isinstance(v, float):
-        if math.isnan(v):
-            return "nan"
-        return round(v, 6)
-    if hasattr(v, "item"):
-        return _norm(v.item())
-    return v
+_SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+
+
+def _raw(v):
+    if isinstance(v, float) and math.isnan(v):
+        return "nan"
+    return v.item() if hasattr(v, "item") else v
 
 
 def duck(sf_dir: str):
@@ -58,10 +56,17 @@ def compare(spark, con, key, fn, sql, sf_dir):
     if sorted(s_cols) != sorted(d_cols):
         res["status"] = f"COLUMNS {s_cols} vs {d_cols}"
         return res
+    spark_types = {f.name: _SQL_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in sdf.schema.fields}
+    duck_types = {c: str(t) for c, t in zip(d_cols, rel.types)}
+    if spark_types != duck_types:
+        res["status"] = f"TYPES {spark_types} vs {duck_types}"
+        return res
     order = sorted(range(len(s_cols)), key=lambda i: s_cols[i])
     d_index = [d_cols.index(s_cols[i]) for i in order]
-    a = sorted((tuple(_norm(r[i]) for i in order) for r in s_rows), key=repr)
-    b = sorted((tuple(_norm(r[i]) for i in d_index) for r in d_rows), key=repr)
+    # Values and column types must be identical as returned (no re-rounding); NaN compares equal.
+    a = sorted((tuple(_raw(r[i]) for i in order) for r in s_rows), key=repr)
+    b = sorted((tuple(_raw(r[i]) for i in d_index) for r in d_rows), key=repr)
     res["status"] = "MATCH" if a == b else "VALUES DIFFER"
     if a != b:
         diff = [x for x in a if x not in set(b)][:3]
