@@ -76,3 +76,14 @@ def test_placement_independence(spark, objects, shuffle_parts):
         assert [tuple(r) for r in counts.class_count(objects, 4, "physical").collect()] == GOLDEN
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_partition_stats_with_physical_parts(spark, objects):
+    stats = {r["class"]: (r["n"], r["max_part"]) for r in
+             counts.class_partition_stats(objects.repartition(3), 3, "physical").collect()}
+    assert {c: n for c, (n, _) in stats.items()} == dict(GOLDEN)
+    assert all(1 <= m <= 20 for _, m in stats.values())
+    with pytest.raises(ValueError):
+        counts.class_count(objects, 4, "ranges")
+    with pytest.raises(ValueError):
+        counts.class_count(objects, 0)

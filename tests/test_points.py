@@ -383,3 +383,20 @@ def test_large_sets_take_the_cross_block_path(spark, monkeypatch, dim):
     for (ci, cp) in cen:
         for j in P:
             assert b[(ci, j)] == sq(cp, P[j])
+
+
+def test_core_set_hash_partitioning_and_seeded_start(spark, traversal):
+    from pyspark.sql import functions as F
+
+    P = random_points(161, 48, 5)
+    df = frame(spark, P)
+    core = diversity.core_set(df, 3, 4, partitioning="hash", first=11).collect()
+    parts = {r["id"]: r["part"] for r in df.select("id", F.pmod(F.xxhash64("id"), F.lit(4)).alias("part")).collect()}
+    seeds = {r["id"]: r["h"] for r in df.select("id", F.xxhash64("id", F.lit(11)).alias("h")).collect()}
+    for part in set(parts.values()):
+        sub = {i: P[i] for i in P if parts[i] == part}
+        first = min(sub, key=lambda i: (seeds[i], i))
+        want = bf_k_center(sub, 3, first)[0]
+        assert [r["id"] for r in sorted((r for r in core if r["part"] == part), key=lambda r: r["ord"])] == want
+    with pytest.raises(ValueError):
+        diversity.core_set(df, 3, 4, partitioning="range")
