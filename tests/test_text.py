@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import functions as F
 
 from dispersa.functions.text import split_words, utf16_length
 from dispersa.operators import words
