@@ -231,9 +231,8 @@ def sampled_diameter(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
     DataFrame and meet the points in ``pairs.cross_blocks``."""
     if k < 1:
         raise ValueError("k must be >= 1")
-    n = points.count()
-    first = points.select(F.size("p").alias("w")).first()
-    width = int(first["w"]) if first else 0
+    head = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("p")).alias("w")).first()
+    n, width = int(head["n"]), int(head["w"] or 0)
     if min(k, n) * max(width, 1) > LITERAL_CELLS:
         sample = sample_frame(points, k, seed, n)
         try:
