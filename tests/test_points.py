@@ -400,3 +400,21 @@ def test_core_set_hash_partitioning_and_seeded_start(spark, traversal):
         assert [r["id"] for r in sorted((r for r in core if r["part"] == part), key=lambda r: r["ord"])] == want
     with pytest.raises(ValueError):
         diversity.core_set(df, 3, 4, partitioning="range")
+
+
+def test_k_center_without_broadcast(spark, monkeypatch):
+    """Centre tables over the broadcast bound: checkpointed centres and a shuffle join."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(kcenter, "IN_TASK_CELLS", 0)
+    monkeypatch.setattr(kcenter, "BROADCAST_BYTES", 0)
+    P = random_points(171, 30, 4, dups=3)
+    df = frame(spark, P)
+    got = kcenter.farthest_first(df, 5).orderBy("ord").collect()
+    ids, sel = bf_k_center(P, 5, min(P))
+    assert [r["id"] for r in got] == ids and [r["min_dist"] for r in got] == sel
+    rows = kcenter.farthest_first(df.withColumn("part", F.expr("(id div 3) % 2")), 3, by="part").collect()
+    for g in (0, 1):
+        sub = {i: p for i, p in P.items() if (i // 3) % 2 == g}
+        want = bf_k_center(sub, 3, min(sub))[0]
+        assert [r["id"] for r in sorted((r for r in rows if r["part"] == g), key=lambda r: r["ord"])] == want
