@@ -44,16 +44,10 @@ INLINE_TERMS = 256        # up to this many coordinates, the set is inlined as l
 SAMPLE_OVERDRAW = 4   # the hash-prefix filter expects this many times k survivors
 
 
-def sample_frame(points: DataFrame, k: int, seed: int, n: int | None = None) -> DataFrame:
-    """The ``k`` points with the smallest ``md5('<seed>:<id>')`` (reproducible in any SQL
-    engine), as a persisted DataFrame ``(id, p)``; the caller unpersists it.
-
-    A plain ``orderBy().limit(k)`` would bring ``k`` rows from every partition together.
-    Since md5 keys are uniform, a narrow filter first keeps the keys below a hex prefix
-    expected to hold ``SAMPLE_OVERDRAW * k`` points; if at least ``k`` survive, the true
-    first ``k`` are among them (smaller prefix means smaller key), else the range doubles.
-    About ``4k`` rows then meet in one place, whatever the partition count.
-    """
+def _sample_candidates(points: DataFrame, k: int, seed: int, n: int | None):
+    """Yield ``(frame, complete)``: the first ``k`` rows by ``md5('<seed>:<id>')`` among a
+    hash-prefix slice expected to hold ``SAMPLE_OVERDRAW * k`` points, widening the slice
+    until it is known to contain the true first ``k`` (``complete``)."""
     if k < 1:
         raise ValueError("k must be >= 1")
     key = portable_order("id", seed)
@@ -64,22 +58,33 @@ def sample_frame(points: DataFrame, k: int, seed: int, n: int | None = None) ->
         if frac < 1.0:
             prefix = format(max(1, int(frac * 16 ** 8)), "08x")
             cand = points.where(F.substring(key, 1, 8) < F.lit(prefix))
-        sample = cand.orderBy(key, F.col("id")).limit(int(k)).select("id", "p").persist()
-        if sample.count() == k or frac >= 1.0:
+        yield cand.orderBy(key, F.col("id")).limit(int(k)).select("id", "p"), frac >= 1.0
+        frac *= 2.0
+
+
+def sample_frame(points: DataFrame, k: int, seed: int, n: int | None = None) -> DataFrame:
+    """The ``k`` points with the smallest ``md5('<seed>:<id>')`` (reproducible in any SQL
+    engine), as a persisted DataFrame ``(id, p)``; the caller unpersists it.
+
+    A plain ``orderBy().limit(k)`` would bring ``k`` rows from every partition together.
+    Since md5 keys are uniform, a narrow filter first keeps the keys below a hex prefix
+    expected to hold ``SAMPLE_OVERDRAW * k`` points; if at least ``k`` survive, the true
+    first ``k`` are among them (smaller prefix means smaller key), else the range doubles.
+    About ``4k`` rows then meet in one place, whatever the partition count.
+    """
+    for sample, last in _sample_candidates(points, k, seed, n):
+        sample = sample.persist()
+        if last or sample.count() == k:
             return sample
         sample.unpersist()
-        frac *= 2.0
 
 
 def sample_points(points: DataFrame, k: int, seed: int, n: int | None = None) -> list[tuple[int, list[float]]]:
-    """``sample_frame`` brought to the driver, in key order (for small samples)."""
-    sample = sample_frame(points, k, seed, n)
-    try:
-        key = portable_order("id", seed)
-        rows = sample.orderBy(key, F.col("id")).collect()
-    finally:
-        sample.unpersist()
-    return [(int(r["id"]), list(r["p"])) for r in rows]
+    """The same sample brought to the driver in key order (for small samples)."""
+    for sample, last in _sample_candidates(points, k, seed, n):
+        rows = sample.collect()
+        if last or len(rows) == k:
+            return [(int(r["id"]), list(r["p"])) for r in rows]
 
 
 def _check_inline(points_list, what: str) -> int:
