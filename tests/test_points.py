@@ -418,3 +418,20 @@ def test_k_center_without_broadcast(spark, monkeypatch):
         sub = {i: p for i, p in P.items() if (i // 3) % 2 == g}
         want = bf_k_center(sub, 3, min(sub))[0]
         assert [r["id"] for r in sorted((r for r in rows if r["part"] == g), key=lambda r: r["ord"])] == want
+
+
+def test_local_table_literals_round_trip_exactly(spark):
+    import struct
+
+    from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
+
+    values = [0.1, -0.0, 5e-324, 1.7976931348623157e308, -2.2250738585072014e-308, 1 / 3, 123456789.123456789]
+    schema = StructType([StructField("g", IntegerType()), StructField("cid", LongType()),
+                         StructField("cp", ArrayType(DoubleType())), StructField("cmd", DoubleType())])
+    rows = [{"g": 0, "cid": 2 ** 62, "cp": values, "cmd": None}, {"g": -3, "cid": -1, "cp": values[::-1], "cmd": 0.5}]
+    got = kcenter._local_table(spark, rows, schema).collect()
+    bits = lambda xs: [struct.pack(">d", x) for x in xs]
+    assert [(r["g"], r["cid"], r["cmd"]) for r in got] == [(0, 2 ** 62, None), (-3, -1, 0.5)]
+    assert bits(got[0]["cp"]) == bits(values) and bits(got[1]["cp"]) == bits(values[::-1])
+    inf_rows = [{"g": 0, "cid": 1, "cp": [float("inf")], "cmd": 1.0}]
+    assert kcenter._local_table(spark, inf_rows, schema).collect()[0]["cp"] == [float("inf")]  # fallback path
