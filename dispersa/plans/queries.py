@@ -24,6 +24,7 @@ L = 4            # core-set parts
 k = 5            # points per answer (centres, sample size, matching size)
 SEED = 42        # portable sample seed
 DIGITS = 6
+FLAGSHIP = "diversity_maximization"  # what entry() runs: the reference's end-to-end pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -232,4 +233,3 @@ QUERIES: dict[str, Query] = {
     "farthest_pair_2d": q_farthest_pair_2d,
     "k_center_2d": q_k_center_2d,
 }
-FLAGSHIP = "diversity_maximization"
