@@ -5,12 +5,14 @@ Three word counts give the same ``(word, n)`` table through different plans:
 * ``word_count``: tokens → ``groupBy(word)``; Spark's partial aggregate is the per-task
   combine, one shuffle of pre-aggregated rows.
 * ``word_count_salted``: a salt key spreads each word over ``K`` groups, count per
-  ``(salt, word)``, then sum per word. The salt is a hash of the
-  token's position (line and word), not a random draw, so a retried task re-emits the
-  same keys. Useful when a single word is too hot for one reducer even after the
-  map-side combine.
+  ``(salt, word)``, then sum per word. The salt is a hash of the token's position (line
+  and word), not a random draw, so a retried task re-emits the same keys. Useful when a
+  single word is too hot for one reducer even after the map-side combine.
 * ``word_count_partitioned``: counts combined per physical partition (the partial
   aggregate), then summed per word, optionally after a round-robin spread into K parts.
+
+Per-document term frequency (``doc_term_frequency``) is computed inside each row, since a
+document is one row: no shuffle at all.
 """
 
 from __future__ import annotations
