@@ -87,3 +87,20 @@ def test_partition_stats_with_physical_parts(spark, objects):
         counts.class_count(objects, 4, "ranges")
     with pytest.raises(ValueError):
         counts.class_count(objects, 0)
+
+
+def test_empty_inputs(spark):
+    from dispersa.operators import words
+
+    objs = spark.createDataFrame([], "obj_id bigint, class string")
+    assert counts.class_count(objs, 4).count() == 0
+    assert counts.class_partition_stats(objs, 4).count() == 0
+    assert counts.most_frequent_class(objs).count() == 0
+    assert counts.max_partition_size(objs, 4).first()["max_part"] is None
+    docs = spark.createDataFrame([], "doc_id bigint, text string")
+    lines = words.lines(docs)
+    assert words.word_count(lines).count() == 0
+    assert words.document_count(lines).first()["n"] == 0
+    assert words.blob_line_count(docs).first()["n"] == 0
+    assert words.distinct_word_count(lines).first()["n"] == 0
+    assert words.average_word_length(words.word_count(lines)).first()["avg_len"] is None
