@@ -46,6 +46,7 @@ BROADCAST_BYTES = 64 << 20   # centres per round are broadcast up to this size
 COLLECT_CELLS = 1 << 20      # a result this small is kept as a local table, else checkpointed
 IN_TASK_CELLS = 1 << 22      # groups up to this many coordinates are traversed inside one task
 CACHE_CELLS = 1 << 27        # k cached copies of the state may hold this many coordinates
+TOP1_MAX_TASKS = 4096        # a global round's top-1 sends one row per task to the driver
 
 
 def _traverse_kernel(k: int, dim: int, g: str, g_type: pa.DataType):
@@ -227,9 +228,10 @@ def farthest_first(
         pick = F.max_by(F.struct("id", "p", "min_dist"), F.struct("min_dist", -F.col("id")))
         for r in range(1, k):
             open_pts = state.where(F.col("ord").isNull())
-            if groups == 1:
+            if groups == 1 and state.rdd.getNumPartitions() <= TOP1_MAX_TASKS:
                 # One group: a top-1 (each task keeps its best row, the driver merges one
-                # row per task) — one stage, no shuffle.
+                # row per task) — one stage, no shuffle. With more tasks than TOP1_MAX_TASKS
+                # the partial-aggregate path below merges them in an executor instead.
                 best = open_pts.orderBy(F.col("min_dist").desc(), F.col("id").asc()).limit(1).select(
                     g, F.col("id").alias("cid"), F.col("p").alias("cp"), F.col("min_dist").alias("cmd"))
             else:

@@ -435,3 +435,12 @@ def test_local_table_literals_round_trip_exactly(spark):
     assert bits(got[0]["cp"]) == bits(values) and bits(got[1]["cp"]) == bits(values[::-1])
     inf_rows = [{"g": 0, "cid": 1, "cp": [float("inf")], "cmd": 1.0}]
     assert kcenter._local_table(spark, inf_rows, schema).collect()[0]["cp"] == [float("inf")]  # fallback path
+
+
+def test_global_rounds_without_driver_top1(spark, monkeypatch):
+    monkeypatch.setattr(kcenter, "IN_TASK_CELLS", 0)
+    monkeypatch.setattr(kcenter, "TOP1_MAX_TASKS", 0)  # force the partial-aggregate arg-max
+    P = random_points(181, 30, 6, dups=4)
+    got = kcenter.farthest_first(frame(spark, P).repartition(5), 6).orderBy("ord").collect()
+    ids, sel = bf_k_center(P, 6, min(P))
+    assert [r["id"] for r in got] == ids and [r["min_dist"] for r in got] == sel
