@@ -9,6 +9,7 @@ are summed left to right, the same order as a sequential loop.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from operator import add
@@ -33,6 +34,9 @@ def sqdist(p: Column | str, q: Column | str | Sequence[float], dim: int | None =
         vals = [float(v) for v in q]
         if dim is not None and dim != len(vals):
             raise ValueError(f"literal point has width {len(vals)}, expected {dim}")
+        if isinstance(p, str) and vals and all(math.isfinite(v) for v in vals):
+            # Shortest exact repr with the D suffix parses back to the same double.
+            return F.expr(" + ".join(f"({p}[{i}] - ({v!r}D)) * ({p}[{i}] - ({v!r}D))" for i, v in enumerate(vals)))
         pc = _c(p)
         terms = [(pc[i] - F.lit(v)) * (pc[i] - F.lit(v)) for i, v in enumerate(vals)]
         return reduce(add, terms) if terms else F.lit(0.0)
