@@ -4,8 +4,9 @@ Round 0 picks a first centre per group; each of the next ``k-1`` rounds picks, p
 the unchosen point farthest from its group's chosen centres. Every point carries its
 running ``min_dist`` to the centres chosen so far, so the whole traversal costs
 ``O(n*k)`` distance evaluations, as the reference requires, and each round is one Spark
-job: a partial-aggregated arg-max per group (``max_by``) feeding a broadcast equi-join of
-the new centres (one row per group) back onto the points.
+job: the farthest open point per group (a top-1 for one group, a partial-aggregated
+``max_by`` for several), whose new centres reach the points as exact literals (one group)
+or through a broadcast hash join on the group key (one row per group).
 
 All groups advance together, so no group is ever gathered into one task: a group that
 holds a third of all points is scanned by as many tasks as the data has partitions.
