@@ -1,3 +1,38 @@
 """DuckDB SQL for the queries that SQL can express whole."""
 
-ORACLE: dict[str, str] = {}
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# A window is named by its length and its words; items of fewer than ten words have one window.
+OP1 = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), bw AS (
+  SELECT item_id, least(len(w), 10) AS n, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i, w
+  FROM b WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS s FROM bw
+), sizes AS (SELECT DISTINCT n FROM windows
+), dw AS (
+  SELECT doc_id, n, unnest(generate_series(1, len(w) - n + 1)) AS i, w FROM d JOIN sizes ON len(w) >= n
+), found AS (
+  SELECT doc_id, item_id, dw.n, i
+  FROM (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS s FROM dw) dw
+  JOIN windows USING (n, s)
+), hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM found) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS k FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_decontamination": OP1,
+}

@@ -3,16 +3,47 @@ parameters. ``QUERIES`` maps names to ``(spark, sf_dir) -> DataFrame``."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
-from dispersa.llm import quality_rules
+from dispersa.llm import decontamination, quality_rules, sentencepiece_codec, token_files
 from dispersa.sources.tables import table
 
 
+TOKENIZER_DIR = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+
+
+def vocabulary(name: str) -> str:
+    """Path of a vocabulary file: from the installed package if there is one, else from TOKENIZER_DIR."""
+    try:
+        import public_tokenizers
+
+        return public_tokenizers.path(name)
+    except ImportError:
+        return os.path.join(TOKENIZER_DIR, name)
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.match_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_lines(table(spark, sf_dir, "documents"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = token_files.token_files(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
+    return token_files.digests(tokens)
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op4_quality_rules": op4_quality_rules,
+    "op6_token_files": op6_token_files,
+    "op8_sentencepiece": op8_sentencepiece,
 }
