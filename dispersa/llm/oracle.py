@@ -33,6 +33,27 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+# Nodes of every depth; a row's leaf is the first one on its path that fits or has a single key.
+OP5 = """
+WITH k AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT AS n_bytes,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '/' || coalesce(text, '')), 1, 15))::BIGINT AS h
+  FROM documents
+), nodes AS (
+  SELECT d, h >> (60 - d) AS p, sum(n_bytes) AS s, min(h) = max(h) AS one
+  FROM k, range(0, 61) t(d) GROUP BY 1, 2
+), leaf AS (
+  SELECT k.doc_id, k.n_bytes, k.h, min(n.d) AS d
+  FROM k, range(0, 61) t(d) JOIN nodes n ON n.d = t.d AND n.p = k.h >> (60 - t.d)
+  WHERE n.s <= 1048576 OR n.one GROUP BY ALL
+)
+SELECT l.doc_id, l.n_bytes,
+       CASE WHEN l.d = 0 THEN '' ELSE lpad(bin(l.h >> (60 - l.d)), l.d::INTEGER, '0') END AS shard,
+       l.d::INTEGER AS depth, n.s::BIGINT AS shard_bytes, n.s <= 1048576 AS fits
+FROM leaf l JOIN nodes n ON n.d = l.d AND n.p = l.h >> (60 - l.d)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_decontamination": OP1,
+    "op5_sharding": OP5,
 }

@@ -7,7 +7,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dispersa.llm import decontamination, quality_rules, sentencepiece_codec, token_files
+from dispersa.llm import (decontamination, line_crf, quality_rules, sentencepiece_codec, sharding, suffix_dedup,
+                          token_files, url_filter)
 from dispersa.sources.tables import table
 
 
@@ -28,22 +29,51 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.match_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+URL_RULES = [url_filter.Rule(*r) for r in (
+    ("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"),
+    ("com/de/", "block"))]
+SHARD_BYTES = 1 << 20
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_lines(table(spark, sf_dir, "documents"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = token_files.token_files(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
     return token_files.digests(tokens)
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_report(table(spark, sf_dir, "documents"), length=400)
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op9_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = line_crf.train(docs, labels.filter(line_crf.fold("doc_id", 3) != 1))
+    scored = line_crf.score_documents(docs, model)
+    return scored.select("doc_id", (line_crf.fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
+    "op5_sharding": op5_sharding,
     "op6_token_files": op6_token_files,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_line_crf": op9_line_crf,
 }
