@@ -7,8 +7,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dispersa.llm import (decontamination, line_crf, quality_rules, sentencepiece_codec, sharding, suffix_dedup,
-                          token_files, url_filter)
+from dispersa.llm import (attention_lm, decontamination, jaccard_groups, line_crf, quality_rules, sentencepiece_codec,
+                          sharding, suffix_dedup, token_files, url_filter)
 from dispersa.sources.tables import table
 
 
@@ -29,6 +29,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.match_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = attention_lm.fold("doc_id", 10) == 0
+    scored = attention_lm.score_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "attention_score")
+
+
 URL_RULES = [url_filter.Rule(*r) for r in (
     ("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"),
     ("com/de/", "block"))]
@@ -67,8 +73,13 @@ def op9_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (line_crf.fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op10_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_attention_lm": op2_attention_lm,
     "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
     "op5_sharding": op5_sharding,
@@ -76,4 +87,5 @@ QUERIES = {
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_line_crf": op9_line_crf,
+    "op10_jaccard_groups": op10_jaccard_groups,
 }
