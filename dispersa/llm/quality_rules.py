@@ -123,7 +123,7 @@ def _judge(part: T.Slice, rules: Rules) -> dict[str, np.ndarray]:
     for mark in SENTENCE_ENDS_3:
         b = mark.encode()
         at = np.maximum(close - 3, 0)
-        ended |= (close >= 3) & (data[at] == b[0]) & (data[at + 1] == b[1]) & (data[close - 1] == b[2])
+        ended |= (close >= 3) & (data[at] == b[0]) & (data[np.minimum(at + 1, close - 1)] == b[1]) & (data[close - 1] == b[2])
     sentence = _table(SENTENCE_ENDS)[data[ends - 1]] if len(ends) else np.zeros(0, bool)
     ended |= (n >= rules.min_cut_words) & (_Sums(sentence).over(first, stop) > 0)
     line_chars = chars.over(l_start, l_end)

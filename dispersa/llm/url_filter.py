@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from dispersa.llm import text as T
 
-ORDER = 5  # longest context in bytes
-SLOTS = 1 << 17  # cells of a model
+ORDER = 4  # longest context in bytes
+SLOTS = 1 << 18  # cells of a model
 BLEND = 4.0
 BINS, REACH = 2001, 5.0  # the calibration's histogram covers scores from -REACH to REACH
 

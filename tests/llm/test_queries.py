@@ -1,0 +1,70 @@
+"""The registered queries against their SQL, and the pipeline against the single operators."""
+
+from __future__ import annotations
+
+import hashlib
+
+import pyarrow.parquet as pq
+import pytest
+import sentencepiece
+
+import corpus_pipeline
+from dispersa.llm import decontamination as D
+from dispersa.llm.oracle import ORACLE
+from dispersa.llm.queries import QUERIES, vocabulary
+from tests.llm import cases
+from tests.oracle_compare import compare, duck
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_sql(spark, name):
+    assert compare(spark, duck(SF), name, QUERIES[name], ORACLE[name], SF)["status"] == "MATCH"
+
+
+def test_ten_queries_are_registered():
+    import __spark_entry__ as entry
+
+    names = entry.queries()
+    assert [n for k in range(1, 11) for n in names if n.startswith(f"op{k}_")] and "pipeline" in names
+    assert len([n for n in names if n.startswith("op")]) == 10
+
+
+def test_pipeline_matches_brute_force(spark, tmp_path):
+    """run() on a small table: every stage by comparing all against all."""
+    from dispersa.llm import quality_rules as Q
+
+    table = pq.read_table(f"{SF}/documents.parquet").slice(0, 120)
+    short = table.to_pandas()
+    short = short[short.text.str.len() < 6000]
+    short.to_parquet(tmp_path / "documents.parquet")
+    bench = pq.read_table(f"{SF}/benchmark.parquet").to_pandas()
+    bench.to_parquet(tmp_path / "benchmark.parquet")
+    got = {r.doc_id: (r.n_tokens, r.decoded_sha256) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+
+    judged = Q.judge_lines(spark.read.parquet(f"{tmp_path}/documents.parquet"), with_text=True).collect()
+    docs = [(r.doc_id, r.clean_text) for r in judged if r.kept]
+    parts = cases.components([i for i, _ in docs], [t for _, t in docs])
+    docs = [(i, t) for (i, t), (_, least) in zip(docs, parts) if i == least]
+    seen = cases.Counter(r[p: p + 400] for _, t in docs for r in [t.encode()] for p in range(len(r) - 399))
+    kept = []
+    for i, t in docs:
+        raw = t.encode()
+        cover = bytearray(len(raw))
+        for p in range(len(raw) - 399):
+            if seen[raw[p: p + 400]] > 1:
+                cover[p: p + 400] = b"\1" * 400
+        kept.append((i, bytes(b for b, c in zip(raw, cover) if not c).decode("utf-8", "replace")))
+    automaton = D.Automaton([(str(i), D.item_words(t)) for i, t in zip(bench.item_id, bench.text)], 10)
+    library = sentencepiece.SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model"))
+    want = {}
+    for i, t in kept:
+        w = D.item_words(t)
+        spans = D._merged(automaton.scan(w)[0])
+        if sum(b - a for a, b in spans) > 0.5 * max(1, len(w)):
+            continue
+        text = D._cut(t, [x for s in spans for x in s], 1) if spans else t
+        ids = library.encode(text)
+        want[i] = (len(ids), hashlib.sha256(library.decode(ids).encode()).hexdigest())
+    assert got == want
