@@ -38,11 +38,22 @@ def test_rules_match_brute_force(spark):
 
 
 def test_scores_match_a_plain_model(spark, monkeypatch):
-    """The same counts in dictionaries instead of hashed cells (here so many that hardly any is shared)."""
-    monkeypatch.setattr(U, "SLOTS", 1 << 21)
+    """Counts in dictionaries instead of hashed cells (here so many that hardly any is shared)."""
     rows = [(i, f"http://{h}.org/{w}/{i}") for i, (h, w) in enumerate([("ab", "xy"), ("ba", "yx"), ("aa", "xx")] * 4)]
     rows += [(100 + i, f"http://spam.com/de/{i}") for i in range(9)] + [(200, "http://spam.net/q"), (201, "http://ab.net/x")]
-    got = {r.page_id: r.score for r in U.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), URL_RULES).collect()}
+    side = [0 if i < 100 else 1 for i, _ in rows if i < 200]
+    urls = spark.createDataFrame([(u.split("://")[1], s, i % 2) for (i, u), s in zip(rows, side)], "text string, side int, half int")
+    trained = U.train(urls)
+    assert sum(m.gram.sum() for m in trained) == sum(len(u) - 7 for i, u in rows if i < 200) * (U.ORDER + 1)
+
+    monkeypatch.setattr(U, "SLOTS", 1 << 21)
+    count2 = np.zeros((2, 2, U.SLOTS))
+    for (_, u), s in zip(rows, side):
+        gram, context, _ = U._grams(next(T.slices(pa.array([u.split("://")[1]]))))
+        np.add.at(count2[0, s], gram.ravel(), 1)
+        np.add.at(count2[1, s], context.ravel(), 1)
+    part = next(T.slices(pa.array([u.split("://")[1] for _, u in rows])))
+    got = dict(zip((i for i, _ in rows), U.Models(count2[0], count2[1]).scores(part)))
 
     def grams(url):
         s = url.split("://", 1)[1].encode()
