@@ -58,21 +58,15 @@ def dist(p: Column | str, q: Column | str | Sequence[float], dim: int | None = N
     return F.sqrt(sqdist(p, q, dim))
 
 
-def as_points(df, id_col: str, vec_col: str) -> "DataFrame":  # noqa: F821
-    """Project ``(id BIGINT, p ARRAY<DOUBLE>)`` from any id column and numeric array column."""
-    return df.select(
-        F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("p")
-    )
-
-
 def has_bad_coordinate(p: Column | str) -> Column:
-    """True if a point holds a NaN or NULL coordinate (or is NULL). Built-in and codegen'd:
+    """True if a point holds a NULL, NaN or infinite coordinate (or is NULL). Built-in and codegen'd:
     Spark SQL compares NaN equal to NaN, and a NULL element makes the lookup NULL."""
-    return F.coalesce(F.array_contains(_c(p), F.lit(float("nan"))), F.lit(True))
+    found = [F.array_contains(_c(p), F.lit(v)) for v in (math.nan, math.inf, -math.inf)]
+    return F.coalesce(reduce(lambda a, b: a | b, found), F.lit(True))
 
 
 def point_stats(points) -> dict:
-    """One pass over the points: count, common width, and NaN presence.
+    """One pass over the points: count, common width, and points with NULL, NaN or infinite coordinates.
 
     Raises ``ValueError`` on mixed widths or NULL points.
     """
@@ -93,4 +87,4 @@ def point_stats(points) -> dict:
 
 def require_finite(stats: dict, what: str) -> None:
     if stats["nans"]:
-        raise ValueError(f"{what}: {stats['nans']} point(s) hold NaN or NULL coordinates")
+        raise ValueError(f"{what}: {stats['nans']} point(s) hold NULL, NaN or infinite coordinates")

@@ -71,14 +71,16 @@ def class_partition_stats(objects: DataFrame, K: int, scheme: str = "modulo", re
     that holds at least one object of the class.
 
     Every partial ``(part, class, n)`` is paired with its part's total. The totals table
-    has one row per non-empty part, so it is broadcast: at most ``2K-1`` rows for the
-    modulo schemes (ids may be negative) and one per Spark partition for ``physical``.
+    has one row per non-empty part (objects with a NULL id form one): at most ``2K`` rows for
+    the modulo schemes (ids may be negative) and one per Spark partition for ``physical``;
+    Spark broadcasts it or not by its size.
     A window over ``part`` would instead buffer every class of a part in one task.
     """
     partials = class_partials(objects, K, scheme, repartition)
     totals = partials.groupBy("part").agg(F.sum("n").alias("part_total"))
+    totals = totals.withColumnRenamed("part", "total_of")
     return (
-        partials.join(F.broadcast(totals), "part")
+        partials.join(totals, partials["part"].eqNullSafe(totals["total_of"]))
         .groupBy("class")
         .agg(F.sum("n").alias("n"), F.max("part_total").alias("max_part"))
         .orderBy("class")
@@ -110,3 +112,17 @@ def balanced_repartition(df: DataFrame, K: int) -> DataFrame:
         .groupBy("part")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+def repartition_report(df: DataFrame, K: int) -> DataFrame:
+    """``(parts, n, max_part, even_share, balanced)`` of a round-robin spread into K partitions:
+    non-empty parts, rows, the largest part, ``ceil(n / K)``, and whether the largest part
+    exceeds the even share by at most one row for each input partition (each deals its rows in
+    turn, from a start of its own). An empty input has no parts and is balanced."""
+    splits = df.rdd.getNumPartitions()
+    sizes = balanced_repartition(df, K).agg(
+        F.count(F.lit(1)).alias("parts"), F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n"),
+        F.coalesce(F.max("n"), F.lit(0)).cast("bigint").alias("max_part"))
+    share = F.ceil(F.col("n") / F.lit(int(K))).cast("bigint")
+    return sizes.select("parts", "n", "max_part", share.alias("even_share"),
+                        (F.col("max_part") - share <= F.lit(splits)).alias("balanced"))

@@ -8,14 +8,12 @@
 * ``k_center_diameter``: exact diameter of the ``k`` farthest-first centres.
 
 Distances from every point to a set of points (the sample, or given centres) need no
-join. A small set (checked: ``|set| * width <= LITERAL_CELLS``) is collected and either
-inlined as literals in a built-in expression (``<= INLINE_TERMS`` coordinates, which
-still fits one whole-stage codegen method) or shipped with an Arrow-batched NumPy
-function over the point batches (``mapInArrow``). For 5 points of width 64 the unrolled
-expression overflows the generated-method limit and ran 3.1 s against 0.4 s for the
-NumPy batches on 400k points (local[8]), so wider sets take the Arrow path. A larger set
-stays a DataFrame and meets the points in ``pairs.cross_blocks`` (blocks of both sides,
-reduced exactly), so there is no size cap.
+join. A small set (checked: ``|set| * width <= LITERAL_CELLS``) is collected and shipped
+with an Arrow-batched NumPy function over the point batches (``mapInArrow``); unrolled
+literal expressions overflow the generated-method limit (3.1 s against 0.4 s for 5 points of
+width 64 on 400k points, local[8]). A larger set stays a DataFrame and meets the points in
+``pairs.cross_blocks`` (blocks of both sides, reduced exactly), so there is no size cap.
+Both ways reject points of another width and skip NaN distances alike.
 
 ``exact_diameter`` / ``farthest_pair`` first prune with pivots (see
 ``farthest_pair_candidates``); the answer stays exact.
@@ -23,22 +21,20 @@ reduced exactly), so there is no size cap.
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dispersa.functions.distance import point_stats, sqdist
+from dispersa.functions.distance import point_stats
 from dispersa.functions.sampling import portable_order
 from dispersa.operators import pairs
 from dispersa.operators.kcenter import farthest_first
 
 LITERAL_CELLS = 1 << 20   # at most this many coordinates of a point set are shipped to tasks
-INLINE_TERMS = 256        # up to this many coordinates, the set is inlined as literals
+KERNEL_CELLS = 1 << 20    # distances that a task holds at once
 
 
 SAMPLE_OVERDRAW = 4   # the hash-prefix filter expects this many times k survivors
@@ -100,14 +96,6 @@ def _check_inline(points_list, what: str) -> int:
     return widths.pop() if widths else 0
 
 
-def _sq_to_each(points_list, p: str = "p") -> list[Column]:
-    return [sqdist(p, q) for _, q in points_list]
-
-
-def _inline(points_list) -> bool:
-    return sum(len(q) for _, q in points_list) <= INLINE_TERMS
-
-
 def _set_kernel(centres, mode: str, radii=None, bound: float = 0.0):
     """Arrow batch function over ``(id, p)`` batches against the fixed set ``centres``."""
     ids = np.array([c for c, _ in centres], dtype=np.int64)
@@ -123,9 +111,8 @@ def _set_kernel(centres, mode: str, radii=None, bound: float = 0.0):
         return out  # |set| x rows
 
     def run(batches):
-        for b in batches:
-            if b.num_rows == 0:
-                continue
+        rows = max(1, KERNEL_CELLS // max(1, len(C)))
+        for b in (whole.slice(lo, rows) for whole in batches for lo in range(0, whole.num_rows, rows)):
             d = sq_all(b)
             nan = np.isnan(d)
             if mode == "max":
@@ -199,13 +186,6 @@ def distances_to_set(points: DataFrame, centres) -> DataFrame:
     big = _large_set(points, centres)
     if big is not None:
         d = _cross(points, big, "all")
-    elif _inline(centres):
-        _check_inline(centres, "distances_to_set")
-        per = F.array(*[
-            F.struct(F.lit(cid).cast("bigint").alias("i"), sq.alias("sqd"))
-            for (cid, _), sq in zip(centres, _sq_to_each(centres))
-        ])
-        d = points.select(F.col("id").alias("j"), F.explode(per).alias("e")).select("e.i", "j", "e.sqd")
     else:
         _check_inline(centres, "distances_to_set")
         d = _against_set(points, centres, "all")
@@ -219,14 +199,11 @@ def min_distance_to_set(points: DataFrame, centres) -> DataFrame:
     big = _large_set(points, centres)
     if big is not None:
         d = _cross(points, big, "min").groupBy("id").agg(F.min("sqd").alias("sqd"))
-    elif _inline(centres):
-        _check_inline(centres, "min_distance_to_set")
-        terms = [F.nanvl(sq, F.lit(None).cast("double")) for sq in _sq_to_each(centres)]
-        d = points.select("id", (F.least(*terms) if len(terms) > 1 else terms[0]).alias("sqd"))
     else:
         _check_inline(centres, "min_distance_to_set")
         d = _against_set(points, centres, "min")
-    return d.select("id", F.sqrt("sqd").alias("min_dist"))
+    # A point without any distance that is a number has no nearest centre.
+    return d.select("id", F.sqrt(F.nanvl("sqd", F.lit(None).cast("double"))).alias("min_dist"))
 
 
 def sampled_diameter(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
@@ -249,12 +226,7 @@ def sampled_diameter(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
     if not sample:
         return points.sparkSession.range(1).select(F.lit(0.0).alias("max_dist"))
     _check_inline(sample, "sampled_diameter")
-    if _inline(sample):
-        terms = [F.nanvl(sq, F.lit(None).cast("double")) for sq in _sq_to_each(sample)]
-        far = reduce(lambda a, b: F.greatest(a, b), terms) if len(terms) > 1 else terms[0]
-        best = points.agg(F.max(far).alias("sqd"))
-    else:
-        best = _against_set(points, sample, "max").agg(F.max("sqd").alias("sqd"))
+    best = _against_set(points, sample, "max").agg(F.max("sqd").alias("sqd"))
     return best.select(F.coalesce(F.sqrt("sqd"), F.lit(0.0)).alias("max_dist"))
 
 
@@ -329,7 +301,9 @@ def k_center_diameter(points: DataFrame, k: int, first: str | int = "min_id") ->
 
 
 def point_set_summary(points: DataFrame, k: int, L: int) -> DataFrame:
-    """``(n_points, dim, k, l)``: the loader's report (count, width and the run's parameters)."""
+    """``(n_points, dim, k, l)``: the loader's report (count, width and the run's parameters). Points of
+    different widths are an error in the result's job, as in every point operator."""
+    widths = F.when(F.min(F.size("p")) != F.max(F.size("p")), F.raise_error(F.lit("point set mixes widths")).cast("int"))
     return points.agg(
-        F.count(F.lit(1)).alias("n_points"), F.max(F.size("p")).alias("dim")
+        F.count(F.lit(1)).alias("n_points"), F.coalesce(widths, F.max(F.size("p"))).alias("dim")
     ).select("n_points", "dim", F.lit(int(k)).alias("k"), F.lit(int(L)).alias("l"))

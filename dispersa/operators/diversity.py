@@ -23,22 +23,20 @@ point twice; here the smallest remaining pair at distance 0 is taken instead.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dispersa.functions.distance import point_stats, require_finite
 from dispersa.operators import pairs
 from dispersa.operators.kcenter import farthest_first
 
-PARTITIONINGS = ("modulo", "hash")
+PARTITIONINGS = ("hash", "modulo")
 
 
 def _rounds_frame(points: DataFrame, picks: dict[int, int]) -> DataFrame:
     """``(round, id, p)`` of the picked ids, derived from the point table itself."""
-    mapping = F.create_map(*[x for pid, r in picks.items() for x in (F.lit(pid), F.lit(r))])
-    return points.where(F.col("id").isin(list(picks))).select(
-        F.element_at(mapping, F.col("id")).cast("int").alias("round"), "id", "p"
-    )
+    rounds = points.sparkSession.createDataFrame(list(picks.items()), "id bigint, round int")
+    return points.join(rounds, "id").select("round", "id", "p")
 
 
 PARTNERS_MAX = 32   # partner-list length; lists are rebuilt when more points are taken
@@ -50,7 +48,7 @@ def _without(points: DataFrame, taken: list[int]) -> DataFrame:
     if len(taken) <= 1024:
         return points.where(~F.col("id").isin(taken))
     ids = points.sparkSession.createDataFrame([(t,) for t in taken], "id bigint")
-    return points.join(F.broadcast(ids), "id", "left_anti")  # at most k ids
+    return points.join(ids, "id", "left_anti")
 
 
 def greedy_matching(points: DataFrame, k: int, stats: dict | None = None) -> DataFrame:
@@ -104,25 +102,31 @@ def greedy_matching(points: DataFrame, k: int, stats: dict | None = None) -> Dat
     return _rounds_frame(points, picks)
 
 
-def core_set(points: DataFrame, k: int, L: int, partitioning: str = "modulo",
+def part_of(id_col: str, L: int) -> Column:
+    """Part of an id: its MD5 (any SQL engine has it) modulo ``L``, so ids of any pattern spread evenly."""
+    return F.conv(F.substring(F.md5(F.col(id_col).cast("string")), 1, 8), 16, 10).cast("bigint") % F.lit(int(L))
+
+
+def core_set(points: DataFrame, k: int, L: int, partitioning: str = "hash",
              first: str | int = "min_id") -> DataFrame:
     """``(part, ord, id, p, min_dist)``: ``k`` farthest-first centres from each of ``L`` parts.
 
-    ``modulo``: part = ``id % L`` (repeatable, oracle-checkable); ``hash``: part =
-    ``pmod(xxhash64(id), L)`` (spreads any id pattern evenly).
+    ``hash``: part = md5(id) modulo ``L``, at most ``L`` parts of like size for any ids; ``modulo``:
+    part = ``pmod(id, L)``, which follows the ids' pattern. A part with fewer than ``k`` points gives
+    all of them.
     """
     if L < 1:
         raise ValueError("L must be >= 1")
-    if partitioning == "modulo":
-        part = F.col("id") % F.lit(int(L))
-    elif partitioning == "hash":
-        part = F.pmod(F.xxhash64("id"), F.lit(int(L)))
+    if partitioning == "hash":
+        part = part_of("id", L)
+    elif partitioning == "modulo":
+        part = F.pmod(F.col("id"), F.lit(int(L)))
     else:
         raise ValueError(f"unknown partitioning {partitioning!r}; use one of {PARTITIONINGS}")
-    return farthest_first(points.withColumn("part", part), k, by="part", first=first)
+    return farthest_first(points.withColumn("part", part), k, by="part", first=first, short_groups=True)
 
 
-def diversity_maximization(points: DataFrame, k: int, L: int, partitioning: str = "modulo",
+def diversity_maximization(points: DataFrame, k: int, L: int, partitioning: str = "hash",
                            first: str | int = "min_id") -> DataFrame:
     """``(round, id, p)``: the ``k`` points of the two-round MapReduce answer."""
     core = core_set(points, k, L, partitioning, first).select("id", "p")

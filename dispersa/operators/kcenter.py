@@ -4,17 +4,13 @@ Round 0 picks a first centre per group; each of the next ``k-1`` rounds picks, p
 the unchosen point farthest from its group's chosen centres. Every point carries its
 running ``min_dist`` to the centres chosen so far, so the whole traversal costs
 ``O(n*k)`` distance evaluations, as the reference requires, and each round is one Spark
-job: the farthest open point per group (a top-1 for one group, a partial-aggregated
-``max_by`` for several), whose new centres reach the points as exact literals (one group)
-or through a broadcast hash join on the group key (one row per group).
+job: the farthest open point per group (a partial-aggregated ``max_by``), whose new
+centres reach the points as exact literals (no group column) or through an equal join on
+the group (null-safe: NULL is a group like any other).
 
-All groups advance together, so no group is ever gathered into one task: a group that
-holds a third of all points is scanned by as many tasks as the data has partitions.
-When there are several groups and the first pass proves every one small (largest group x
-width <= IN_TASK_CELLS), each group is instead traversed inside one task with NumPy, in a
-single job — the reference's per-partition traversal, with the size bound checked first.
-A single group (the global traversal) always runs as distributed rounds, so a whole
-input never passes through one task.
+All groups advance together, whatever their size, so no group is ever gathered into one
+task: a group that holds a third of all points is scanned by as many tasks as the data
+has partitions. Small and large inputs take the same rounds.
 State handling (the points with their running ``min_dist``): Spark re-caches every cached
 plan built on a DataFrame that is unpersisted, so an older cached copy may only be dropped
 once the newer one no longer contains it in its plan. A small state (``k`` copies within
@@ -23,6 +19,8 @@ written as a reliable checkpoint every ``persist_every`` rounds (default 4) and
 the new base; the previous base is then dropped, and the rounds between compute lazily from
 the base (at most ``persist_every - 1`` extra distances per point, no writes). One copy is
 cached at a time, and lineage never reaches back further than one base.
+The centres of a round are detached from the state they came from: through the driver if
+the centres of all rounds are few (CENTRE_CELLS), else through the checkpoint folder.
 Ties go to the smallest id (the reference's "lowest index wins"); chosen points are
 masked by id, so duplicates of a centre can still be chosen later, as in the reference.
 """
@@ -31,104 +29,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dispersa.functions.distance import has_bad_coordinate, sqdist
 from dispersa.functions.sampling import fast_order
 from dispersa.session import cut_lineage
-from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import DoubleType
 
-BROADCAST_BYTES = 64 << 20   # centres per round are broadcast up to this size
-COLLECT_CELLS = 1 << 20      # a result this small is kept as a local table, else checkpointed
-IN_TASK_CELLS = 1 << 22      # groups up to this many coordinates are traversed inside one task
+CENTRE_CELLS = 1 << 20       # centres of all rounds up to this many numbers pass through the driver (8 MB)
 CACHE_CELLS = 1 << 27        # k cached copies of the state may hold this many coordinates
-TOP1_MAX_TASKS = 4096        # a global round's top-1 sends one row per task to the driver
-
-
-def _traverse_kernel(k: int, dim: int, g: str, g_type: pa.DataType):
-    """Whole traversal of one group in NumPy: same distances (coordinate-ordered sums),
-    same tie rule (largest min_dist, then smallest id) as the distributed rounds."""
-
-    def to_each(X: np.ndarray, c: np.ndarray) -> np.ndarray:
-        acc = np.zeros(X.shape[0])
-        for t in range(dim):
-            diff = X[:, t] - c[t]
-            acc += diff * diff
-        return np.sqrt(acc)
-
-    def kernel(key, table):
-        ids = table.column("id").to_numpy()
-        start = table.column("_start").to_numpy()
-        flat = pc.list_flatten(table.column("p").combine_chunks())
-        X = flat.to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(ids), dim)
-        pick = int(np.lexsort((ids, start))[0])
-        chosen = np.zeros(len(ids), dtype=bool)
-        picks, sel = [pick], [None]
-        chosen[pick] = True
-        md = to_each(X, X[pick])
-        for _ in range(1, k):
-            md_open = np.where(chosen, -np.inf, md)
-            best = md_open.max()
-            ties = np.nonzero(md_open == best)[0]
-            pick = int(ties[np.argmin(ids[ties])])
-            picks.append(pick)
-            sel.append(float(best))
-            chosen[pick] = True
-            md = np.minimum(md, to_each(X, X[pick]))
-        idx = np.array(picks)
-        return pa.table({
-            g: pa.array([key[0].as_py()] * len(idx), type=g_type),
-            "ord": pa.array(np.arange(len(idx), dtype=np.int32)),
-            "id": pa.array(ids[idx]),
-            "p": pa.array([X[i].tolist() for i in idx], type=pa.list_(pa.float64())),
-            "min_dist": pa.array(sel, type=pa.float64()),
-        })
-
-    return kernel
-
-
-def _sql_literal(value, dtype) -> str | None:
-    """A SQL literal that parses back to exactly ``value``, or None if not supported."""
-    name = dtype.simpleString()
-    if value is None:
-        return f"CAST(NULL AS {name})"
-    if name in ("bigint", "int", "smallint", "tinyint"):
-        return f"CAST({int(value)} AS {name})"
-    if name == "double":
-        return f"{float(value)!r}D" if np.isfinite(value) else None
-    if name == "array<double>":
-        parts = [_sql_literal(v, DoubleType()) for v in value]
-        return None if any(p is None for p in parts) else f"array({', '.join(parts)})"
-    return None
-
-
-def _local_table(spark, rows, schema) -> DataFrame:
-    """A small driver-side table as one SQL expression (one call instead of a per-row
-    conversion); doubles are written with their shortest exact repr."""
-    structs = []
-    for row in rows:
-        fields = []
-        for f in schema.fields:
-            lit = _sql_literal(row[f.name], f.dataType)
-            if lit is None:
-                return spark.createDataFrame(rows, schema)
-            fields.append(f"'{f.name}', {lit}")
-        structs.append(f"named_struct({', '.join(fields)})")
-    if not structs:
-        return spark.createDataFrame(rows, schema)
-    return spark.range(1).selectExpr(f"inline(array({', '.join(structs)}))")
-
-
-def _materialise(out: DataFrame, cells: int) -> DataFrame:
-    """Pin a result down: a small one as a local table, a large one in the checkpoint folder."""
-    if cells <= COLLECT_CELLS:
-        return out.sparkSession.createDataFrame(out.collect(), out.schema)
-    return cut_lineage(out)
 
 
 def farthest_first(
@@ -137,18 +46,21 @@ def farthest_first(
     by: str | None = None,
     first: str | int = "min_id",
     checkpoint_every: int = 8,
-    persist_every: int | None = None,
+    persist_every: int = 4,
+    short_groups: bool = False,
 ) -> DataFrame:
     """``(*by, ord, id, p, min_dist)`` for the ``k`` centres of each group.
 
-    ``points``: ``(id BIGINT, p ARRAY<DOUBLE>[, by])`` with unique ids.
+    ``points``: ``(id BIGINT, p ARRAY<DOUBLE>[, by])`` with unique ids; rows with NULL in ``by``
+    form a group.
     ``first``: ``"min_id"`` starts each group at its smallest id; an int is a seed that
     starts at the smallest ``xxhash64(id, seed)``.
     ``min_dist`` of a centre is its distance to the nearest earlier centre of its group
     at the moment it was chosen (NULL for ``ord = 0``).
-    Raises ``ValueError`` if ``k < 1``, a group has fewer than ``k`` points, widths are
-    mixed, or a coordinate is NaN (the reference's strict ``>`` never picks NaN and then
-    fails).
+    ``short_groups``: a group with fewer than ``k`` points gives all of them instead of an error.
+    Raises ``ValueError`` if ``k < 1``, the set is empty, a group has fewer than ``k`` points,
+    widths are mixed, or a coordinate is NULL, NaN or infinite (the reference's strict ``>``
+    never picks NaN and then fails).
     """
     if k < 1:
         raise ValueError("k must be >= 1")
@@ -160,74 +72,52 @@ def farthest_first(
     else:
         start = F.min_by(F.struct("id", "p"), F.struct(fast_order("id", int(first)), F.col("id")))
     bad = has_bad_coordinate("p")
-    # Round 0 and validation in one pass: first centre, size, widths and NaNs per group.
+    # Round 0 and validation in one pass: first centre, size, widths and bad coordinates per group.
     init = (
         pts.groupBy(g)
         .agg(start.alias("c"), F.count(F.lit(1)).alias("c_n"), F.min(F.size("p")).alias("dmin"),
-             F.max(F.size("p")).alias("dmax"), F.sum(F.when(bad, 1).otherwise(0)).alias("nans"))
+             F.max(F.size("p")).alias("dmax"), F.sum(F.when(bad, 1).otherwise(0)).alias("bad"))
         .persist()
     )
-    chk = init.agg(F.min("c_n").alias("smallest"), F.max("c_n").alias("largest"), F.sum("c_n").alias("n"),
-                   F.count(F.lit(1)).alias("groups"),
-                   F.min("dmin").alias("dmin"), F.max("dmax").alias("dmax"), F.sum("nans").alias("nans")).first()
+    chk = init.agg(F.min("c_n").alias("smallest"), F.sum("c_n").alias("n"), F.count(F.lit(1)).alias("groups"),
+                   F.min("dmin").alias("dmin"), F.max("dmax").alias("dmax"), F.sum("bad").alias("bad")).first()
     held: list[DataFrame] = [init]
     try:
         if not chk["groups"]:
             raise ValueError("farthest_first: empty point set")
         if chk["dmin"] != chk["dmax"]:
             raise ValueError(f"farthest_first: mixed widths {chk['dmin']} and {chk['dmax']}")
-        if chk["nans"]:
-            raise ValueError(f"farthest_first: {chk['nans']} point(s) hold NaN or NULL coordinates")
-        if chk["smallest"] < k:
+        if chk["bad"]:
+            raise ValueError(f"farthest_first: {chk['bad']} point(s) hold NULL, NaN or infinite coordinates")
+        if chk["smallest"] < k and not short_groups:
             raise ValueError(f"farthest_first: a group holds {chk['smallest']} points, fewer than k={k}")
         dim, groups = int(chk["dmin"]), int(chk["groups"])
-        if groups > 1 and int(chk["largest"]) * max(dim, 1) <= IN_TASK_CELLS:
-            # Every group is provably small and none is the whole input: one job, each
-            # group traversed in one task.
-            start_key = F.lit(0).cast("bigint") if first == "min_id" else fast_order("id", int(first))
-            g_field = pts.schema[g]
-            schema = (f"`{g}` {g_field.dataType.simpleString()}, ord int, id bigint, "
-                      "p array<double>, min_dist double")
-            kernel = _traverse_kernel(k, dim, g, to_arrow_type(g_field.dataType))
-            out = pts.withColumn("_start", start_key).groupBy(g).applyInArrow(kernel, schema)
-            out = out.select(*([F.col(g)] if by else []), "ord", "id", "p", "min_dist")
-            return _materialise(out, groups * k * (dim + 4))
-        fits = groups * (dim + 4) * 8 <= BROADCAST_BYTES
+        few = k * groups * (dim + 4) <= CENTRE_CELLS
         small_state = k * int(chk["n"]) * (dim + 3) <= CACHE_CELLS
-        persist_every = persist_every or 4
-
-        def bcast(df: DataFrame) -> DataFrame:
-            return F.broadcast(df) if fits else df
-
-        local_rows: list | None = []
 
         def pin(df: DataFrame) -> DataFrame:
             """Detach a round's centres from the state they were computed from. Without
             this, round r's plan holds round r-1's state twice (directly and through the
             centres), and the plan doubles every round."""
-            nonlocal local_rows
-            if fits:
-                rows = df.collect()
-                if local_rows is not None:
-                    local_rows.extend(rows)
-                return _local_table(df.sparkSession, rows, df.schema)
-            local_rows = None
+            if few:
+                return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
             return cut_lineage(df)
 
         def against(df: DataFrame, cen: DataFrame):
             """``(frame, distance to the group's new centre, is-the-centre, round)``.
 
-            Several groups: a broadcast hash join on the group key brings each point its
-            group's centre; the round number travels in the table, so every round generates
-            the same code. One group: the centre is already on the driver, so its
-            coordinates are exact literals — no join at all (a join on a constant key
+            With a group column: an equal join brings each point its group's centre (Spark
+            broadcasts the centres if they are small, and splits a group that holds many of the
+            points if not); a group that is used up keeps its distances. Without one there is a
+            single centre, whose coordinates become exact literals (a join on a constant key
             would plan as a nested-loop join).
             """
-            if groups == 1 and local_rows:
-                row = local_rows[-1]
+            if by is None:
+                row = cen.first()
                 return (df, F.sqrt(sqdist("p", list(row["cp"]), dim)),
                         F.col("id") == F.lit(int(row["cid"])), F.lit(int(row["cord"])))
-            joined = df.join(bcast(cen.select(g, "cid", "cp", "cord")), g)
+            right = cen.select(F.col(g).alias("_g"), "cid", "cp", "cord")
+            joined = df.join(right, df[g].eqNullSafe(right["_g"]), "left")
             return joined, F.sqrt(sqdist("p", "cp", dim)), F.col("id") == F.col("cid"), F.col("cord")
 
         cen = pin(init.select(g, F.col("c.id").alias("cid"), F.col("c.p").alias("cp"),
@@ -238,20 +128,12 @@ def farthest_first(
         held.append(state)
         pick = F.max_by(F.struct("id", "p", "min_dist"), F.struct("min_dist", -F.col("id")))
         for r in range(1, k):
-            open_pts = state.where(F.col("ord").isNull())
-            if groups == 1 and state.rdd.getNumPartitions() <= TOP1_MAX_TASKS:
-                # One group: a top-1 (each task keeps its best row, the driver merges one
-                # row per task) — one stage, no shuffle. With more tasks than TOP1_MAX_TASKS
-                # the partial-aggregate path below merges them in an executor instead.
-                best = open_pts.orderBy(F.col("min_dist").desc(), F.col("id").asc()).limit(1).select(
-                    g, F.col("id").alias("cid"), F.col("p").alias("cp"), F.col("min_dist").alias("cmd"))
-            else:
-                best = open_pts.groupBy(g).agg(pick.alias("c")).select(
-                    g, F.col("c.id").alias("cid"), F.col("c.p").alias("cp"), F.col("c.min_dist").alias("cmd"))
+            best = state.where(F.col("ord").isNull()).groupBy(g).agg(pick.alias("c")).select(
+                g, F.col("c.id").alias("cid"), F.col("c.p").alias("cp"), F.col("c.min_dist").alias("cmd"))
             # One job: materialises `state` and brings back one new centre per group.
             cen = pin(best.withColumn("cord", F.lit(r)))
             centres.append(cen)
-            if r == k - 1:
+            if r == k - 1 or (short_groups and cen.isEmpty()):
                 break
             # Chosen points are masked by `ord`, so their min_dist may keep shrinking. Keeping
             # the update a plain least() matters: wrapped in a CASE the generated method grows
@@ -273,20 +155,11 @@ def farthest_first(
             else:
                 state = nxt  # lazy: computed from the cached base plus the centres since
 
-        cols = [*([g] if by else []), "ord", "id", "p", "min_dist"]
-        if local_rows is not None:
-            # All centres are already on the driver (bounded by the broadcast check).
-            schema = centres[0].select(
-                *([F.col(g)] if by else []), F.col("cord").alias("ord"), F.col("cid").alias("id"),
-                F.col("cp").alias("p"), F.col("cmd").alias("min_dist")).schema
-            data = [tuple([*([row[g]] if by else []), row["cord"], row["cid"], row["cp"], row["cmd"]])
-                    for row in local_rows]
-            return _local_table(points.sparkSession, [dict(zip(schema.names, d)) for d in data], schema).select(*cols)
         out = reduce(DataFrame.unionByName, centres).select(
             *([F.col(g)] if by else []), F.col("cord").alias("ord"), F.col("cid").alias("id"),
             F.col("cp").alias("p"), F.col("cmd").alias("min_dist"),
         )
-        return cut_lineage(out)
+        return out if few else cut_lineage(out)
     finally:
         for df in held:
             df.unpersist()

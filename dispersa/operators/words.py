@@ -54,14 +54,14 @@ def line_term_counts(line_rows: DataFrame, line_col: str = "line") -> DataFrame:
     referenced several times).
     """
     keep = [c for c in line_rows.columns if c != line_col]
-    srt = line_rows.select(*keep, F.array_sort(split_words(line_col)).alias("_s"))
-    # sequence(1, 0) counts down, so a line without tokens must not reach it.
-    runs = srt.where(F.size("_s") > 0).select(
-        *keep, "_s",
-        F.filter(F.sequence(F.lit(1), F.size("_s")),
-                 lambda i: (i == 1) | (F.element_at("_s", i) != F.element_at("_s", i - 1))).alias("_st"),
-    )
-    ends = F.concat(F.slice("_st", 2, F.size("_st")), F.array(F.size("_s") + 1))
+    srt = line_rows.select(*keep, F.sort_array(split_words(line_col)).alias("_s"))
+    # sequence(1, 0) counts down, so a line without tokens must not reach it. The case stays inside
+    # the expression: a filter would be pushed below the projection and split and sort twice.
+    starts = F.filter(F.sequence(F.lit(1), F.size("_s")),
+                      lambda i: (i == 1) | (F.element_at("_s", i) != F.element_at("_s", i - 1)))
+    runs = srt.select(*keep, "_s", F.when(F.size("_s") > 0, starts).otherwise(F.array().cast("array<int>")).alias("_st"))
+    ends = F.when(F.size("_s") > 0, F.concat(F.slice("_st", 2, F.size("_st")), F.array(F.size("_s") + 1))
+                  ).otherwise(F.array().cast("array<int>"))
     entries = F.zip_with(
         "_st", ends,
         lambda a, b: F.struct(F.element_at("_s", a).alias("word"), (b - a).cast("bigint").alias("n")),

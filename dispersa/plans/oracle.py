@@ -8,7 +8,7 @@ CTE chains generated from the catalogue parameters.
 
 from __future__ import annotations
 
-from dispersa.plans.queries import DIGITS, K, K_SQRT, L, SEED, k
+from dispersa.plans.queries import DIGITS, K, K_SPREAD, K_SQRT, L, SEED, k
 
 # Text handling, mirroring dispersa.functions.text.
 _LINES = r"""
@@ -62,6 +62,10 @@ ORACLE: dict[str, str] = {
         "SELECT class, sum(n)::BIGINT AS n, max(part_total)::BIGINT AS max_part "
         "FROM partials JOIN totals USING (part) GROUP BY class ORDER BY class"
     ),
+    "balanced_repartition": f"SELECT {K_SPREAD}::BIGINT AS parts, count(*)::BIGINT AS n, true AS balanced FROM events",
+    "max_partition_size_physical": (
+        f"SELECT {K}::BIGINT AS parts, ceil(count(*) / {K})::BIGINT AS even_share, true AS balanced FROM events"
+    ),
     "max_partition_size": (
         f"WITH {_OBJECTS} SELECT max(c)::BIGINT AS max_part FROM "
         f"(SELECT obj_id % {K} AS part, count(*) AS c FROM objects GROUP BY 1)"
@@ -149,8 +153,10 @@ def matching_chain(src: str, kk: int, name: str) -> str:
     return ",\n".join(ctes)
 
 
+_PART = f"('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8))::BIGINT % {L}"
+
 _CORE = (
-    f"{_PTS},\nparted AS (SELECT id % {L} AS part, id, p FROM pts),\n"
+    f"{_PTS},\nparted AS (SELECT {_PART} AS part, id, p FROM pts),\n"
     + kcenter_chain("parted", k, "core")
     + ",\ncorepts AS (SELECT id, p FROM core),\n"
     + matching_chain("corepts", k, "dm")
@@ -203,7 +209,7 @@ ORACLE.update({
         f"SELECT {_r('coalesce(max(list_distance(a.p, b.p)), 0)', 'max_dist')} FROM kc a JOIN kc b ON a.id < b.id"
     ),
     "coreset_k_center": (
-        f"WITH {_PTS},\nparted AS (SELECT id % {L} AS part, id, p FROM pts),\n{kcenter_chain('parted', k, 'core')}\n"
+        f"WITH {_PTS},\nparted AS (SELECT {_PART} AS part, id, p FROM pts),\n{kcenter_chain('parted', k, 'core')}\n"
         f"SELECT part, ord, id, {_r('md', 'min_dist')} FROM core"
     ),
     "farthest_pair": (

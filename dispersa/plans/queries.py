@@ -41,7 +41,7 @@ def q_parse_object_class(spark, sf):
 
 
 def q_balanced_repartition(spark, sf):
-    return counts.balanced_repartition(tables.objects(spark, sf), K_SPREAD)
+    return counts.repartition_report(tables.objects(spark, sf), K_SPREAD).select("parts", "n", "balanced")
 
 
 def q_class_partials(spark, sf):
@@ -57,7 +57,7 @@ def q_class_count_sqrt(spark, sf):
 
 
 def q_class_count_physical(spark, sf):
-    return counts.class_count(tables.objects(spark, sf), K, "physical")
+    return counts.class_count(tables.objects(spark, sf), K, "physical", repartition=True)
 
 
 def q_class_partition_stats(spark, sf):
@@ -68,6 +68,11 @@ def q_max_partition_size(spark, sf):
     return counts.max_partition_size(tables.objects(spark, sf), K, "modulo")
 
 
+def q_max_partition_size_physical(spark, sf):
+    """Largest Spark partition after ``repartition(K)``, as what does not depend on the placement."""
+    return counts.repartition_report(tables.objects(spark, sf), K).select("parts", "even_share", "balanced")
+
+
 def q_most_frequent_class(spark, sf):
     return counts.most_frequent_class(tables.objects(spark, sf), K, "modulo")
 
@@ -95,7 +100,7 @@ def q_word_count_salted(spark, sf):
 
 
 def q_word_count_partitioned(spark, sf):
-    return words.word_count_partitioned(_lines(spark, sf))
+    return words.word_count_partitioned(_lines(spark, sf), K)
 
 
 def q_distinct_word_count(spark, sf):
@@ -206,6 +211,7 @@ QUERIES: dict[str, Query] = {
     "class_count_physical": q_class_count_physical,
     "class_partition_stats": q_class_partition_stats,
     "max_partition_size": q_max_partition_size,
+    "max_partition_size_physical": q_max_partition_size_physical,
     "most_frequent_class": q_most_frequent_class,
     "text_lines": q_text_lines,
     "document_count": q_document_count,

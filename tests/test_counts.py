@@ -1,4 +1,4 @@
-"""Class counts: golden answers on a 20-object example, ties, and placement independence."""
+"""Class counts: known answers on an invented example, ties, and placement independence."""
 
 from __future__ import annotations
 
@@ -8,13 +8,11 @@ import pytest
 
 from dispersa.operators import counts
 
-# A 20-object example in the reference's "<id> <class>" shape (ids 0-19).
-EXAMPLE = [
-    "Fantasy", "Western", "Fantasy", "Western", "Action", "Western", "Western", "Western",
-    "Western", "Western", "Action", "Western", "Fantasy", "Western", "Western", "Western",
-    "Western", "Thriller", "Animation", "Fantasy",
-]
-GOLDEN = [("Action", 2), ("Animation", 1), ("Fantasy", 4), ("Thriller", 1), ("Western", 12)]
+# 23 invented objects: class by a rule of the id, so that counts are uneven and known.
+COLOURS = ("ochre", "teal", "plum", "ivory")
+EXAMPLE = [COLOURS[0 if i % 2 else i // 2 % 3 + (i % 7 == 0)] for i in range(23)]
+GOLDEN = sorted({c: EXAMPLE.count(c) for c in EXAMPLE}.items())
+TOP = max(GOLDEN, key=lambda x: x[1])
 
 
 @pytest.fixture
@@ -34,22 +32,22 @@ def test_partials_and_partition_stats(objects):
     for i, c in enumerate(EXAMPLE):
         expected[(i % 4, c)] = expected.get((i % 4, c), 0) + 1
     assert partials == expected
-    sizes = {p: sum(1 for i in range(20) if i % 4 == p) for p in range(4)}
+    sizes = {p: sum(1 for i in range(len(EXAMPLE)) if i % 4 == p) for p in range(4)}
     stats = {r["class"]: (r["n"], r["max_part"]) for r in counts.class_partition_stats(objects, 4).collect()}
     for cls, n in GOLDEN:
         holding = [p for (p, c) in expected if c == cls]
         assert stats[cls] == (n, max(sizes[p] for p in holding))
-    assert counts.max_partition_size(objects, 4).first()["max_part"] == 5
+    assert counts.max_partition_size(objects, 4).first()["max_part"] == 6
 
 
 def test_max_partition_size_bounds(objects):
-    for K in (1, 2, 3, 7, 20):
+    for K in (1, 2, 3, 7, 23):
         m = counts.max_partition_size(objects, K).first()["max_part"]
-        assert math.ceil(20 / K) <= m <= 20
+        assert math.ceil(23 / K) <= m <= 23
 
 
 def test_most_frequent_class_and_ties(spark, objects):
-    assert tuple(counts.most_frequent_class(objects).first()) == ("Western", 12)
+    assert tuple(counts.most_frequent_class(objects).first()) == TOP
     tied = spark.createDataFrame([(0, "b"), (1, "a"), (2, "b"), (3, "a")], "obj_id bigint, class string")
     assert tuple(counts.most_frequent_class(tied, 2).first()) == ("a", 2)
 
@@ -82,7 +80,7 @@ def test_partition_stats_with_physical_parts(spark, objects):
     stats = {r["class"]: (r["n"], r["max_part"]) for r in
              counts.class_partition_stats(objects.repartition(3), 3, "physical").collect()}
     assert {c: n for c, (n, _) in stats.items()} == dict(GOLDEN)
-    assert all(1 <= m <= 20 for _, m in stats.values())
+    assert all(1 <= m <= 23 for _, m in stats.values())
     with pytest.raises(ValueError):
         counts.class_count(objects, 4, "ranges")
     with pytest.raises(ValueError):
@@ -104,3 +102,21 @@ def test_empty_inputs(spark):
     assert words.blob_line_count(docs).first()["n"] == 0
     assert words.distinct_word_count(lines).first()["n"] == 0
     assert words.average_word_length(words.word_count(lines)).first()["avg_len"] is None
+
+
+def test_null_ids_are_kept_alike(spark):
+    df = spark.createDataFrame([(0, "a"), (1, "a"), (None, "a"), (2, "b")], "obj_id bigint, class string")
+    want = {"a": 3, "b": 1}
+    assert {r["class"]: r["n"] for r in counts.class_count(df, 4).collect()} == want
+    stats = {r["class"]: (r["n"], r["max_part"]) for r in counts.class_partition_stats(df, 4).collect()}
+    assert stats == {"a": (3, 1), "b": (1, 1)}
+    assert tuple(counts.most_frequent_class(df, 4).first()) == ("a", 3)
+
+
+def test_repartition_report(spark):
+    r = counts.repartition_report(spark.range(0, 1000, 1, 4), 7).first()
+    assert (r["parts"], r["n"], r["even_share"], r["balanced"]) == (7, 1000, 143, True)
+    none = counts.repartition_report(spark.range(0), 7).first()
+    assert (none["parts"], none["n"], none["balanced"]) == (0, 0, True)
+    with pytest.raises(ValueError):
+        counts.repartition_report(spark.range(5), 0)

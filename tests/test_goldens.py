@@ -37,12 +37,12 @@ def test_embedding_diameter_golden(emb):
 def test_k_center_golden(emb, monkeypatch):
     want = [0, 188, 291, 152, 366]
     assert [r["id"] for r in kcenter.farthest_first(emb, 5).orderBy("ord").collect()] == want
-    monkeypatch.setattr(kcenter, "IN_TASK_CELLS", 0)
+    monkeypatch.setattr(kcenter, "CENTRE_CELLS", 0)
     assert [r["id"] for r in kcenter.farthest_first(emb, 5).orderBy("ord").collect()] == want
 
 
 def test_core_set_golden(emb):
-    core = diversity.core_set(emb, 3, 4).collect()
+    core = diversity.core_set(emb, 3, 4, partitioning="modulo").collect()
     got = {p: [r["id"] for r in sorted((r for r in core if r["part"] == p), key=lambda r: r["ord"])] for p in range(4)}
     assert got == {0: [0, 188, 192], 1: [1, 389, 273], 2: [2, 138, 422], 3: [3, 311, 475]}
 

@@ -30,18 +30,18 @@ def test_farthest_pair_ties(spark, P, block):
 
 
 @SETTINGS
-@given(P=POINT_SETS, k=st.integers(1, 6), in_task=st.booleans())
-def test_k_center_ties(spark, P, k, in_task):
+@given(P=POINT_SETS, k=st.integers(1, 6), driver=st.booleans())
+def test_k_center_ties(spark, P, k, driver):
     from pyspark.sql import functions as F
 
-    old = kcenter.IN_TASK_CELLS
-    kcenter.IN_TASK_CELLS = old if in_task else 0
+    old = kcenter.CENTRE_CELLS
+    kcenter.CENTRE_CELLS = old if driver else 0
     try:
         k = min(k, len(P))
         got = kcenter.farthest_first(frame(spark, P), k).orderBy("ord").collect()
         ids, sel = bf_k_center(P, k, min(P))
         assert [r["id"] for r in got] == ids and [r["min_dist"] for r in got] == sel
-        # grouped: two groups, each traversed on its own (in one task when in_task)
+        # grouped: two groups, each traversed on its own
         grouped = frame(spark, P).withColumn("part", F.expr("(id div 3) % 2"))
         sizes = {g: sum(1 for i in P if (i // 3) % 2 == g) for g in (0, 1)}
         kk = min(k, *sizes.values())
@@ -52,7 +52,7 @@ def test_k_center_ties(spark, P, k, in_task):
                 want = bf_k_center(sub, kk, min(sub))[0]
                 assert [r["id"] for r in sorted((r for r in rows if r["part"] == g), key=lambda r: r["ord"])] == want
     finally:
-        kcenter.IN_TASK_CELLS = old
+        kcenter.CENTRE_CELLS = old
 
 
 @SETTINGS

@@ -81,10 +81,11 @@ def blocks(request, monkeypatch):
     return request.param
 
 
-@pytest.fixture(params=["in_task", "distributed"])
+@pytest.fixture(params=["driver", "checkpointed"])
 def traversal(request, monkeypatch):
-    if request.param == "distributed":
-        monkeypatch.setattr(kcenter, "IN_TASK_CELLS", 0)
+    """Both ways in which a round's centres are detached from the state."""
+    if request.param == "checkpointed":
+        monkeypatch.setattr(kcenter, "CENTRE_CELLS", 0)
     return request.param
 
 
@@ -150,21 +151,50 @@ def test_sampled_diameter_bounds(spark, seed):
         diameter.sampled_diameter(df, 0)
 
 
-def test_set_distances_inline_and_arrow_agree(spark, monkeypatch):
+@pytest.fixture(params=["small_set", "large_set"])
+def set_path(request, monkeypatch):
+    """Both ways of distances to a set, at their default values and with every set counted as large."""
+    if request.param == "large_set":
+        monkeypatch.setattr(diameter, "LITERAL_CELLS", 0)
+    return request.param
+
+
+def test_set_distances_against_brute_force(spark, set_path, monkeypatch):
     P = random_points(9, 40, 6)
     df = frame(spark, P)
     cen = diameter.sample_points(df, 4, 42)
-    a = {(r["i"], r["j"]): r["sqdist"] for r in diameter.distances_to_set(df, cen).collect()}
-    m1 = {r["id"]: r["min_dist"] for r in diameter.min_distance_to_set(df, cen).collect()}
-    s1 = diameter.sampled_diameter(df, 4, 42).first()["max_dist"]
-    monkeypatch.setattr(diameter, "INLINE_TERMS", 0)
-    b = {(r["i"], r["j"]): r["sqdist"] for r in diameter.distances_to_set(df, cen).collect()}
-    m2 = {r["id"]: r["min_dist"] for r in diameter.min_distance_to_set(df, cen).collect()}
-    s2 = diameter.sampled_diameter(df, 4, 42).first()["max_dist"]
-    assert a == b and m1 == m2 and s1 == s2
-    for (ci, cp) in cen:
-        for j in P:
-            assert a[(ci, j)] == sq(cp, P[j])
+    for cells in (diameter.KERNEL_CELLS, 8):  # 8: two points at a time
+        monkeypatch.setattr(diameter, "KERNEL_CELLS", cells)
+        got = {(r["i"], r["j"]): r["sqdist"] for r in diameter.distances_to_set(df, cen).collect()}
+        assert got == {(ci, j): sq(cp, P[j]) for ci, cp in cen for j in P}
+        near = {r["id"]: r["min_dist"] for r in diameter.min_distance_to_set(df, cen).collect()}
+        assert near == {j: math.sqrt(min(sq(cp, P[j]) for _, cp in cen)) for j in P}
+        far = diameter.sampled_diameter(df, 4, 42).first()["max_dist"]
+        assert far == math.sqrt(max(sq(cp, P[j]) for _, cp in cen for j in P))
+
+
+def test_set_distances_reject_other_widths_and_skip_nan(spark, set_path):
+    cen = [(0, [0.0, 0.0]), (1, [3.0, 4.0])]
+    mixed = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(5)] + [(9, [0.0, 0.0, 1000.0])], "id bigint, p array<double>")
+    for call in (lambda: diameter.min_distance_to_set(mixed, cen), lambda: diameter.distances_to_set(mixed, cen),
+                 *(lambda seed=seed: diameter.sampled_diameter(mixed, 1, seed) for seed in (1, 2, 3))):
+        with pytest.raises(Exception):
+            call().collect()
+    nan = spark.createDataFrame([(1, [float("nan"), 0.0]), (2, [0.0, 1.0])], "id bigint, p array<double>")
+    assert {r["id"]: r["min_dist"] for r in diameter.min_distance_to_set(nan, cen).collect()} == {1: None, 2: 1.0}
+
+
+def test_loaded_points_of_mixed_widths_are_rejected_everywhere(spark):
+    from dispersa.sources.text import parse_points
+
+    lines = spark.createDataFrame([(i, "1,2" if i else "1,2,3") for i in range(6)], "id bigint, value string")
+    pts = parse_points(lines)
+    for call in (lambda: diameter.exact_diameter(pts), lambda: diameter.farthest_pair(pts), lambda: diameter.sampled_diameter(pts, 2),
+                 lambda: diameter.k_center_diameter(pts, 2), lambda: kcenter.farthest_first(pts, 2), lambda: diversity.core_set(pts, 1, 1),
+                 lambda: diversity.greedy_matching(pts, 2), lambda: pairs.average_pairwise_distance(pts),
+                 lambda: diameter.point_set_summary(pts, 1, 1)):
+        with pytest.raises(Exception):
+            call().collect()
 
 
 # --- k-center -------------------------------------------------------------------------------
@@ -181,7 +211,6 @@ def test_k_center_against_brute_force(spark, traversal, seed, k):
 
 
 def test_k_center_checkpointing_path(spark, monkeypatch):
-    monkeypatch.setattr(kcenter, "IN_TASK_CELLS", 0)
     P = random_points(21, 20, 2)
     got = [r["id"] for r in kcenter.farthest_first(frame(spark, P), 6, checkpoint_every=1).orderBy("ord").collect()]
     assert got == bf_k_center(P, 6, min(P))[0]
@@ -332,7 +361,6 @@ def test_sample_prefix_filter_is_exact(spark, monkeypatch):
 @pytest.mark.parametrize("small,persist_every,checkpoint_every",
                          [(True, 4, 100), (True, 4, 3), (False, 1, 100), (False, 3, 100), (False, 2, 5), (False, 100, 100)])
 def test_k_center_persistence_schedules(spark, monkeypatch, small, persist_every, checkpoint_every):
-    monkeypatch.setattr(kcenter, "IN_TASK_CELLS", 0)
     if not small:
         monkeypatch.setattr(kcenter, "CACHE_CELLS", 0)
     P = random_points(131, 30, 12, dups=3)
@@ -342,14 +370,6 @@ def test_k_center_persistence_schedules(spark, monkeypatch, small, persist_every
     assert [r["id"] for r in got] == ids and [r["min_dist"] for r in got] == sel
 
 
-def test_sampled_diameter_rejects_mixed_widths(spark, monkeypatch):
-    df = spark.createDataFrame([(i, [float(i), 1.0] if i % 2 else [float(i), 1.0, 2.0, 3.0]) for i in range(8)],
-                               "id bigint, p array<double>")
-    monkeypatch.setattr(diameter, "INLINE_TERMS", 0)
-    with pytest.raises(Exception):
-        diameter.sampled_diameter(df, 2).collect()
-
-
 def test_non_finite_coordinates_in_wide_points(spark, blocks):
     P = random_points(141, 20, 12)
     ids = sorted(P)
@@ -391,7 +411,9 @@ def test_core_set_hash_partitioning_and_seeded_start(spark, traversal):
     P = random_points(161, 48, 5)
     df = frame(spark, P)
     core = diversity.core_set(df, 3, 4, partitioning="hash", first=11).collect()
-    parts = {r["id"]: r["part"] for r in df.select("id", F.pmod(F.xxhash64("id"), F.lit(4)).alias("part")).collect()}
+    import hashlib
+
+    parts = {i: int(hashlib.md5(str(i).encode()).hexdigest()[:8], 16) % 4 for i in P}
     seeds = {r["id"]: r["h"] for r in df.select("id", F.xxhash64("id", F.lit(11)).alias("h")).collect()}
     for part in set(parts.values()):
         sub = {i: P[i] for i in P if parts[i] == part}
@@ -402,45 +424,42 @@ def test_core_set_hash_partitioning_and_seeded_start(spark, traversal):
         diversity.core_set(df, 3, 4, partitioning="range")
 
 
-def test_k_center_without_broadcast(spark, monkeypatch):
-    """Centre tables over the broadcast bound: checkpointed centres and a shuffle join."""
+def test_groups_with_null_and_short_groups(spark, traversal):
+    rows = [(i, [float(i * i % 17), float(i % 5)], "a" if i % 2 else None) for i in range(12)] + [(50, [1.0, 1.0], "b")]
+    df = spark.createDataFrame(rows, "id bigint, p array<double>, grp string")
+    with pytest.raises(ValueError):
+        kcenter.farthest_first(df, 3, by="grp")
+    got = kcenter.farthest_first(df, 3, by="grp", short_groups=True).collect()
+    for g in ("a", None, "b"):
+        sub = {i: p for i, p, x in rows if x == g}
+        want = bf_k_center(sub, min(3, len(sub)), min(sub))[0]
+        assert [r["id"] for r in sorted((r for r in got if r["grp"] == g), key=lambda r: r["ord"])] == want
+
+
+@pytest.mark.parametrize("value", [float("nan"), float("inf"), float("-inf")])
+def test_non_finite_coordinates_are_rejected(spark, traversal, value):
+    df = points_df(spark, [[0.0, 0.0], [1.0, value], [2.0, 2.0], [3.0, 1.0]])
+    for call in (lambda: kcenter.farthest_first(df, 2), lambda: diversity.core_set(df, 2, 2), lambda: diversity.greedy_matching(df, 2)):
+        with pytest.raises(ValueError):
+            call()
+
+
+@pytest.mark.parametrize("ids", [range(0, 160, 4), range(-20, 20), [7 * i + 3 for i in range(40)]])
+def test_parts_do_not_follow_the_ids(spark, ids):
+    P = {i: [float(n % 7), float(n * n % 11)] for n, i in enumerate(ids)}
+    core = diversity.core_set(frame(spark, P), 3, 4).collect()
+    assert {r["part"] for r in core} == {0, 1, 2, 3} and len(core) == 12
+    answer = diversity.diversity_maximization(frame(spark, P), 4, 4).collect()
+    assert sorted(r["round"] for r in answer) == [1, 1, 2, 2]
+
+
+def test_a_round_over_many_groups_is_quick(spark):
+    import time
+
     from pyspark.sql import functions as F
 
-    monkeypatch.setattr(kcenter, "IN_TASK_CELLS", 0)
-    monkeypatch.setattr(kcenter, "BROADCAST_BYTES", 0)
-    P = random_points(171, 30, 4, dups=3)
-    df = frame(spark, P)
-    got = kcenter.farthest_first(df, 5).orderBy("ord").collect()
-    ids, sel = bf_k_center(P, 5, min(P))
-    assert [r["id"] for r in got] == ids and [r["min_dist"] for r in got] == sel
-    rows = kcenter.farthest_first(df.withColumn("part", F.expr("(id div 3) % 2")), 3, by="part").collect()
-    for g in (0, 1):
-        sub = {i: p for i, p in P.items() if (i // 3) % 2 == g}
-        want = bf_k_center(sub, 3, min(sub))[0]
-        assert [r["id"] for r in sorted((r for r in rows if r["part"] == g), key=lambda r: r["ord"])] == want
-
-
-def test_local_table_literals_round_trip_exactly(spark):
-    import struct
-
-    from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
-
-    values = [0.1, -0.0, 5e-324, 1.7976931348623157e308, -2.2250738585072014e-308, 1 / 3, 123456789.123456789]
-    schema = StructType([StructField("g", IntegerType()), StructField("cid", LongType()),
-                         StructField("cp", ArrayType(DoubleType())), StructField("cmd", DoubleType())])
-    rows = [{"g": 0, "cid": 2 ** 62, "cp": values, "cmd": None}, {"g": -3, "cid": -1, "cp": values[::-1], "cmd": 0.5}]
-    got = kcenter._local_table(spark, rows, schema).collect()
-    bits = lambda xs: [struct.pack(">d", x) for x in xs]
-    assert [(r["g"], r["cid"], r["cmd"]) for r in got] == [(0, 2 ** 62, None), (-3, -1, 0.5)]
-    assert bits(got[0]["cp"]) == bits(values) and bits(got[1]["cp"]) == bits(values[::-1])
-    inf_rows = [{"g": 0, "cid": 1, "cp": [float("inf")], "cmd": 1.0}]
-    assert kcenter._local_table(spark, inf_rows, schema).collect()[0]["cp"] == [float("inf")]  # fallback path
-
-
-def test_global_rounds_without_driver_top1(spark, monkeypatch):
-    monkeypatch.setattr(kcenter, "IN_TASK_CELLS", 0)
-    monkeypatch.setattr(kcenter, "TOP1_MAX_TASKS", 0)  # force the partial-aggregate arg-max
-    P = random_points(181, 30, 6, dups=4)
-    got = kcenter.farthest_first(frame(spark, P).repartition(5), 6).orderBy("ord").collect()
-    ids, sel = bf_k_center(P, 6, min(P))
-    assert [r["id"] for r in got] == ids and [r["min_dist"] for r in got] == sel
+    wide = spark.range(12_000).select("id", F.array(*[(F.col("id") * (j + 1) % 97).cast("double") for j in range(64)]).alias("p"),
+                                      (F.col("id") % 4000).alias("grp"))
+    began = time.time()
+    assert kcenter.farthest_first(wide, 2, by="grp").count() == 8000
+    assert time.time() - began < 60

@@ -10,10 +10,10 @@ from dispersa.sources import text as text_src
 
 def test_objects_from_a_text_file(spark, tmp_path):
     path = tmp_path / "objects.txt"
-    path.write_text("0 Fantasy\n1 Western\n2 Fantasy\n3 Western\n4 Action\n5 Western")  # no final break
+    path.write_text("10 oak\n11 elm\n12 oak\n13 ash\n14 oak\n15 elm\n16 oak")  # no final break
     objs = text_src.parse_object_class(text_src.read_lines(spark, str(path)))
-    assert [tuple(r) for r in counts.class_count(objs, 2).collect()] == [("Action", 1), ("Fantasy", 2), ("Western", 3)]
-    assert counts.max_partition_size(objs, 2).first()["max_part"] == 3
+    assert [tuple(r) for r in counts.class_count(objs, 2).collect()] == [("ash", 1), ("elm", 2), ("oak", 4)]
+    assert counts.max_partition_size(objs, 2).first()["max_part"] == 4
 
 
 def test_points_from_a_text_file(spark, tmp_path):
