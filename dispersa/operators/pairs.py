@@ -37,19 +37,30 @@ from pyspark.sql import Window
 
 from dispersa.functions.distance import point_stats
 
-MAX_BLOCK = 8192        # points per block at most: bounds a group's memory (two blocks of
-                        # width 64: 8 MB) and run time; n*B copies are shuffled, so larger
-                        # blocks mean less replication
+MAX_BLOCK = 8192        # points per block at most: bounds a group's run time; n*B copies are
+                        # shuffled, so larger blocks mean less replication
+BLOCK_CELLS = 1 << 20   # coordinates per block at most (8 MB): bounds a group's memory at any width
+TASK_CELLS = 1 << 24    # coordinates of copies that one task reads (128 MB)
 MIN_BLOCK = 64          # below this, NumPy call overhead dominates
 CELLS_PER_CHUNK = 1 << 20   # distance-matrix cells computed at once
 GRAM_MIN_DIM = 8            # from this width up, candidates come from one BLAS product
 
 
-def block_count(n: int, parallelism: int) -> int:
-    """Blocks for ``n`` points: enough for ~4 block pairs per core, never blocks above MAX_BLOCK."""
+def block_rows(dim: int) -> int:
+    """Points per block at most, for points of width ``dim``."""
+    return max(1, min(MAX_BLOCK, BLOCK_CELLS // max(1, dim)))
+
+
+def task_count(groups: int, copies: int, dim: int, parallelism: int) -> int:
+    """Partitions of the copies: by their size, and at least two per core, but never more than groups."""
+    return max(1, min(groups, max(2 * parallelism, math.ceil(copies * max(1, dim) / TASK_CELLS))))
+
+
+def block_count(n: int, dim: int, parallelism: int) -> int:
+    """Blocks for ``n`` points: enough for ~4 block pairs per core, never blocks above ``block_rows``."""
     if n <= 1:
         return 1
-    by_size = math.ceil(n / MAX_BLOCK)
+    by_size = math.ceil(n / block_rows(dim))
     by_cores = math.ceil(math.sqrt(8 * max(1, parallelism)))
     return max(1, by_size, min(by_cores, math.ceil(n / MIN_BLOCK)))
 
@@ -246,7 +257,7 @@ def block_pairs(points: DataFrame, mode: str, m: int = 1, stats: dict | None = N
     n, dim = stats["n"], stats["dim"]
     spark = points.sparkSession
     parallelism = spark.sparkContext.defaultParallelism
-    B = block_count(n, parallelism)
+    B = block_count(n, dim, parallelism)
     groups = B * (B + 1) // 2
     blk = F.pmod(F.xxhash64("id"), F.lit(B)).cast("int")
     copies = (
@@ -254,7 +265,7 @@ def block_pairs(points: DataFrame, mode: str, m: int = 1, stats: dict | None = N
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(B - 1))))
         .select(F.least("blk", "other").alias("bi"), F.greatest("blk", "other").alias("bj"), "blk", "id", "p")
         # Explicit count: AQE must not coalesce these byte-small but CPU-heavy groups.
-        .repartition(max(1, min(groups, 2 * parallelism)), "bi", "bj")
+        .repartition(task_count(groups, n * B, dim, parallelism), "bi", "bj")
     )
     kernel = {"best": _best_kernel, "sum": _sum_kernel}.get(mode)
     fn = kernel(dim) if kernel else _partner_kernel(dim, m)
@@ -313,20 +324,22 @@ def cross_blocks(points: DataFrame, others: DataFrame, mode: str, n: int, k: int
     (both ``(id, p)``; ``n`` and ``k`` rows) without a cross join: points are hashed into
     ``Bp`` blocks and the set into ``Bs`` blocks, each side is copied to the other's
     blocks, and every ``(bp, bs)`` group is reduced in NumPy. Groups hold at most
-    ``MAX_BLOCK`` points of each side. ``min`` returns one row per point and group (take
+    ``block_rows(dim)`` points of each side. ``min`` returns one row per point and group (take
     the minimum per ``id`` afterwards); ``max`` one row per group; ``all`` every distance.
     """
     spark = points.sparkSession
     parallelism = spark.sparkContext.defaultParallelism
-    Bs = max(1, math.ceil(k / MAX_BLOCK))
-    Bp = max(1, math.ceil(n / MAX_BLOCK), min(math.ceil(4 * parallelism / Bs), math.ceil(n / MIN_BLOCK)))
+    rows = block_rows(dim)
+    Bs = max(1, math.ceil(k / rows))
+    Bp = max(1, math.ceil(n / rows), min(math.ceil(4 * parallelism / Bs), math.ceil(n / MIN_BLOCK)))
     p_side = points.select(
         F.explode(F.sequence(F.lit(0), F.lit(Bs - 1))).alias("bs"),
         F.pmod(F.xxhash64("id"), F.lit(Bp)).cast("int").alias("bp"), F.lit(0).alias("side"), "id", "p")
     s_side = others.select(
         F.pmod(F.xxhash64("id"), F.lit(Bs)).cast("int").alias("bs"),
         F.explode(F.sequence(F.lit(0), F.lit(Bp - 1))).alias("bp"), F.lit(1).alias("side"), "id", "p")
-    copies = p_side.unionByName(s_side).repartition(max(1, min(Bp * Bs, 2 * parallelism)), "bp", "bs")
+    copies = p_side.unionByName(s_side).repartition(
+        task_count(Bp * Bs, n * Bs + k * Bp, dim, parallelism), "bp", "bs")
     return copies.groupBy("bp", "bs").applyInArrow(_cross_kernel(dim, mode), _CROSS_SCHEMAS[mode])
 
 

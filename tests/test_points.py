@@ -463,3 +463,14 @@ def test_a_round_over_many_groups_is_quick(spark):
     began = time.time()
     assert kcenter.farthest_first(wide, 2, by="grp").count() == 8000
     assert time.time() - began < 60
+
+
+def test_block_and_task_sizes_follow_the_width():
+    for dim in (1, 64, 4096, 1 << 22):
+        assert 1 <= pairs.block_rows(dim) <= pairs.MAX_BLOCK
+        assert pairs.block_rows(dim) * dim <= max(pairs.BLOCK_CELLS, dim)
+    assert pairs.block_count(10 ** 6, 4096, 8) >= 10 ** 6 // 256
+    # On a session that starts with two cores the copies still spread by their size.
+    blocks = pairs.block_count(10 ** 6, 64, 2)
+    tasks = pairs.task_count(blocks * (blocks + 1) // 2, blocks * 10 ** 6, 64, 2)
+    assert blocks * 10 ** 6 * 64 / tasks <= 1.01 * pairs.TASK_CELLS
