@@ -8,13 +8,14 @@ documents share is asked for last and a set seldom meets others through it.
 
 1. Equal sets are one class, found by a fingerprint of the set; classes without a shared prefix token
    have no links and are done.
-2. Each class is compared with the hubs (smallest classes) of its first and its last shared token: two pairs each.
-   Links make components, so large families are joined in a number of pairs that grows with their size only.
-3. Token-group matrix: similar classes (of one component or with the same first shared token) form groups of
-   about ``GROUP`` members; the matrix holds which token occurs in which group's prefixes. A class asks the
-   groups of its prefix tokens, except those of its own component. A group that is asked opens for the
-   classes whose overlap with the union of its tokens reaches t |x|, and all its members are counted at
-   once; one link for each class and component of the group is kept.
+2. Each class is compared with one hub: of the smallest classes of its shared tokens the one that most of them
+   have. Links make components, so large families are joined in a number of pairs that grows with their size.
+3. Token-group matrix: similar classes (of one component or with the same most frequent token, and of like
+   size) form groups of about ``GROUP`` members; the matrix holds which token occurs in which group's
+   prefixes. A class counts its prefix tokens in each group and asks only the groups where a member could
+   still reach t with that many; groups of its own component are not asked. A group that is asked opens for
+   the classes whose overlap with the union of all its tokens reaches t |x|, and all its members are
+   counted at once; of the links in a task those are kept that join components.
 4. Components again, over all links.
 
 Every pair of linked classes is in one component: it is compared in step 2 or 3 unless it is joined already.
@@ -97,19 +98,20 @@ def _i64(x: np.ndarray) -> pa.Array:
 
 
 def classes(docs: DataFrame, id_col: str, text_col: str, join: Join) -> DataFrame:
-    """(id, n_shingles, c): the class is NULL for empty sets."""
+    """(id, n_shingles, c, h): the class, NULL for empty sets, and a hash of the text."""
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in T.slices(batch.column(1)):
                 s = sets_of(part, join)
+                here = batch.slice(part.first, part.rows)
                 c = pa.array(s.classes.view(np.int64), mask=s.sizes == 0)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(part.first, part.rows), pa.array(s.sizes, pa.int64()), c],
-                    ["id", "n_shingles", "c"])
+                yield pa.RecordBatch.from_arrays([here.column(0), pa.array(s.sizes, pa.int64()), c, here.column(2)],
+                                                 ["id", "n_shingles", "c", "h"])
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"id {kind}, n_shingles long, c long")
+    return docs.select(F.col(id_col), F.col(text_col), F.xxhash64(text_col)).mapInArrow(
+        run, f"id {kind}, n_shingles long, c long, h long")
 
 
 def _first_rows(s: Sets, seen: set[int]) -> np.ndarray:
@@ -122,25 +124,46 @@ def _first_rows(s: Sets, seen: set[int]) -> np.ndarray:
     return out
 
 
-def class_texts(docs: DataFrame, text_col: str, join: Join) -> DataFrame:
-    """(c, text): at least one row for each class, at most one a task."""
+def _bitmap(rows: DataFrame, column: str) -> np.ndarray:
+    """Bits of the first ``HOT_BITS`` bits of a column's values. Collected as at most 2**HOT_BITS / 32 words."""
+    slot = F.shiftrightunsigned(column, 64 - HOT_BITS)
+    bits = rows.select(F.shiftright(slot, 5).alias("word"), slot.bitwiseAND(F.lit(31)).alias("bit"))
+    bits = bits.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("bits")).toPandas()
+    out = np.zeros(1 << (HOT_BITS - 5), np.uint32)
+    out[bits["word"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.int64).astype(np.uint32)
+    return out
+
+
+def _marked(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    slot = (values >> T.U64(64 - HOT_BITS)).astype(np.int64)
+    return (bitmap[slot >> 5] >> (slot & 31).astype(np.uint32)) & np.uint32(1)
+
+
+def class_texts(docs: DataFrame, text_col: str, join: Join, placed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(c, text): one row for each class of ``wanted``. ``placed``: the classes of all documents. One text of
+    each class is picked by its hash; a bitmap of these keeps most other texts out of the shuffle, the join
+    the rest."""
+    picks = written(placed.join(wanted, "c", "left_semi").groupBy("c").agg(F.min("h").alias("h")), "class-picks")
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(picks, "h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
+            hashes = batch.column(1).to_numpy().view(np.uint64)
+            batch = batch.filter(pa.array(_marked(shared.value, hashes) > 0))
             for part in T.slices(batch.column(0)):
                 s = sets_of(part, join)
-                yield pa.RecordBatch.from_arrays(
-                    [_i64(s.classes), batch.column(0).slice(part.first, part.rows)], ["c", "text"]
-                ).filter(pa.array(_first_rows(s, seen)))
+                here = batch.slice(part.first, part.rows)
+                yield pa.RecordBatch.from_arrays([_i64(s.classes), here.column(1), here.column(0)],
+                                                 ["c", "h", "text"]).filter(pa.array(_first_rows(s, seen)))
 
-    return docs.select(F.col(text_col)).mapInArrow(run, "c long, text string")
+    texts = docs.select(F.col(text_col), F.xxhash64(text_col)).mapInArrow(run, "c long, h long, text string")
+    return written(texts.join(picks, ["c", "h"], "left_semi").dropDuplicates(["c"]).select("c", "text"), "class-texts")
 
 
 def frequent_tokens(docs: DataFrame, text_col: str, join: Join) -> np.ndarray:
-    """Bitmap of the tokens that more than ``HOT`` classes have among the first fifth of their names.
-    Collected as at most 2**HOT_BITS / 32 words. A token that shares a bit with a frequent one only moves in
-    the order, which every set follows alike."""
+    """Bitmap of the tokens that more than ``HOT`` classes have among the first fifth of their names. A token
+    that shares a bit with a frequent one only moves in the order, which every set follows alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -153,20 +176,12 @@ def frequent_tokens(docs: DataFrame, text_col: str, join: Join) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([_i64(s.tokens[keep])], ["tok"])
 
     counts = docs.select(F.col(text_col)).mapInArrow(run, "tok long").groupBy("tok").agg(F.count(F.lit(1)).alias("n"))
-    slot = F.shiftrightunsigned("tok", 64 - HOT_BITS)
-    words = counts.filter(F.col("n") > HOT).select(
-        F.shiftright(slot, 5).alias("word"), slot.bitwiseAND(F.lit(31)).alias("bit"))
-    words = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("bits")).toPandas()
-    out = np.zeros(1 << (HOT_BITS - 5), np.uint32)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
-    return out
+    return _bitmap(counts.filter(F.col("n") > HOT), "tok")
 
 
 def _ordered(s: Sets, hot: np.ndarray) -> np.ndarray:
     """Token ids whose unsigned order within each row is the join's order: rare ones first."""
-    slot = (s.tokens >> T.U64(64 - HOT_BITS)).astype(np.int64)
-    frequent = (hot[slot >> 5] >> (slot & 31).astype(np.uint32)) & np.uint32(1)
-    ids = (s.tokens >> T.U64(1)) | (frequent.astype(np.uint64) << T.U64(63))
+    ids = (s.tokens >> T.U64(1)) | (_marked(hot, s.tokens).astype(np.uint64) << T.U64(63))
     return ids[np.lexsort((ids, s.rows))]
 
 
@@ -198,14 +213,27 @@ def _may_link(join: Join, n1: str, i1: str, n2: str, i2: str):
         F.least(n1, n2) * 100 >= F.greatest(n1, n2) * join.percent)
 
 
-def _hub_links(shared: DataFrame, texts: DataFrame, join: Join) -> DataFrame:
-    """Links (a, b) of each class with the hubs of its first and its last shared token."""
+def _least_common(join: Join, n1, n2):
+    """Prefix tokens that two linked sets of these sizes share at least. All tokens up to the place where
+    the first of the two prefixes ends are known; beyond it one set has only n - prefix tokens left."""
+    t = join.percent
+    overlap = F.ceil((n1 + n2) * t / (100 + t))
+    return F.least(overlap - F.ceil(n1 * t / 100), overlap - F.ceil(n2 * t / 100)) + 1
+
+
+def _hub_pairs(shared: DataFrame, join: Join) -> DataFrame:
+    """(c, h): each class with the hub that most of its shared tokens have, if they are not too few for a
+    link (a class without one is left to the groups)."""
     hubs = shared.groupBy("tok").agg(F.min(F.struct("c", "n", "i")).alias("hub")).select(
         "tok", F.col("hub.c").alias("h"), F.col("hub.n").alias("hn"), F.col("hub.i").alias("hi"))
     asked = shared.join(hubs, "tok").filter((F.col("c") != F.col("h")) & _may_link(join, "n", "i", "hn", "hi"))
-    # The lowest and the highest place of a class, aggregated before the shuffle.
-    low = asked.groupBy("c").agg(F.min(F.struct("i", "h")).alias("one"), F.max(F.struct("i", "h")).alias("two"))
-    pairs = (low.select("c", F.explode(F.array("one.h", "two.h")).alias("h")).distinct())
+    pairs = asked.groupBy("c", "h", "n", "hn").agg(F.count(F.lit(1)).alias("common"))
+    pairs = pairs.filter(F.col("common") * 2 >= _least_common(join, F.col("n"), F.col("hn")))
+    return pairs.groupBy("c").agg(F.max(F.struct("common", "h")).getField("h").alias("h"))
+
+
+def _hub_links(pairs: DataFrame, texts: DataFrame, join: Join) -> DataFrame:
+    """Links (a, b) among the pairs."""
     both = (pairs.join(texts, "c").select("c", "h", F.col("text").alias("t"))
             .join(texts.select(F.col("c").alias("h"), F.col("text").alias("u")), "h").select("c", "h", "t", "u"))
 
@@ -229,27 +257,42 @@ def _token_lists(column: pa.Array, join: Join) -> list[np.ndarray]:
     return out
 
 
-def _group_links(shared: DataFrame, texts: DataFrame, labels: DataFrame, join: Join) -> DataFrame:
+def _group_links(docs: DataFrame, text_col: str, placed_docs: DataFrame, shared: DataFrame, labels: DataFrame,
+                 join: Join) -> DataFrame:
     """Links (a, b) between components, by the token-group matrix."""
     rows = shared.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
     # A token whose classes are all of one component leads to no new link.
-    mixed = rows.groupBy("tok").agg(F.min("label").alias("l"), F.max("label").alias("m")).filter("l != m").select("tok")
+    mixed = (rows.groupBy("tok").agg(F.min("label").alias("l"), F.max("label").alias("m"), F.count(F.lit(1)).alias("df"))
+             .filter("l != m").select("tok", "df"))
     rows = written(rows.join(mixed, "tok"), "matrix-rows")
-    # Groups: classes of one component, or single ones with the same first shared token.
-    kin = rows.groupBy("c").agg(F.min("label").alias("label"), F.min(F.struct("i", "tok")).getField("tok").alias("first"))
-    seeds = kin.withColumn("seed", F.when(F.col("label") != F.col("c"), F.col("label")).otherwise(F.col("first")))
+    # Groups: classes of one component, or single ones whose most frequent token is the same (so that a large
+    # family falls into few groups); sizes within a tenth.
+    kin = rows.groupBy("c", "n", "label").agg(F.max(F.struct("df", "tok")).getField("tok").alias("common"))
+    kind = F.when(F.col("label") != F.col("c"), F.col("label")).otherwise(F.col("common"))
+    seeds = kin.withColumn("seed", F.xxhash64(kind, F.floor(F.log(F.col("n")) / float(np.log(1.1)))))
     sizes = seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("members"))
     groups = written(seeds.join(sizes, "seed").select(
-        "c", "label", F.xxhash64("seed", F.pmod(F.xxhash64("c"), F.ceil(F.col("members") / GROUP))).alias("g")), "groups")
+        "c", "n", "label", F.xxhash64("seed", F.pmod(F.xxhash64("c"), F.ceil(F.col("members") / GROUP))).alias("g")), "groups")
     placed = rows.join(groups.select("c", "g"), "c")
-    # The matrix: per token and group the span of sizes and places, enough for the bounds.
-    matrix = placed.groupBy("tok", "g").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.min("label").alias("l"), F.max("label").alias("m"))
-    asks = (placed.withColumnRenamed("g", "own").join(matrix, "tok")
-            .filter((F.col("own") >= F.col("g")) & ((F.col("l") != F.col("label")) | (F.col("m") != F.col("label"))))
-            .filter((F.col("most") * 100 >= F.col("n") * join.percent) & (F.col("n") * 100 >= F.col("least") * join.percent))
-            .select("c", "g", "label").distinct())
+    # The matrix: token and group, with the span of the labels of the members that have the token.
+    matrix = placed.groupBy("tok", "g").agg(F.min("label").alias("l"), F.max("label").alias("m"))
+    extent = groups.groupBy("g").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    # A pair of groups is asked from one side only.
+    counted = (placed.withColumnRenamed("g", "own").join(matrix, "tok")
+               .filter((F.col("own") >= F.col("g")) & ((F.col("l") != F.col("label")) | (F.col("m") != F.col("label"))))
+               .groupBy("c", "g", "label", "n").agg(F.count(F.lit(1)).alias("common")))
+    t, n = join.percent, F.col("n")
+    # The bound falls with the size of the larger set and grows with the smaller one's.
+    low = F.ceil((n + F.col("least")) * t / (100 + t)) - F.ceil(n * t / 100)
+    high = F.ceil((n + F.col("most")) * t / (100 + t)) - F.ceil(F.col("most") * t / 100) - 1
+    asks = (counted.join(extent, "g")
+            .filter((F.col("most") * 100 >= n * t) & (n * 100 >= F.col("least") * t))
+            .filter(F.col("common") >= F.least(low, high) + 1)
+            .select("c", "g", "label"))
     asks = written(asks, "group-asks")
+    open_groups = asks.select("g").distinct()
+    texts = class_texts(docs, text_col, join, placed_docs, asks.select("c").unionByName(
+        groups.join(open_groups, "g", "left_semi").select("c")).distinct())
     dealt = asks.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / ASKERS).alias("deals"))
     queries = (asks.join(dealt, "g").withColumn("deal", F.pmod(F.xxhash64("c"), F.col("deals")))
                .join(texts, "c").select("g", "deal", "c", "label", "text"))
@@ -266,6 +309,14 @@ def _group_links(shared: DataFrame, texts: DataFrame, labels: DataFrame, join: J
         size = np.array([len(m) for m in members], np.int64)
         c, label = (group.column(n).to_numpy() for n in ("c", "label"))
         a, b = [], []
+        joined: dict[int, int] = {}  # components that links of this task have joined
+
+        def root(x: int) -> int:
+            while (up := joined.get(x, x)) != x:
+                joined[x] = joined.get(up, up)
+                x = up
+            return x
+
         for lo in range(0, asking.num_rows, 256):
             part = asking.slice(lo, 256)
             lists = _token_lists(part.column("text").combine_chunks(), join)
@@ -278,9 +329,11 @@ def _group_links(shared: DataFrame, texts: DataFrame, labels: DataFrame, join: J
                 at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[have], n)
                 common = np.bincount(owner[at], minlength=len(members))
                 hit = np.flatnonzero(join.links(common, len(x), size) & (label != ql))
-                _, one = np.unique(label[hit], return_index=True)  # one link to each component
-                a += [q] * len(one)
-                b += c[hit[one]].tolist()
+                for m, other in zip(c[hit].tolist(), label[hit].tolist()):
+                    if (x1 := root(ql)) != (x2 := root(other)):  # else a path joins them already
+                        joined[x1] = x2
+                        a.append(q)
+                        b.append(m)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return queries.groupBy("g", "deal").cogroup(members.groupBy("g", "deal")).applyInArrow(opened, "a long, b long")
@@ -288,19 +341,20 @@ def _group_links(shared: DataFrame, texts: DataFrame, labels: DataFrame, join: J
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", join: Join = Join()) -> DataFrame:
     """One row per document row: id, n_shingles, component_id."""
+    placed = written(classes(docs, id_col, text_col, join), "classes")
     hot = frequent_tokens(docs, text_col, join)
     rows = prefixes(docs, text_col, join, hot)
     again = rows.groupBy("tok").agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1").select("tok")
     # Copies of a class from several tasks meet here.
     shared = written(rows.join(again, "tok").distinct(), "shared-prefixes")
-    alive = shared.select("c").distinct()
-    texts = written(class_texts(docs, text_col, join).join(alive, "c", "left_semi").dropDuplicates(["c"]), "class-texts")
-    links = written(_hub_links(shared, texts, join), "hub-links")
+    pairs = written(_hub_pairs(shared, join), "hub-pairs")
+    wanted = pairs.select("c").unionByName(pairs.select(F.col("h").alias("c"))).distinct()
+    texts = class_texts(docs, text_col, join, placed, wanted)
+    links = written(_hub_links(pairs, texts, join), "hub-links")
     labels = connected(links)
-    links = links.unionByName(_group_links(shared, texts, labels, join))
+    links = links.unionByName(_group_links(docs, text_col, placed, shared, labels, join))
     labels = connected(written(links, "links"))
-    placed = (classes(docs, id_col, text_col, join).join(labels, "c", "left")
-              .withColumn("label", F.coalesce("label", "c")))
+    placed = placed.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
     least = placed.filter("label is not null").groupBy("label").agg(F.min("id").alias("component_id"))
     return placed.join(least, "label", "left").select(
         F.col("id").alias(id_col), "n_shingles",
