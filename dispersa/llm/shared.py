@@ -53,15 +53,17 @@ class RecentCache:
             return found
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
-            found = [None] * len(keys)
-        missing = dict.fromkeys([k for k, v in zip(keys, found) if v is None])
+        gaps = [i for i, v in enumerate(found) if v is None]
+        young, old = self.young, self.old
         ask = []
-        for k in missing:
-            v = self.old.get(k)
+        for k in {keys[i] for i in gaps}:
+            v = old.get(k)
             if v is None:
                 ask.append(k)
             else:
-                self.young[k] = v
+                young[k] = v
         if ask:
-            self.young.update(zip(ask, make(ask)))
-        return list(map(self.young.__getitem__, keys))
+            young.update(zip(ask, make(ask)))
+        for i in gaps:
+            found[i] = young[keys[i]]
+        return found

@@ -11,8 +11,8 @@ without the tokens. Format version 2 writes ids as DELTA_BINARY_PACKED once the
 ``read_tokens`` adds ``start``, the number of ids of all documents before.
 
 Encoding is cached twice per worker: by white-space chunk and by pre-token. Plain chunks (ASCII and
-Latin-1 letters) are cut into pre-tokens here; anything else goes to the library as it is. The library
-turns every pre-token into ids.
+Latin-1 letters) are cut into pre-tokens here, whose ids come from the library's model; anything else goes
+through the library's whole chain.
 
 Defined results: NULL and empty texts have only the end id; rows with equal ids follow each other in the
 order of their text's hash, exact repeats in any order (they are alike); rows with a NULL id come first; an
@@ -35,8 +35,9 @@ from pyspark.sql import functions as F
 from dispersa.llm import text as T
 from dispersa.llm.shared import RecentCache, new_path, per_worker
 
-CACHED_CHUNKS = 200_000  # per generation in a worker, some 40 MB
-CACHED_WORDS = 200_000
+CACHED_CHUNKS = 120_000  # per generation in a worker, some 25 MB
+CACHED_WORDS = 120_000
+BROADCAST_FILES = 100_000  # file starts up to this number are sent to all executors (2 MB)
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
 
@@ -54,11 +55,21 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.plain = _splits_words(path)
+        self.model = self.library.model
+        # The byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on.
+        other = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+        self.alphabet = {b: 256 + i for i, b in enumerate(other)}
         self.chunks, self.words = RecentCache(CACHED_CHUNKS), RecentCache(CACHED_WORDS)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
 
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of lower-case pre-tokens, straight from the library's model."""
+        tokenize, alphabet = self.model.tokenize, self.alphabet
+        return [np.array([t.id for t in tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(alphabet))],
+                         "<u4").tobytes() for w in words]
+
     def _chunk_ids(self, chunks: list[bytes]) -> list[bytes]:
         """Ids of white-space chunks."""
         out: list[bytes] = [b""] * len(chunks)
@@ -73,7 +84,7 @@ class Encoder:
                 words += found
             else:
                 other.append(i)
-        ids = self.words.get_all(words, self._library)
+        ids = self.words.get_all(words, self._word_ids)
         for i, lo, hi in cuts:
             out[i] = b"".join(ids[lo:hi])
         if other:
@@ -143,6 +154,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
         starts.append((r.file_no, total))
         total += r.n
     files = spark.createDataFrame(starts, "file_no int, files_before long")
+    if len(starts) <= BROADCAST_FILES:
+        files = F.broadcast(files)
     return (rows.join(files, "file_no")
             .withColumn("start", F.col("files_before") + F.col("file_start"))
             .drop("files_before"))
