@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18  # working arrays of a slice take some 100 times its bytes
 
 # White space that ends a word: space and U+0009 to U+000D.
 SPACE = np.zeros(256, bool)
