@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from dispersa.llm import decontamination, jaccard_groups, quality_rules, sentencepiece_codec, suffix_dedup
 from dispersa.llm.queries import vocabulary
-from dispersa.llm.shared import written
+from dispersa.llm.shared import small_batches, written
 from dispersa.sources.tables import table
 
 
@@ -31,22 +31,27 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return _counted(quality_rules.clean_documents(docs))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return jaccard_groups.keep_one(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return _counted(suffix_dedup.remove_repeats(docs))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return _counted(decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark")))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return sentencepiece_codec.round_trip(docs, vocabulary("piece_bpe_32k.model"))
 
 

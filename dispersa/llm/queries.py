@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dispersa.llm import (attention_lm, decontamination, jaccard_groups, line_crf, quality_rules, sentencepiece_codec,
                           sharding, suffix_dedup, token_files, url_filter)
-from dispersa.sources.tables import table
+from dispersa.llm.shared import small_batches
+from dispersa.sources import tables
 
 
 TOKENIZER_DIR = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -25,6 +26,11 @@ def vocabulary(name: str) -> str:
         return os.path.join(TOKENIZER_DIR, name)
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
+    return tables.table(spark, sf_dir, name)
+
+
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.match_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 

@@ -14,6 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from dispersa.session import checkpoint_dir
 
 
+ARROW_ROWS, ARROW_BYTES = 2_000, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches between executors and Python workers for tables of long texts: the default
+    of 10,000 rows is some 40 MB of documents, held several times over. Called by the queries and the
+    pipeline's stages, not by the operators."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A new folder name under the session's checkpoint folder."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
