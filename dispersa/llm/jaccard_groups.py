@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from dispersa.llm import text as T
 from dispersa.llm.components import connected
-from dispersa.llm.shared import written
+from dispersa.llm.shared import release_worker, written
 
 HOT = 32
 HOT_BITS = 24  # log2 of the bitmap's bits: 2 MB
@@ -102,6 +102,7 @@ def classes(docs: DataFrame, id_col: str, text_col: str, join: Join) -> DataFram
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         for batch in batches:
             for part in T.slices(batch.column(1)):
                 s = sets_of(part, join)
@@ -147,6 +148,7 @@ def class_texts(docs: DataFrame, text_col: str, join: Join, placed: DataFrame, w
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(picks, "h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         seen: set[int] = set()
         for batch in batches:
             hashes = batch.column(1).to_numpy().view(np.uint64)
@@ -166,6 +168,7 @@ def frequent_tokens(docs: DataFrame, text_col: str, join: Join) -> np.ndarray:
     that shares a bit with a frequent one only moves in the order, which every set follows alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         seen: set[int] = set()
         for batch in batches:
             for part in T.slices(batch.column(0)):
@@ -191,6 +194,7 @@ def prefixes(docs: DataFrame, text_col: str, join: Join, hot: np.ndarray) -> Dat
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         seen: set[int] = set()
         for batch in batches:
             for part in T.slices(batch.column(0)):
@@ -238,6 +242,7 @@ def _hub_links(pairs: DataFrame, texts: DataFrame, join: Join) -> DataFrame:
             .join(texts.select(F.col("c").alias("h"), F.col("text").alias("u")), "h").select("c", "h", "t", "u"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dispersa.llm import text as T
+from dispersa.llm.shared import release_worker
 
 # Characters that count as symbols, ends of a sentence, separators of a navigation line
 # and phrases of page furniture.
@@ -169,6 +170,7 @@ def judge_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text without its failing lines (lines without a word stay)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         for batch in batches:
             for part in T.slices(batch.column(1)):
                 got = _judge(part, rules)
@@ -210,6 +212,7 @@ def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fields = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         at = columns.index(text_col)
         for batch in batches:
             for part in T.slices(batch.column(at)):

@@ -48,6 +48,15 @@ def per_worker(key: Any, make: Callable[[], Any]) -> Any:
     return store[key]
 
 
+def release_worker() -> None:
+    """Drops what ``per_worker`` keeps in this process: for tasks of operators without a cache, whose workers
+    may have served an encoder before."""
+    store = sys.modules.get("_dispersa_worker_cache")
+    if store is not None:
+        for key in [k for k in vars(store) if isinstance(k, tuple)]:
+            del vars(store)[key]
+
+
 class RecentCache:
     """A mapping of bounded size in two generations: when the young one is full it becomes the old one,
     and what is asked for again returns from the old one. Only saves work; results do not depend on it."""

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dispersa.llm import text as T
-from dispersa.llm.shared import new_path, written
+from dispersa.llm.shared import new_path, release_worker, written
 
 GRAM = 24
 BLOCK = 16
@@ -161,6 +161,7 @@ def _scan(texts: DataFrame, make: Callable, extra: str | None, schema: str) -> D
     names = [x.strip().split(" ")[0] for x in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         for batch in batches:
             for part in T.slices(batch.column(1)):
                 keys = batch.column(0).slice(part.first, part.rows)
