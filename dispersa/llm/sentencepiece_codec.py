@@ -32,8 +32,9 @@ from dispersa.llm import text as T
 from dispersa.llm.shared import RecentCache, per_worker
 
 SPACE = "▁"
-CHUNK = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
-CACHED_CHUNKS = 150_000  # of each of two generations in a worker: some 60 MB
+CHUNK = re.compile(" *[^ \n]+| +|\n")
+CACHED_CHUNKS = 100_000  # of each of two generations in a worker: some 60 MB
+CACHED_PAIRS = 300_000  # tested joins of two tokens: some 40 MB
 
 
 class Codec:
@@ -70,7 +71,7 @@ class Codec:
         self.ids = pieces
         self.text = {i: p for p, i in pieces.items()}
         self.parts: dict[int, tuple[int, int]] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
         alphabet = [p for p in pieces if len(p) == 1]
         self.matcher = ahocorasick.Automaton()
         for p in alphabet:
@@ -117,44 +118,40 @@ class Codec:
                 # A merge across the border of the same rank would stand to the left of this one.
                 limit, right = b + 1, parts[right][0]
 
-    def _compatible(self, left: int, right: int) -> bool:
-        got = self._pairs.get((left, right))
-        if got is None:
-            if len(self._pairs) > 1_000_000:
-                self._pairs.clear()
-            got = self._pairs[(left, right)] = self.joins(left, right)
+    def _compatible(self, pair: int) -> bool:
+        if len(self._pairs) > CACHED_PAIRS:
+            self._pairs.clear()
+        got = self._pairs[pair] = self.joins(pair >> 32, pair & 0xFFFFFFFF)
         return got
 
     def _word(self, chunk: str) -> list[int]:
         """Ids of a chunk with at most one space sign, at its start."""
         n = len(chunk)
-        last: list[int] = [-1] * (n + 1)  # the last token of each prefix; -1: none (a character outside)
-        size: list[int] = [0] * (n + 1)
-        known: list[int] = [0] * (n + 1)  # 1: the prefix ends after a character of the vocabulary
+        last = [-1] * (n + 1)  # the last token of each prefix; -1: it ends in a character outside
+        size = [1] * (n + 1)
+        known = self._pairs.get
         for end, (length, token) in self.matcher.iter(chunk):
-            at = end + 1 - length
-            if length == 1:
-                known[end + 1] = 1
-            if at and known[at] and not self._compatible(last[at], token):
-                continue
-            if at and not known[at] and not self._outside(chunk, at):
-                continue
-            last[end + 1], size[end + 1] = token, length
+            end += 1
+            if last[end] >= 0:
+                continue  # found: it is the only one
+            before = last[end - length] if end > length else -1
+            if before >= 0:
+                pair = before << 32 | token
+                fits = known(pair)
+                if not (self._compatible(pair) if fits is None else fits):
+                    continue
+            last[end], size[end] = token, length
         out: list[int] = []
         i = n
         while i > 0:
-            if known[i]:
+            if last[i] >= 0:
                 out.append(last[i])
-                i -= size[i]
             else:
                 out += [self.byte_id[b] for b in reversed(chunk[i - 1].encode())]
-                i -= 1
+            i -= size[i]
         out.reverse()
         return out
 
-    def _outside(self, chunk: str, at: int) -> bool:
-        return chunk[at - 1] not in self.ids
-
     def _spaces(self, n: int) -> list[int]:
         """A run of n space signs: the longest run piece again and again, then the rest."""
         longest = max(self.space_runs, default=1)
@@ -170,6 +167,7 @@ class Codec:
         return out
 
     def chunk_ids(self, chunk: str) -> list[int]:
+        chunk = chunk.replace(" ", SPACE)
         run = len(chunk) - len(chunk.lstrip(SPACE))
         if run == len(chunk):
             return self._spaces(run)
@@ -182,7 +180,8 @@ class Codec:
         return self._spaces(run - 1) + ids
 
     def chunks(self, text: str) -> list[str]:
-        return CHUNK.findall(SPACE + text.replace(" ", SPACE)) if text else []
+        """Chunks with plain spaces; the space sign in a text is a space as well."""
+        return CHUNK.findall(" " + text.replace(SPACE, " ")) if text else []
 
     def encode(self, text: str) -> list[int]:
         return [i for c in self.chunks(text) for i in self.chunk_ids(c)]
@@ -193,10 +192,10 @@ class Codec:
             raw = raw[1:]
         return raw.decode("utf-8", "replace")
 
-    def entry(self, chunk: str) -> tuple[int, str, bytes, list[int]]:
-        """Number of ids, ids as text, their surfaces, ids."""
+    def entry(self, chunk: str) -> tuple[int, str, bytes]:
+        """Number of ids, ids as text, their surfaces."""
         ids = self.chunk_ids(chunk)
-        return len(ids), ",".join(map(str, ids)), b"".join(map(self.surface.__getitem__, ids)), ids
+        return len(ids), ",".join(map(str, ids)), b"".join(map(self.surface.__getitem__, ids))
 
 
 def _entries(model_path: str) -> tuple[Codec, RecentCache]:
@@ -223,7 +222,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for here, rows in _batches(batches, model_path, names.index(text_col)):
-            ids = [[i for e in entries for i in e[3]] for entries in rows]
+            ids = [[int(i) for e in entries for i in e[1].split(",")] for entries in rows]
             yield pa.RecordBatch.from_arrays(
                 [here.column(names.index(n)) for n in keep] + [pa.array(ids, pa.list_(pa.int32()))], [*keep, ids_col])
 
