@@ -60,9 +60,9 @@ def shingle_set(text, width=4):
     return {tuple(w[i: i + width]) for i in range(max(1, len(w) - width + 1))}
 
 
-def components(ids, texts, percent=85):
+def components(ids, texts, percent=85, width=4):
     """(n_shingles, smallest id of the component) of each row by comparing all pairs."""
-    sets = [shingle_set(t) for t in texts]
+    sets = [shingle_set(t, width) for t in texts]
     parent = list(range(len(ids)))
 
     def root(x):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import pyarrow.parquet as pq
 import pytest
@@ -68,3 +69,19 @@ def test_pipeline_matches_brute_force(spark, tmp_path):
         ids = library.encode(text)
         want[i] = (len(ids), hashlib.sha256(library.decode(ids).encode()).hexdigest())
     assert got == want
+
+
+def prose(rng, n):
+    return " ".join(rng.choice("abcdefgh") + str(rng.randint(0, 999)) for _ in range(n))
+
+
+def test_near_copies_from_eighty_percent_go(spark):
+    """The stage against all pairs; 396 of 476 five-word shingles are a similarity of 0.832."""
+    rng = random.Random(3)
+    docs = [prose(rng, 400) for _ in range(4)]
+    docs += [docs[0] + " " + prose(rng, 80), docs[1] + " " + prose(rng, 110), docs[2].upper()]
+    rows = list(enumerate(docs))
+    parts = cases.components(list(range(len(docs))), docs, percent=80, width=5)
+    want = [i for i, (_, least) in enumerate(parts) if i == least]
+    got = corpus_pipeline.near_copies(spark, cases.frame(spark, rows), SF).collect()
+    assert sorted(r.doc_id for r in got) == want == [0, 1, 2, 3, 5]
