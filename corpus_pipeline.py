@@ -3,7 +3,7 @@
     quality rules        rejected documents go, failing lines are cut out of the others
     n-gram Jaccard join  one document of each component of near copies stays (the smallest id); near copies
                          share 80 % of their five-word shingles
-    suffix-array dedup   byte strings of 400 that occur again are cut out
+    suffix-array dedup   byte strings of 400 and runs of 51 words that occur again are cut out
     decontamination      word runs of benchmark items are cut out; documents that are mostly such runs go
     SentencePiece        ids of the remaining texts: n_tokens and digests of ids and decoded text
 
@@ -23,6 +23,7 @@ from dispersa.llm.shared import small_batches, written
 from dispersa.sources.tables import table
 
 NEAR = jaccard_groups.Join(width=5, percent=80)  # op10's query keeps its own 4 words and 85 %
+PASSAGE_WORDS = 51  # most runs of so many words are under op7's 400 bytes
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -45,7 +46,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    return _counted(suffix_dedup.remove_repeats(docs))
+    return _counted(suffix_dedup.remove_repeats(docs, words=PASSAGE_WORDS))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

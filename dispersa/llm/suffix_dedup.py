@@ -1,4 +1,5 @@
-"""Removal of byte strings of ``length`` bytes that occur more than once in the corpus.
+"""Removal of byte strings of ``length`` bytes that occur more than once in the corpus, and, if ``words`` is
+given, of runs of as many words.
 
 Distributed prefix doubling on sampled positions. Sorting the suffixes at every byte of a corpus moves
 many times its size, so positions are sampled by content: the start p of a ``length``-byte string is
@@ -16,6 +17,10 @@ All starts of one anchor share the ``core``, the ``length - window + 1`` bytes f
    for the others to match.
 3. The ranges found are merged per text and cut out.
 
+Runs of words go the same way over the names of the words in place of bytes: all lengths and places then
+count words, and the ranges found become bytes (first word's start to last word's end) when they are merged.
+Words are equal byte for byte; the white space between them is free.
+
 Exact copies are one text throughout. Distinct texts are written once, bucketed by key, so the passes over
 them need no shuffle of text. No step gathers the members of a rank: counts are aggregated before the
 shuffle and joined back, so a passage in a third of all documents is no hot group.
@@ -23,7 +28,8 @@ shuffle and joined back, so a passage in a third of all documents is no hot grou
 Fingerprints are 64 bits over random byte codes (two different strings agree with a chance of about
 2**-60); texts are keyed by 60 bits of their MD5, copies are found by the whole MD5.
 
-Defined results: NULL is an empty text; a text shorter than ``length`` is kept whole; matches never cross
+Defined results: NULL is an empty text; a text shorter than ``length`` and of fewer words than ``words`` is kept
+whole; matches never cross
 texts; the same string twice in one document counts, overlaps included; repeated rows are copies; repeated
 or NULL ids are no problem (rows are never matched by id); an empty table gives no rows; extra columns are
 kept by ``remove_repeats`` and ignored by ``repeat_report``.
@@ -52,6 +58,7 @@ class Shape(NamedTuple):
     length: int
     window: int
     gram: int
+    in_words: bool = False  # lengths and places count words, not bytes
 
     @property
     def core(self) -> int:
@@ -63,11 +70,11 @@ class Shape(NamedTuple):
         return sorted({max(1, -(-self.core // 4)), max(1, -(-self.core // 2)), self.core})
 
 
-def shape(length: int) -> Shape:
+def shape(length: int, in_words: bool = False) -> Shape:
     if length < 1:
         raise ValueError("length must be at least 1")
     window = max(1, length * 8 // 25)
-    return Shape(length, window, max(1, min(GRAM, length - window + 1)))
+    return Shape(length, window, max(1, min(GRAM, length - window + 1)), in_words)
 
 
 def _sliding_min(keys: np.ndarray, width: int) -> np.ndarray:
@@ -125,8 +132,16 @@ def _size(text_col: str) -> Column:
     return F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long")
 
 
-def distinct_texts(docs: DataFrame, text_col: str, s: Shape) -> DataFrame:
-    """The distinct texts of at least ``length`` bytes as a table (k, digest, text) bucketed by k."""
+def _long(text_col: str, length: int, words: int | None) -> Column:
+    """Whether a text has ``length`` bytes or ``words`` words."""
+    if words is None:
+        return _size(text_col) >= length
+    n_words = F.regexp_count(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]+"))
+    return (_size(text_col) >= length) | ((_size(text_col) >= 2 * words - 1) & (n_words >= words))
+
+
+def distinct_texts(docs: DataFrame, text_col: str, length: int, words: int | None) -> DataFrame:
+    """The distinct texts of at least ``length`` bytes or ``words`` words as a table (k, digest, text) bucketed by k."""
     spark = docs.sparkSession
     digest, key = _key(text_col)
 
@@ -140,7 +155,7 @@ def distinct_texts(docs: DataFrame, text_col: str, s: Shape) -> DataFrame:
                 seen.add(d)
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    long_texts = docs.filter(_size(text_col) >= s.length).select(key.alias("k"), digest.alias("digest"), F.col(text_col).alias("text"))
+    long_texts = docs.filter(_long(text_col, length, words)).select(key.alias("k"), digest.alias("digest"), F.col(text_col).alias("text"))
     once = long_texts.mapInArrow(once_per_task, "k long, digest string, text string")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"dispersa_texts_{uuid.uuid4().hex[:12]}"
@@ -155,7 +170,13 @@ def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(more, keys)
 
 
-def _scan(texts: DataFrame, make: Callable, extra: str | None, schema: str) -> DataFrame:
+def _word_slice(part: T.Slice) -> T.Slice:
+    """The slice with the names of its words in place of its bytes."""
+    starts, ends, before = T.words(part.data, part.bounds)
+    return T.Slice(part.first, T.Fingerprints(part.data).of(starts, ends), before)
+
+
+def _scan(texts: DataFrame, make: Callable, s: Shape, extra: str | None, schema: str) -> DataFrame:
     """``make(key, slice, lists)`` over the texts gives Arrow columns; ``extra``: an array column."""
 
     names = [x.strip().split(" ")[0] for x in schema.split(",")]
@@ -166,7 +187,7 @@ def _scan(texts: DataFrame, make: Callable, extra: str | None, schema: str) -> D
             for part in T.slices(batch.column(1)):
                 keys = batch.column(0).slice(part.first, part.rows)
                 lists = batch.column(2).slice(part.first, part.rows) if extra else None
-                yield pa.RecordBatch.from_arrays(make(keys, part, lists), names)
+                yield pa.RecordBatch.from_arrays(make(keys, _word_slice(part) if s.in_words else part, lists), names)
 
     return texts.select("k", "text", *([extra] if extra else [])).mapInArrow(run, schema)
 
@@ -247,10 +268,10 @@ def _settle(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def repeated_ranges(texts: DataFrame, s: Shape) -> DataFrame:
-    """(k, start, stop): bytes of the texts that repeated strings cover; may overlap."""
-    first = _scan(texts, _first_ranks(s), None, "k long, pos int, rank long")
+    """(k, start, stop, in_words): bytes or words of the texts that repeated strings cover; may overlap."""
+    first = _scan(texts, _first_ranks(s), s, None, "k long, pos int, rank long")
     lists = (_repeated(first, ["rank"]).groupBy("k").agg(F.collect_list("pos").alias("found")))
-    rows = written(_scan(texts.join(lists, "k"), _anchor_rows(s), "found",
+    rows = written(_scan(texts.join(lists, "k"), _anchor_rows(s), s, "found",
                          "k long, pos int, lo int, hi int, follow array<long>, span long"), "anchors")
     # Prefix doubling: the pair of a rank and the rank of the bytes that follow is the next rank.
     ranked = rows.withColumn("rank", F.col("follow")[0])
@@ -263,12 +284,12 @@ def repeated_ranges(texts: DataFrame, s: Shape) -> DataFrame:
         if block == 1 and s.window == 1:
             break  # cores are whole strings already
         finer = finer.groupBy("k").agg(F.collect_list(F.struct("pos", "lo", "hi", "sure")).alias("ranges"))
-        level = written(_scan(texts.join(finer, "k"), _block_rows(s, block), "ranges",
+        level = written(_scan(texts.join(finer, "k"), _block_rows(s, block), s, "ranges",
                               "k long, pos int, lo int, hi int, sure boolean, core long, span long"), "blocks")
         more, finer = _settle(level)
         repeats = repeats.unionByName(more)
     return repeats.select("k", (F.col("pos") - F.col("hi")).alias("start"),
-                          (F.col("pos") - F.col("lo") + s.length).alias("stop"))
+                          (F.col("pos") - F.col("lo") + s.length).alias("stop"), F.lit(s.in_words).alias("in_words"))
 
 
 def _merge(start: np.ndarray, stop: np.ndarray) -> list[tuple[int, int]]:
@@ -282,21 +303,33 @@ def _merge(start: np.ndarray, stop: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def repeats_by_text(docs: DataFrame, text_col: str, length: int) -> DataFrame:
+def _in_bytes(raw: pa.Buffer, start: np.ndarray, stop: np.ndarray, in_words: np.ndarray) -> list[tuple[int, int]]:
+    """Merged ranges in bytes of ranges of bytes and of words."""
+    if in_words.any():
+        begins, ends, _ = T.words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        a, b = np.array(_merge(start[in_words], stop[in_words]), np.int64).T
+        start, stop = np.append(start[~in_words], begins[a]), np.append(stop[~in_words], ends[b - 1])
+    return _merge(start, stop)
+
+
+def repeats_by_text(docs: DataFrame, text_col: str, length: int, words: int | None = None) -> DataFrame:
     """(digest, cuts, kept_sha256) of the texts with something to remove, without exact copies: cuts are
     start, stop, start, stop, ... of the merged ranges in bytes."""
-    s = shape(length)
-    texts = distinct_texts(docs, text_col, s)
-    ranges = repeated_ranges(texts, s).groupBy("k").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
+    texts = distinct_texts(docs, text_col, length, words)
+    found = repeated_ranges(texts, shape(length))
+    if words is not None:
+        found = found.unionByName(repeated_ranges(texts, shape(words, True)))
+    ranges = found.groupBy("k").agg(F.collect_list(F.struct("start", "stop", "in_words")).alias("ranges"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cuts, kept = [], []
             offsets, values = batch.column(2).offsets.to_numpy(), batch.column(2).values
-            start, stop = (values.field(n).to_numpy() for n in ("start", "stop"))
+            start, stop, in_words = (values.field(n).to_numpy(zero_copy_only=False) for n in ("start", "stop", "in_words"))
             for r, text in enumerate(batch.column(1)):
                 raw = text.as_buffer()
-                merged = _merge(start[offsets[r]: offsets[r + 1]], stop[offsets[r]: offsets[r + 1]])
+                own = slice(offsets[r], offsets[r + 1])
+                merged = _in_bytes(raw, start[own], stop[own], in_words[own])
                 cuts.append([x for span in merged for x in span])
                 kept.append(hashlib.sha256(_without(memoryview(raw), cuts[-1])).hexdigest())
             yield pa.RecordBatch.from_arrays(
@@ -315,9 +348,9 @@ def _without(raw: memoryview | bytes, cuts: list[int]) -> bytes:
     return b"".join([*out, bytes(raw[at:])])
 
 
-def _copies(docs: DataFrame, text_col: str, length: int) -> DataFrame:
-    """Digests of texts of at least ``length`` bytes that several rows have."""
-    return (docs.filter(_size(text_col) >= length).groupBy(_key(text_col)[0].alias("digest"))
+def _copies(docs: DataFrame, text_col: str, length: int, words: int | None = None) -> DataFrame:
+    """Digests of texts of at least ``length`` bytes or ``words`` words that several rows have."""
+    return (docs.filter(_long(text_col, length, words)).groupBy(_key(text_col)[0].alias("digest"))
             .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", F.lit(True).alias("copied")))
 
 
@@ -338,14 +371,14 @@ def repeat_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.when(copied, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.coalesce("kept_sha256", "whole")).alias("kept_sha256"))
 
 
-def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 400) -> DataFrame:
-    """``docs`` with all rows and columns, repeated bytes cut out of the text (bytes that are no longer
+def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 400, words: int | None = None) -> DataFrame:
+    """``docs`` with all rows and columns, repeated bytes (and runs of ``words`` words) cut out of the text (bytes that are no longer
     whole characters at a cut become U+FFFD). Texts without repeats are returned unchanged."""
     names = docs.columns
     key, cut_col, copy_col = ("_digest", "_cuts", "_copied")
     while {key, cut_col, copy_col} & set(names):
         key, cut_col, copy_col = "_" + key, "_" + cut_col, "_" + copy_col
-    found = (_copies(docs, text_col, length).join(repeats_by_text(docs, text_col, length), "digest", "full")
+    found = (_copies(docs, text_col, length, words).join(repeats_by_text(docs, text_col, length, words), "digest", "full")
              .select(F.col("digest").alias(key), F.col("cuts").alias(cut_col), F.col("copied").alias(copy_col)))
     joined = docs.withColumn(key, _key(text_col)[0]).join(found, key, "left").select(*names, cut_col, copy_col)
 

@@ -77,12 +77,14 @@ def _powers(n: int, base: int) -> np.ndarray:
 
 class Fingerprints:
     """64-bit names of any substrings of ``data`` in constant time each (polynomial prefix sums
-    modulo 2**64 over random byte codes). Equal strings have equal names wherever they stand."""
+    modulo 2**64 over random byte codes). Equal strings have equal names wherever they stand. ``data`` of
+    64-bit names (of words) stands for itself."""
 
     def __init__(self, data: np.ndarray):
         n = len(data)
         self.sums = np.zeros(n + 1, U64)
-        np.cumsum(_CODE[data] * _powers(n, _BASE), out=self.sums[1:])
+        codes = _CODE[data] if data.dtype == np.uint8 else data
+        np.cumsum(codes * _powers(n, _BASE), out=self.sums[1:])
         self.back = _powers(n + 1, _BASE_INV)
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:

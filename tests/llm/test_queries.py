@@ -85,3 +85,12 @@ def test_near_copies_from_eighty_percent_go(spark):
     want = [i for i, (_, least) in enumerate(parts) if i == least]
     got = corpus_pipeline.near_copies(spark, cases.frame(spark, rows), SF).collect()
     assert sorted(r.doc_id for r in got) == want == [0, 1, 2, 3, 5]
+
+
+def test_shared_passage_of_51_words_goes(spark):
+    rng = random.Random(4)
+    passage, shorter = prose(rng, 51), prose(rng, 50)
+    assert len(passage) < 400
+    rows = [(k, f"{prose(rng, 60)} {passage} {prose(rng, 60)} {shorter} {prose(rng, 9)}") for k in range(3)]
+    got = corpus_pipeline.repeated_passages(spark, cases.frame(spark, rows), SF).collect()
+    assert {r.doc_id: r.text for r in got} == {k: t.replace(passage, "") for k, t in rows}

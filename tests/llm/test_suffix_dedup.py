@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -45,3 +46,49 @@ def test_remove_repeats_cuts_the_text_only(spark):
     out = S.remove_repeats(cases.frame(spark, rows))
     assert out.columns == cases.empty(spark).columns
     assert {r.doc_id: r.text for r in out.collect()} == {1: "before  after", 2: "", 3: "clean", 4: None}
+
+
+def without_repeats(texts, length, words):
+    """Texts without byte strings of ``length`` and runs of ``words`` words that occur twice, by comparing all."""
+    raws = [t.encode() for t in texts]
+    seen = Counter(r[p: p + length] for r in raws for p in range(len(r) - length + 1))
+    places = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", r)] for r in raws]
+    run = lambda r, at, p: tuple(r[a:b] for a, b in at[p: p + words])
+    runs = Counter(run(r, at, p) for r, at in zip(raws, places) for p in range(len(at) - words + 1))
+    out = []
+    for r, at in zip(raws, places):
+        cover = bytearray(len(r))
+        for p in range(len(r) - length + 1):
+            if seen[r[p: p + length]] > 1:
+                cover[p: p + length] = b"\1" * length
+        hit = set()
+        for p in range(len(at) - words + 1):
+            if runs[run(r, at, p)] > 1:
+                hit.update(range(p, p + words))
+        for w in hit:
+            a, b = at[w][0], at[w + 1][0] if w + 1 in hit else at[w][1]
+            cover[a:b] = b"\1" * (b - a)
+        out.append(bytes(b for b, c in zip(r, cover) if not c).decode("utf-8", "replace"))
+    return out
+
+
+def test_runs_of_words_match_brute_force(spark):
+    rng = random.Random(8)
+    some = lambda n: [rng.choice(["a", "bé", "c,", "dddd", "日本"]) + str(rng.randint(0, 40)) for _ in range(n)]
+    join = lambda w: "".join(x + rng.choice([" ", " ", "\n", "  "]) for x in w)
+    passages = [some(n) for n in (50, 51, 52, 70, 90)]
+    texts = []
+    for _ in range(30):
+        p, q = rng.choice(passages), rng.choice(passages)
+        texts.append(join(some(rng.randint(0, 40)) + p + some(rng.randint(0, 5)) + q[rng.randint(0, 30):]))
+    texts += [join(some(60)) for _ in range(5)] + ["x" * 450 + " end", "y " + "x" * 450, ""]
+    rows = list(enumerate(dict.fromkeys(texts)))
+    got = {r.doc_id: r.text for r in S.remove_repeats(cases.frame(spark, rows), words=51).collect()}
+    assert got == dict(enumerate(without_repeats([t for _, t in rows], 400, 51)))
+
+
+def test_copies_of_short_words_are_repeats(spark):
+    short = " ".join("abcdefghij"[i % 10] for i in range(51))  # 101 bytes
+    rows = [(1, short), (2, short), (3, short[:-2]), (4, "other " + short)]
+    got = {r.doc_id: r.text for r in S.remove_repeats(cases.frame(spark, rows), words=51).collect()}
+    assert got == {1: "", 2: "", 3: short[:-2], 4: "other "}
