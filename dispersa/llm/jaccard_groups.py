@@ -115,12 +115,13 @@ def classes(docs: DataFrame, id_col: str, text_col: str, join: Join) -> DataFram
         run, f"id {kind}, n_shingles long, c long, h long")
 
 
-def _first_rows(s: Sets, seen: set[int]) -> np.ndarray:
-    """Rows with a non-empty set whose class this task has not had yet."""
+def _first_rows(s: Sets, seen: set, hashes: np.ndarray | None = None) -> np.ndarray:
+    """Rows with a non-empty set whose class this task has not had yet (with ``hashes``: whose class and hash)."""
     out = np.zeros(len(s.classes), bool)
-    for r, (c, n) in enumerate(zip(s.classes.tolist(), s.sizes.tolist())):
-        if n and c not in seen:
-            seen.add(c)
+    keys = s.classes.tolist() if hashes is None else list(zip(s.classes.tolist(), hashes.tolist()))
+    for r, (key, n) in enumerate(zip(keys, s.sizes.tolist())):
+        if n and key not in seen:
+            seen.add(key)
             out[r] = True
     return out
 
@@ -143,21 +144,23 @@ def _marked(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
 def class_texts(docs: DataFrame, text_col: str, join: Join, placed: DataFrame, wanted: DataFrame) -> DataFrame:
     """(c, text): one row for each class of ``wanted``. ``placed``: the classes of all documents. One text of
     each class is picked by its hash; a bitmap of these keeps most other texts out of the shuffle, the join
-    the rest."""
+    the rest. A task may meet texts of a class that pass by a shared bit before the picked one, so it keeps one
+    row of each class and hash."""
     picks = written(placed.join(wanted, "c", "left_semi").groupBy("c").agg(F.min("h").alias("h")), "class-picks")
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(picks, "h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_worker()
-        seen: set[int] = set()
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
             hashes = batch.column(1).to_numpy().view(np.uint64)
             batch = batch.filter(pa.array(_marked(shared.value, hashes) > 0))
             for part in T.slices(batch.column(0)):
                 s = sets_of(part, join)
                 here = batch.slice(part.first, part.rows)
+                first = _first_rows(s, seen, here.column(1).to_numpy())
                 yield pa.RecordBatch.from_arrays([_i64(s.classes), here.column(1), here.column(0)],
-                                                 ["c", "h", "text"]).filter(pa.array(_first_rows(s, seen)))
+                                                 ["c", "h", "text"]).filter(pa.array(first))
 
     texts = docs.select(F.col(text_col), F.xxhash64(text_col)).mapInArrow(run, "c long, h long, text string")
     return written(texts.join(picks, ["c", "h"], "left_semi").dropDuplicates(["c"]).select("c", "text"), "class-texts")

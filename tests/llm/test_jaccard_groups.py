@@ -63,3 +63,13 @@ def test_keep_one(spark):
                                          (7, None), (None, "a b c d e")]))
     assert out.columns == cases.empty(spark).columns
     assert Counter(r.doc_id for r in out.collect()) == Counter([3, 3, 4, 7, None])
+
+
+def test_picked_text_of_a_class_survives_shared_bits(spark, monkeypatch):
+    monkeypatch.setattr(J, "HOT_BITS", 5)  # every text passes the bitmap
+    base = [f"alpha{k} beta{k} gamma{k} delta{k} epsilon{k}" for k in range(60)]
+    rows = [(i, f(t)) for i, (t, f) in enumerate((t, f) for t in base for f in (str.upper, str.title, str))]
+    docs = cases.frame(spark, rows).select("doc_id", "text").coalesce(1)
+    placed = J.classes(docs, "doc_id", "text", J.Join())
+    got = J.class_texts(docs, "text", J.Join(), placed, placed.select("c").distinct()).collect()
+    assert sorted(r.text.lower() for r in got) == sorted(base)
