@@ -60,6 +60,27 @@ def test_shares_and_classes_sum_to_one():
     assert np.allclose(np.bincount(voc.of_class, weights=np.exp(voc.log_share), minlength=A.CLASSES), 1)
 
 
+def test_every_training_id_is_a_target_once(spark):
+    """Targets of all rounds against the ids of all documents, each with the ids before it."""
+    rows = cases.awkward() + [(20 + n, "word " * n) for n in range(30)]
+    lists = [r.ids for r in A.training_ids(cases.frame(spark, rows), "text", PATH).collect()]
+    end = A.subwords(PATH).end
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+    got = Counter()
+    for number in range(A.ROUNDS):
+        for part in A.windows(np.concatenate(lists), bounds, end, number, A.ROUNDS):
+            assert part.shape[1] == A.WINDOW + 1 and len(part) <= A.BATCH
+            got.update(map(tuple, part.tolist()))
+    want = Counter()
+    for ids in lists:
+        padded = [-1] * A.HALF + [end] + ids + [-1] * A.HALF
+        want.update(tuple(padded[t: t + A.WINDOW + 1]) for t in range(0, len(ids), A.HALF))
+    assert got == want
+    assert sum(x >= 0 for w, n in got.items() for _ in range(n) for x in w[A.HALF + 1:]) == sum(map(len, lists))
+    text = dict(rows)[9]
+    assert any(np.array_equal(x, A.code(next(A.T.slices(A.pa.array([text]))), A.subwords(PATH)).ids) for x in lists)
+
+
 def base(rows, learn):
     tokens = lambda t: [w for w in cases.words((t or "").translate(cases.LOWER))] + [None]
     c = Counter(w for i, t in rows if learn(i) for w in tokens(t))
