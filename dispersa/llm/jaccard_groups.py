@@ -347,8 +347,8 @@ def _group_links(docs: DataFrame, text_col: str, placed_docs: DataFrame, shared:
     return queries.groupBy("g", "deal").cogroup(members.groupBy("g", "deal")).applyInArrow(opened, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", join: Join = Join()) -> DataFrame:
-    """One row per document row: id, n_shingles, component_id."""
+def _components(docs: DataFrame, id_col: str, text_col: str, join: Join) -> DataFrame:
+    """One row per document row: id, n_shingles, h (the hash of its text), component_id."""
     placed = written(classes(docs, id_col, text_col, join), "classes")
     hot = frequent_tokens(docs, text_col, join)
     rows = prefixes(docs, text_col, join, hot)
@@ -365,14 +365,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = placed.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
     least = placed.filter("label is not null").groupBy("label").agg(F.min("id").alias("component_id"))
     return placed.join(least, "label", "left").select(
-        F.col("id").alias(id_col), "n_shingles",
+        F.col("id").alias(id_col), "n_shingles", "h",
         F.when(F.col("label").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", join: Join = Join()) -> DataFrame:
+    """One row per document row: id, n_shingles, component_id."""
+    return _components(docs, id_col, text_col, join).select(id_col, "n_shingles", "component_id")
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", join: Join = Join()) -> DataFrame:
     """``docs`` with all columns, without the documents that are not the smallest id of their component.
-    Rows that repeat the smallest id stay together; rows with a NULL id stay."""
-    found = near_duplicates(docs.select(id_col, text_col), id_col, text_col, join)
-    gone = found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
+    Rows that repeat the smallest id stay together; rows with a NULL id stay; of an id with several texts only
+    the rows go whose text is a near copy."""
+    found = _components(docs.select(id_col, text_col), id_col, text_col, join)
+    gone = found.filter(F.col(id_col) != F.col("component_id")).select(
+        F.col(id_col).alias("_gone"), F.col("h").alias("_gone_h")).distinct()
     gone = written(gone, "near-copies")
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    return docs.join(gone, (docs[id_col] == gone["_gone"]) & (F.xxhash64(docs[text_col]) == gone["_gone_h"]), "left_anti")

@@ -73,3 +73,9 @@ def test_picked_text_of_a_class_survives_shared_bits(spark, monkeypatch):
     placed = J.classes(docs, "doc_id", "text", J.Join())
     got = J.class_texts(docs, "text", J.Join(), placed, placed.select("c").distinct()).collect()
     assert sorted(r.text.lower() for r in got) == sorted(base)
+
+
+def test_keep_one_keeps_other_texts_of_an_id(spark):
+    rows = [(1, "a b c d e"), (2, "a b c d e"), (2, "quite another text stands here")]
+    out = J.keep_one(cases.frame(spark, rows))
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == [rows[0], rows[2]]
