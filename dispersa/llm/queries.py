@@ -6,9 +6,10 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dispersa.llm import (attention_lm, decontamination, jaccard_groups, line_crf, quality_rules, sentencepiece_codec,
-                          sharding, suffix_dedup, token_files, url_filter)
+                          sharding, suffix_dedup, token_files, url_filter, whitening)
 from dispersa.llm.shared import small_batches
 from dispersa.sources import tables
 
@@ -83,6 +84,11 @@ def op10_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whitening.whiten(table(spark, sf_dir, "embeddings"), components=16, scale=64, offset=1_000_000)
+    return whitened.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))  # NULL beyond a long
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_attention_lm": op2_attention_lm,
@@ -94,4 +100,5 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_line_crf": op9_line_crf,
     "op10_jaccard_groups": op10_jaccard_groups,
+    "op11_whitening": op11_whitening,
 }
