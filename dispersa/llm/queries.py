@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dispersa.llm import (attention_lm, decontamination, jaccard_groups, line_crf, quality_rules, sentencepiece_codec,
+from dispersa.llm import (attention_lm, chat_windows, decontamination, jaccard_groups, line_crf, quality_rules, sentencepiece_codec,
                           sharding, suffix_dedup, token_files, url_filter, whitening)
 from dispersa.llm.shared import small_batches
 from dispersa.sources import tables
@@ -89,6 +89,15 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))  # NULL beyond a long
 
 
+def op12_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    planted = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    return chat_windows.read_back(chat_windows.format_windows(rows, budget=1024, history=256))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_attention_lm": op2_attention_lm,
@@ -101,4 +110,5 @@ QUERIES = {
     "op9_line_crf": op9_line_crf,
     "op10_jaccard_groups": op10_jaccard_groups,
     "op11_whitening": op11_whitening,
+    "op12_chat_windows": op12_chat_windows,
 }
