@@ -8,8 +8,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dispersa.llm import (attention_lm, chat_windows, decontamination, jaccard_groups, line_crf, quality_rules, sentencepiece_codec,
-                          sharding, suffix_dedup, token_files, url_filter, whitening)
+from dispersa.llm import (attention_lm, chat_windows, decontamination, jaccard_groups, line_crf, prefix_trie, quality_rules,
+                          sentencepiece_codec, sharding, suffix_dedup, token_files, url_filter, whitening)
 from dispersa.llm.shared import small_batches
 from dispersa.sources import tables
 
@@ -98,6 +98,10 @@ def op12_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_windows.read_back(chat_windows.format_windows(rows, budget=1024, history=256))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(prefix_trie.rebuild(table(spark, sf_dir, "conversations"), every=20, borrowed=4))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_attention_lm": op2_attention_lm,
@@ -111,4 +115,5 @@ QUERIES = {
     "op10_jaccard_groups": op10_jaccard_groups,
     "op11_whitening": op11_whitening,
     "op12_chat_windows": op12_chat_windows,
+    "op13_prefix_trie": op13_prefix_trie,
 }
