@@ -291,7 +291,7 @@ def prefix_trie(paths: DataFrame, shard_turns: int = SHARD_TURNS) -> DataFrame:
         yield from _batches(shard_nodes(_rows(batches), places), _NODE, _KINDS)
 
     fields = "path binary, words binary, n bigint, least bigint, ends string"
-    dealt = classes.mapInArrow(shard_of, f"{fields}, shard int").repartition(len(borders) + 1, "shard").sortWithinPartitions("path")
+    dealt = classes.mapInArrow(shard_of, f"{fields}, shard int").repartitionById(len(borders) + 1, "shard").sortWithinPartitions("path")
     schema = ", ".join(f"{c} {'string' if c == 'ends_sha256' else 'bigint'}" for c in _NODE)
     found = written(dealt.drop("shard").mapInArrow(local, schema), "nodes")
     partial = found.where("place IS NOT NULL").groupBy("place").agg(

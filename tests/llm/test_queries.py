@@ -24,12 +24,12 @@ def test_query_equals_sql(spark, name):
     assert compare(spark, duck(SF), name, QUERIES[name], ORACLE[name], SF)["status"] == "MATCH"
 
 
-def test_ten_queries_are_registered():
+def test_queries_are_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert [n for k in range(1, 11) for n in names if n.startswith(f"op{k}_")] and "pipeline" in names
-    assert len([n for n in names if n.startswith("op")]) == 10
+    assert [n for k in range(1, 14) for n in names if n.startswith(f"op{k}_")] and "pipeline" in names
+    assert len([n for n in names if n.startswith("op")]) == 13
 
 
 def test_pipeline_matches_brute_force(spark, tmp_path):
@@ -71,6 +71,35 @@ def test_pipeline_matches_brute_force(spark, tmp_path):
     assert got == want
 
 
+def rows_of(name, *cols):
+    return list(zip(*(pq.read_table(f"{SF}/{name}.parquet").column(c).to_pylist() for c in cols)))
+
+
+def test_whitening_of_the_table(spark):
+    from tests.llm.test_whitening import check
+
+    got = QUERIES["op11_whitening"](spark, SF)
+    assert dict(got.dtypes)["deviation"] == "bigint"
+    check(got.collect(), rows_of("embeddings", "vec_id", "embedding"), 16)
+
+
+def test_chat_windows_of_the_table(spark):
+    from tests.llm.test_chat_windows import digests
+
+    rows = rows_of("conversations", "conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    got = QUERIES["op12_chat_windows"](spark, SF).collect()
+    assert {tuple(r)[:5] for r in got} == digests(rows + [(-7, 0, "user", said), (-7, 1, "assistant", said)])
+    assert all(r.formatted_chars > r.loss_chars for r in got)
+
+
+def test_prefix_trie_of_the_table(spark):
+    from tests.llm.test_prefix_trie import brute
+
+    got = QUERIES["op13_prefix_trie"](spark, SF).collect()
+    assert {tuple(r) for r in got} == brute(rows_of("conversations", "conv_id", "turn", "role", "text"))
+
+
 def prose(rng, n):
     return " ".join(rng.choice("abcdefgh") + str(rng.randint(0, 999)) for _ in range(n))
 
