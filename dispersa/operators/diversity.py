@@ -2,16 +2,20 @@
 
 ``greedy_matching(points, k)`` takes ``k//2`` times the farthest pair of points not yet
 taken, then (odd ``k``) the smallest remaining id: the reference's sequential
-2-approximation for remote-clique. Instead of re-scanning all pairs in every round, one
-all-pairs pass keeps, for every point, its ``k-1`` farthest partners. That list is
-enough, exactly: in round ``r`` at most ``k-2`` points are taken, and if ``(a, b)`` is
-the farthest remaining pair (ties: smallest ``(a, b)``), then ``b`` is ``a``'s best
-partner among the points not taken — any better or equally far, smaller partner ``c``
-would make ``(a, c)`` win — so ``b`` is within ``a``'s first ``(taken + 1) <= k-1``
-partners. The rounds then scan ``n*(k-1)`` candidate pairs instead of ``n^2/2`` pairs.
+2-approximation for remote-clique. One Spark action finds all pairs:
+
+* Partner lists: for every point its ``k-1`` farthest partners. In round ``r`` at most
+  ``k-2`` points are taken, and if ``(a, b)`` is the farthest remaining pair (ties: smallest
+  ``(a, b)``), then ``b`` is ``a``'s best partner among the points not taken — any better or
+  equally far, smaller partner ``c`` would make ``(a, c)`` win — so ``b`` is within ``a``'s
+  first ``(taken + 1) <= k-1`` partners, and ``a`` within ``b``'s: the pair is mutual.
+* A point is in at most ``k-1`` mutual pairs, so a pick takes itself and at most ``2(k-2)``
+  others out of play, and the ``r``-th pick is among the first ``(r-1)(2k-3) + 1`` mutual
+  pairs: at most ``k*k`` pairs, an ordered limit, decide all rounds.
 
 Partner lists are capped at ``PARTNERS_MAX`` and rebuilt over the remaining points once
-that many could have been taken, so large ``k`` never materialises all pairs.
+that many could have been taken, so large ``k`` never materialises all pairs: one action
+up to ``k = PARTNERS_MAX + 1``, then one for every ``PARTNERS_MAX / 2`` rounds.
 
 ``diversity_maximization(points, k, L)``: core-set = ``k`` farthest-first centres per part
 (``L`` parts), all parts advancing together, then greedy matching on the ``L*k``
@@ -23,6 +27,8 @@ point twice; here the smallest remaining pair at distance 0 is taken instead.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +45,7 @@ def _rounds_frame(points: DataFrame, picks: dict[int, int]) -> DataFrame:
     return points.join(rounds, "id").select("round", "id", "p")
 
 
-PARTNERS_MAX = 32   # partner-list length; lists are rebuilt when more points are taken
+PARTNERS_MAX = 1024   # partner-list length; lists are rebuilt when more points are taken
 
 
 def _without(points: DataFrame, taken: list[int]) -> DataFrame:
@@ -51,14 +57,20 @@ def _without(points: DataFrame, taken: list[int]) -> DataFrame:
     return points.join(ids, "id", "left_anti")
 
 
+def _first_pairs(points: DataFrame, M: int, rounds: int, stats: dict) -> DataFrame:
+    """``(i, j, sqd)``: the first mutual pairs of partner lists of length ``M``, enough for ``rounds`` picks."""
+    mutual = pairs.top_partners(points, M, stats=stats).groupBy(
+        F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).agg(
+        F.max("sqd").alias("sqd"), F.count(F.lit(1)).alias("sides")).where("sides = 2")
+    return mutual.select("i", "j", "sqd").orderBy(F.col("sqd").desc(), "i", "j").limit((rounds - 1) * (2 * M - 1) + 1)
+
+
 def greedy_matching(points: DataFrame, k: int, stats: dict | None = None) -> DataFrame:
     """``(round, id, p)``: pairs get rounds ``1..k//2``, the odd point round ``k//2 + 1``.
 
     If ``k >= n`` every point is returned with round 0 (as the reference returns all).
     Partner lists hold ``M = min(k-1, PARTNERS_MAX)`` entries and stay exact while fewer
-    than ``M`` points have been taken since they were built (see the module docstring), so
-    they are rebuilt over the remaining points every ``(M+1)//2`` rounds: at most ``n*M``
-    candidate pairs exist at any time, never all pairs.
+    than ``M`` points have been taken since they were built (see the module docstring).
     """
     if k < 1:
         raise ValueError("k must be >= 1")
@@ -67,38 +79,26 @@ def greedy_matching(points: DataFrame, k: int, stats: dict | None = None) -> Dat
     n = stats["n"]
     if k >= n:
         return points.select(F.lit(0).alias("round"), "id", "p")
-    taken: list[int] = []
     picks: dict[int, int] = {}
-    rounds = k // 2
-    if rounds:
-        M = min(k - 1, PARTNERS_MAX)
-        per_build = (M + 1) // 2
-        r = 1
-        while r <= rounds:
-            rest = _without(points, taken)
-            rest_stats = {**stats, "n": n - len(taken)}
-            cand = pairs.top_partners(rest, M, stats=rest_stats).select(
-                F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "sqd"
-            ).groupBy("i", "j").agg(F.max("sqd").alias("sqd")).persist()
-            try:
-                built_at = len(taken)
-                for _ in range(per_build):
-                    if r > rounds:
-                        break
-                    since = taken[built_at:]
-                    live = cand.where(~F.col("i").isin(since) & ~F.col("j").isin(since)) if since else cand
-                    best = live.agg(
-                        F.max_by(F.struct("i", "j"), F.struct("sqd", -F.col("i"), -F.col("j"))).alias("b")
-                    ).first()["b"]
-                    taken += [int(best["i"]), int(best["j"])]
-                    picks[int(best["i"])] = r
-                    picks[int(best["j"])] = r
-                    r += 1
-            finally:
-                cand.unpersist()
-    if k % 2:
-        odd = _without(points, taken).agg(F.min("id").alias("m")).first()["m"]
-        picks[int(odd)] = k // 2 + 1
+    rounds, r = k // 2, 1
+    M = min(k - 1, PARTNERS_MAX)
+    while r <= rounds or len(picks) < k:
+        now = min((M + 1) // 2, rounds - r + 1)
+        rest = _without(points, list(picks))
+        asked = []
+        if now:
+            asked.append(_first_pairs(rest, M, now, {**stats, "n": n - len(picks)}))
+        if k % 2 and r + now > rounds:  # the odd point: the smallest id that the picks of this action leave
+            asked.append(rest.select(F.col("id").alias("i"), F.lit(None).cast("bigint").alias("j"),
+                                     F.lit(None).cast("double").alias("sqd")).orderBy("i").limit(2 * now + 1))
+        rows = reduce(DataFrame.unionByName, asked).collect()
+        for row in sorted((x for x in rows if x["j"] is not None), key=lambda x: (-x["sqd"], x["i"], x["j"])):
+            if r <= rounds and now and row["i"] not in picks and row["j"] not in picks:
+                picks[row["i"]] = picks[row["j"]] = r
+                r, now = r + 1, now - 1
+        left = [x["i"] for x in rows if x["j"] is None and x["i"] not in picks]
+        if left:
+            picks[min(left)] = rounds + 1
     return _rounds_frame(points, picks)
 
 

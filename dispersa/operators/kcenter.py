@@ -1,28 +1,29 @@
 """Farthest-first traversal (k-center) over a point set, globally or per group.
 
 Round 0 picks a first centre per group; each of the next ``k-1`` rounds picks, per group,
-the unchosen point farthest from its group's chosen centres. Every point carries its
-running ``min_dist`` to the centres chosen so far, so the whole traversal costs
-``O(n*k)`` distance evaluations, as the reference requires, and each round is one Spark
-job: the farthest open point per group (a partial-aggregated ``max_by``), whose new
-centres reach the points as exact literals (no group column) or through an equal join on
-the group (null-safe: NULL is a group like any other).
+the unchosen point farthest from its group's chosen centres, at ``O(n*k)`` distances in all
+as the reference requires.
 
 All groups advance together, whatever their size, so no group is ever gathered into one
 task: a group that holds a third of all points is scanned by as many tasks as the data
-has partitions. Small and large inputs take the same rounds.
-State handling (the points with their running ``min_dist``): Spark re-caches every cached
-plan built on a DataFrame that is unpersisted, so an older cached copy may only be dropped
-once the newer one no longer contains it in its plan. A small state (``k`` copies within
-CACHE_CELLS) is therefore persisted every round and released at the end. A large state is
-written as a reliable checkpoint every ``persist_every`` rounds (default 4) and cached as
-the new base; the previous base is then dropped, and the rounds between compute lazily from
-the base (at most ``persist_every - 1`` extra distances per point, no writes). One copy is
-cached at a time, and lineage never reaches back further than one base.
-The centres of a round are detached from the state they came from: through the driver if
-the centres of all rounds are few (CENTRE_CELLS), else through the checkpoint folder.
-Ties go to the smallest id (the reference's "lowest index wins"); chosen points are
-masked by id, so duplicates of a centre can still be chosen later, as in the reference.
+has partitions. Ties go to the smallest id (the reference's "lowest index wins"); chosen
+points are masked by id, so duplicates of a centre can still be chosen later.
+
+While the centres of all groups are few (CENTRE_CELLS numbers, GROUPS_MAX groups) they pass
+through the driver and a pass over the points settles as many rounds as its candidates prove
+(``operators.candidates``): one pass for a small set, at most ``k - 1`` for any.
+
+Beyond that the centres stay DataFrames and each round is one Spark job: the farthest open
+point per group (a partial-aggregated ``max_by``), whose new centres reach the points through
+an equal join on the group (null-safe: NULL is a group like any other), with every point's
+running ``min_dist`` as state. Spark re-caches every cached plan built on a DataFrame that is
+unpersisted, so an older cached copy may only be dropped once the newer one no longer contains
+it in its plan. A small state (``k`` copies within CACHE_CELLS) is therefore persisted every
+round and released at the end. A large state is written as a reliable checkpoint every
+``persist_every`` rounds (default 4) and cached as the new base; the previous base is then
+dropped, and the rounds between compute lazily from the base (at most ``persist_every - 1``
+extra distances per point, no writes). One copy is cached at a time, and lineage never reaches
+back further than one base.
 """
 
 from __future__ import annotations
@@ -31,13 +32,17 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, IntegralType, StringType
 
 from dispersa.functions.distance import has_bad_coordinate, sqdist
 from dispersa.functions.sampling import fast_order
+from dispersa.operators import candidates
 from dispersa.session import cut_lineage
 
 CENTRE_CELLS = 1 << 20       # centres of all rounds up to this many numbers pass through the driver (8 MB)
 CACHE_CELLS = 1 << 27        # k cached copies of the state may hold this many coordinates
+GROUPS_MAX = 4096            # groups whose centres may pass through the driver
+PLAIN = (BooleanType, DateType, IntegralType, StringType)  # group types whose values are dictionary keys
 
 
 def farthest_first(
@@ -73,24 +78,49 @@ def farthest_first(
         start = F.min_by(F.struct("id", "p"), F.struct(fast_order("id", int(first)), F.col("id")))
     bad = has_bad_coordinate("p")
     # Round 0 and validation in one pass: first centre, size, widths and bad coordinates per group.
-    init = (
-        pts.groupBy(g)
-        .agg(start.alias("c"), F.count(F.lit(1)).alias("c_n"), F.min(F.size("p")).alias("dmin"),
-             F.max(F.size("p")).alias("dmax"), F.sum(F.when(bad, 1).otherwise(0)).alias("bad"))
-        .persist()
-    )
+    init = pts.groupBy(g).agg(
+        start.alias("c"), F.count(F.lit(1)).alias("c_n"), F.min(F.size("p")).alias("dmin"),
+        F.max(F.size("p")).alias("dmax"), F.sum(F.when(bad, 1).otherwise(0)).alias("bad"))
+    if CENTRE_CELLS and isinstance(pts.schema[g].dataType, PLAIN):
+        rows = init.limit(GROUPS_MAX + 1).collect()
+        if len(rows) <= GROUPS_MAX and all(r["dmin"] is None or k * len(rows) * (r["dmax"] + 4) <= CENTRE_CELLS for r in rows):
+            return _few_groups(pts, by, g, rows, k, short_groups)
+    return _many_groups(pts, by, g, init.persist(), k, checkpoint_every, persist_every, short_groups)
+
+
+def _check(groups: int, smallest, dmin, dmax, bad: int, k: int, short_groups: bool) -> None:
+    if not groups:
+        raise ValueError("farthest_first: empty point set")
+    if bad:
+        raise ValueError(f"farthest_first: {bad} point(s) hold NULL, NaN or infinite coordinates")
+    if dmin != dmax:
+        raise ValueError(f"farthest_first: mixed widths {dmin} and {dmax}")
+    if smallest < k and not short_groups:
+        raise ValueError(f"farthest_first: a group holds {smallest} points, fewer than k={k}")
+
+
+def _few_groups(pts: DataFrame, by: str | None, g: str, rows: list, k: int, short_groups: bool) -> DataFrame:
+    """The traversal by candidates; ``rows``: first centre, size and widths of every group."""
+    _check(len(rows), min((r["c_n"] for r in rows), default=0), min((r["dmin"] or 0 for r in rows), default=0),
+           max((r["dmax"] or 0 for r in rows), default=0), sum(r["bad"] for r in rows), k, short_groups)
+    sizes = {r[g]: int(r["c_n"]) for r in rows}
+    dim = int(rows[0]["dmin"])
+    first = {r[g]: (int(r["c"]["id"]), list(r["c"]["p"])) for r in rows}
+    found = candidates.traverse(pts.withColumnRenamed(g, "g"), k, first, sizes, dim,
+                                cache=sum(sizes.values()) * (dim + 2) <= CACHE_CELLS)
+    kind = pts.schema[g].dataType.simpleString()
+    out = pts.sparkSession.createDataFrame(found, f"`{g}` {kind}, ord int, id bigint, p array<double>, min_dist double")
+    return out if by else out.drop(g)
+
+
+def _many_groups(pts: DataFrame, by: str | None, g: str, init: DataFrame, k: int, checkpoint_every: int,
+                 persist_every: int, short_groups: bool) -> DataFrame:
+    """One job a round over a DataFrame of centres, for any number of groups."""
     chk = init.agg(F.min("c_n").alias("smallest"), F.sum("c_n").alias("n"), F.count(F.lit(1)).alias("groups"),
                    F.min("dmin").alias("dmin"), F.max("dmax").alias("dmax"), F.sum("bad").alias("bad")).first()
     held: list[DataFrame] = [init]
     try:
-        if not chk["groups"]:
-            raise ValueError("farthest_first: empty point set")
-        if chk["dmin"] != chk["dmax"]:
-            raise ValueError(f"farthest_first: mixed widths {chk['dmin']} and {chk['dmax']}")
-        if chk["bad"]:
-            raise ValueError(f"farthest_first: {chk['bad']} point(s) hold NULL, NaN or infinite coordinates")
-        if chk["smallest"] < k and not short_groups:
-            raise ValueError(f"farthest_first: a group holds {chk['smallest']} points, fewer than k={k}")
+        _check(chk["groups"], chk["smallest"], chk["dmin"], chk["dmax"], chk["bad"] or 0, k, short_groups)
         dim, groups = int(chk["dmin"]), int(chk["groups"])
         few = k * groups * (dim + 4) <= CENTRE_CELLS
         small_state = k * int(chk["n"]) * (dim + 3) <= CACHE_CELLS
