@@ -15,12 +15,14 @@ width 64 on 400k points, local[8]). A larger set stays a DataFrame and meets the
 ``pairs.cross_blocks`` (blocks of both sides, reduced exactly), so there is no size cap.
 Both ways reject points of another width and skip NaN distances alike.
 
-``exact_diameter`` / ``farthest_pair`` first prune with pivots (see
-``farthest_pair_candidates``); the answer stays exact.
+``exact_diameter`` / ``farthest_pair`` are exact, and compare all pairs only of what they cannot rule out:
+convex hulls for 2-d points, a ball tree for many wide points, pivots (``farthest_pair_candidates``) else.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 from dispersa.functions.distance import point_stats
 from dispersa.functions.sampling import portable_order
-from dispersa.operators import pairs
+from dispersa.operators import balls, hull, pairs
 from dispersa.operators.kcenter import farthest_first
 
 LITERAL_CELLS = 1 << 20   # at most this many coordinates of a point set are shipped to tasks
@@ -256,9 +258,11 @@ def farthest_pair_candidates(points: DataFrame, pivots: int = PIVOTS, seed: int
         return points, 0.0, False
     _check_inline(piv, "farthest_pair_candidates")
     rows = _against_set(points, piv, "colmax").groupBy("i").agg(F.max("sqd").alias("sqd")).collect()
-    radius = {r["i"]: float(np.sqrt(r["sqd"])) for r in rows}
+    radius = {r["i"]: math.sqrt(r["sqd"]) if r["sqd"] >= 0 else math.inf for r in rows}  # -inf: all distances NaN
     radii = [radius[c] for c, _ in piv]
-    lb = max(radii)
+    lb = max(r for r in radii if r < math.inf) if min(radii) < math.inf else math.inf
+    if not math.isfinite(lb) or not np.isfinite([q for _, q in piv]).all():
+        return points, 0.0, False  # infinite distances: nothing to prune with
     bound = lb * (1.0 - PRUNE_SLACK)
     # The pivots are a random sample: the share of them that would survive (each judged
     # by the other pivots) estimates the share of all points that would. If most would,
@@ -271,27 +275,62 @@ def farthest_pair_candidates(points: DataFrame, pivots: int = PIVOTS, seed: int
     return _against_set(points, piv, "keep", radii, bound), lb, True
 
 
-def _pruned(points: DataFrame, prune: bool) -> tuple[DataFrame, dict | None]:
+def _pruned(points: DataFrame, stats: dict) -> tuple[DataFrame, dict | None]:
     """Candidates for the farthest pair, and their stats when already known."""
-    stats = point_stats(points)
-    if not prune or stats["n"] < 2:
-        return points, stats
     kept, _, filtered = farthest_pair_candidates(points, n=stats["n"])
     return kept, (None if filtered else stats)
 
 
+def _flat(points: DataFrame) -> bool:
+    """Whether the first point is 2-d (the hull's own tasks reject sets of other or mixed widths)."""
+    row = points.select(F.size("p").alias("w")).first()
+    return row is not None and row["w"] == 2
+
+
+def _best_pairs(points: DataFrame) -> DataFrame:
+    """``(sqd, i, j)``: the farthest pair among a few rows (none without a pair). Many wide finite points go
+    through a ball tree (``operators.balls``); else, or where that gives up: pivot pruning and hashed block
+    pairs."""
+    stats = point_stats(points)
+    if stats["n"] < 2:
+        return pairs.block_pairs(points, "best", stats=stats)
+    if not stats["nans"] and stats["n"] > pairs.block_rows(stats["dim"]):
+        searched = ball_search(points, stats)
+        if searched.best is not None:
+            return searched.best
+    kept, kept_stats = _pruned(points, stats)
+    return pairs.block_pairs(kept, "best", stats=kept_stats)
+
+
+def ball_search(points: DataFrame, stats: dict | None = None) -> balls.Search:
+    """The ball-tree search of the farthest pair: its block pairs' results, how many pairs of balls it opened,
+    and the reason if it gave up."""
+    stats = stats or point_stats(points)
+    sample = sample_points(points, balls.sample_size(stats["n"], stats["dim"]), seed=0, n=stats["n"])
+    return balls.search(points, sample, stats["n"], stats["dim"])
+
+
 def farthest_pair(points: DataFrame, prune: bool = True) -> DataFrame:
-    """``(i, j, sqdist, dist)`` — see ``pairs.farthest_pair``; candidates pruned first."""
-    kept, stats = _pruned(points, prune)
-    return pairs.farthest_pair(kept, stats=stats)
+    """``(i, j, sqdist, dist)``: the farthest pair, ``i < j``, ties to the smallest ``(i, j)``. No row when fewer
+    than two points (or only NaN distances) exist. 2-d points: by convex hulls (``operators.hull``), now, unless
+    the hull is too large. ``prune=False`` compares all pairs."""
+    if not prune:
+        return pairs.farthest_pair(points)
+    found = hull.farthest_pair(points) if _flat(points) else False
+    if found is False:
+        return pairs.best_of(_best_pairs(points))
+    rows = [] if found is None else [(found[1], found[2], found[0], math.sqrt(found[0]))]
+    return points.sparkSession.createDataFrame(rows, "i bigint, j bigint, sqdist double, dist double")
 
 
 def exact_diameter(points: DataFrame, prune: bool = True) -> DataFrame:
-    """``(max_dist)`` over all pairs; pivot pruning first removes points that cannot be
-    an end of the farthest pair (large savings in low dimension, two linear passes
-    otherwise)."""
-    kept, stats = _pruned(points, prune)
-    return pairs.exact_diameter(kept, stats=stats)
+    """``(max_dist)`` over all pairs; 0 for fewer than two points. By the same ways as ``farthest_pair``."""
+    if not prune:
+        return pairs.exact_diameter(points)
+    found = hull.farthest_pair(points) if _flat(points) else False
+    if found is False:
+        return _best_pairs(points).agg(F.coalesce(F.sqrt(F.max("sqd")), F.lit(0.0)).alias("max_dist"))
+    return points.sparkSession.createDataFrame([(0.0 if found is None else math.sqrt(found[0]),)], "max_dist double")
 
 
 def k_center_diameter(points: DataFrame, k: int, first: str | int = "min_id") -> DataFrame:

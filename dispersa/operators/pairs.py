@@ -348,7 +348,11 @@ def farthest_pair(points: DataFrame, stats: dict | None = None) -> DataFrame:
 
     No row when fewer than two points (or only NaN distances) exist.
     """
-    best = block_pairs(points, "best", stats=stats)
+    return best_of(block_pairs(points, "best", stats=stats))
+
+
+def best_of(best: DataFrame) -> DataFrame:
+    """``(i, j, sqdist, dist)``: the first of the rows ``(sqd, i, j)``."""
     top = best.agg(
         F.max_by(F.struct("i", "j", "sqd"), F.struct("sqd", -F.col("i"), -F.col("j"))).alias("b")
     )
