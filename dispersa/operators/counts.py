@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 SCHEMES = ("modulo", "sqrt", "physical")
@@ -126,3 +126,64 @@ def repartition_report(df: DataFrame, K: int) -> DataFrame:
     share = F.ceil(F.col("n") / F.lit(int(K))).cast("bigint")
     return sizes.select("parts", "n", "max_part", share.alias("even_share"),
                         (F.col("max_part") - share <= F.lit(splits)).alias("balanced"))
+
+
+SPREAD_BLOCK = 1 << 16   # hash buckets that number the rows
+
+
+def dense_number(df: DataFrame, id_col: str) -> DataFrame:
+    """``df`` with ``_row``: 0 to n-1, one number a row, by hash bucket of the id, then id.
+
+    Counts per bucket, prefix sums over the (at most SPREAD_BLOCK) buckets and a number within the bucket: no
+    task sorts more than a bucket's rows, and the numbers do not depend on how the rows are placed. Rows of
+    equal ids are numbered in any order among themselves, so ids should be distinct for a stable result.
+    """
+    bucket = F.pmod(F.xxhash64(F.col(id_col)), F.lit(SPREAD_BLOCK))
+    rows = df.withColumn("_bucket", bucket)
+    counts = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    # At most SPREAD_BLOCK rows: one task sums them up, and they are broadcast.
+    before = counts.select("_bucket", (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(id_col)) - 1
+    return rows.withColumn("_inside", inside).join(F.broadcast(before), "_bucket").withColumn(
+        "_row", F.col("_before") + F.col("_inside")).drop("_bucket", "_inside", "_before")
+
+
+def even_spread(df: DataFrame, K: int, id_col: str = "obj_id") -> DataFrame:
+    """``df`` with ``part``: K parts whose sizes differ by at most one row, ``part = row number * K div n``.
+
+    Stable under retries and for any placement of the rows, where a round-robin ``repartition`` is neither even
+    across its input tasks nor repeatable.
+    """
+    if K < 1:
+        raise ValueError("K must be >= 1")
+    numbered = dense_number(df, id_col)
+    total = df.agg(F.count(F.lit(1)).alias("_total"))
+    n = total.first()["_total"]
+    return numbered.withColumn("part", F.expr(f"(_row * {int(K)}L) div {max(1, int(n))}L")).drop("_row")
+
+
+def even_spread_report(df: DataFrame, K: int, id_col: str = "obj_id") -> DataFrame:
+    """``(part, n)`` of ``even_spread``, each part's rows counted."""
+    return even_spread(df, K, id_col).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+
+
+def observed_load(df: DataFrame, K: int, part_col: str | None = None) -> DataFrame:
+    """``(parts, n, max_part)``: real Spark partitions with rows, rows, and the largest partition, observed while
+    the rows pass (``DataFrame.observe``): no second job and no shuffle beside the one that deals the rows.
+
+    ``part_col``: rows are put into the partition of this number (0 to K-1); without it they are dealt
+    round-robin. A partition's rows are numbered as they pass (``monotonically_increasing_id`` counts within the
+    partition), so the largest number, and the number of partitions that have a first row, are plain aggregates.
+    """
+    if K < 1:
+        raise ValueError("K must be >= 1")
+    dealt = df.repartitionById(int(K), F.col(part_col).cast("int")) if part_col else df.repartition(int(K))
+    place = F.monotonically_increasing_id() % F.lit(1 << 33)
+    seen = Observation()
+    observed = dealt.select(place.alias("place")).observe(
+        seen, F.count(F.lit(1)).alias("n"), F.coalesce(F.max("place") + 1, F.lit(0)).alias("max_part"),
+        F.coalesce(F.sum(F.when(F.col("place") == 0, 1)), F.lit(0)).alias("parts"))
+    observed.write.format("noop").mode("overwrite").save()
+    got = seen.get
+    return df.sparkSession.createDataFrame(
+        [(int(got["parts"]), int(got["n"]), int(got["max_part"]))], "parts bigint, n bigint, max_part bigint")

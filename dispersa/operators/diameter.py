@@ -21,13 +21,14 @@ convex hulls for 2-d points, a ball tree for many wide points, pivots (``farthes
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dispersa.functions.distance import point_stats
@@ -232,6 +233,45 @@ def sampled_diameter(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
     return best.select(F.coalesce(F.sqrt("sqd"), F.lit(0.0)).alias("max_dist"))
 
 
+def sample_with_replacement(points: DataFrame, k: int, seed: int) -> DataFrame:
+    """``(draw, id, p)``: ``k`` independent draws (numbered from 0), a point may be drawn again; none from an
+    empty set.
+
+    Two passes. The first counts the points in 4,096 buckets of their id's MD5; the draws (MD5 of seed and number,
+    modulo the count) split over the buckets by their prefix sums, as a multinomial split would. The second
+    numbers the points of the drawn buckets by id and joins the draws. The rows' placement plays no part, so a
+    retried task and any other engine draw the same points; ids should be distinct. ``k`` is bounded by what the
+    driver holds (LITERAL_CELLS).
+    """
+    if not 1 <= k <= LITERAL_CELLS:
+        raise ValueError(f"k must be between 1 and {LITERAL_CELLS}")
+    bucketed = points.select("id", "p", F.conv(F.substring(F.md5(F.col("id").cast("string")), 1, 3), 16, 10).cast("int").alias("bucket"))
+    counts = {r["bucket"]: r["n"] for r in bucketed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
+    buckets = sorted(counts)
+    ends = np.cumsum([counts[b] for b in buckets], dtype=np.int64)
+    rows = []
+    for draw in range(k if buckets else 0):
+        at = int(hashlib.md5(f"{int(seed)}:{draw}".encode()).hexdigest()[:15], 16) % int(ends[-1])
+        b = int(np.searchsorted(ends, at, "right"))
+        rows.append((draw, buckets[b], at - int(ends[b]) + counts[buckets[b]] + 1))
+    draws = points.sparkSession.createDataFrame(rows, "draw int, bucket int, place bigint")
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy("id")).cast("bigint")
+    asked = bucketed.join(F.broadcast(draws.select("bucket").distinct()), "bucket", "left_semi").withColumn("place", place)
+    return asked.join(F.broadcast(draws), ["bucket", "place"]).select("draw", "id", "p")
+
+
+def replaced_sample_diameter(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
+    """``(max_dist)`` like ``sampled_diameter`` (0 if empty), with the sample drawn with replacement as the
+    reference draws it: repeated draws leave fewer distinct points, so the bound holds for those."""
+    drawn = sample_with_replacement(points, k, seed).select("id", "p").distinct().collect()
+    if not drawn:
+        return points.sparkSession.range(1).select(F.lit(0.0).alias("max_dist"))
+    sample = [(int(r["id"]), list(r["p"])) for r in drawn]
+    big = _large_set(points, sample)
+    best = _cross(points, big, "max") if big is not None else _against_set(points, sample, "max")
+    return best.agg(F.coalesce(F.sqrt(F.max("sqd")), F.lit(0.0)).alias("max_dist"))
+
+
 def _one_row(df: DataFrame) -> DataFrame:
     """Compute a one-row result now (its inputs are about to be released) as a local table."""
     return df.sparkSession.createDataFrame(df.collect(), df.schema)

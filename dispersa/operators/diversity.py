@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dispersa.functions.distance import point_stats, require_finite
-from dispersa.operators import pairs
+from dispersa.operators import candidates, pairs
 from dispersa.operators.kcenter import farthest_first
 
 PARTITIONINGS = ("hash", "modulo")
@@ -126,6 +126,21 @@ def core_set(points: DataFrame, k: int, L: int, partitioning: str = "hash",
     return farthest_first(points.withColumn("part", part), k, by="part", first=first, short_groups=True)
 
 
+def core_set_merged(points: DataFrame, k: int, L: int, chunks: int) -> DataFrame:
+    """``(part, ord, id, p, min_dist)``: a core-set of the parts of ``core_set`` in one job whatever ``k``.
+
+    Each part is cut into ``chunks`` chunks by a second piece of the id's MD5; a chunk's ``k`` farthest-first
+    centres are its summary, and the traversal of a part's summaries gives the part's ``k`` centres. The
+    covering radius of a part is at most 4 times that of ``core_set`` (see ``candidates.merged_traversal``).
+    ``candidates.chunk_count`` gives a number of chunks for a set's size. Points of mixed widths, or with NULL,
+    NaN or infinite coordinates, are an error in the result's job; an empty set gives no rows.
+    """
+    if k < 1 or L < 1 or chunks < 1:
+        raise ValueError("k, L and chunks must be >= 1")
+    second = F.conv(F.substring(F.md5(F.col("id").cast("string")), 9, 8), 16, 10).cast("bigint") % F.lit(int(chunks))
+    return candidates.merged_traversal(points.select(part_of("id", L).alias("part"), "id", "p"), k, second)
+
+
 def diversity_maximization(points: DataFrame, k: int, L: int, partitioning: str = "hash",
                            first: str | int = "min_id") -> DataFrame:
     """``(round, id, p)``: the ``k`` points of the two-round MapReduce answer."""

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from dispersa.functions.distance import point_stats
+from dispersa.functions.distance import point_stats, sqdist
 
 MAX_BLOCK = 8192        # points per block at most: bounds a group's run time; n*B copies are
                         # shuffled, so larger blocks mean less replication
@@ -375,6 +375,46 @@ def average_pairwise_distance(points: DataFrame, stats: dict | None = None) -> D
     return parts.agg((F.sum("sum_dist") / F.nullif(F.sum("n_pairs"), F.lit(0))).alias("avg_dist"))
 
 
+ESTIMATE_GROUP = 1024   # points that a task orders to draw pairs among them
+
+
+def estimate_average_distance(points: DataFrame, rounds: int = 4, seed: int = 0, delta: float = 1e-6,
+                              n: int | None = None) -> DataFrame:
+    """``(avg_dist, error_bound, n_pairs)``: an estimate of ``average_pairwise_distance`` from ``rounds`` random
+    matchings, at ``rounds * n`` distances instead of ``n^2 / 2``.
+
+    Each round deals the points to groups by the MD5 of seed, round and id, and pairs neighbours in the order of
+    that MD5 within a group. Given the groups' sizes every matching is as likely as any other, so the mean over
+    a round's ``m`` pairs is unbiased, and moving one point changes it by at most ``2R / m`` (``R``: twice the
+    farthest distance from the point with the smallest id, above any distance). By Azuma's inequality it is
+    within ``error_bound = R * sqrt(8 n ln(2/delta)) / m`` of the exact mean but for a chance of ``delta``; the
+    mean of the rounds keeps the bound. Repeatable, and independent of the rows' placement. NULL columns for
+    fewer than two points. Points of mixed widths, NULL points or coordinates are an error.
+    """
+    if rounds < 1 or not 0 < delta < 1:
+        raise ValueError("rounds must be >= 1 and delta between 0 and 1")
+    stats = point_stats(points)
+    n, dim = stats["n"], stats["dim"]
+    if stats["nans"]:
+        raise ValueError(f"{stats['nans']} point(s) hold NULL, NaN or infinite coordinates")
+    if n < 2:
+        return points.sparkSession.createDataFrame([(None, None, 0)], "avg_dist double, error_bound double, n_pairs bigint")
+    start = points.agg(F.min_by("p", "id").alias("p")).first()["p"]
+    groups = -(-n // ESTIMATE_GROUP)
+    copies = points.select("id", "p", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("t"))
+    key = F.md5(F.concat(F.lit(f"{int(seed)}:"), F.col("t").cast("string"), F.lit(":"), F.col("id").cast("string")))
+    copies = copies.withColumn("key", key).withColumn(
+        "grp", F.conv(F.substring("key", 1, 8), 16, 10).cast("bigint") % F.lit(groups))
+    order = Window.partitionBy("t", "grp").orderBy("key", "id")
+    drawn = copies.select("t", "p", F.lead("p").over(order).alias("q"), F.row_number().over(order).alias("at")).where(
+        "at % 2 = 1 AND q IS NOT NULL").select("t", F.sqrt(sqdist("p", "q", dim)).alias("d"))
+    by_round = drawn.groupBy("t").agg(F.avg("d").alias("mean"), F.count(F.lit(1)).alias("m"))
+    whole = by_round.agg(F.avg("mean").alias("avg_dist"), F.min("m").alias("m"), F.sum("m").alias("n_pairs"))
+    reach = points.agg((2 * F.max(F.sqrt(sqdist("p", list(start), dim)))).alias("r")).first()["r"]
+    bound = F.lit(reach * math.sqrt(8 * n * math.log(2 / delta))) / F.col("m")
+    return whole.select("avg_dist", bound.alias("error_bound"), "n_pairs")
+
+
 def top_partners(points: DataFrame, m: int, stats: dict | None = None) -> DataFrame:
     """``(i, j, sqd)``: for every point ``i`` its ``m`` farthest other points ``j``
     (ties: smaller ``j`` first). Each point's list is merged from its ``B`` block pairs,

@@ -4,12 +4,11 @@ Three word counts give the same ``(word, n)`` table through different plans:
 
 * ``word_count``: tokens → ``groupBy(word)``; Spark's partial aggregate is the per-task
   combine, one shuffle of pre-aggregated rows.
-* ``word_count_salted``: a salt key spreads each word over ``K`` groups, count per
-  ``(salt, word)``, then sum per word. The salt is a hash of the token's position (line
-  and word), not a random draw, so a retried task re-emits the same keys. Useful when a
-  single word is too hot for one reducer even after the map-side combine.
-* ``word_count_partitioned``: counts combined per physical partition (the partial
-  aggregate), then summed per word, optionally after a round-robin spread into K parts.
+* ``word_count_salted``: a heavy-hitter sketch finds the hot words; a salt spreads each of them over
+  ``K`` groups, count per ``(salt, word)``, then sum per word. The salt is a hash of the token's line,
+  not a random draw, so a retried task re-emits the same keys.
+* ``word_count_partitioned``: a combiner in each task counts its physical partition's words, then the
+  counts are summed per word.
 
 Per-document term frequency (``doc_term_frequency``) is computed inside each row, since a
 document is one row: no shuffle at all.
@@ -17,6 +16,9 @@ document is one row: no shuffle at all.
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,32 +85,79 @@ def word_count(line_rows: DataFrame) -> DataFrame:
     return tokens(line_rows).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
+HOT_SHARE = 0.01     # a word with this share of all tokens is hot
+HOT_TRACKED = 10_000  # words that the sketch follows: an upper bound on its error is tokens / HOT_TRACKED
+
+
+def hot_words(line_rows: DataFrame, share: float = HOT_SHARE) -> list[str]:
+    """Words that hold at least ``share`` of all tokens, by a heavy-hitter sketch in one pass (``approx_top_k``,
+    at most ``1 / share`` words). The sketch counts within ``tokens / HOT_TRACKED``, so a word near the border
+    may be missed or added; only the plan depends on the list, no count does."""
+    top = max(1, min(int(1 / share), HOT_TRACKED))
+    row = tokens(line_rows).agg(
+        F.expr(f"approx_top_k(word, {top}, {HOT_TRACKED})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return [e["item"] for e in row["top"] or [] if e["count"] >= share * row["n"]]
+
+
 def word_count_salted(
-    line_rows: DataFrame, K: int, seed: int = 0, doc_cols: tuple[str, ...] = ("doc_id", "line_no")
+    line_rows: DataFrame, K: int, seed: int = 0, doc_cols: tuple[str, ...] = ("doc_id", "line_no"),
+    hot: list[str] | None = None,
 ) -> DataFrame:
-    """Two rounds: ``(salt, word)`` counts, then per word. The map-side partial aggregate
-    already gives the reference's per-document combine, so tokens feed round 1 directly."""
+    """Two rounds: ``(salt, word)`` counts, then per word; only hot words (``hot_words``, or as given) get a salt
+    of ``K`` values, all others the salt 0. So the first shuffle carries a plain count's rows and at most ``K`` for
+    each hot word and task. The map-side partial aggregate gives the reference's per-document combine, so
+    tokens feed round 1 directly."""
     if K < 1:
         raise ValueError("K must be >= 1")
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in doc_cols], F.col("word"), F.lit(int(seed))), F.lit(int(K)))
+    hot = hot_words(line_rows) if hot is None else hot
+    deal = F.pmod(F.xxhash64(*[F.col(c) for c in doc_cols], F.lit(int(seed))), F.lit(int(K)))
+    salt = F.when(F.col("word").isin(hot), deal).otherwise(F.lit(0)) if hot else F.lit(0)
     return (
         tokens(line_rows)
-        .groupBy(salt.alias("salt"), "word")
+        .withColumn("salt", salt.cast("bigint"))
+        .groupBy("salt", "word")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("word")
         .agg(F.sum("n").alias("n"))
     )
 
 
-def word_count_partitioned(line_rows: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Combine per physical partition, then sum per word. The per-partition combine is the
-    partial ``HashAggregate`` Spark runs in every map task before the shuffle; counting
-    each document in its row first (``line_term_counts``) measured 2x slower at sf0.1, as
-    the partial aggregate already does that combine. ``num_partitions`` first spreads the
-    documents round-robin (the reference's ``repartition(K)``); by default the input splits
-    are the partitions."""
-    src = line_rows.repartition(int(num_partitions)) if num_partitions else line_rows
-    return tokens(src).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+COMBINE_WORDS = 1 << 16   # distinct words that a task combines before it hands them on
+
+
+def partition_word_counts(line_rows: DataFrame, line_col: str = "line") -> DataFrame:
+    """``(part, word, n)``: words counted inside each physical partition by one combiner of the task, which holds
+    at most ``COMBINE_WORDS`` words and hands its counts on when it is full (so a word may have several rows)."""
+    from pyspark import TaskContext
+
+    words = line_rows.select(split_words(line_col).alias("w"))
+
+    def run(batches):
+        part = TaskContext.get().partitionId()
+        counts: Counter = Counter()
+
+        def out():
+            return pa.RecordBatch.from_arrays(
+                [pa.array([part] * len(counts), pa.int32()), pa.array(list(counts), pa.string()),
+                 pa.array(list(counts.values()), pa.int64())], names=["part", "word", "n"])
+
+        for batch in batches:
+            found = batch.column(0).flatten().value_counts()
+            for word, n in zip(found.field("values").to_pylist(), found.field("counts").to_pylist()):
+                counts[word] += n
+            if len(counts) >= COMBINE_WORDS:
+                yield out()
+                counts.clear()
+        if counts:
+            yield out()
+
+    return words.mapInArrow(run, "part int, word string, n bigint")
+
+
+def word_count_partitioned(line_rows: DataFrame) -> DataFrame:
+    """Combine per physical partition, then sum per word: the input's partitions are the reference's partitions.
+    Text is never shuffled; only the partitions' counts are."""
+    return partition_word_counts(line_rows).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def distinct_word_count(line_rows: DataFrame) -> DataFrame:

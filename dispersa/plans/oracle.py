@@ -8,7 +8,7 @@ CTE chains generated from the catalogue parameters.
 
 from __future__ import annotations
 
-from dispersa.plans.queries import DIGITS, K, K_SPREAD, K_SQRT, L, SEED, k
+from dispersa.plans.queries import CHUNKS, DIGITS, DRAWS, ROUNDS, K, K_SPREAD, K_SQRT, L, SEED, k
 
 # Text handling, mirroring dispersa.functions.text.
 _LINES = r"""
@@ -62,9 +62,15 @@ ORACLE: dict[str, str] = {
         "SELECT class, sum(n)::BIGINT AS n, max(part_total)::BIGINT AS max_part "
         "FROM partials JOIN totals USING (part) GROUP BY class ORDER BY class"
     ),
-    "balanced_repartition": f"SELECT {K_SPREAD}::BIGINT AS parts, count(*)::BIGINT AS n, true AS balanced FROM events",
+    # The sizes of K parts that differ by at most one, from an even cut of the numbered rows.
+    "balanced_repartition": (
+        f"WITH {_OBJECTS}, cut AS (SELECT (row_number() OVER (ORDER BY obj_id) - 1) * {K_SPREAD} "
+        "// count(*) OVER () AS part FROM objects) SELECT part::BIGINT AS part, count(*)::BIGINT AS n FROM cut GROUP BY part"
+    ),
     "max_partition_size_physical": (
-        f"SELECT {K}::BIGINT AS parts, ceil(count(*) / {K})::BIGINT AS even_share, true AS balanced FROM events"
+        f"WITH {_OBJECTS}, cut AS (SELECT (row_number() OVER (ORDER BY obj_id) - 1) * {K} "
+        "// count(*) OVER () AS part FROM objects), sizes AS (SELECT part, count(*) AS c FROM cut GROUP BY part) "
+        "SELECT count(*)::BIGINT AS parts, sum(c)::BIGINT AS n, max(c)::BIGINT AS max_part FROM sizes"
     ),
     "max_partition_size": (
         f"WITH {_OBJECTS} SELECT max(c)::BIGINT AS max_part FROM "
@@ -155,6 +161,8 @@ def matching_chain(src: str, kk: int, name: str) -> str:
 
 _PART = f"('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8))::BIGINT % {L}"
 
+_CHUNK = f"('0x' || substr(md5(CAST(id AS VARCHAR)), 9, 8))::BIGINT % {CHUNKS}"
+
 _CORE = (
     f"{_PTS},\nparted AS (SELECT {_PART} AS part, id, p FROM pts),\n"
     + kcenter_chain("parted", k, "core")
@@ -163,6 +171,35 @@ _CORE = (
     + ",\nanswer AS (SELECT dm.round, dm.id, corepts.p FROM dm JOIN corepts USING (id))"
 )
 
+# k draws of a row number, over the rows ordered by the first three digits of the id's MD5 and the id.
+_DRAWS = (
+    f"{_PTS},\nnumbered AS (SELECT id, p, row_number() OVER (ORDER BY substr(md5(CAST(id AS VARCHAR)), 1, 3), id) - 1 AS pos, "
+    "count(*) OVER () AS n FROM pts),\n"
+    f"asked AS (SELECT d::INTEGER AS draw, ('0x' || substr(md5(concat('{SEED}:', CAST(d AS VARCHAR))), 1, 15))::BIGINT "
+    f"% (SELECT count(*) FROM pts) AS pos FROM range({DRAWS}) r(d)),\n"
+    "drawn AS (SELECT draw, id, p FROM asked JOIN numbered USING (pos))"
+)
+
+ORACLE.update({
+    "sample_with_replacement": f"WITH {_DRAWS} SELECT draw, id FROM drawn",
+    "replaced_sample_diameter": (
+        f"WITH {_DRAWS} SELECT {_r('max(list_distance(s.p, t.p))', 'max_dist')} FROM drawn s, pts t"
+    ),
+    "estimated_pairwise_distance": (
+        f"WITH {_PTS}, keyed AS (SELECT t, id, p, md5(concat('{SEED}:', CAST(t AS VARCHAR), ':', CAST(id AS VARCHAR))) AS key "
+        f"FROM pts, range({ROUNDS}) r(t)), "
+        "grouped AS (SELECT *, ('0x' || substr(key, 1, 8))::BIGINT % (SELECT (count(*) + 1023) // 1024 FROM pts) AS grp FROM keyed), "
+        "ordered AS (SELECT t, p, lead(p) OVER w AS q, row_number() OVER w AS pos FROM grouped "
+        "WINDOW w AS (PARTITION BY t, grp ORDER BY key, id)), "
+        "rounds AS (SELECT t, avg(list_distance(p, q)) AS mean, count(*) AS m FROM ordered "
+        "WHERE pos % 2 = 1 AND q IS NOT NULL GROUP BY t), "
+        "reach AS (SELECT 2 * max(list_distance(p, (SELECT p FROM pts ORDER BY id LIMIT 1))) AS r, count(*) AS n FROM pts) "
+        f"SELECT {_r('avg(mean)', 'avg_dist')}, "
+        f"{_r('any_value(r) * sqrt(8 * any_value(n) * ln(2 / 1e-6)) / min(m)', 'error_bound')}, sum(m)::BIGINT AS n_pairs "
+        "FROM rounds, reach"
+    ),
+})
+
 _PTS2 = "pts2 AS (SELECT p_partkey AS id, [CAST(p_size AS DOUBLE), CAST(p_retailprice AS DOUBLE)] AS p FROM part)"
 
 ORACLE.update({
@@ -212,6 +249,17 @@ ORACLE.update({
         f"WITH {_PTS},\nparted AS (SELECT {_PART} AS part, id, p FROM pts),\n{kcenter_chain('parted', k, 'core')}\n"
         f"SELECT part, ord, id, {_r('md', 'min_dist')} FROM core"
     ),
+    "coreset_merged": (
+        f"WITH {_PTS},\nchunked AS (SELECT {_PART} * {CHUNKS} + {_CHUNK} AS part, id, p FROM pts),\n"
+        + kcenter_chain("chunked", k, "sub") + f",\nmerged AS (SELECT part // {CHUNKS} AS part, id, p FROM sub),\n"
+        + kcenter_chain("merged", k, "core") + f"\nSELECT part, ord, id, {_r('md', 'min_dist')} FROM core"
+    ),
+    "farthest_pair_orders": (
+        "WITH op AS (SELECT o_orderkey AS id, o_custkey::DOUBLE AS x, o_totalprice::DOUBLE AS y, "
+        "date_diff('day', DATE '1970-01-01', o_orderdate::DATE)::DOUBLE AS z FROM orders), "
+        "d AS (SELECT a.id AS i, b.id AS j, (a.x-b.x)*(a.x-b.x) + (a.y-b.y)*(a.y-b.y) + (a.z-b.z)*(a.z-b.z) AS sqd "
+        f"FROM op a JOIN op b ON a.id < b.id) SELECT i, j, {_r('sqrt(sqd)', 'dist')} FROM d ORDER BY sqd DESC, i, j LIMIT 1"
+    ),
     "farthest_pair": (
         f"WITH {_PTS} SELECT a.id AS i, b.id AS j, {_r('list_distance(a.p, b.p)', 'dist')} "
         "FROM pts a JOIN pts b ON a.id < b.id ORDER BY list_distance(a.p, b.p) DESC, a.id, b.id LIMIT 1"

@@ -21,9 +21,12 @@ K = 4            # partitions for class counts
 K_SQRT = 16      # class_count_sqrt: floor(sqrt(16)) = 4 groups
 K_SPREAD = 7     # balanced_repartition
 L = 4            # core-set parts
+CHUNKS = 3       # chunks of a part in the merged core-set
 k = 5            # points per answer (centres, sample size, matching size)
 SEED = 42        # portable sample seed
 DIGITS = 6
+ROUNDS = 4       # matchings of the pair-distance estimate
+DRAWS = 20       # draws with replacement
 FLAGSHIP = "diversity_maximization"  # what entry() runs: the reference's end-to-end pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,7 +44,7 @@ def q_parse_object_class(spark, sf):
 
 
 def q_balanced_repartition(spark, sf):
-    return counts.repartition_report(tables.objects(spark, sf), K_SPREAD).select("parts", "n", "balanced")
+    return counts.even_spread_report(tables.objects(spark, sf), K_SPREAD)
 
 
 def q_class_partials(spark, sf):
@@ -69,8 +72,9 @@ def q_max_partition_size(spark, sf):
 
 
 def q_max_partition_size_physical(spark, sf):
-    """Largest Spark partition after ``repartition(K)``, as what does not depend on the placement."""
-    return counts.repartition_report(tables.objects(spark, sf), K).select("parts", "even_share", "balanced")
+    """The largest real Spark partition of an even spread, observed while the rows pass."""
+    spread = counts.even_spread(tables.objects(spark, sf), K)
+    return counts.observed_load(spread, K, "part")
 
 
 def q_most_frequent_class(spark, sf):
@@ -100,7 +104,7 @@ def q_word_count_salted(spark, sf):
 
 
 def q_word_count_partitioned(spark, sf):
-    return words.word_count_partitioned(_lines(spark, sf), K)
+    return words.word_count_partitioned(_lines(spark, sf))
 
 
 def q_distinct_word_count(spark, sf):
@@ -162,6 +166,10 @@ def q_coreset_k_center(spark, sf):
     return diversity.core_set(_pts(spark, sf), k, L).select("part", "ord", "id", _r("min_dist"))
 
 
+def q_coreset_merged(spark, sf):
+    return diversity.core_set_merged(_pts(spark, sf), k, L, CHUNKS).select("part", "ord", "id", _r("min_dist"))
+
+
 def q_farthest_pair(spark, sf):
     return diameter.farthest_pair(_pts(spark, sf)).select("i", "j", _r("dist"))
 
@@ -174,6 +182,19 @@ def q_average_pairwise_distance(spark, sf):
     return pairs.average_pairwise_distance(_pts(spark, sf)).select(_r("avg_dist"))
 
 
+def q_estimated_pairwise_distance(spark, sf):
+    est = pairs.estimate_average_distance(_pts(spark, sf), rounds=ROUNDS, seed=SEED)
+    return est.select(_r("avg_dist"), _r("error_bound"), "n_pairs")
+
+
+def q_sample_with_replacement(spark, sf):
+    return diameter.sample_with_replacement(_pts(spark, sf), DRAWS, SEED).select("draw", "id")
+
+
+def q_replaced_sample_diameter(spark, sf):
+    return diameter.replaced_sample_diameter(_pts(spark, sf), DRAWS, SEED).select(_r("max_dist"))
+
+
 def q_diversity_maximization(spark, sf):
     return diversity.diversity_maximization(_pts(spark, sf), k, L).select("round", "id")
 
@@ -198,6 +219,12 @@ def q_farthest_pair_2d(spark, sf):
     return diameter.farthest_pair(_pts2(spark, sf)).select("i", "j", _r("dist"))
 
 
+def q_farthest_pair_orders(spark, sf):
+    """3-d points (customer, price, day): more than a block, so they go through the ball tree."""
+    pts = tables.order_points(spark, sf)
+    return diameter.farthest_pair(pts).select("i", "j", _r("dist"))
+
+
 def q_k_center_2d(spark, sf):
     return kcenter.farthest_first(_pts2(spark, sf), k).select("ord", "id", _r("min_dist"))
 
@@ -230,12 +257,17 @@ QUERIES: dict[str, Query] = {
     "k_center": q_k_center,
     "k_center_diameter": q_k_center_diameter,
     "coreset_k_center": q_coreset_k_center,
+    "coreset_merged": q_coreset_merged,
     "farthest_pair": q_farthest_pair,
     "greedy_matching": q_greedy_matching,
     "average_pairwise_distance": q_average_pairwise_distance,
+    "estimated_pairwise_distance": q_estimated_pairwise_distance,
+    "sample_with_replacement": q_sample_with_replacement,
+    "replaced_sample_diameter": q_replaced_sample_diameter,
     "diversity_maximization": q_diversity_maximization,
     "diversity_score": q_diversity_score,
     "exact_diameter_2d": q_exact_diameter_2d,
     "farthest_pair_2d": q_farthest_pair_2d,
+    "farthest_pair_orders": q_farthest_pair_orders,
     "k_center_2d": q_k_center_2d,
 }

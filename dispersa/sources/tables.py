@@ -37,3 +37,12 @@ def part_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").alias("id"),
         F.array(F.col("p_size").cast("double"), F.col("p_retailprice").cast("double")).alias("p"),
     )
+
+
+def order_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` as 3-d points: customer number, total price, day since 1970."""
+    day = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1970-01-01").cast("date"))
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.array(F.col("o_custkey").cast("double"), F.col("o_totalprice").cast("double"), day.cast("double")).alias("p"),
+    )
