@@ -11,6 +11,8 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
+from dispersa.llm.shared import per_worker
+
 U64 = np.uint64
 SLICE_BYTES = 1 << 18  # working arrays of a slice take some 100 times its bytes
 
@@ -21,9 +23,11 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-_BASE_INV = pow(_BASE, -1, 1 << 64)
-_CODE = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)
+_BASE = 0x9E3779B97F4A7C15  # of the shingles: few names long
+# Fingerprints: two primes below 2**31 with a base each, so products fit 64 bits.
+_PRIMES = (2147483647, 2147483629)
+_BASES = (1664525013, 1013904243)
+_CODES = [np.random.default_rng(20240229 + i).integers(1, p, 256, dtype=np.int64).astype(U64) for i, p in enumerate(_PRIMES)]
 
 
 class Slice(NamedTuple):
@@ -69,34 +73,51 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(n: int, base: int) -> np.ndarray:
-    out = np.full(max(1, n), base, U64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+def _powers(n: int, base: int, prime: int) -> np.ndarray:
+    """base ** 0 to base ** (n - 1) modulo the prime, by doubling."""
+    out = np.ones(max(1, n), U64)
+    done, step = 1, base % prime
+    while done < n:
+        more = min(done, n - done)
+        out[done: done + more] = out[:more] * U64(step) % U64(prime)
+        done, step = done + more, step * step % prime
+    return out
+
+
+def _tables(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Powers of the bases and of their inverses, kept by the Python worker for the usual lengths."""
+    make = lambda size: [(_powers(size, b, p), _powers(size, pow(b, -1, p), p)) for b, p in zip(_BASES, _PRIMES)]
+    if n <= SLICE_BYTES + 1:
+        return per_worker("fingerprint powers", lambda: make(SLICE_BYTES + 1))
+    return make(n)
 
 
 class Fingerprints:
-    """64-bit names of any substrings of ``data`` in constant time each (polynomial prefix sums
-    modulo 2**64 over random byte codes). Equal strings have equal names wherever they stand. ``data`` of
-    64-bit names (of words) stands for itself."""
+    """62-bit names of any substrings of ``data`` in constant time each: polynomial prefix sums over random
+    byte codes, modulo two primes. Equal strings have equal names wherever they stand; two different ones of n
+    bytes agree with a chance of about (n / 2**31) ** 2. ``data`` of 64-bit names (of words) stands for itself."""
 
     def __init__(self, data: np.ndarray):
         n = len(data)
-        self.sums = np.zeros(n + 1, U64)
-        codes = _CODE[data] if data.dtype == np.uint8 else data
-        np.cumsum(codes * _powers(n, _BASE), out=self.sums[1:])
-        self.back = _powers(n + 1, _BASE_INV)
+        self.sums, self.back = [], []
+        for codes, prime, (powers, back) in zip(_CODES, _PRIMES, _tables(n + 1)):
+            sums = np.zeros(n + 1, U64)  # below n * 2**31, so not reduced
+            code = codes[data] if data.dtype == np.uint8 else data % U64(prime)
+            np.cumsum(code * powers[:n] % U64(prime), out=sums[1:])
+            self.sums.append(sums)
+            self.back.append(back)
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        raw = (self.sums[end] - self.sums[start]) * self.back[start]
-        return mix(raw + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
+        a, b = ((s[end] - s[start]) % U64(p) * back[start] % U64(p) for s, back, p in zip(self.sums, self.back, _PRIMES))
+        return mix((a | b << U64(32)) + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
 
     def every(self, length: int) -> np.ndarray:
         """Names of the substrings of ``length`` bytes at all positions."""
-        n = len(self.sums) - length
+        n = len(self.sums[0]) - length
         if n <= 0:
             return np.zeros(0, U64)
-        return mix((self.sums[length:] - self.sums[:n]) * self.back[:n])
+        a, b = ((s[length:] - s[:n]) % U64(p) * back[:n] % U64(p) for s, back, p in zip(self.sums, self.back, _PRIMES))
+        return mix(a | b << U64(32))
 
 
 def spans(data: np.ndarray, bounds: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
