@@ -120,13 +120,13 @@ def train(urls: DataFrame) -> list[Models]:
 def calibrate(urls: DataFrame, halves: list[Models]) -> float:
     """The threshold with the best balanced accuracy over the decided URLs, each scored by the model of
     the half that it is not in."""
-    shared = urls.sparkSession.sparkContext.broadcast(halves)
+    shared = urls.sparkSession.sparkContext.broadcast([tuple(m) for m in halves])  # plain arrays: no class to import
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, BINS), np.int64)
         for here, part in _slices(batches, 0):
             side, half = here.column(1).to_numpy(), here.column(2).to_numpy()
-            score = np.where(half == 0, shared.value[1].scores(part), shared.value[0].scores(part))
+            score = np.where(half == 0, Models(*shared.value[1]).scores(part), Models(*shared.value[0]).scores(part))
             np.add.at(total, (side, _bin(score)), 1)
         s, b = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(s * BINS + b, pa.int64()), pa.array(total[s, b])], ["cell", "n"])
@@ -170,11 +170,11 @@ def filter_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", ur
     threshold = calibrate(decided, halves)
     both = Models(halves[0].gram + halves[1].gram, halves[0].context + halves[1].context)
     usable = bool(both.context[0].sum() and both.context[1].sum())
-    shared = pages.sparkSession.sparkContext.broadcast(both)
+    shared = pages.sparkSession.sparkContext.broadcast(tuple(both))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for here, part in _slices(batches, 4):
-            score = shared.value.scores(part) if usable else np.zeros(part.rows)
+            score = Models(*shared.value).scores(part) if usable else np.zeros(part.rows)
             rule = here.column(3)
             side = here.column(5).fill_null(2).to_numpy()
             allow = np.where(side == 2, score >= threshold, side == 0)
