@@ -66,7 +66,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.repeat_report(table(spark, sf_dir, "documents"), length=400)
+    return suffix_dedup.repeat_report(table(spark, sf_dir, "documents"), length=400, words=51)
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

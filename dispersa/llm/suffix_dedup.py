@@ -7,9 +7,9 @@ represented by its anchor, the leftmost smallest hash of a short gram among the
 after p. The anchor depends on the string alone, so equal strings have equal anchors at equal distance.
 All starts of one anchor share the ``core``, the ``length - window + 1`` bytes from the anchor on.
 
-1. Rank the anchors by their first core / 4 bytes and drop those whose rank is unique; then rank pairs
-   (rank, rank of the as many bytes that follow) double the compared length, until the core is ranked.
-   Ranks are 64-bit fingerprints, so equal ranks need no numbering pass.
+1. Rank the anchors by their first core / 4 bytes and drop those whose rank is unique; then double the
+   compared length, until the core is ranked: Spark sorts the distinct pairs (rank, rank of the as many bytes that
+   follow), a pair's place in that order is its new rank, and anchors whose pair is unique go.
 2. An anchor's ``span`` are all bytes of all its starts' strings. Equal spans: every start is a repeat.
    A span that is unique although its core is not has a border of a repeat inside: the range of starts
    is cut into blocks of ``BLOCK`` and then single starts, and core and span of these are compared again.
@@ -23,10 +23,10 @@ Words are equal byte for byte; the white space between them is free.
 
 Exact copies are one text throughout. Distinct texts are written once, bucketed by key, so the passes over
 them need no shuffle of text. No step gathers the members of a rank: counts are aggregated before the
-shuffle and joined back, so a passage in a third of all documents is no hot group.
+shuffle and joined back, in a join that Spark can split where one rank has very many rows.
 
-Fingerprints are 64 bits over random byte codes (two different strings agree with a chance of about
-2**-60); texts are keyed by 60 bits of their MD5, copies are found by the whole MD5.
+First ranks are fingerprints (``text.Fingerprints``: two different strings of n bytes agree with a chance of about
+(n / 2**31) ** 2); texts are keyed by 60 bits of their MD5, copies are found by the whole MD5.
 
 Defined results: NULL is an empty text; a text shorter than ``length`` and of fewer words than ``words`` is kept
 whole; matches never cross
@@ -165,9 +165,20 @@ def distinct_texts(docs: DataFrame, text_col: str, length: int, words: int | Non
 
 
 def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows whose key occurs twice or more."""
+    """The rows whose key occurs twice or more. The repeated keys get an exchange of their own, so Spark can
+    split the rows of a key that very many have over tasks (adaptive skew join)."""
     more = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    return rows.join(more, keys)
+    return rows.join(more.repartition(*keys), keys)
+
+
+def _reranked(rows: DataFrame, follow: Column) -> DataFrame:
+    """A round of doubling: the rows whose pair of ``rank`` and ``follow`` occurs twice or more, with the pair's
+    place among the sorted pairs as their rank (rising, not dense)."""
+    rows = rows.withColumn("next", follow)
+    order = rows.groupBy("rank", "next").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").orderBy("rank", "next")
+    order = order.select("rank", "next", F.monotonically_increasing_id().alias("place"))
+    joined = rows.join(order.repartition("rank", "next"), ["rank", "next"])
+    return joined.drop("rank", "next").withColumnRenamed("place", "rank")
 
 
 def _word_slice(part: T.Slice) -> T.Slice:
@@ -273,10 +284,9 @@ def repeated_ranges(texts: DataFrame, s: Shape) -> DataFrame:
     lists = (_repeated(first, ["rank"]).groupBy("k").agg(F.collect_list("pos").alias("found")))
     rows = written(_scan(texts.join(lists, "k"), _anchor_rows(s), s, "found",
                          "k long, pos int, lo int, hi int, follow array<long>, span long"), "anchors")
-    # Prefix doubling: the pair of a rank and the rank of the bytes that follow is the next rank.
     ranked = rows.withColumn("rank", F.col("follow")[0])
     for k in range(1, len(s.steps)):
-        ranked = _repeated(ranked.withColumn("rank", F.xxhash64("rank", F.col("follow")[k])), ["rank"])
+        ranked = _reranked(ranked, F.col("follow")[k])
     level = ranked.select("k", "pos", "lo", "hi", F.lit(False).alias("sure"), F.col("rank").alias("core"), "span")
     level = written(level, "repeated-cores")
     repeats, finer = _settle(level)
@@ -313,8 +323,9 @@ def _in_bytes(raw: pa.Buffer, start: np.ndarray, stop: np.ndarray, in_words: np.
 
 
 def repeats_by_text(docs: DataFrame, text_col: str, length: int, words: int | None = None) -> DataFrame:
-    """(digest, cuts, kept_sha256) of the texts with something to remove, without exact copies: cuts are
-    start, stop, start, stop, ... of the merged ranges in bytes."""
+    """(digest, cuts, kept_sha256, all_cuts) of the texts with something to remove, without exact copies: cuts are
+    start, stop, start, stop, ... of the merged ranges of repeated strings of ``length`` bytes; all_cuts of those and
+    the repeated runs of ``words`` words."""
     texts = distinct_texts(docs, text_col, length, words)
     found = repeated_ranges(texts, shape(length))
     if words is not None:
@@ -323,21 +334,25 @@ def repeats_by_text(docs: DataFrame, text_col: str, length: int, words: int | No
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cuts, kept = [], []
+            cuts, kept, every = [], [], []
             offsets, values = batch.column(2).offsets.to_numpy(), batch.column(2).values
             start, stop, in_words = (values.field(n).to_numpy(zero_copy_only=False) for n in ("start", "stop", "in_words"))
             for r, text in enumerate(batch.column(1)):
                 raw = text.as_buffer()
                 own = slice(offsets[r], offsets[r + 1])
-                merged = _in_bytes(raw, start[own], stop[own], in_words[own])
+                in_bytes = ~in_words[own]
+                merged = _merge(start[own][in_bytes], stop[own][in_bytes])
                 cuts.append([x for span in merged for x in span])
+                if not in_bytes.all():
+                    merged = _in_bytes(raw, start[own], stop[own], in_words[own])
+                every.append([x for span in merged for x in span])
                 kept.append(hashlib.sha256(_without(memoryview(raw), cuts[-1])).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(cuts, pa.list_(pa.int64())), pa.array(kept, pa.string())],
-                ["digest", "cuts", "kept_sha256"])
+                [batch.column(0), pa.array(cuts, pa.list_(pa.int64())), pa.array(kept, pa.string()),
+                 pa.array(every, pa.list_(pa.int64()))], ["digest", "cuts", "kept_sha256", "all_cuts"])
 
     return texts.join(ranges, "k").select("digest", "text", "ranges").mapInArrow(
-        run, "digest string, cuts array<long>, kept_sha256 string")
+        run, "digest string, cuts array<long>, kept_sha256 string, all_cuts array<long>")
 
 
 def _without(raw: memoryview | bytes, cuts: list[int]) -> bytes:
@@ -354,21 +369,34 @@ def _copies(docs: DataFrame, text_col: str, length: int, words: int | None = Non
             .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", F.lit(True).alias("copied")))
 
 
-def repeat_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400) -> DataFrame:
-    """One row per document row: n_bytes, n_removed, n_spans and the digest of the bytes that stay."""
+def _spans(copied: Column, cuts: Column, size: Column) -> tuple[Column, Column]:
+    """Bytes and number of the spans ``cuts``, a copied text being one whole span."""
+    removed = F.aggregate(cuts, F.lit(0).cast("long"), lambda t, x: x - t)  # -start + stop - start + ...
+    return (F.when(copied, size).otherwise(removed),
+            F.when(copied, F.lit(1).cast("long")).otherwise((F.size(cuts) / 2).cast("long")))
+
+
+def repeat_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400,
+                  words: int | None = None) -> DataFrame:
+    """One row per document row: n_bytes, n_removed, n_spans and the digest of the bytes that stay, by repeated
+    strings of ``length`` bytes. With ``words`` also passage_bytes and n_passages: bytes and spans covered when
+    runs of as many words that occur again count too."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col), _size(text_col).alias("n_bytes"), _key(text_col)[0].alias("digest"),
                        F.sha2(text.cast("binary"), 256).alias("whole"))
-    found = (_copies(docs, text_col, length).join(repeats_by_text(docs, text_col, length), "digest", "full"))
+    copies = _copies(docs, text_col, length, words)
+    found = copies.join(repeats_by_text(docs, text_col, length, words), "digest", "full")
     joined = rows.join(found, "digest", "left")
-    copied = F.coalesce(F.col("copied"), F.lit(False))
-    cuts = F.coalesce("cuts", F.array().cast("array<long>"))
-    removed = F.aggregate(cuts, F.lit(0).cast("long"), lambda t, x: x - t)  # -start + stop - start + ...
-    return joined.select(
-        F.col(id_col), "n_bytes",
-        F.when(copied, F.col("n_bytes")).otherwise(removed).alias("n_removed"),
-        F.when(copied, F.lit(1).cast("long")).otherwise((F.size(cuts) / 2).cast("long")).alias("n_spans"),
-        F.when(copied, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.coalesce("kept_sha256", "whole")).alias("kept_sha256"))
+    many = F.coalesce(F.col("copied"), F.lit(False))
+    copied = many & (F.col("n_bytes") >= length)
+    none = F.array().cast("array<long>")
+    removed, spans = _spans(copied, F.coalesce("cuts", none), F.col("n_bytes"))
+    out = [F.col(id_col), "n_bytes", removed.alias("n_removed"), spans.alias("n_spans"),
+           F.when(copied, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.coalesce("kept_sha256", "whole")).alias("kept_sha256")]
+    if words is not None:
+        passage, number = _spans(many, F.coalesce("all_cuts", none), F.col("n_bytes"))
+        out += [passage.alias("passage_bytes"), number.alias("n_passages")]
+    return joined.select(*out)
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 400, words: int | None = None) -> DataFrame:
@@ -379,7 +407,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 400, w
     while {key, cut_col, copy_col} & set(names):
         key, cut_col, copy_col = "_" + key, "_" + cut_col, "_" + copy_col
     found = (_copies(docs, text_col, length, words).join(repeats_by_text(docs, text_col, length, words), "digest", "full")
-             .select(F.col("digest").alias(key), F.col("cuts").alias(cut_col), F.col("copied").alias(copy_col)))
+             .select(F.col("digest").alias(key), F.col("all_cuts").alias(cut_col), F.col("copied").alias(copy_col)))
     joined = docs.withColumn(key, _key(text_col)[0]).join(found, key, "left").select(*names, cut_col, copy_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

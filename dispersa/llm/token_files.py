@@ -10,9 +10,9 @@ maximum doc_id of each page, so a filter on ``doc_id`` reads few pages, and meta
 without the tokens. Format version 2 writes ids as DELTA_BINARY_PACKED once the dictionary is off.
 ``read_tokens`` adds ``start``, the number of ids of all documents before.
 
-Encoding is cached twice per worker: by white-space chunk and by pre-token. Plain chunks (ASCII and
-Latin-1 letters) are cut into pre-tokens here, whose ids come from the library's model; anything else goes
-through the library's whole chain.
+Encoding is cached per worker. Plain texts (ASCII and Latin-1 letters) are cut into pre-tokens here, whose ids
+come from the library's model; other texts are cut at white space, plain pieces are treated likewise and anything
+else goes through the library's whole chain.
 
 Defined results: NULL and empty texts have only the end id; rows with equal ids follow each other in the
 order of their text's hash, exact repeats in any order (they are alike); rows with a NULL id come first; an
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -43,7 +44,8 @@ PAGE_BYTES = 256 << 10
 
 # What the vocabulary's own pre-tokenizer does to lower-case ASCII and Latin-1 letters.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")
-_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+_PLAIN_TEXT = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
+_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-z0-9ß-öø-ÿ]+")
 
 
 class Encoder:
@@ -67,8 +69,8 @@ class Encoder:
     def _word_ids(self, words: list[str]) -> list[bytes]:
         """Ids of lower-case pre-tokens, straight from the library's model."""
         tokenize, alphabet = self.model.tokenize, self.alphabet
-        return [np.array([t.id for t in tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(alphabet))],
-                         "<u4").tobytes() for w in words]
+        found = [[t.id for t in tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(alphabet))] for w in words]
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in found]
 
     def _chunk_ids(self, chunks: list[bytes]) -> list[bytes]:
         """Ids of white-space chunks."""
@@ -93,6 +95,9 @@ class Encoder:
         return out
 
     def encode(self, text: bytes) -> bytes:
+        whole = text.decode()
+        if self.plain and _PLAIN_TEXT.fullmatch(whole) and "<|" not in whole:
+            return b"".join(self.words.get_all(_WORDS.findall(whole.lower()), self._word_ids))
         return b"".join(self.chunks.get_all(text.split(), self._chunk_ids))
 
 

@@ -92,3 +92,20 @@ def test_copies_of_short_words_are_repeats(spark):
     rows = [(1, short), (2, short), (3, short[:-2]), (4, "other " + short)]
     got = {r.doc_id: r.text for r in S.remove_repeats(cases.frame(spark, rows), words=51).collect()}
     assert got == {1: "", 2: "", 3: short[:-2], 4: "other "}
+
+
+def test_report_with_passages_counts_what_the_removal_cuts(spark):
+    rng = random.Random(12)
+    word = lambda n: " ".join(rng.choice("abcdefgh") + str(rng.randint(0, 999)) for _ in range(n))
+    passage, long = word(51), word(120)
+    texts = [f"{word(30)} {passage} {word(5)}", f"{passage} {word(9)}", word(60), word(50), f"{long} {word(3)}", f"{word(4)} {long}",
+             word(52), None, ""]
+    texts.append(texts[6])  # exact copies of less than 400 bytes
+    docs = cases.frame(spark, list(enumerate(texts)))
+    got = {r.doc_id: r for r in S.repeat_report(docs, words=51).collect()}
+    kept = {r.doc_id: r.text for r in S.remove_repeats(docs, words=51).collect()}
+    for (i, t), want in zip(enumerate(texts), cases.repeats(texts, 400)):
+        r = got[i]
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want
+        assert r.passage_bytes == len((t or "").encode()) - len((kept[i] or "").encode()) >= r.n_removed
+        assert (r.passage_bytes > 0) == (r.n_passages > 0) == (i in (0, 1, 4, 5, 6, 9))
