@@ -5,27 +5,25 @@ the word, and an end id closes the document. The ids are in classes (frequent on
 kind and frequency band); an id's probability is that of its class in context times its share of the class.
 The shares are counts over all training documents. The class comes from one attention layer: each position
 looks back over the inputs of its window with content scores and a bias by distance, adds its own
-embedding, and a softmax over the classes follows. Windows of ``WINDOW`` inputs overlap by half, and the
+embedding, and a softmax over the classes follows, whose logits start from a fixed table: the log share of each
+class after each input, counted over all training ids. Windows of ``WINDOW`` inputs overlap by half, and the
 second half of each is scored, so each id is scored once with at least half a window before it (if the
-document has one).
+document has one). ``score`` is the sum of the ids' log10 probabilities, and nothing else.
 
-Training is data-parallel: every task runs Adam in numpy over the windows of its rows, Spark averages the
-weights by parameter (weighted by windows), and the next round starts from there. Each training document
-is cut into windows like those of the scores, so every id is a target once; they are dealt over the rounds.
-
-The score takes the attention model's probability of a word's ids and raises words that were seen: absolute
-discounting takes D from every training count and gives the mass of all discounts to the attention model,
-P(word) = max(0, c - D) / N + (D V / N) P_attention(word), which sums to at most 1 over all words. D is
-n1 / (n1 + 2 n2), with n1 and n2 the numbers of words seen once and twice. ``attention_score`` is the
-attention model alone.
+Training is data-parallel: the training documents are dealt to shards by a hash of their ids, about
+``SHARD_IDS`` ids each, in the order of that hash. Every shard runs Adam in numpy over its windows in batches
+that only its documents fix, Spark averages the shards' weights (weighted by windows), and the next round
+starts from there. The weights so follow from the documents alone, whatever the tasks and the cluster. Each
+training document is cut into windows like those of the scores, so every id is a target once; they are dealt
+over the rounds.
 
 Base: counts of all training words are summed in Spark. The most frequent words, at most ``TOP_WORDS``, go to
 all tasks; the rest of each document's words is joined with the counts.
 
 Defined results: a NULL or empty text is the end alone; without training documents the counts are 0, the
-base is log10(0.1 / 0.1) = 0 a token, the model's shares are uniform and the score is the attention model's; rows are scored one by one (repeated
-rows alike); a NULL id counts as the empty string in the fold; an empty table gives no rows; extra columns
-are ignored.
+base is log10(0.1 / 0.1) = 0 a token and the model is its start (uniform shares); rows are scored one by one
+(repeated rows alike); a NULL id counts as the empty string in the fold; an empty table gives no rows; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -50,14 +48,17 @@ ALONE = 40  # ids that are classes of their own
 OWN = 1024  # ids with an embedding of their own; the others share one by class
 WIDTH, KEY = 24, 8
 ROUNDS = 2
-BATCH = 128  # windows of a training step
+BATCH = 512  # windows of a training step
+SHARD_IDS = 4_000_000  # training ids of a shard, about
+CHUNK_DOCS = 256  # documents of a shard whose windows are mixed
 RATE = 0.02
 TOP_WORDS = 1 << 18
 CACHED_WORDS = 100_000  # per generation in a worker
 COUNTED_WORDS = 100_000  # distinct words that a counting task holds before it passes them on
+LEAN = 20.0  # counts that an input's row of the pair table borrows from the classes' own shares
+SUM_SHARDS = 16  # shards whose weights one task adds
 BLOCKS = 512  # half windows scored at once
 SMOOTH = 0.1
-LEAST_STEPS = 150  # of a task and round, if it has a window: passes over few windows are repeated
 
 
 # --- subword ids ------------------------------------------------------------------------------------------
@@ -191,14 +192,13 @@ def _unpack(flat: np.ndarray) -> dict[str, np.ndarray]:
     return {n: p.reshape(s) for (n, s), p in zip(SHAPES.items(), parts)}
 
 
-def initial(counts: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
-    """Small random weights; the class biases are the classes' corpus frequencies."""
+def initial() -> np.ndarray:
+    """Small random weights; the first logits are those of the table of pairs."""
     rng = np.random.default_rng(11)
     w = {n: rng.normal(0, 0.3 if n == "x" else s[0] ** -0.5, s) for n, s in SHAPES.items()}
     w["far"] = -0.1 * np.arange(WINDOW)
-    mass = np.bincount(vocabulary.of_class, weights=counts + SMOOTH, minlength=CLASSES) + SMOOTH
-    w["b"] = np.log(mass / mass.sum())
-    w["wo"] *= 0.3
+    w["b"] = np.zeros(CLASSES)
+    w["wo"] *= 0.1
     return np.concatenate([w[n].ravel() for n in SHAPES]).astype(np.float32)
 
 
@@ -216,9 +216,10 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z
 
 
-def step(w: dict[str, np.ndarray], rows: np.ndarray, target: np.ndarray, known: np.ndarray) -> tuple[float, np.ndarray]:
+def step(w: dict[str, np.ndarray], pairs: np.ndarray, rows: np.ndarray, target: np.ndarray,
+         known: np.ndarray) -> tuple[float, np.ndarray]:
     """Loss a token and gradient for windows: ``rows`` (n, WINDOW) inputs, ``target`` (n, HALF) classes,
-    ``known`` (n, HALF) false beyond a document's end."""
+    ``known`` (n, HALF) false beyond a document's end; ``pairs``: logits of the classes after each input."""
     e = w["x"][rows]
     e2 = e[:, HALF:]
     q, k, v = e2 @ w["wq"], e @ w["wk"], e @ w["wv"]
@@ -226,7 +227,9 @@ def step(w: dict[str, np.ndarray], rows: np.ndarray, target: np.ndarray, known:
     bias = w["far"][np.maximum(_DISTANCE, 0)] + _HIDDEN
     a = _softmax(q @ k.transpose(0, 2, 1) * scale + bias + np.where(rows == PAD, -1e4, 0).astype(np.float32)[:, None, :])
     h = np.tanh(a @ v + e2)
-    p = _softmax(h @ w["wo"] + w["b"])
+    p = h @ w["wo"] + w["b"]
+    p += pairs[rows[:, HALF:]]
+    p = _softmax(p)
     n = max(1, int(known.sum()))
     at = np.take_along_axis(p, target[:, :, None], 2)[:, :, 0]
     loss = -float(np.log(np.maximum(at, 1e-30))[known].sum()) / n
@@ -255,12 +258,12 @@ class Scorer:
     """Class log-probabilities by tables of the trained weights: one row of keys, values and queries for
     each embedding."""
 
-    def __init__(self, flat: np.ndarray, vocabulary: Vocabulary):
+    def __init__(self, flat: np.ndarray, pairs: np.ndarray, vocabulary: Vocabulary):
         w = _unpack(flat.astype(np.float32))
         self.q = w["x"] @ w["wq"] * np.float32(KEY ** -0.5)
         self.k, self.v, self.x = w["x"] @ w["wk"], w["x"] @ w["wv"], w["x"]
         self.bias = (w["far"][np.maximum(_DISTANCE, 0)] + _HIDDEN).astype(np.float32)
-        self.wo, self.b = w["wo"], w["b"]
+        self.wo, self.after = w["wo"], pairs + w["b"]
         self.vocabulary = vocabulary
 
     def logs(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -291,7 +294,7 @@ class Scorer:
             h = _softmax(s) @ self.v[x]
             h += self.x[x[:, HALF:]]
             z = np.tanh(h, out=h).reshape(-1, WIDTH) @ self.wo
-            z += self.b
+            z += self.after[x[:, HALF:].ravel()]
             np.minimum(z, 60, out=z)
             got = z[np.arange(len(z)), target.ravel()]
             logp = (got - np.log(np.exp(z, out=z).sum(axis=1))).reshape(len(own), HALF)
@@ -300,44 +303,69 @@ class Scorer:
 
 
 class Coded(NamedTuple):
-    """Ids of documents with their ends, document borders, and the first id of each word or end."""
+    """Ids of documents with their ends, and document borders."""
 
     ids: np.ndarray
     bounds: np.ndarray
-    units: np.ndarray
 
 
 def code(part: T.Slice, sub: Subwords) -> Coded:
     raw, b = T.LOWER[part.data].tobytes(), part.bounds.tolist()
     end = np.array([sub.end], "<i4").tobytes()
-    coded: list[bytes] = []
-    words = np.empty(part.rows, np.int64)
-    for r in range(part.rows):
-        found = sub.of_words(raw[b[r]: b[r + 1]].split())
-        words[r] = len(found)
-        coded += found
-        coded.append(end)
-    sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-    units = np.cumsum(sizes) - sizes
-    ids = np.frombuffer(b"".join(coded), "<i4")
-    last = np.cumsum(words + 1)
-    return Coded(ids, np.concatenate([[0], (units + sizes)[last - 1]]), units)
+    docs = [b"".join(sub.of_words(raw[b[r]: b[r + 1]].split())) + end for r in range(part.rows)]
+    sizes = np.fromiter(map(len, docs), np.int64, len(docs)) // 4
+    return Coded(np.frombuffer(b"".join(docs), "<i4"), np.concatenate([[0], np.cumsum(sizes)]))
 
 
 # --- training ---------------------------------------------------------------------------------------------
 
-def training_ids(docs: DataFrame, text_col: str, path: str) -> DataFrame:
-    """(ids): all ids of each document with its end."""
+def coded_documents(docs: DataFrame, train_on: Column, path: str, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, learn, ids, mark): every document with all its ids and its end, written once; ``mark``: a hash of
+    the ids, which deals and orders the training documents."""
+    kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sub = subwords(path)
         for batch in batches:
-            for part in T.slices(batch.column(0)):
+            for part in T.slices(batch.column(1)):
                 coded = code(part, sub)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.ListArray.from_arrays(pa.array(coded.bounds, pa.int32()), pa.array(coded.ids))], ["ids"])
+                lists = pa.ListArray.from_arrays(pa.array(coded.bounds, pa.int32()), pa.array(coded.ids))
+                yield pa.RecordBatch.from_arrays([*(c.slice(part.first, part.rows) for c in batch.columns), lists],
+                                                 ["id", "text", "learn", "ids"])
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(train_on, F.lit(False)).alias("learn"))
+    coded = rows.mapInArrow(run, f"id {kind}, text string, learn boolean, ids array<int>")
+    return written(coded.withColumn("mark", F.xxhash64("ids")), "lm-ids")
 
-    return written(docs.select(F.col(text_col)).mapInArrow(run, "ids array<int>"), "lm-ids")
+
+def _of_lists(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    return lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+
+
+def pair_table(learn: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
+    """Log share of each class after each input (embedding row), counted over all training ids; few counts lean
+    on the classes' own shares. One number a cell comes to the driver (ROWS x CLASSES)."""
+    shared = learn.sparkSession.sparkContext.broadcast((vocabulary.row, vocabulary.of_class))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row_of, class_of = shared.value
+        total = np.zeros(ROWS * CLASSES, np.int64)
+        for batch in batches:
+            ids, bounds = _of_lists(batch.column(0))
+            before = np.concatenate([[len(row_of) - 1], ids[:-1]])
+            before[bounds[:-1]] = len(row_of) - 1  # a document's first input is the end id
+            total += np.bincount(row_of[before] * CLASSES + class_of[ids], minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], ["cell", "n"])
+
+    found = (learn.select("ids").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+             .toPandas())
+    table = np.zeros(ROWS * CLASSES)
+    table[found["cell"].to_numpy(np.int64)] = found["n"].to_numpy(float)
+    table = table.reshape(ROWS, CLASSES)
+    own = table.sum(axis=0) + SMOOTH
+    own /= own.sum()
+    return np.log((table + LEAN * own) / (table.sum(axis=1, keepdims=True) + LEAN)).astype(np.float32)
 
 
 def windows(ids: np.ndarray, bounds: np.ndarray, end: int, number: int, rounds: int) -> Iterator[np.ndarray]:
@@ -357,69 +385,119 @@ def windows(ids: np.ndarray, bounds: np.ndarray, end: int, number: int, rounds:
         yield np.where(inside, ids[np.where(inside, left + at, 0)], np.where(at == -1, end, -1))
 
 
-def train(coded: DataFrame, counts: np.ndarray, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights after ``rounds`` rounds of local Adam and averaging over the documents' ids."""
-    spark = coded.sparkSession
-    flat = initial(counts, vocabulary)
+class _Shard:
+    """Adam over the documents of one shard, chunk by chunk."""
+
+    def __init__(self, start: np.ndarray, pairs: np.ndarray, rows: np.ndarray, classes: np.ndarray, number: int, rounds: int):
+        self.w, self.m, self.v = start.copy(), np.zeros_like(start), np.zeros_like(start)
+        self.pairs, self.rows, self.classes, self.number, self.rounds = pairs, rows, classes, number, rounds
+        self.seen = self.t = self.docs = 0
+        self.held: list[np.ndarray] = []
+
+    def add(self, ids: np.ndarray, bounds: np.ndarray) -> None:
+        at = 0
+        while at < len(bounds) - 1:
+            end = min(len(bounds) - 1, at + CHUNK_DOCS - self.docs)
+            self.held += [ids[bounds[i]: bounds[i + 1]] for i in range(at, end)]
+            self.docs += end - at
+            at = end
+            if self.docs == CHUNK_DOCS:
+                self.learn()
+
+    def learn(self) -> None:
+        if not self.held:
+            return
+        bounds = np.concatenate([[0], np.cumsum([len(x) for x in self.held])])
+        for part in windows(np.concatenate(self.held), bounds, len(self.rows) - 2, self.number, self.rounds):
+            x, y = part[:, :WINDOW], part[:, HALF + 1:]
+            _, g = step(_unpack(self.w), self.pairs, self.rows[x], self.classes[y], y >= 0)
+            self.t += 1
+            self.m += np.float32(0.1) * (g - self.m)
+            self.v += np.float32(0.01) * (g * g - self.v)
+            rate = RATE / (1 + self.number) / (1 - 0.9 ** self.t) * (1 - 0.99 ** self.t) ** 0.5
+            self.w -= np.float32(rate) * self.m / (np.sqrt(self.v) + np.float32(1e-6))
+            self.seen += len(part)
+        self.held, self.docs = [], 0
+
+
+def train(learn: DataFrame, pairs: np.ndarray, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights after ``rounds`` rounds of local Adam by shard and averaging over ``learn (ids, mark)``."""
+    spark = learn.sparkSession
+    flat = initial()
     row_of = np.append(vocabulary.row, PAD)  # -1: before the start
     class_of = np.append(vocabulary.of_class, 0)
-    for number in range(rounds):
-        shared = spark.sparkContext.broadcast((flat, row_of, class_of))
+    n_ids = learn.agg(F.sum(F.size("ids")).alias("n")).first().n or 0
+    shards = -(-n_ids // SHARD_IDS)
+    dealt = learn.select("ids", "mark", F.pmod("mark", F.lit(max(1, shards))).cast("int").alias("shard"))
+    for number in range(rounds if shards else 0):
+        shared = spark.sparkContext.broadcast((flat, pairs, row_of, class_of))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            start, rows, classes = shared.value
-            w, m, v = start.copy(), np.zeros_like(start), np.zeros_like(start)
-            seen = t = 0
-            few: list[np.ndarray] = []  # the windows of a task that has few
-
-            def learn(part: np.ndarray) -> None:
-                nonlocal w, m, v, t
-                x, y = part[:, :WINDOW], part[:, HALF + 1:]
-                _, g = step(_unpack(w), rows[x], classes[y], y >= 0)
-                t += 1
-                m = 0.9 * m + 0.1 * g
-                v = 0.99 * v + 0.01 * g * g
-                w = w - np.float32(RATE / (1 + number)) * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-6)
+            here, current = None, None
+
+            def out() -> pa.RecordBatch:
+                here.learn()
+                flat_weights = pa.array(here.w.astype(np.float64) * here.seen)
+                return pa.RecordBatch.from_arrays(
+                    [pa.array([current], pa.int32()), pa.array([here.seen], pa.int64()),
+                     pa.ListArray.from_arrays(pa.array([0, len(here.w)], pa.int32()), flat_weights)], ["shard", "n", "w"])
 
             for batch in batches:
-                lists = batch.column(0)
-                bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-                for part in windows(lists.flatten().to_numpy(), bounds, len(rows) - 2, number, rounds):
-                    learn(part)
-                    seen += len(part)
-                    if t <= LEAST_STEPS:
-                        few.append(part)
-            while few and t < LEAST_STEPS:
-                for part in few[: LEAST_STEPS - t]:
-                    learn(part)
-            if seen:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(w)), pa.int32()), pa.array(w.astype(np.float64) * seen),
-                     pa.array(np.full(len(w), seen), pa.int64())], ["i", "w", "n"])
-
-        mean = (coded.mapInArrow(run, "i int, w double, n long").groupBy("i")
-                .agg((F.sum("w") / F.sum("n")).alias("w")).toPandas())  # one number a weight
-        if len(mean):
-            flat = flat.copy()
-            flat[mean["i"].to_numpy(np.int64)] = mean["w"].to_numpy(np.float32)
+                shard = batch.column(1).to_numpy()
+                cuts = np.concatenate([[0], np.flatnonzero(np.diff(shard)) + 1, [len(shard)]]) if len(shard) else []
+                for lo, hi in zip(cuts[:-1], cuts[1:]):
+                    if current != shard[lo]:
+                        if here is not None:
+                            yield out()
+                        here, current = _Shard(*shared.value, number, rounds), shard[lo]
+                    here.add(*_of_lists(batch.column(0).slice(lo, hi - lo)))
+            if here is not None:
+                yield out()
+
+        trained = (dealt.repartitionById(shards, "shard").sortWithinPartitions("shard", "mark").select("ids", "shard")
+                   .mapInArrow(run, "shard int, n long, w array<double>"))
+        mean = _mean(trained, shards)
+        if mean is not None:
+            flat = mean.astype(np.float32)
     return flat
 
 
+def _mean(trained: DataFrame, shards: int) -> np.ndarray | None:
+    """Mean of the shards' weights: sums of SUM_SHARDS shards in their order, then of such sums, so that neither
+    the result nor what a task or the driver holds follows the tasks. One array comes to the driver."""
+
+    def add(key, table):
+        order = np.argsort(table.column("shard").to_numpy())
+        rows = table.column("w").to_pylist()
+        total = np.sum([rows[i] for i in order], axis=0)
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "n": [sum(table.column("n").to_pylist())],
+                         "w": pa.array([total.tolist()], pa.list_(pa.float64()))})
+
+    while shards > 1:
+        shards = -(-shards // SUM_SHARDS)
+        trained = trained.groupBy((F.col("shard") / SUM_SHARDS).cast("int").alias("shard_group")).applyInArrow(
+            add, "shard int, n long, w array<double>")
+    rows = trained.collect()
+    return np.array(rows[0].w) / rows[0].n if rows and rows[0].n else None
+
+
 # --- scores -----------------------------------------------------------------------------------------------
 
 def score_documents(docs: DataFrame, subword_path: str, train_on: Column, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """One row per document row: id, n_tokens, n_known, train_tokens, base_score, score, attention_score. ``train_on`` is the
+    """One row per document row: id, n_tokens, n_known, train_tokens, base_score, score. ``train_on`` is the
     condition on ``docs`` that picks the documents to learn from."""
     spark = docs.sparkSession
-    learn = docs.filter(train_on)
-    words = word_counts(learn, text_col)
+    coded = coded_documents(docs, train_on, subword_path, id_col, text_col)
+    learn = coded.filter("learn")
+    words = word_counts(learn, "text")
     n_docs = learn.count()
     sums = words.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = (sums.n or 0) + n_docs, sums.v + (n_docs > 0)
     counts = id_counts(words, subword_path, n_docs)
     vocabulary = Vocabulary.build(counts, subwords(subword_path).starts_word)
-    flat = train(training_ids(learn, text_col, subword_path), counts, vocabulary)
+    pairs = pair_table(learn, vocabulary)
+    flat = train(learn, pairs, vocabulary)
 
     # The frequent words: all from the least count on that at most TOP_WORDS words reach.
     spread = words.groupBy("c").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).limit(TOP_WORDS).toPandas()
@@ -429,63 +507,46 @@ def score_documents(docs: DataFrame, subword_path: str, train_on: Column, id_col
     order = np.argsort(names)
     names, c = names[order], c[order]
     whole = np.log10(n + SMOOTH * (v + 1))
-    shared = spark.sparkContext.broadcast((names, c, flat, vocabulary))
-    total = max(1, int(n))
-    once = words.agg(F.sum((F.col("c") == 1).cast("long")).alias("n1"), F.sum((F.col("c") == 2).cast("long")).alias("n2")).first()
-    n1, n2 = once.n1 or 0, once.n2 or 0
-    discount = n1 / (n1 + 2 * n2) if 0 < n1 and 0 < n2 else 0.5
-    left = discount * v / total if n else 1.0  # the attention model's mass
+    shared = spark.sparkContext.broadcast((names, c, flat, pairs, tuple(vocabulary)))  # plain: no class to import
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, c, flat, vocabulary = shared.value
-        sub, scorer = subwords(subword_path), Scorer(flat, vocabulary)
+        names, c, flat, pairs, vocabulary = shared.value
+        scorer = Scorer(flat, pairs, Vocabulary(*vocabulary))
         row_id = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in T.slices(batch.column(1)):
                 lowered = T.LOWER[part.data]
                 starts, ends, before = T.words(lowered, part.bounds)
                 mine = T.Fingerprints(lowered).of(starts, ends)
-                coded = code(part, sub)
-                logs = np.add.reduceat(scorer.logs(coded.ids, coded.bounds), coded.units)
-                unit_rows = np.repeat(np.arange(part.rows), np.diff(before) + 1)
-                is_end = np.zeros(len(logs), bool)
-                is_end[np.cumsum(np.diff(before) + 1) - 1] = True
-                # Counts of the words and ends; -1: not among the most frequent.
-                count = np.full(len(logs), -1, np.int64)
-                count[is_end] = n_docs
+                ids, bounds = _of_lists(batch.column(2).slice(part.first, part.rows))
+                logs = np.add.reduceat(scorer.logs(ids, bounds), bounds[:-1])
+                rows = np.repeat(np.arange(part.rows), np.diff(before))
+                count = np.full(len(mine), -1, np.int64)  # -1: not among the most frequent
                 if len(names):
                     at = np.minimum(np.searchsorted(names, mine), len(names) - 1)
-                    count[~is_end] = np.where(names[at] == mine, c[at], -1)
+                    count = np.where(names[at] == mine, c[at], -1)
                 top = count >= 0
-                per_row = lambda x: np.bincount(unit_rows[top], weights=x, minlength=part.rows)
-                blend = np.maximum(np.maximum(count[top] - discount, 0) / total + left * 10 ** logs[top], 1e-300)
+                per_row = lambda x: np.bincount(rows[top], weights=x, minlength=part.rows)
                 rare = ~top
-                cut = np.searchsorted(unit_rows[rare], np.arange(part.rows + 1))
-                lists = pa.StructArray.from_arrays(
-                    [pa.array(mine[rare[~is_end]].view(np.int64)), pa.array(logs[rare].astype(np.float32))], ["name", "log"])
+                cut = np.searchsorted(rows[rare], np.arange(part.rows + 1))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(part.first, part.rows), pa.array(row_id + np.arange(part.rows)),
-                     pa.array(np.diff(before) + 1), pa.array(per_row(np.log10(count[top] + SMOOTH))),
-                     pa.array(per_row(count[top] > 0).astype(np.int64)), pa.array(per_row(np.log10(blend))),
-                     pa.array(np.bincount(unit_rows, weights=logs, minlength=part.rows)),
-                     pa.ListArray.from_arrays(pa.array(cut, pa.int32()), lists)],
-                    [id_col, "row_id", "n_tokens", "base", "known", "blend", "attention_score", "rare"])
+                     pa.array(np.diff(before) + 1), pa.array(per_row(np.log10(count[top] + SMOOTH)) + np.log10(n_docs + SMOOTH)),
+                     pa.array(per_row(count[top] > 0).astype(np.int64) + int(n_docs > 0)), pa.array(logs),
+                     pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(mine[rare].view(np.int64)))],
+                    [id_col, "row_id", "n_tokens", "base", "known", "score", "rare"])
                 row_id += part.rows
 
     kind = dict(docs.dtypes)[id_col]
-    scored = written(docs.select(F.col(id_col), F.col(text_col)).mapInArrow(
-        run, f"`{id_col}` {kind}, row_id long, n_tokens long, base double, known long, blend double, "
-             "attention_score double, rare array<struct<name:long,log:float>>"), "lm-scores")
+    scored = written(coded.select("id", "text", "ids").mapInArrow(
+        run, f"`{id_col}` {kind}, row_id long, n_tokens long, base double, known long, score double, rare array<long>"),
+        "lm-scores")
     # The other words: joined with the counts, summed by row.
-    log = F.col("log").cast("double")
-    blended = F.when(F.col("c").isNull(), log + float(np.log10(left))).otherwise(
-        F.log10((F.col("c") - discount) / total + F.pow(F.lit(10.0), log) * left))
-    rest = (scored.select("row_id", F.explode("rare").alias("w")).select("row_id", "w.name", "w.log")
-            .join(words.select("name", "c"), "name", "left")
+    rest = (scored.select("row_id", F.explode("rare").alias("name")).join(words.select("name", "c"), "name", "left")
             .groupBy("row_id").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(SMOOTH))).alias("more"),
-                                   F.count("c").alias("more_known"), F.sum(blended).alias("more_blend")))
+                                   F.count("c").alias("more_known")))
     return scored.join(rest, "row_id", "left").select(
         F.col(id_col), "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(int(n)).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * F.lit(float(whole))).alias("base_score"),
-        (F.col("blend") + F.coalesce("more_blend", F.lit(0.0))).alias("score"), "attention_score")
+        "score")

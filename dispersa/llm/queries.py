@@ -39,7 +39,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = attention_lm.fold("doc_id", 10) == 0
     scored = attention_lm.score_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), ~held_out)
-    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "attention_score")
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 URL_RULES = [url_filter.Rule(*r) for r in (

@@ -17,16 +17,17 @@ def test_gradient_matches_differences():
     rng = np.random.default_rng(2)
     counts = rng.integers(0, 50, 3000)
     voc = A.Vocabulary.build(counts, rng.random(3000) < 0.5)
-    flat = A.initial(counts, voc).astype(np.float64)
+    flat = A.initial().astype(np.float64)
+    pairs = rng.normal(size=(A.ROWS, A.CLASSES))
     rows = voc.row[rng.integers(0, 3000, (4, A.WINDOW))]
     rows[0, :5] = A.PAD
     target, known = rng.integers(0, A.CLASSES, (4, A.HALF)), rng.random((4, A.HALF)) < 0.8
-    _, grad = A.step(A._unpack(flat), rows, target, known)
+    _, grad = A.step(A._unpack(flat), pairs, rows, target, known)
     for i in [*np.flatnonzero(grad)[::997], len(flat) - 5, len(flat) - 100]:
         up, down = flat.copy(), flat.copy()
         up[i] += 1e-4
         down[i] -= 1e-4
-        slope = (A.step(A._unpack(up), rows, target, known)[0] - A.step(A._unpack(down), rows, target, known)[0]) / 2e-4
+        slope = (A.step(A._unpack(up), pairs, rows, target, known)[0] - A.step(A._unpack(down), pairs, rows, target, known)[0]) / 2e-4
         assert abs(slope - grad[i]) < 1e-4 + 1e-3 * abs(slope)
 
 
@@ -34,10 +35,11 @@ def test_scores_match_one_window_at_a_time():
     rng = np.random.default_rng(3)
     counts = rng.integers(0, 50, 2000)
     voc = A.Vocabulary.build(counts, rng.random(2000) < 0.5)
-    w = A._unpack(A.initial(counts, voc).astype(np.float64))
+    w = A._unpack(A.initial().astype(np.float64))
+    pairs = rng.normal(size=(A.ROWS, A.CLASSES))
     sizes = [1, 2, A.HALF, A.WINDOW + 3, 70]
     docs = [np.append(rng.integers(0, 1999, n - 1), 1999) for n in sizes]
-    got = A.Scorer(np.concatenate([w[n].ravel() for n in A.SHAPES]), voc).logs(
+    got = A.Scorer(np.concatenate([w[n].ravel() for n in A.SHAPES]), pairs, voc).logs(
         np.concatenate(docs), np.concatenate([[0], np.cumsum(sizes)]))
     want = []
     for d in docs:
@@ -48,7 +50,7 @@ def test_scores_match_one_window_at_a_time():
             s = (x @ w["wk"]) @ (x[-1] @ w["wq"]) / math.sqrt(A.KEY) + w["far"][np.arange(t - lo, -1, -1)]
             a = np.exp(s - s.max())
             h = np.tanh((a / a.sum()) @ (x @ w["wv"]) + x[-1])
-            z = h @ w["wo"] + w["b"]
+            z = h @ w["wo"] + w["b"] + pairs[inputs[t]]
             logp = z[voc.of_class[d[t]]] - np.log(np.exp(z).sum())
             want.append((logp + voc.log_share[d[t]]) / np.log(10))
     assert np.allclose(got, want, atol=1e-3)
@@ -63,7 +65,7 @@ def test_shares_and_classes_sum_to_one():
 def test_every_training_id_is_a_target_once(spark):
     """Targets of all rounds against the ids of all documents, each with the ids before it."""
     rows = cases.awkward() + [(20 + n, "word " * n) for n in range(30)]
-    lists = [r.ids for r in A.training_ids(cases.frame(spark, rows), "text", PATH).collect()]
+    lists = [r.ids for r in A.coded_documents(cases.frame(spark, rows), F.lit(True), PATH, "doc_id", "text").collect()]
     end = A.subwords(PATH).end
     bounds = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
     got = Counter()
@@ -113,5 +115,32 @@ def test_learned_text_is_likelier_than_random_words(spark):
     rows = [(i, "the cat sat on the mat and the dog ran after the cat . " * 6) for i in range(30)]
     rows += [(100, "the cat sat on the mat"), (101, "zq vv jjx kw pqz xx")]
     got = {r.doc_id: r for r in A.score_documents(cases.frame(spark, rows), PATH, F.col("doc_id") < 100).collect()}
-    assert got[100].score > got[101].score and got[100].attention_score > got[101].attention_score
+    assert got[100].score > got[101].score
     assert got[100].score > got[101].base_score
+
+
+def test_weights_follow_from_the_documents_alone(spark, monkeypatch):
+    monkeypatch.setattr(A, "SHARD_IDS", 300)
+    monkeypatch.setattr(A, "SUM_SHARDS", 2)
+    rows = cases.awkward()[:8] + [(20 + n, f"word{n % 5} and more {n} " * (n % 9)) for n in range(60)]
+    scores = []
+    for parts in (1, 7):
+        docs = cases.frame(spark, rows).repartition(parts)
+        got = A.score_documents(docs, PATH, F.coalesce(F.col("doc_id") % 3 > 0, F.lit(False))).collect()
+        scores.append(sorted((str(r.doc_id), r.n_tokens, r.score) for r in got))
+    assert scores[0] == scores[1]
+
+
+def test_pair_table_matches_counts(spark):
+    rows = [(n, f"a b c{n} " * n) for n in range(12)]
+    coded = A.coded_documents(cases.frame(spark, rows).repartition(3), F.lit(True), PATH, "doc_id", "text")
+    voc = A.Vocabulary.build(np.arange(A.subwords(PATH).end + 1) % 7, A.subwords(PATH).starts_word)
+    end = A.subwords(PATH).end
+    want = np.zeros((A.ROWS, A.CLASSES))
+    for r in coded.collect():
+        for before, i in zip([end, *r.ids], r.ids):
+            want[voc.row[before], voc.of_class[i]] += 1
+    own = want.sum(axis=0) + A.SMOOTH
+    want = (want + A.LEAN * own / own.sum()) / (want.sum(axis=1, keepdims=True) + A.LEAN)
+    got = np.exp(A.pair_table(coded, voc))
+    assert np.allclose(got, want, rtol=1e-4) and np.allclose(got.sum(axis=1), 1, atol=1e-4)
