@@ -2,11 +2,11 @@
 
 Text is lower-cased (A-Z) and split at white space; every word becomes the byte-level BPE ids of a space and
 the word, and an end id closes the document. The ids are in classes (frequent ones alone, the others by
-kind and frequency band); an id's probability is that of its class in context times its share of the class.
-The shares are counts over all training documents. The class comes from one attention layer: each position
-looks back over the inputs of its window with content scores and a bias by distance, adds its own
-embedding, and a softmax over the classes follows, whose logits start from a fixed table: the log share of each
-class after each input, counted over all training ids. Windows of ``WINDOW`` inputs overlap by half, and the
+kind and frequency band); an id's probability is that of its class in context times its share of the class
+after the id before it. The class comes from one attention layer: each position looks back over the inputs of
+its window with content scores and a bias by distance, adds its own embedding, and a softmax over the classes
+follows, whose logits start from a fixed table: the log share of each class after each input. That table and the
+shares within a class are counts of pairs of ids over all training documents (rare ids by their class). Windows of ``WINDOW`` inputs overlap by half, and the
 second half of each is scored, so each id is scored once with at least half a window before it (if the
 document has one). ``score`` is the sum of the ids' log10 probabilities, and nothing else.
 
@@ -55,7 +55,7 @@ RATE = 0.02
 TOP_WORDS = 1 << 18
 CACHED_WORDS = 100_000  # per generation in a worker
 COUNTED_WORDS = 100_000  # distinct words that a counting task holds before it passes them on
-LEAN = 20.0  # counts that an input's row of the pair table borrows from the classes' own shares
+LEAN = 10.0  # counts that an input's row of the pair tables borrows from the shares whatever the input
 SUM_SHARDS = 16  # shards whose weights one task adds
 BLOCKS = 512  # half windows scored at once
 SMOOTH = 0.1
@@ -156,7 +156,7 @@ def id_counts(words: DataFrame, path: str, n_docs: int) -> np.ndarray:
 # --- model ------------------------------------------------------------------------------------------------
 
 class Vocabulary(NamedTuple):
-    """Class, embedding row and log share of the class of each id."""
+    """Class, embedding row, and log share of the row of each id."""
 
     of_class: np.ndarray
     row: np.ndarray
@@ -176,7 +176,7 @@ class Vocabulary(NamedTuple):
         rank[order] = np.arange(len(counts))
         row = np.where(rank < OWN, rank, OWN + of_class)
         smoothed = counts + SMOOTH
-        share = smoothed / np.bincount(of_class, weights=smoothed, minlength=CLASSES)[of_class]
+        share = smoothed / np.bincount(row, weights=smoothed)[row]
         return Vocabulary(of_class, row, np.log(share))
 
 
@@ -258,13 +258,13 @@ class Scorer:
     """Class log-probabilities by tables of the trained weights: one row of keys, values and queries for
     each embedding."""
 
-    def __init__(self, flat: np.ndarray, pairs: np.ndarray, vocabulary: Vocabulary):
+    def __init__(self, flat: np.ndarray, pairs: np.ndarray, within: np.ndarray, vocabulary: Vocabulary):
         w = _unpack(flat.astype(np.float32))
         self.q = w["x"] @ w["wq"] * np.float32(KEY ** -0.5)
         self.k, self.v, self.x = w["x"] @ w["wk"], w["x"] @ w["wv"], w["x"]
         self.bias = (w["far"][np.maximum(_DISTANCE, 0)] + _HIDDEN).astype(np.float32)
         self.wo, self.after = w["wo"], pairs + w["b"]
-        self.vocabulary = vocabulary
+        self.vocabulary, self.within = vocabulary, within
 
     def logs(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """log10 probability of each id; ``ids`` holds the documents, each with its end id, one after the
@@ -298,6 +298,7 @@ class Scorer:
             np.minimum(z, 60, out=z)
             got = z[np.arange(len(z)), target.ravel()]
             logp = (got - np.log(np.exp(z, out=z).sum(axis=1))).reshape(len(own), HALF)
+            logp += self.within[x[:, HALF:], rows[np.where(known, left + t, 0)]]
             out[(left + t)[known]] += logp[known]
         return out / np.log(10)
 
@@ -342,30 +343,40 @@ def _of_lists(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
 
 
-def pair_table(learn: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
-    """Log share of each class after each input (embedding row), counted over all training ids; few counts lean
-    on the classes' own shares. One number a cell comes to the driver (ROWS x CLASSES)."""
-    shared = learn.sparkSession.sparkContext.broadcast((vocabulary.row, vocabulary.of_class))
+def pair_tables(learn: DataFrame, vocabulary: Vocabulary, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Logs of the share of each class after each input (embedding row), and of each row's share of its class
+    after each input, counted over all training ids; few counts lean on the shares whatever the input. One number
+    a cell comes to the driver (at most ROWS x ROWS)."""
+    shared = learn.sparkSession.sparkContext.broadcast(vocabulary.row)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row_of, class_of = shared.value
-        total = np.zeros(ROWS * CLASSES, np.int64)
+        row_of = shared.value
+        total = np.zeros(ROWS * ROWS, np.int64)
         for batch in batches:
             ids, bounds = _of_lists(batch.column(0))
             before = np.concatenate([[len(row_of) - 1], ids[:-1]])
             before[bounds[:-1]] = len(row_of) - 1  # a document's first input is the end id
-            total += np.bincount(row_of[before] * CLASSES + class_of[ids], minlength=len(total))
+            total += np.bincount(row_of[before] * ROWS + row_of[ids], minlength=len(total))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], ["cell", "n"])
 
     found = (learn.select("ids").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-             .toPandas())
-    table = np.zeros(ROWS * CLASSES)
-    table[found["cell"].to_numpy(np.int64)] = found["n"].to_numpy(float)
-    table = table.reshape(ROWS, CLASSES)
-    own = table.sum(axis=0) + SMOOTH
+             .toArrow())
+    n = np.zeros(ROWS * ROWS)
+    n[found.column("cell").to_numpy()] = found.column("n").to_numpy()
+    n = n.reshape(ROWS, ROWS)
+    class_of = np.zeros(ROWS, np.int64)
+    class_of[vocabulary.row] = vocabulary.of_class
+    mass = np.bincount(vocabulary.row, weights=counts + SMOOTH, minlength=ROWS)
+    share = mass / np.maximum(np.bincount(class_of, weights=mass, minlength=CLASSES), 1e-300)[class_of]
+    by_class = np.zeros((ROWS, CLASSES))
+    for c in range(CLASSES):
+        by_class[:, c] = n[:, class_of == c].sum(axis=1)
+    own = by_class.sum(axis=0) + SMOOTH
     own /= own.sum()
-    return np.log((table + LEAN * own) / (table.sum(axis=1, keepdims=True) + LEAN)).astype(np.float32)
+    pairs = np.log((by_class + LEAN * own) / (by_class.sum(axis=1, keepdims=True) + LEAN))
+    within = np.log(np.maximum((n + LEAN * share) / (by_class[:, class_of] + LEAN), 1e-30))  # rows without ids: never read
+    return pairs.astype(np.float32), within.astype(np.float32)
 
 
 def windows(ids: np.ndarray, bounds: np.ndarray, end: int, number: int, rounds: int) -> Iterator[np.ndarray]:
@@ -496,7 +507,7 @@ def score_documents(docs: DataFrame, subword_path: str, train_on: Column, id_col
     n, v = (sums.n or 0) + n_docs, sums.v + (n_docs > 0)
     counts = id_counts(words, subword_path, n_docs)
     vocabulary = Vocabulary.build(counts, subwords(subword_path).starts_word)
-    pairs = pair_table(learn, vocabulary)
+    pairs, within = pair_tables(learn, vocabulary, counts)
     flat = train(learn, pairs, vocabulary)
 
     # The frequent words: all from the least count on that at most TOP_WORDS words reach.
@@ -507,11 +518,11 @@ def score_documents(docs: DataFrame, subword_path: str, train_on: Column, id_col
     order = np.argsort(names)
     names, c = names[order], c[order]
     whole = np.log10(n + SMOOTH * (v + 1))
-    shared = spark.sparkContext.broadcast((names, c, flat, pairs, tuple(vocabulary)))  # plain: no class to import
+    shared = spark.sparkContext.broadcast((names, c, flat, pairs, within, tuple(vocabulary)))  # plain: no class to import
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, c, flat, pairs, vocabulary = shared.value
-        scorer = Scorer(flat, pairs, Vocabulary(*vocabulary))
+        names, c, flat, pairs, within, vocabulary = shared.value
+        scorer = Scorer(flat, pairs, within, Vocabulary(*vocabulary))
         row_id = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in T.slices(batch.column(1)):

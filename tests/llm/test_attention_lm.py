@@ -36,10 +36,10 @@ def test_scores_match_one_window_at_a_time():
     counts = rng.integers(0, 50, 2000)
     voc = A.Vocabulary.build(counts, rng.random(2000) < 0.5)
     w = A._unpack(A.initial().astype(np.float64))
-    pairs = rng.normal(size=(A.ROWS, A.CLASSES))
+    pairs, within = rng.normal(size=(A.ROWS, A.CLASSES)), rng.normal(size=(A.ROWS, A.ROWS))
     sizes = [1, 2, A.HALF, A.WINDOW + 3, 70]
     docs = [np.append(rng.integers(0, 1999, n - 1), 1999) for n in sizes]
-    got = A.Scorer(np.concatenate([w[n].ravel() for n in A.SHAPES]), pairs, voc).logs(
+    got = A.Scorer(np.concatenate([w[n].ravel() for n in A.SHAPES]), pairs, within, voc).logs(
         np.concatenate(docs), np.concatenate([[0], np.cumsum(sizes)]))
     want = []
     for d in docs:
@@ -52,14 +52,22 @@ def test_scores_match_one_window_at_a_time():
             h = np.tanh((a / a.sum()) @ (x @ w["wv"]) + x[-1])
             z = h @ w["wo"] + w["b"] + pairs[inputs[t]]
             logp = z[voc.of_class[d[t]]] - np.log(np.exp(z).sum())
+            logp += within[inputs[t], voc.row[d[t]]]
             want.append((logp + voc.log_share[d[t]]) / np.log(10))
     assert np.allclose(got, want, atol=1e-3)
 
 
-def test_shares_and_classes_sum_to_one():
-    counts = np.random.default_rng(4).integers(0, 9, 5000)
-    voc = A.Vocabulary.build(counts, np.arange(5000) % 3 == 0)
-    assert np.allclose(np.bincount(voc.of_class, weights=np.exp(voc.log_share), minlength=A.CLASSES), 1)
+def test_probabilities_after_any_input_sum_to_one(spark):
+    rows = [(n, f"a b c{n} " * n) for n in range(12)]
+    sub = A.subwords(PATH)
+    coded = A.coded_documents(cases.frame(spark, rows).repartition(3), F.lit(True), PATH, "doc_id", "text")
+    counts = np.arange(sub.end + 1) % 7
+    voc = A.Vocabulary.build(counts, sub.starts_word)
+    pairs, within = A.pair_tables(coded, voc, counts)
+    assert np.allclose(np.exp(pairs).sum(axis=1), 1, atol=1e-4)
+    for before in (0, 5, A.OWN + 3, int(voc.row[sub.end])):
+        p = np.exp(pairs[before][voc.of_class] + within[before][voc.row] + voc.log_share)
+        assert math.isclose(p.sum(), 1, rel_tol=1e-3)
 
 
 def test_every_training_id_is_a_target_once(spark):
@@ -131,16 +139,28 @@ def test_weights_follow_from_the_documents_alone(spark, monkeypatch):
     assert scores[0] == scores[1]
 
 
-def test_pair_table_matches_counts(spark):
+def test_pair_tables_match_counts(spark):
     rows = [(n, f"a b c{n} " * n) for n in range(12)]
+    sub = A.subwords(PATH)
     coded = A.coded_documents(cases.frame(spark, rows).repartition(3), F.lit(True), PATH, "doc_id", "text")
-    voc = A.Vocabulary.build(np.arange(A.subwords(PATH).end + 1) % 7, A.subwords(PATH).starts_word)
-    end = A.subwords(PATH).end
-    want = np.zeros((A.ROWS, A.CLASSES))
+    counts = np.arange(sub.end + 1) % 7
+    voc = A.Vocabulary.build(counts, sub.starts_word)
+    pairs, within = A.pair_tables(coded, voc, counts)
+    seen, of_class = Counter(), Counter()
     for r in coded.collect():
-        for before, i in zip([end, *r.ids], r.ids):
-            want[voc.row[before], voc.of_class[i]] += 1
-    own = want.sum(axis=0) + A.SMOOTH
-    want = (want + A.LEAN * own / own.sum()) / (want.sum(axis=1, keepdims=True) + A.LEAN)
-    got = np.exp(A.pair_table(coded, voc))
-    assert np.allclose(got, want, rtol=1e-4) and np.allclose(got.sum(axis=1), 1, atol=1e-4)
+        for before, i in zip([sub.end, *r.ids], r.ids):
+            seen[voc.row[before], voc.row[i]] += 1
+            of_class[voc.row[before], voc.of_class[i]] += 1
+    mass = np.bincount(voc.row, weights=counts + A.SMOOTH, minlength=A.ROWS)
+    whole = np.bincount(voc.of_class, weights=counts + A.SMOOTH, minlength=A.CLASSES)
+    all_classes = Counter()
+    for (_, c), n in of_class.items():
+        all_classes[c] += n
+    total = sum(all_classes.values()) + A.SMOOTH * A.CLASSES
+    for (before, row), n in seen.items():
+        c = voc.of_class[np.flatnonzero(voc.row == row)[0]]
+        want = (n + A.LEAN * mass[row] / whole[c]) / (of_class[before, c] + A.LEAN)
+        assert math.isclose(math.exp(within[before, row]), want, rel_tol=1e-4)
+        inputs = sum(k for (b, _), k in of_class.items() if b == before)
+        want = (of_class[before, c] + A.LEAN * (all_classes[c] + A.SMOOTH) / total) / (inputs + A.LEAN)
+        assert math.isclose(math.exp(pairs[before, c]), want, rel_tol=1e-4)
