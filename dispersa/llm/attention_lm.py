@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dispersa.llm import text as T
-from dispersa.llm.shared import RecentCache, per_worker, written
+from dispersa.llm.shared import RecentCache, per_worker, release_worker, written
 
 WINDOW = 16
 HALF = WINDOW // 2
@@ -47,7 +47,7 @@ CLASSES = 64
 ALONE = 40  # ids that are classes of their own
 OWN = 1024  # ids with an embedding of their own; the others share one by class
 WIDTH, KEY = 24, 8
-ROUNDS = 2
+ROUNDS = 1
 BATCH = 512  # windows of a training step
 SHARD_IDS = 4_000_000  # training ids of a shard, about
 CHUNK_DOCS = 256  # documents of a shard whose windows are mixed
@@ -321,26 +321,39 @@ def code(part: T.Slice, sub: Subwords) -> Coded:
 # --- training ---------------------------------------------------------------------------------------------
 
 def coded_documents(docs: DataFrame, train_on: Column, path: str, id_col: str, text_col: str) -> DataFrame:
-    """(id, text, learn, ids, mark): every document with all its ids and its end, written once; ``mark``: a hash of
-    the ids, which deals and orders the training documents."""
+    """(id, text, learn, ids, mark): every document with all its ids and its end as bytes (``_kind``), written once;
+    ``mark``: a hash of the ids, which deals and orders the training documents."""
     kind = dict(docs.dtypes)[id_col]
+    small = _kind(subwords(path).end)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sub = subwords(path)
         for batch in batches:
             for part in T.slices(batch.column(1)):
                 coded = code(part, sub)
-                lists = pa.ListArray.from_arrays(pa.array(coded.bounds, pa.int32()), pa.array(coded.ids))
+                raw = coded.ids.astype(small)
+                lists = pa.Array.from_buffers(pa.binary(), part.rows, [
+                    None, pa.py_buffer((coded.bounds * raw.itemsize).astype(np.int32)), pa.py_buffer(raw)])
                 yield pa.RecordBatch.from_arrays([*(c.slice(part.first, part.rows) for c in batch.columns), lists],
                                                  ["id", "text", "learn", "ids"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(train_on, F.lit(False)).alias("learn"))
-    coded = rows.mapInArrow(run, f"id {kind}, text string, learn boolean, ids array<int>")
+    coded = rows.mapInArrow(run, f"id {kind}, text string, learn boolean, ids binary")
     return written(coded.withColumn("mark", F.xxhash64("ids")), "lm-ids")
 
 
-def _of_lists(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    return lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+def _kind(end: int) -> str:
+    """How ids are kept: two bytes where the vocabulary allows it."""
+    return "<u2" if end < 1 << 16 else "<i4"
+
+
+def _of_lists(lists: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a column of id bytes, and the documents' borders."""
+    _, offsets, data = lists.buffers()
+    at = np.frombuffer(offsets, np.int32)[lists.offset: lists.offset + len(lists) + 1].astype(np.int64)
+    kind = np.dtype(_kind(end))
+    raw = np.frombuffer(data, np.uint8)[at[0]: at[-1]] if data is not None else np.zeros(0, np.uint8)
+    return raw.view(kind).astype(np.int64), (at - at[0]) // kind.itemsize
 
 
 def pair_tables(learn: DataFrame, vocabulary: Vocabulary, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -353,7 +366,7 @@ def pair_tables(learn: DataFrame, vocabulary: Vocabulary, counts: np.ndarray) ->
         row_of = shared.value
         total = np.zeros(ROWS * ROWS, np.int64)
         for batch in batches:
-            ids, bounds = _of_lists(batch.column(0))
+            ids, bounds = _of_lists(batch.column(0), len(row_of) - 1)
             before = np.concatenate([[len(row_of) - 1], ids[:-1]])
             before[bounds[:-1]] = len(row_of) - 1  # a document's first input is the end id
             total += np.bincount(row_of[before] * ROWS + row_of[ids], minlength=len(total))
@@ -437,13 +450,15 @@ def train(learn: DataFrame, pairs: np.ndarray, vocabulary: Vocabulary, rounds: i
     flat = initial()
     row_of = np.append(vocabulary.row, PAD)  # -1: before the start
     class_of = np.append(vocabulary.of_class, 0)
-    n_ids = learn.agg(F.sum(F.size("ids")).alias("n")).first().n or 0
+    width = np.dtype(_kind(len(vocabulary.row) - 1)).itemsize
+    n_ids = (learn.agg(F.sum(F.length("ids")).alias("n")).first().n or 0) // width
     shards = -(-n_ids // SHARD_IDS)
     dealt = learn.select("ids", "mark", F.pmod("mark", F.lit(max(1, shards))).cast("int").alias("shard"))
     for number in range(rounds if shards else 0):
         shared = spark.sparkContext.broadcast((flat, pairs, row_of, class_of))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            release_worker()  # the encoder's cache
             here, current = None, None
 
             def out() -> pa.RecordBatch:
@@ -461,7 +476,7 @@ def train(learn: DataFrame, pairs: np.ndarray, vocabulary: Vocabulary, rounds: i
                         if here is not None:
                             yield out()
                         here, current = _Shard(*shared.value, number, rounds), shard[lo]
-                    here.add(*_of_lists(batch.column(0).slice(lo, hi - lo)))
+                    here.add(*_of_lists(batch.column(0).slice(lo, hi - lo), len(row_of) - 1))
             if here is not None:
                 yield out()
 
@@ -529,7 +544,7 @@ def score_documents(docs: DataFrame, subword_path: str, train_on: Column, id_col
                 lowered = T.LOWER[part.data]
                 starts, ends, before = T.words(lowered, part.bounds)
                 mine = T.Fingerprints(lowered).of(starts, ends)
-                ids, bounds = _of_lists(batch.column(2).slice(part.first, part.rows))
+                ids, bounds = _of_lists(batch.column(2).slice(part.first, part.rows), len(vocabulary[1]) - 1)
                 logs = np.add.reduceat(scorer.logs(ids, bounds), bounds[:-1])
                 rows = np.repeat(np.arange(part.rows), np.diff(before))
                 count = np.full(len(mine), -1, np.int64)  # -1: not among the most frequent

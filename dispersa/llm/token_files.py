@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from dispersa.llm import text as T
 from dispersa.llm.shared import RecentCache, new_path, per_worker
 
-CACHED_CHUNKS = 120_000  # per generation in a worker, some 25 MB
-CACHED_WORDS = 120_000
+CACHED_CHUNKS = 30_000  # per generation in a worker
+CACHED_WORDS = 80_000  # some 12 MB
 BROADCAST_FILES = 100_000  # file starts up to this number are sent to all executors (2 MB)
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10

@@ -73,7 +73,7 @@ def test_probabilities_after_any_input_sum_to_one(spark):
 def test_every_training_id_is_a_target_once(spark):
     """Targets of all rounds against the ids of all documents, each with the ids before it."""
     rows = cases.awkward() + [(20 + n, "word " * n) for n in range(30)]
-    lists = [r.ids for r in A.coded_documents(cases.frame(spark, rows), F.lit(True), PATH, "doc_id", "text").collect()]
+    lists = [np.frombuffer(r.ids, "<u2").tolist() for r in A.coded_documents(cases.frame(spark, rows), F.lit(True), PATH, "doc_id", "text").collect()]
     end = A.subwords(PATH).end
     bounds = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
     got = Counter()
@@ -148,7 +148,8 @@ def test_pair_tables_match_counts(spark):
     pairs, within = A.pair_tables(coded, voc, counts)
     seen, of_class = Counter(), Counter()
     for r in coded.collect():
-        for before, i in zip([sub.end, *r.ids], r.ids):
+        ids = np.frombuffer(r.ids, "<u2").tolist()
+        for before, i in zip([sub.end, *ids], ids):
             seen[voc.row[before], voc.row[i]] += 1
             of_class[voc.row[before], voc.of_class[i]] += 1
     mass = np.bincount(voc.row, weights=counts + A.SMOOTH, minlength=A.ROWS)
