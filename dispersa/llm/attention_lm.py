@@ -47,7 +47,7 @@ CLASSES = 64
 ALONE = 40  # ids that are classes of their own
 OWN = 1024  # ids with an embedding of their own; the others share one by class
 WIDTH, KEY = 24, 8
-ROUNDS = 1
+ROUNDS = 2
 BATCH = 512  # windows of a training step
 SHARD_IDS = 4_000_000  # training ids of a shard, about
 CHUNK_DOCS = 256  # documents of a shard whose windows are mixed
