@@ -154,10 +154,12 @@ def partition_word_counts(line_rows: DataFrame, line_col: str = "line") -> DataF
     return words.mapInArrow(run, "part int, word string, n bigint")
 
 
-def word_count_partitioned(line_rows: DataFrame) -> DataFrame:
-    """Combine per physical partition, then sum per word: the input's partitions are the reference's partitions.
-    Text is never shuffled; only the partitions' counts are."""
-    return partition_word_counts(line_rows).groupBy("word").agg(F.sum("n").alias("n"))
+def word_count_partitioned(line_rows: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """Combine per physical partition, then sum per word: by default the input's partitions are the reference's
+    partitions, so text is never shuffled, only the partitions' counts are. ``num_partitions`` first spreads the
+    lines round-robin (the reference's ``repartition(K)``)."""
+    src = line_rows.repartition(int(num_partitions)) if num_partitions else line_rows
+    return partition_word_counts(src).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def distinct_word_count(line_rows: DataFrame) -> DataFrame:
