@@ -54,6 +54,9 @@ def _table(chars: bytes) -> np.ndarray:
     return out
 
 
+ALNUM = _table(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")  # no border of a phrase
+
+
 class _Sums:
     """Sums of a 0/1 array over spans."""
 
@@ -141,8 +144,9 @@ def _judge(part: T.Slice, rules: Rules) -> dict[str, np.ndarray]:
     furniture = np.zeros(len(l_start), bool)
     for m in re.finditer("|".join(map(re.escape, BOILERPLATE)).encode(), T.LOWER[data].tobytes()):
         k = int(np.searchsorted(l_start, m.start(), "right")) - 1
-        if k >= 0 and m.end() <= l_end[k]:
-            furniture[k] = True
+        if k >= 0 and m.end() <= l_end[k]:  # whole words of the line: "catalog index" is no "log in"
+            inner = m.start() > l_start[k] and ALNUM[data[m.start() - 1]] or m.end() < l_end[k] and ALNUM[data[m.end()]]
+            furniture[k] |= not inner
     fails = ~ended | noisy | navigation | shouting | furniture | dup
 
     n_words = np.diff(before)

@@ -48,3 +48,13 @@ def test_clean_documents_keeps_columns_and_rows(spark):
     assert out.columns == cases.empty(spark).columns
     assert cases.rows_of(out) == Counter({(1, clean, "h", 7, "t", "l"): 2, (None, clean, "h", 7, "t", "l"): 1})
     assert Q.judge_lines(cases.empty(spark)).count() == 0 and Q.clean_documents(cases.empty(spark)).count() == 0
+
+
+def test_phrases_are_whole_words(spark):
+    clean = "\n".join(PROSE)
+    lines = ["The catalog index of the old library was kept in a drawer.", "Its design includes a long hall and two small towers.",
+             "Her blog introduced the readers to the old mill.", "Please LOG IN, to see the old mill.", "Log in.",
+             "To see more of the mill, sign in"]
+    rows = [(i, f"{clean}\n{x}") for i, x in enumerate(lines)] + [(9, "log")]
+    bad = {r.doc_id: r.n_bad_lines for r in Q.judge_lines(cases.frame(spark, rows).coalesce(1)).collect()}
+    assert bad == {0: 0, 1: 0, 2: 0, 3: 1, 4: 1, 5: 1, 9: 1}
