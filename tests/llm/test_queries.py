@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
+from collections import Counter
 
+import pandas as pd
 import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 
 import corpus_pipeline
-from dispersa.llm import decontamination as D
 from dispersa.llm.oracle import ORACLE
 from dispersa.llm.queries import QUERIES, vocabulary
 from tests.llm import cases
@@ -32,42 +34,90 @@ def test_queries_are_registered():
     assert len([n for n in names if n.startswith("op")]) == 13
 
 
+PHRASES = ("lorem ipsum|javascript|cookie policy|privacy policy|terms of use|terms of service|all rights reserved|sign in|"
+           "log in|read more|click here|subscribe to our newsletter|share this|licensed under the")
+
+
+def line_fails(line, w, seen):
+    upper = len(re.findall("[A-ZÀ-ÖØ-Þ]", line))
+    letters = upper + len(re.findall("[a-zß-öø-ÿ]", line))
+    ended = w[-1][-1] in ".!?\"')…”’。！？" or len(w) >= 20 and any(x[-1] in ".!?\"')" for x in w)
+    return (line in seen or not ended or len(re.findall(r"[#*$%&|<>]", line)) > 0.1 * len("".join(w))
+            or sum(x in ("|", ">", "/", "-") for x in w) >= max(2, 0.2 * len(w))
+            or letters >= 10 and upper > 0.6 * letters
+            or re.search(f"(?<![0-9a-z])({PHRASES})(?![0-9a-z])", line.translate(cases.LOWER)) is not None)
+
+
+def cleaned(text):
+    """The text without its failing lines; None if the document is rejected."""
+    w = cases.words(text)
+    three = [tuple(w[i: i + 3]) for i in range(len(w) - 2)]
+    often = Counter(three)
+    again = {p for i, x in enumerate(three) if often[x] > 1 for p in range(i, i + 3)}
+    out, seen, lost = "", set(), 0
+    for line in re.findall("[^\n]*\n|[^\n]+", text or ""):
+        here = cases.words(line)
+        body = line.removesuffix("\n")
+        if here and line_fails(body, here, seen):
+            lost += len(here)
+        else:
+            out += line
+        seen.add(body)
+    return None if len(w) < 50 or 100 * len(again) > 50 * len(w) or lost > 0.3 * len(w) else out
+
+
+def without_items(text, items):
+    """The text without word runs of items; None if more than half of its words are in such runs."""
+    at = [m.span() for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(cases.LOWER))]
+    w = [text.translate(cases.LOWER)[a:b] for a, b in at]
+    windows = {tuple(v[i: i + 10]) for v in items for i in range(max(1, len(v) - 9)) if v}
+    hit = {p for n in {len(x) for x in windows} for i in range(len(w) - n + 1) if tuple(w[i: i + n]) in windows
+           for p in range(i, i + n)}
+    if len(hit) > 0.5 * max(1, len(w)):
+        return None
+    cover = set()
+    for p in hit:
+        cover.update(range(at[p][0], at[p + 1][0] if p + 1 in hit else at[p][1]))
+    return "".join(c for i, c in enumerate(text) if i not in cover)
+
+
 def test_pipeline_matches_brute_force(spark, tmp_path):
-    """run() on a small table: every stage by comparing all against all."""
-    from dispersa.llm import quality_rules as Q
+    """run() on a small table: every stage by comparing all against all, with the stages' own values; near copies of
+    similarity 0.83, a passage of 51 words, item passages and bad lines are planted."""
+    from tests.llm.test_suffix_dedup import without_repeats
 
-    table = pq.read_table(f"{SF}/documents.parquet").slice(0, 120)
-    short = table.to_pandas()
-    short = short[short.text.str.len() < 6000]
-    short.to_parquet(tmp_path / "documents.parquet")
+    short = pq.read_table(f"{SF}/documents.parquet").slice(0, 120).to_pandas()
+    short = short[short.text.str.len() < 6000].reset_index(drop=True)
     bench = pq.read_table(f"{SF}/benchmark.parquet").to_pandas()
+    rng = random.Random(8)
+    near, passage = prose(rng, 400), prose(rng, 51)
+    assert len(passage) < 400
+    item = next(t for t in bench.text if t and len(t.split()) >= 12)
+    planted = [near + ".", f"{near} {prose(rng, 80)}.", f"{prose(rng, 90)} {passage} {prose(rng, 60)}.",
+               f"{prose(rng, 70)} {passage} {prose(rng, 80)}.", f"{prose(rng, 300)} {item} {prose(rng, 30)}.",
+               f"{prose(rng, 90)}.\nHome | News | Sport | Log in\nThe catalog index is here.\n{prose(rng, 40)}!"]
+    more = short.iloc[: len(planted)].copy()
+    more["doc_id"], more["text"] = [10**6 + k for k in range(len(planted))], planted
+    docs = pd.concat([short, more], ignore_index=True)
+    docs.to_parquet(tmp_path / "documents.parquet")
     bench.to_parquet(tmp_path / "benchmark.parquet")
     got = {r.doc_id: (r.n_tokens, r.decoded_sha256) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
 
-    judged = Q.judge_lines(spark.read.parquet(f"{tmp_path}/documents.parquet"), with_text=True).collect()
-    docs = [(r.doc_id, r.clean_text) for r in judged if r.kept]
-    parts = cases.components([i for i, _ in docs], [t for _, t in docs])
-    docs = [(i, t) for (i, t), (_, least) in zip(docs, parts) if i == least]
-    seen = cases.Counter(r[p: p + 400] for _, t in docs for r in [t.encode()] for p in range(len(r) - 399))
-    kept = []
-    for i, t in docs:
-        raw = t.encode()
-        cover = bytearray(len(raw))
-        for p in range(len(raw) - 399):
-            if seen[raw[p: p + 400]] > 1:
-                cover[p: p + 400] = b"\1" * 400
-        kept.append((i, bytes(b for b, c in zip(raw, cover) if not c).decode("utf-8", "replace")))
-    automaton = D.Automaton([(str(i), D.item_words(t)) for i, t in zip(bench.item_id, bench.text)], 10)
+    kept = [(i, t) for i, t in zip(docs.doc_id.tolist(), map(cleaned, docs.text)) if t is not None]
+    parts = cases.components([i for i, _ in kept], [t for _, t in kept], percent=80, width=5)
+    kept = [(i, t) for (i, t), (_, least) in zip(kept, parts) if i == least]
+    texts = without_repeats([t for _, t in kept], 400, 51)
+    items = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(cases.LOWER)) for t in bench.text]
     library = sentencepiece.SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model"))
-    want = {}
-    for i, t in kept:
-        w = D.item_words(t)
-        spans = D._merged(automaton.scan(w)[0])
-        if sum(b - a for a, b in spans) > 0.5 * max(1, len(w)):
-            continue
-        text = D._cut(t, [x for s in spans for x in s], 1) if spans else t
-        ids = library.encode(text)
-        want[i] = (len(ids), hashlib.sha256(library.decode(ids).encode()).hexdigest())
+    want, last = {}, {}
+    for (i, _), t in zip(kept, texts):
+        last[i] = t = without_items(t, items)
+        if t is not None:
+            ids = library.encode(t)
+            want[i] = (len(ids), hashlib.sha256(library.decode(ids).encode()).hexdigest())
+    assert 10**6 in last and 10**6 + 1 not in last  # the near copy goes, and what was planted is caught
+    assert passage not in last[10**6 + 2] + last[10**6 + 3] and item not in last[10**6 + 4]
+    assert last[10**6 + 5].count("\n") == 2 and "catalog index" in last[10**6 + 5]
     assert got == want
 
 
