@@ -10,12 +10,11 @@ shares within a class are counts of pairs of ids over all training documents (ra
 second half of each is scored, so each id is scored once with at least half a window before it (if the
 document has one). ``score`` is the sum of the ids' log10 probabilities, and nothing else.
 
-Training is data-parallel: the training documents are dealt to shards by a hash of their ids, about
-``SHARD_IDS`` ids each, in the order of that hash. Every shard runs Adam in numpy over its windows in batches
+Training is data-parallel: a hash of id and text deals every training document to one round and one shard of it,
+about ``SHARD_IDS`` ids each, in the order of that hash. Every shard runs Adam in numpy over its windows in batches
 that only its documents fix, Spark averages the shards' weights (weighted by windows), and the next round
 starts from there. The weights so follow from the documents alone, whatever the tasks and the cluster. Each
-training document is cut into windows like those of the scores, so every id is a target once; they are dealt
-over the rounds.
+training document is cut into windows like those of the scores, so every id is a target once.
 
 Base: counts of all training words are summed in Spark. The most frequent words, at most ``TOP_WORDS``, go to
 all tasks; the rest of each document's words is joined with the counts.
@@ -49,7 +48,7 @@ OWN = 1024  # ids with an embedding of their own; the others share one by class
 WIDTH, KEY = 24, 8
 ROUNDS = 2
 BATCH = 512  # windows of a training step
-SHARD_IDS = 4_000_000  # training ids of a shard, about
+SHARD_IDS = 2_000_000  # training ids of a shard in a round, about
 CHUNK_DOCS = 256  # documents of a shard whose windows are mixed
 RATE = 0.02
 TOP_WORDS = 1 << 18
@@ -220,37 +219,55 @@ def step(w: dict[str, np.ndarray], pairs: np.ndarray, rows: np.ndarray, target:
          known: np.ndarray) -> tuple[float, np.ndarray]:
     """Loss a token and gradient for windows: ``rows`` (n, WINDOW) inputs, ``target`` (n, HALF) classes,
     ``known`` (n, HALF) false beyond a document's end; ``pairs``: logits of the classes after each input."""
-    e = w["x"][rows]
-    e2 = e[:, HALF:]
-    q, k, v = e2 @ w["wq"], e @ w["wk"], e @ w["wv"]
+    size = len(rows)
+    flat = lambda x: x.reshape(-1, x.shape[-1])
+    of_inputs = lambda x: x.reshape(size, WINDOW, -1)
+    of_targets = lambda x: x.reshape(size, HALF, -1)
+    # One product over all windows' rows each; only scores and mixtures go window by window.
+    every = rows.ravel()
+    e = w["x"][every]
+    e2 = flat(of_inputs(e)[:, HALF:])
+    q, k, v = of_targets(e2 @ w["wq"]), of_inputs(e @ w["wk"]), of_inputs(e @ w["wv"])
     scale = np.float32(KEY ** -0.5)
-    bias = w["far"][np.maximum(_DISTANCE, 0)] + _HIDDEN
-    a = _softmax(q @ k.transpose(0, 2, 1) * scale + bias + np.where(rows == PAD, -1e4, 0).astype(np.float32)[:, None, :])
-    h = np.tanh(a @ v + e2)
-    p = h @ w["wo"] + w["b"]
-    p += pairs[rows[:, HALF:]]
+    a = q @ k.transpose(0, 2, 1)
+    a *= scale
+    a += w["far"][np.maximum(_DISTANCE, 0)] + _HIDDEN
+    begins = np.flatnonzero(rows[:, 0] == PAD)  # only these windows have places before the document
+    a[begins] += np.where(rows[begins] == PAD, np.float32(-1e4), np.float32(0))[:, None, :]
+    a = _softmax(a)
+    h = flat(a @ v)
+    h += e2
+    np.tanh(h, out=h)
+    p = h @ w["wo"]
+    p += w["b"]
+    p += pairs[rows[:, HALF:].ravel()]
     p = _softmax(p)
-    n = max(1, int(known.sum()))
-    at = np.take_along_axis(p, target[:, :, None], 2)[:, :, 0]
-    loss = -float(np.log(np.maximum(at, 1e-30))[known].sum()) / n
+    aims, valid = target.ravel(), known.ravel()
+    n = max(1, int(valid.sum()))
+    cell = np.arange(len(aims))
+    at = p[cell, aims]
+    loss = -float(np.log(np.maximum(at, 1e-30))[valid].sum()) / n
     dz = p
-    np.put_along_axis(dz, target[:, :, None], at[:, :, None] - 1, 2)
-    dz *= (known / n).astype(np.float32)[:, :, None]
-    dpre = (dz @ w["wo"].T) * (1 - h * h)
-    da = dpre @ v.transpose(0, 2, 1)
-    dv = a.transpose(0, 2, 1) @ dpre
-    ds = a * (da - (a * da).sum(axis=-1, keepdims=True))
-    dq, dk = ds @ k * scale, ds.transpose(0, 2, 1) @ q * scale
-    de = dk @ w["wk"].T + dv @ w["wv"].T
-    de[:, HALF:] += dq @ w["wq"].T + dpre
-    flat = lambda x: x.reshape(-1, x.shape[-1])
-    order = np.argsort(rows.ravel(), kind="stable")
-    used, first = np.unique(rows.ravel()[order], return_index=True)
+    dz[cell, aims] = at - 1
+    dz *= (valid / n).astype(np.float32)[:, None]
+    dpre = dz @ w["wo"].T
+    dpre *= 1 - h * h
+    dmix = of_targets(dpre)
+    da = dmix @ v.transpose(0, 2, 1)
+    dv = flat(a.transpose(0, 2, 1) @ dmix)
+    ds = a * (da - np.einsum("nij,nij->ni", a, da)[:, :, None])
+    dq, dk = flat(ds @ k), flat(ds.transpose(0, 2, 1) @ q)
+    dq *= scale
+    dk *= scale
+    de = dk @ w["wk"].T
+    de += dv @ w["wv"].T
+    of_inputs(de)[:, HALF:] += of_targets(dq @ w["wq"].T + dpre)
+    order = np.argsort(every.astype(np.int16), kind="stable")
+    used, first = np.unique(every[order], return_index=True)
     dx = np.zeros(SHAPES["x"], np.float32)
-    dx[used] = np.add.reduceat(flat(de)[order], first)
+    dx[used] = np.add.reduceat(de[order], first)
     far = np.bincount(np.maximum(_DISTANCE, 0).ravel(), weights=(ds.sum(axis=0) * _SEEN).ravel(), minlength=WINDOW)
-    grad = {"x": dx, "wq": flat(e2).T @ flat(dq), "wk": flat(e).T @ flat(dk), "wv": flat(e).T @ flat(dv), "far": far,
-            "wo": flat(h).T @ flat(dz), "b": flat(dz).sum(axis=0)}
+    grad = {"x": dx, "wq": e2.T @ dq, "wk": e.T @ dk, "wv": e.T @ dv, "far": far, "wo": h.T @ dz, "b": dz.sum(axis=0)}
     return loss, np.concatenate([grad[n].ravel() for n in SHAPES]).astype(np.float32)
 
 
@@ -263,7 +280,7 @@ class Scorer:
         self.q = w["x"] @ w["wq"] * np.float32(KEY ** -0.5)
         self.k, self.v, self.x = w["x"] @ w["wk"], w["x"] @ w["wv"], w["x"]
         self.bias = (w["far"][np.maximum(_DISTANCE, 0)] + _HIDDEN).astype(np.float32)
-        self.wo, self.after = w["wo"], pairs + w["b"]
+        self.wo, self.after = w["wo"].astype(np.float64), pairs + w["b"]
         self.vocabulary, self.within = vocabulary, within
 
     def logs(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -293,7 +310,8 @@ class Scorer:
             s[begins] += np.where(x[begins] == PAD, np.float32(-1e4), np.float32(0))[:, None, :]
             h = _softmax(s) @ self.v[x]
             h += self.x[x[:, HALF:]]
-            z = np.tanh(h, out=h).reshape(-1, WIDTH) @ self.wo
+            # A product's last bits follow a row's place in it: doubles, rounded, keep scores free of the batches.
+            z = (np.tanh(h, out=h).reshape(-1, WIDTH).astype(np.float64) @ self.wo).astype(np.float32)
             z += self.after[x[:, HALF:].ravel()]
             np.minimum(z, 60, out=z)
             got = z[np.arange(len(z)), target.ravel()]
@@ -322,7 +340,7 @@ def code(part: T.Slice, sub: Subwords) -> Coded:
 
 def coded_documents(docs: DataFrame, train_on: Column, path: str, id_col: str, text_col: str) -> DataFrame:
     """(id, text, learn, ids, mark): every document with all its ids and its end as bytes (``_kind``), written once;
-    ``mark``: a hash of the ids, which deals and orders the training documents."""
+    ``mark``: a hash of document id and ids, which deals and orders the training documents."""
     kind = dict(docs.dtypes)[id_col]
     small = _kind(subwords(path).end)
 
@@ -339,7 +357,7 @@ def coded_documents(docs: DataFrame, train_on: Column, path: str, id_col: str, t
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(train_on, F.lit(False)).alias("learn"))
     coded = rows.mapInArrow(run, f"id {kind}, text string, learn boolean, ids binary")
-    return written(coded.withColumn("mark", F.xxhash64("ids")), "lm-ids")
+    return written(coded.withColumn("mark", F.xxhash64("id", "ids")), "lm-ids")
 
 
 def _kind(end: int) -> str:
@@ -392,15 +410,14 @@ def pair_tables(learn: DataFrame, vocabulary: Vocabulary, counts: np.ndarray) ->
     return pairs.astype(np.float32), within.astype(np.float32)
 
 
-def windows(ids: np.ndarray, bounds: np.ndarray, end: int, number: int, rounds: int) -> Iterator[np.ndarray]:
-    """The documents' windows of a round, ``BATCH`` at once: WINDOW inputs and the target after the last one,
-    -1 before a document's start and beyond its end. Each id is a target of one window of one round."""
+def windows(ids: np.ndarray, bounds: np.ndarray, end: int, number: int) -> Iterator[np.ndarray]:
+    """The documents' windows, ``BATCH`` at once in an order that ``number`` seeds: WINDOW inputs and the target after
+    the last one, -1 before a document's start and beyond its end. Each id is a target of one window."""
     sizes = np.diff(bounds)
     blocks = -(-sizes // HALF)
     owner = np.repeat(np.arange(len(sizes)), blocks)
     turn = np.arange(blocks.sum()) - (np.cumsum(blocks) - blocks)[owner]
-    mine = np.flatnonzero((turn + sizes[owner]) % rounds == number)
-    mine = np.random.default_rng(number).permutation(mine)  # windows of many documents in a step
+    mine = np.random.default_rng(number).permutation(len(owner))  # windows of many documents in a step
     for lo in range(0, len(mine), BATCH):
         own = owner[mine[lo: lo + BATCH]]
         at = turn[mine[lo: lo + BATCH], None] * HALF - HALF - 1 + np.arange(WINDOW + 1)
@@ -412,9 +429,9 @@ def windows(ids: np.ndarray, bounds: np.ndarray, end: int, number: int, rounds:
 class _Shard:
     """Adam over the documents of one shard, chunk by chunk."""
 
-    def __init__(self, start: np.ndarray, pairs: np.ndarray, rows: np.ndarray, classes: np.ndarray, number: int, rounds: int):
+    def __init__(self, start: np.ndarray, pairs: np.ndarray, rows: np.ndarray, classes: np.ndarray, number: int):
         self.w, self.m, self.v = start.copy(), np.zeros_like(start), np.zeros_like(start)
-        self.pairs, self.rows, self.classes, self.number, self.rounds = pairs, rows, classes, number, rounds
+        self.pairs, self.rows, self.classes, self.number = pairs, rows, classes, number
         self.seen = self.t = self.docs = 0
         self.held: list[np.ndarray] = []
 
@@ -432,7 +449,7 @@ class _Shard:
         if not self.held:
             return
         bounds = np.concatenate([[0], np.cumsum([len(x) for x in self.held])])
-        for part in windows(np.concatenate(self.held), bounds, len(self.rows) - 2, self.number, self.rounds):
+        for part in windows(np.concatenate(self.held), bounds, len(self.rows) - 2, self.number):
             x, y = part[:, :WINDOW], part[:, HALF + 1:]
             _, g = step(_unpack(self.w), self.pairs, self.rows[x], self.classes[y], y >= 0)
             self.t += 1
@@ -444,16 +461,22 @@ class _Shard:
         self.held, self.docs = [], 0
 
 
+def dealt(learn: DataFrame, end: int, rounds: int) -> tuple[DataFrame, int]:
+    """(ids, mark, round, shard) of ``learn (ids, mark)`` and the number of shards of a round, which follows from the
+    ids of the documents: each document is in one shard of one round."""
+    n_ids = (learn.agg(F.sum(F.length("ids")).alias("n")).first().n or 0) // np.dtype(_kind(end)).itemsize
+    shards = -(-n_ids // (rounds * SHARD_IDS))
+    slot = F.pmod("mark", F.lit(max(1, shards) * rounds)).cast("int")
+    return learn.select("ids", "mark", (slot % rounds).alias("round"), F.floor(slot / rounds).cast("int").alias("shard")), shards
+
+
 def train(learn: DataFrame, pairs: np.ndarray, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
     """Weights after ``rounds`` rounds of local Adam by shard and averaging over ``learn (ids, mark)``."""
     spark = learn.sparkSession
     flat = initial()
     row_of = np.append(vocabulary.row, PAD)  # -1: before the start
     class_of = np.append(vocabulary.of_class, 0)
-    width = np.dtype(_kind(len(vocabulary.row) - 1)).itemsize
-    n_ids = (learn.agg(F.sum(F.length("ids")).alias("n")).first().n or 0) // width
-    shards = -(-n_ids // SHARD_IDS)
-    dealt = learn.select("ids", "mark", F.pmod("mark", F.lit(max(1, shards))).cast("int").alias("shard"))
+    deal, shards = dealt(learn, len(vocabulary.row) - 1, rounds)
     for number in range(rounds if shards else 0):
         shared = spark.sparkContext.broadcast((flat, pairs, row_of, class_of))
 
@@ -475,12 +498,13 @@ def train(learn: DataFrame, pairs: np.ndarray, vocabulary: Vocabulary, rounds: i
                     if current != shard[lo]:
                         if here is not None:
                             yield out()
-                        here, current = _Shard(*shared.value, number, rounds), shard[lo]
+                        here, current = _Shard(*shared.value, number), shard[lo]
                     here.add(*_of_lists(batch.column(0).slice(lo, hi - lo), len(row_of) - 1))
             if here is not None:
                 yield out()
 
-        trained = (dealt.repartitionById(shards, "shard").sortWithinPartitions("shard", "mark").select("ids", "shard")
+        trained = (deal.filter(F.col("round") == number).select("ids", "mark", "shard")
+                   .repartitionById(shards, "shard").sortWithinPartitions("shard", "mark").select("ids", "shard")
                    .mapInArrow(run, "shard int, n long, w array<double>"))
         mean = _mean(trained, shards)
         if mean is not None:

@@ -70,15 +70,21 @@ def test_probabilities_after_any_input_sum_to_one(spark):
         assert math.isclose(p.sum(), 1, rel_tol=1e-3)
 
 
-def test_every_training_id_is_a_target_once(spark):
+def test_every_training_id_is_a_target_once(spark, monkeypatch):
     """Targets of all rounds against the ids of all documents, each with the ids before it."""
     rows = cases.awkward() + [(20 + n, "word " * n) for n in range(30)]
-    lists = [np.frombuffer(r.ids, "<u2").tolist() for r in A.coded_documents(cases.frame(spark, rows), F.lit(True), PATH, "doc_id", "text").collect()]
+    coded = A.coded_documents(cases.frame(spark, rows), F.lit(True), PATH, "doc_id", "text")
+    lists = [np.frombuffer(r.ids, "<u2").tolist() for r in coded.collect()]
     end = A.subwords(PATH).end
-    bounds = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+    monkeypatch.setattr(A, "SHARD_IDS", 200)
+    deal, shards = A.dealt(coded, end, A.ROUNDS)
+    placed = deal.collect()
+    assert len(placed) == len(lists) and shards > 2
+    assert {(r.round, r.shard) for r in placed} <= {(n, k) for n in range(A.ROUNDS) for k in range(shards)}
     got = Counter()
     for number in range(A.ROUNDS):
-        for part in A.windows(np.concatenate(lists), bounds, end, number, A.ROUNDS):
+        mine = [np.frombuffer(r.ids, "<u2").tolist() for r in placed if r.round == number]
+        for part in A.windows(np.concatenate(mine), np.concatenate([[0], np.cumsum([len(x) for x in mine])]), end, number):
             assert part.shape[1] == A.WINDOW + 1 and len(part) <= A.BATCH
             got.update(map(tuple, part.tolist()))
     want = Counter()
@@ -165,3 +171,11 @@ def test_pair_tables_match_counts(spark):
         inputs = sum(k for (b, _), k in of_class.items() if b == before)
         want = (of_class[before, c] + A.LEAN * (all_classes[c] + A.SMOOTH) / total) / (inputs + A.LEAN)
         assert math.isclose(math.exp(pairs[before, c]), want, rel_tol=1e-4)
+
+
+def test_copies_are_dealt_over_rounds_and_shards(spark, monkeypatch):
+    monkeypatch.setattr(A, "SHARD_IDS", 500)
+    coded = A.coded_documents(cases.frame(spark, [(n, "one text of many copies") for n in range(800)]), F.lit(True), PATH, "doc_id", "text")
+    deal, shards = A.dealt(coded, A.subwords(PATH).end, A.ROUNDS)
+    loads = [r["count"] for r in deal.groupBy("round", "shard").count().collect()]
+    assert shards > 3 and len(loads) == shards * A.ROUNDS and max(loads) < 3 * 800 / len(loads)
