@@ -92,19 +92,17 @@ def anchors(prints: T.Fingerprints, bounds: np.ndarray, s: Shape) -> tuple[np.nd
     fit = np.flatnonzero(sizes > 0)
     if not len(fit):
         return empty, empty, empty, empty
-    grams = prints.every(s.gram)
+    grams = prints.hashes(s.gram)
     # The hash above, the place below: the minimum is the leftmost of equal hashes.
     keys = (grams & T.U64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
     anchor = (_sliding_min(keys, s.window) & T.U64(0xFFFFFFFF)).astype(np.int64)
-    # All starts p of whole strings, row by row.
-    at = np.cumsum(sizes[fit])
-    p = np.arange(at[-1]) + np.repeat(bounds[fit] - np.concatenate([[0], at[:-1]]), sizes[fit])
-    a = anchor[p]
-    first = np.concatenate([[True], (a[1:] != a[:-1]) | (p[1:] != p[:-1] + 1)])
-    begin = np.flatnonzero(first)
-    last = np.concatenate([begin[1:], [len(p)]]) - 1
-    rows = np.repeat(fit, sizes[fit])[begin]
-    return rows, a[begin], a[begin] - p[last], a[begin] - p[begin]
+    # The starts of whole strings of a row are top to stop - 1; runs of one anchor end where it changes or a row ends.
+    top, stop = bounds[fit], bounds[fit] + sizes[fit]
+    cuts = np.unique(np.concatenate([np.flatnonzero(anchor[1:] != anchor[:-1]) + 1, top, stop]))
+    owner = np.searchsorted(top, cuts, "right") - 1
+    run = np.flatnonzero((owner >= 0) & (cuts < stop[owner]))
+    begin, last, a = cuts[run], cuts[run + 1] - 1, anchor[cuts[run]]
+    return fit[owner[run]], a, a - last, a - begin
 
 
 def _names(prints: T.Fingerprints, top: np.ndarray, low: np.ndarray, anchor: np.ndarray, lo: np.ndarray,

@@ -14,7 +14,8 @@ import pyarrow as pa
 from dispersa.llm.shared import per_worker
 
 U64 = np.uint64
-SLICE_BYTES = 1 << 18  # working arrays of a slice take some 100 times its bytes
+SLICE_BYTES = 1 << 16  # an array of 64-bit numbers fits a core's cache; all of a slice take some 100 times its bytes
+TEXT_BYTES = 1 << 18  # of a slice whose rows are worked on one by one
 
 # White space that ends a word: space and U+0009 to U+000D.
 SPACE = np.zeros(256, bool)
@@ -87,11 +88,18 @@ def _powers(n: int, base: int, prime: int) -> np.ndarray:
 def _tables(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Powers of the bases and of their inverses, kept by the Python worker for the usual lengths."""
     make = lambda size: [(_powers(size, b, p), _powers(size, pow(b, -1, p), p)) for b, p in zip(_BASES, _PRIMES)]
-    if n <= SLICE_BYTES + 1:
-        return per_worker("fingerprint powers", lambda: make(SLICE_BYTES + 1))
+    if n <= TEXT_BYTES + 1:
+        return per_worker("fingerprint powers", lambda: make(TEXT_BYTES + 1))
     return make(n)
 
 
+def _modulo(x: np.ndarray, prime: int) -> np.ndarray:
+    """``x % prime`` in half the time: numpy divides by a constant in vectors, but takes remainders one by one."""
+    out = x // U64(prime)
+    out *= U64(prime)
+    return np.subtract(x, out, out=out)
+
+
 class Fingerprints:
     """62-bit names of any substrings of ``data`` in constant time each: polynomial prefix sums over random
     byte codes, modulo two primes. Equal strings have equal names wherever they stand; two different ones of n
@@ -102,13 +110,14 @@ class Fingerprints:
         self.sums, self.back = [], []
         for codes, prime, (powers, back) in zip(_CODES, _PRIMES, _tables(n + 1)):
             sums = np.zeros(n + 1, U64)  # below n * 2**31, so not reduced
-            code = codes[data] if data.dtype == np.uint8 else data % U64(prime)
-            np.cumsum(code * powers[:n] % U64(prime), out=sums[1:])
+            code = codes[data] if data.dtype == np.uint8 else _modulo(data, prime)
+            code *= powers[:n]
+            np.cumsum(_modulo(code, prime), out=sums[1:])
             self.sums.append(sums)
             self.back.append(back)
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        a, b = ((s[end] - s[start]) % U64(p) * back[start] % U64(p) for s, back, p in zip(self.sums, self.back, _PRIMES))
+        a, b = (_modulo(_modulo(s[end] - s[start], p) * back[start], p) for s, back, p in zip(self.sums, self.back, _PRIMES))
         return mix((a | b << U64(32)) + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
 
     def every(self, length: int) -> np.ndarray:
@@ -116,9 +125,15 @@ class Fingerprints:
         n = len(self.sums[0]) - length
         if n <= 0:
             return np.zeros(0, U64)
-        a, b = ((s[length:] - s[:n]) % U64(p) * back[:n] % U64(p) for s, back, p in zip(self.sums, self.back, _PRIMES))
+        a, b = (_modulo(_modulo(s[length:] - s[:n], p) * back[:n], p) for s, back, p in zip(self.sums, self.back, _PRIMES))
         return mix(a | b << U64(32))
 
+    def hashes(self, length: int) -> np.ndarray:
+        """Hashes of the substrings of ``length`` bytes at all positions, by one prime: for places, not for names."""
+        s, back, p = self.sums[0], self.back[0], _PRIMES[0]
+        n = len(s) - length
+        return mix(_modulo(_modulo(s[length:] - s[:n], p) * back[:n], p)) if n > 0 else np.zeros(0, U64)
+
 
 def spans(data: np.ndarray, bounds: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Maximal runs of bytes with ``inside`` set that do not cross row bounds.

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from dispersa.llm import jaccard_groups as J
@@ -50,3 +53,28 @@ def test_operators_tell_thue_morse_texts_apart(spark):
     want = cases.repeats([t for _, t in rows], 1000)
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == [
         (i, *w) for (i, _), w in zip(rows, want)]
+
+
+def test_anchors_of_slices_hold_little_at_once():
+    """Arrays of a slice stay small, so they come from a core's cache and not from new pages."""
+    rng = np.random.default_rng(2)
+    texts = pa.array(["".join(rng.choice(list("abc de"), 2000)) for _ in range(300)])
+    shape = D.shape(400)
+    next(D.anchors(T.Fingerprints(p.data), p.bounds, shape) for p in T.slices(texts))  # the powers are kept
+    tracemalloc.start()
+    for part in T.slices(texts):
+        D.anchors(T.Fingerprints(part.data), part.bounds, shape)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 << 20
+
+
+@pytest.mark.parametrize("length", [1, 2, 7, 60])
+def test_anchors_hold_every_start_once(length):
+    rng = np.random.default_rng(length)
+    texts = ["".join(rng.choice(list("ab"), k)) for k in rng.integers(0, 150, 60)] + ["", "a" * 200]
+    part = next(T.slices(pa.array(texts)))
+    rows, anchor, lo, hi = D.anchors(T.Fingerprints(part.data), part.bounds, D.shape(length))
+    got = [(r, p) for r, a, x, y in zip(rows.tolist(), anchor.tolist(), lo.tolist(), hi.tolist()) for p in range(a - y, a - x + 1)]
+    bounds = part.bounds.tolist()
+    assert got == [(r, p) for r, t in enumerate(texts) for p in range(bounds[r], bounds[r] + len(t) - length + 1)]
