@@ -77,13 +77,19 @@ class Sets(NamedTuple):
         return np.repeat(np.arange(len(self.classes)), self.sizes)
 
 
+def _sort_rows(values: np.ndarray, before: np.ndarray) -> None:
+    """Sorts the values of each row in place: a sort of plain numbers takes a tenth of one by rows and values."""
+    bounds = before.tolist()
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        values[a:b].sort()
+
+
 def sets_of(part: T.Slice, join: Join) -> Sets:
     data = T.LOWER[part.data]
     starts, ends, before = T.words(data, part.bounds)
     names = T.Fingerprints(data).of(starts, ends)
     tokens, rows = T.shingles(names, before, join.width)
-    order = np.lexsort((tokens, rows))
-    tokens, rows = tokens[order], rows[order]
+    _sort_rows(tokens, np.searchsorted(rows, np.arange(part.rows + 1)))
     new = np.ones(len(tokens), bool)
     new[1:] = (tokens[1:] != tokens[:-1]) | (rows[1:] != rows[:-1])
     tokens, rows = tokens[new], rows[new]
@@ -188,7 +194,8 @@ def frequent_tokens(docs: DataFrame, text_col: str, join: Join) -> np.ndarray:
 def _ordered(s: Sets, hot: np.ndarray) -> np.ndarray:
     """Token ids whose unsigned order within each row is the join's order: rare ones first."""
     ids = (s.tokens >> T.U64(1)) | (_marked(hot, s.tokens).astype(np.uint64) << T.U64(63))
-    return ids[np.lexsort((ids, s.rows))]
+    _sort_rows(ids, s.before)
+    return ids
 
 
 def prefixes(docs: DataFrame, text_col: str, join: Join, hot: np.ndarray) -> DataFrame:

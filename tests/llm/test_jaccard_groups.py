@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from dispersa.llm import jaccard_groups as J
@@ -79,3 +81,19 @@ def test_keep_one_keeps_other_texts_of_an_id(spark):
     rows = [(1, "a b c d e"), (2, "a b c d e"), (2, "quite another text stands here")]
     out = J.keep_one(cases.frame(spark, rows))
     assert sorted((r.doc_id, r.text) for r in out.collect()) == [rows[0], rows[2]]
+
+
+def test_sets_are_sorted_row_by_row(monkeypatch):
+    """No order over all tokens of a slice is made."""
+    rng = np.random.default_rng(3)
+    texts = pa.array([None, "", "one two"] + [" ".join(rng.choice(list("abcd"), k)) for k in rng.integers(1, 80, 50)])
+    monkeypatch.setattr(J.np, "lexsort", None)
+    part = next(J.T.slices(texts))
+    s = J.sets_of(part, J.Join())
+    ordered = J._ordered(s, np.zeros(1 << (J.HOT_BITS - 5), np.uint32))
+    for r, t in enumerate(texts.to_pylist()):
+        words = (t or "").split()
+        tokens = s.tokens[s.before[r]: s.before[r + 1]]
+        assert len(tokens) == len({tuple(words[i: i + 4]) for i in range(max(1, len(words) - 3))} if words else ())
+        assert (np.diff(tokens.astype(object)) > 0).all()
+        assert (ordered[s.before[r]: s.before[r + 1]] == np.sort(tokens >> np.uint64(1))).all()
