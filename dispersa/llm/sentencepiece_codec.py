@@ -7,7 +7,8 @@ token before it survives the pair test (BPE would not merge across the join at a
 ids of the chunk are then read backwards from its last prefix.
 
 A text is cut into chunks where no piece can reach across: before a run of spaces that follows other
-characters, and around line feeds. Chunks repeat, so each worker keeps recent ones; the cache only saves
+characters, around line feeds, and where marks (ASCII punctuation and what shares a piece with it) meet other
+characters, unless the model has pieces with letters or digits beside marks. Chunks repeat, so each worker keeps recent ones; the cache only saves
 work. Runs of spaces are the one kind of piece with equal scores; BPE grows them from the left, which the
 run rule below reproduces.
 
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from operator import itemgetter
 
 import ahocorasick
@@ -32,8 +33,8 @@ from dispersa.llm import text as T
 from dispersa.llm.shared import RecentCache, per_worker
 
 SPACE = "▁"
-CHUNK = re.compile(" *[^ \n]+| +|\n")
-CACHED_CHUNKS = 100_000  # of each of two generations in a worker: some 60 MB
+MARKS = {chr(i) for i in range(33, 127) if not chr(i).isalnum()}
+CACHED_CHUNKS = 150_000  # of each of two generations in a worker: some 80 MB
 CACHED_PAIRS = 300_000  # tested joins of two tokens: some 40 MB
 
 
@@ -65,6 +66,7 @@ class Codec:
                     pieces[piece] = i
                     if SPACE in piece[1:] or "\n" in piece:
                         raise ValueError(f"a piece reaches over a chunk border: {piece!r}")
+        self.cut = _chunk_pattern(pieces)
         # Merge order: the highest score first. Single characters are never the result of a merge.
         by_score = sorted((p for p in pieces if len(p) > 1), key=lambda p: -model.get_score(pieces[p]))
         self.rank = {pieces[p]: r for r, p in enumerate(by_score)}
@@ -181,7 +183,7 @@ class Codec:
 
     def chunks(self, text: str) -> list[str]:
         """Chunks with plain spaces; the space sign in a text is a space as well."""
-        return CHUNK.findall(" " + text.replace(SPACE, " ")) if text else []
+        return self.cut.findall(" " + text.replace(SPACE, " ")) if text else []
 
     def encode(self, text: str) -> list[int]:
         return [i for c in self.chunks(text) for i in self.chunk_ids(c)]
@@ -198,6 +200,17 @@ class Codec:
         return len(ids), ",".join(map(str, ids)), b"".join(map(self.surface.__getitem__, ids))
 
 
+def _chunk_pattern(pieces: Iterable[str]) -> re.Pattern:
+    """Cuts texts into chunks. Marks are closed under sharing a piece, so no merge crosses a border of theirs."""
+    marks, groups = set(MARKS), [set(p) - {SPACE} for p in pieces]
+    while more := set().union(*(g for g in groups if g & marks)) - marks:
+        marks |= more
+    if any(c.isalnum() and c.isascii() for c in marks):  # nothing is left to cut
+        return re.compile(" *[^ \n]+| +|\n")
+    own = "".join(map(re.escape, sorted(marks)))
+    return re.compile(f" *[^ \n{own}]+| *[{own}]+| +|\n")
+
+
 def _entries(model_path: str) -> tuple[Codec, RecentCache]:
     return per_worker(("sentencepiece", model_path), lambda: (Codec(model_path), RecentCache(CACHED_CHUNKS)))
 
@@ -207,7 +220,7 @@ def _batches(batches: Iterator[pa.RecordBatch], model_path: str, at: int):
     codec, cache = _entries(model_path)
     make = lambda missing: map(codec.entry, missing)
     for batch in batches:
-        for part in T.slices(batch.column(at)):
+        for part in T.slices(batch.column(at), T.TEXT_BYTES):
             raw, b = part.data.tobytes(), part.bounds.tolist()
             yield batch.slice(part.first, part.rows), (
                 cache.get_all(codec.chunks(raw[b[r]: b[r + 1]].decode()), make) for r in range(part.rows))

@@ -69,11 +69,11 @@ class RecentCache:
     def get_all(self, keys: list, make: Callable[[list], Iterable]) -> list:
         """Values of ``keys`` in order; ``make`` gets the distinct missing keys and returns their values."""
         found = list(map(self.young.get, keys))
-        if None not in found:
+        gaps = [i for i, v in enumerate(found) if v is None]
+        if not gaps:
             return found
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
-        gaps = [i for i, v in enumerate(found) if v is None]
         young, old = self.young, self.old
         ask = []
         for k in {keys[i] for i in gaps}:

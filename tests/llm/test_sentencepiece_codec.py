@@ -41,3 +41,19 @@ def test_encode_and_decode_columns(spark):
     assert sorted(coded.columns) == sorted(cases.empty(spark).columns)
     back = C.decode(coded, PATH, ids_col="tokens", text_col="back")
     assert all(r.back == (r.text or "") for r in back.collect())
+
+
+def test_marks_are_chunks_of_their_own():
+    """A word is one cached chunk whatever marks follow it."""
+    codec, rng = C.Codec(PATH), random.Random(2)
+    text = "a word word. word, (word) word;» word² word!!"
+    assert Counter(codec.chunks(text))[" word"] == 6
+    assert "".join(codec.chunks(text)) == " " + text
+    letters = "ab de.,;»“…²–†«()'$\n▁ 漢é19"
+    for t in [text] + ["".join(rng.choice(letters) for _ in range(rng.randint(1, 40))) for _ in range(3000)]:
+        assert codec.encode(t) == LIBRARY.encode(t)
+
+
+def test_models_with_pieces_across_marks_keep_words_whole():
+    assert C._chunk_pattern(["a", ".", "▁.", ".»"]).findall(" a.» a") == [" a", ".»", " a"]
+    assert C._chunk_pattern(["a", ".", "»a", ".»"]).findall(" a.» a") == [" a.»", " a"]
