@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from dispersa.llm import text as T
 from dispersa.llm.shared import RecentCache, new_path, per_worker
 
-CACHED_CHUNKS = 30_000  # per generation in a worker
-CACHED_WORDS = 80_000  # some 12 MB
+CACHED_CHUNKS = 20_000  # per generation in a worker
+CACHED_WORDS = 100_000  # some 15 MB
 BROADCAST_FILES = 100_000  # file starts up to this number are sent to all executors (2 MB)
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
@@ -45,7 +45,7 @@ PAGE_BYTES = 256 << 10
 # What the vocabulary's own pre-tokenizer does to lower-case ASCII and Latin-1 letters.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")
 _PLAIN_TEXT = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
-_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-z0-9ß-öø-ÿ]+")
+_WORDS = re.compile("[a-zß-öø-ÿ]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^\t-\r a-z0-9ß-öø-ÿ]+")  # its cases, frequent ones first
 
 
 class Encoder:
@@ -123,7 +123,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
         encoder = per_worker(("tokenizers", tokenizer_path), lambda: Encoder(tokenizer_path))
         file_no, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for part in T.slices(batch.column(1)):
+            for part in T.slices(batch.column(1), T.TEXT_BYTES):
                 raw, b = part.data.tobytes(), part.bounds.tolist()
                 ids = [encoder.encode(raw[b[r]: b[r + 1]]) + end for r in range(part.rows)]
                 sizes = np.array([len(x) // 4 for x in ids], np.int64)

@@ -60,3 +60,15 @@ def test_encodings_and_page_index(spark, tmp_path):
 
 def test_empty_table(spark):
     assert F.digests(F.token_files(cases.empty(spark), PATH, 2)).count() == 0
+
+
+def test_a_large_vocabulary_of_words_is_encoded_once():
+    encoder, asked = F.Encoder(PATH), []
+    make = encoder._word_ids
+    encoder._word_ids = lambda words: asked.extend(words) or make(words)
+    letters = "abcdefghijklmnopqrst"
+    words = ["".join(letters[i // 20 ** k % 20] for k in range(4)) for i in range(95_000)]
+    for _ in range(2):
+        for i in range(0, len(words), 1000):
+            encoder.encode(" ".join(words[i: i + 1000]).encode())
+    assert len(asked) == len(words)
