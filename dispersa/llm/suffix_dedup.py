@@ -22,8 +22,8 @@ count words, and the ranges found become bytes (first word's start to last word'
 Words are equal byte for byte; the white space between them is free.
 
 Exact copies are one text throughout. Distinct texts are written once, bucketed by key, so the passes over
-them need no shuffle of text. No step gathers the members of a rank: counts are aggregated before the
-shuffle and joined back, in a join that Spark can split where one rank has very many rows.
+them need no shuffle of text. No step gathers the members of a rank: counts are partial sums, joined back by rank and
+part (first ranks, made in one pass) or in a join that Spark can split where one rank has very many rows.
 
 First ranks are fingerprints (``text.Fingerprints``: two different strings of n bytes agree with a chance of about
 (n / 2**31) ** 2); texts are keyed by 60 bits of their MD5, copies are found by the whole MD5.
@@ -162,11 +162,17 @@ def distinct_texts(docs: DataFrame, text_col: str, length: int, words: int | Non
     return spark.table(name)
 
 
-def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows whose key occurs twice or more. The repeated keys get an exchange of their own, so Spark can
-    split the rows of a key that very many have over tasks (adaptive skew join)."""
-    more = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    return rows.join(more.repartition(*keys), keys)
+def _repeated(rows: DataFrame) -> DataFrame:
+    """The rows (k, pos) of ``rows (k, pos, rank)`` whose rank occurs twice or more in its first 60 bits. The rows are
+    made and shuffled once: the counts are taken from the exchange that the join reads. Four bits of the text's key in
+    place of the last ones deal a rank's rows to 16 parts, so a rank that very many rows have is no one task's work."""
+    dealt = (rows.select("k", "pos", F.expr("rank & -16L | k & 15L").alias("part")).filter("part IS NOT NULL")
+             .repartition("part"))
+    # Both readers of the exchange need the same columns, or Spark makes it twice: so k and pos are counted, not 1.
+    more = dealt.groupBy(F.shiftright("part", 4).alias("name")).agg(
+        F.expr("count(k, pos)").alias("n"), F.bit_or(F.expr("shiftleft(1, cast(part & 15L AS int))")).alias("parts")).filter("n > 1")
+    parts = F.array(*[F.when(F.col("parts").bitwiseAND(1 << i) != 0, F.expr(f"shiftleft(name, 4) | {i}L")) for i in range(16)])
+    return dealt.join(more.select(F.explode(parts).alias("part")).filter("part IS NOT NULL"), "part").select("k", "pos")
 
 
 def _reranked(rows: DataFrame, follow: Column) -> DataFrame:
@@ -279,7 +285,7 @@ def _settle(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 def repeated_ranges(texts: DataFrame, s: Shape) -> DataFrame:
     """(k, start, stop, in_words): bytes or words of the texts that repeated strings cover; may overlap."""
     first = _scan(texts, _first_ranks(s), s, None, "k long, pos int, rank long")
-    lists = (_repeated(first, ["rank"]).groupBy("k").agg(F.collect_list("pos").alias("found")))
+    lists = (_repeated(first).groupBy("k").agg(F.collect_list("pos").alias("found")))
     rows = written(_scan(texts.join(lists, "k"), _anchor_rows(s), s, "found",
                          "k long, pos int, lo int, hi int, follow array<long>, span long"), "anchors")
     ranked = rows.withColumn("rank", F.col("follow")[0])

@@ -109,3 +109,23 @@ def test_report_with_passages_counts_what_the_removal_cuts(spark):
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want
         assert r.passage_bytes == len((t or "").encode()) - len((kept[i] or "").encode()) >= r.n_removed
         assert (r.passage_bytes > 0) == (r.n_passages > 0) == (i in (0, 1, 4, 5, 6, 9))
+
+
+def test_first_ranks_are_made_once_and_a_hot_rank_is_many_parts(spark):
+    """The rows whose rank others have, from one pass over the texts; negative ranks and ranks that differ late too."""
+    rng = random.Random(5)
+    rows = [(rng.randrange(1 << 60), p, 7 << 40) for p in range(2000)]  # one rank in very many texts
+    rows += [(rng.randrange(1 << 60), p, rng.choice([-1, 1]) * (rng.randrange(900) << 20)) for p in range(1500)]
+    rows += [(5, p, -(3 + p) << 30) for p in range(40)] + [(9, 1, -1), (9, 2, -1), (11, 3, 77), (27, 4, 77)]
+    passes = spark.sparkContext.accumulator(0)
+
+    def made_once(batches):
+        for batch in batches:
+            passes.add(batch.num_rows)
+            yield batch
+
+    first = spark.createDataFrame(rows, "k long, pos int, rank long").mapInArrow(made_once, "k long, pos int, rank long")
+    shared = Counter(r for *_, r in rows)
+    got = Counter((r.k, r.pos) for r in S._repeated(first).collect())
+    assert got == Counter((k, p) for k, p, r in rows if shared[r] > 1)
+    assert passes.value == len(rows)
