@@ -269,16 +269,17 @@ def _block_rows(s: Shape, block: int) -> Callable:
 
 def _settle(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(ranges that repeat, ranges to cut finer) of rows (k, pos, lo, hi, sure, core, span). A sure range is
-    known to repeat already and only there for others to match."""
-    spans = rows.groupBy("core", "span").agg(
-        F.count(F.lit(1)).alias("n"), F.max("sure").alias("any_sure"),
-        F.min(F.struct("k", "pos", "lo", "hi")).alias("one"))
+    known to repeat already and only there for others to match. Equal spans have equal cores and ranges, so spans
+    are grouped by their names alone, and any row of one is its example."""
+    spans = rows.groupBy("span").agg(
+        F.first("core").alias("core"), F.count(F.lit(1)).alias("n"), F.max("sure").alias("any_sure"),
+        *(F.first(c).alias(c) for c in ("k", "pos", "lo", "hi")))
     cores = spans.groupBy("core").agg(
         F.count(F.lit(1)).alias("n_spans"),
         F.sum(F.when((F.col("n") == 1) & ~F.col("any_sure"), 1).otherwise(0)).alias("n_open"))
-    repeats = rows.join(spans.filter("n > 1").select("core", "span"), ["core", "span"]).select("k", "pos", "lo", "hi")
+    repeats = rows.join(spans.filter("n > 1").select("span"), "span").select("k", "pos", "lo", "hi")
     finer = (spans.join(cores.filter("n_spans > 1 and n_open > 0").select("core"), "core")
-             .select("one.*", ((F.col("n") > 1) | F.col("any_sure")).alias("sure")))
+             .select("k", "pos", "lo", "hi", ((F.col("n") > 1) | F.col("any_sure")).alias("sure")))
     return repeats, finer
 
 
