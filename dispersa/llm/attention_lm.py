@@ -27,7 +27,6 @@ columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -48,12 +47,16 @@ OWN = 1024  # ids with an embedding of their own; the others share one by class
 WIDTH, KEY = 24, 8
 ROUNDS = 2
 BATCH = 512  # windows of a training step
+STEP_WINDOWS = 256  # of these, worked on at once
+STACK = 256  # rows of a product
 SHARD_IDS = 2_000_000  # training ids of a shard in a round, about
 CHUNK_DOCS = 256  # documents of a shard whose windows are mixed
 RATE = 0.02
 TOP_WORDS = 1 << 18
 CACHED_WORDS = 100_000  # per generation in a worker
-COUNTED_WORDS = 100_000  # distinct words that a counting task holds before it passes them on
+COUNTED_WORDS = 1 << 19  # distinct words whose counts a task holds before it passes them on
+COUNTS_A_ROW = 1 << 16
+CODED_BYTES = 1 << 22  # of texts whose words are looked up together
 LEAN = 10.0  # counts that an input's row of the pair tables borrows from the shares whatever the input
 SUM_SHARDS = 16  # shards whose weights one task adds
 BLOCKS = 512  # half windows scored at once
@@ -75,14 +78,22 @@ class Subwords:
         pattern = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")  # the vocabulary's
         self.bpe = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.end = max(ranks.values()) + 1
+        self.kind = _kind(self.end)
         self.starts_word = np.zeros(self.end + 1, bool)
         for token, i in ranks.items():
             self.starts_word[i] = token[:1] == b" "
         self.cache = RecentCache(CACHED_WORDS)
 
     def _make(self, words: list[bytes]) -> list[bytes]:
-        encode = self.bpe.encode_ordinary
-        return [np.array(encode(" " + w.decode()), "<i4").tobytes() for w in words]
+        text = b" ".join(words).decode()
+        # As one text: a piece begins at each space between the words, as it does at a word alone, and the ids that begin
+        # with a space tell the words apart. Not so next to other white space, which the pattern may look beyond.
+        if not words or len(text.split()) != len(words):
+            return [np.array(self.bpe.encode_ordinary(" " + w), self.kind).tobytes() for w in text.split(" ")[:len(words)]]
+        ids = self.bpe.encode_to_numpy(" " + text, disallowed_special=())
+        raw, size = ids.astype(self.kind).tobytes(), np.dtype(self.kind).itemsize
+        cuts = [*(np.flatnonzero(self.starts_word[ids]) * size).tolist(), len(raw)]
+        return [raw[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
 
     def of_words(self, words: list[bytes]) -> list[bytes]:
         return self.cache.get_all(words, self._make)
@@ -98,57 +109,19 @@ def fold(id_col: str, parts: int) -> Column:
 
 # --- counts -----------------------------------------------------------------------------------------------
 
-def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
-    """(name, word, c): counts of the documents' words. Tasks pass on sums of many rows, so a word in
-    every row is no hot key."""
+def id_counts(learn: DataFrame, end: int) -> np.ndarray:
+    """Counts of all ids in the training documents, ends included; collected as one number an id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            words = pa.array([w.decode() for w in counts], pa.string())
-            return pa.RecordBatch.from_arrays([words, pa.array(list(counts.values()), pa.int64())], ["word", "n"])
-
+        total = np.zeros(end + 1, np.int64)
         for batch in batches:
-            for part in T.slices(batch.column(0)):
-                raw, b = T.LOWER[part.data].tobytes(), part.bounds.tolist()
-                for r in range(part.rows):
-                    counts.update(raw[b[r]: b[r + 1]].split())
-                if len(counts) > COUNTED_WORDS:
-                    yield out()
-                    counts.clear()
-        yield out()
-
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in T.slices(batch.column(0)):
-                names = T.Fingerprints(part.data).of(part.bounds[:-1], part.bounds[1:])
-                here = batch.slice(part.first, part.rows)
-                yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), *here.columns], ["name", "word", "c"])
-
-    sums = (docs.select(F.col(text_col)).mapInArrow(run, "word string, n long")
-            .groupBy("word").agg(F.sum("n").alias("c")))
-    return written(sums.mapInArrow(name, "name long, word string, c long"), "word-counts")
-
-
-def id_counts(words: DataFrame, path: str, n_docs: int) -> np.ndarray:
-    """Counts of all ids in the training documents, from the word counts; collected as one number an id."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sub = subwords(path)
-        total = np.zeros(sub.end + 1, np.int64)
-        for batch in batches:
-            coded = sub._make([w.encode() for w in batch.column(0).to_pylist()])
-            sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-            ids = np.frombuffer(b"".join(coded), "<i4")
-            np.add.at(total, ids, np.repeat(batch.column(1).to_numpy(), sizes))
+            total += np.bincount(_of_lists(batch.column(0), end)[0], minlength=end + 1)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], ["id", "n"])
 
-    found = (words.select("word", "c").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas())
-    out = np.zeros(subwords(path).end + 1, np.int64)
+    found = learn.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(end + 1, np.int64)
     out[found["id"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
-    out[-1] += n_docs
     return out
 
 
@@ -207,133 +180,239 @@ _SEEN = _DISTANCE >= 0
 _HIDDEN = np.where(_SEEN, 0, -1e9).astype(np.float32)
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    """In place; scores are small by construction, so a bound does instead of the maximum."""
-    np.minimum(z, 60, out=z)
-    np.exp(z, out=z)
-    z *= 1 / z.sum(axis=-1, keepdims=True)
-    return z
+class Room:
+    """Arrays that every step uses again: new ones of their size would be cleared page by page each time."""
+
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, *shape: int, kind: type = np.float32) -> np.ndarray:
+        n = int(np.prod(shape))
+        have = self.held.get(name)
+        if have is None or len(have) < n or have.dtype != kind:
+            have = self.held[name] = np.empty(n, kind)
+        return have[:n].reshape(shape)
+
+
+def _taken(table: np.ndarray, rows: np.ndarray, out: np.ndarray) -> np.ndarray:
+    return np.take(table, rows, axis=0, out=out, mode="clip")  # other modes copy ``out``
+
+
+def _exp(z: np.ndarray, bound: float = np.inf) -> np.ndarray:
+    """In place; logits are small by construction, so a limit does instead of the maximum, and none if no
+    logit is over ``bound``."""
+    if not bound <= 60:
+        np.minimum(z, 60, out=z)
+    return np.exp(z, out=z)
+
+
+def _values_and_keys(w: dict[str, np.ndarray]) -> np.ndarray:
+    """A row for each embedding: its value, then its key."""
+    return w["x"] @ np.concatenate([w["wv"], w["wk"]], axis=1)
+
+
+def _over_rows(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a.T @ b`` of two tall arrays, in stacks of rows that fit a core's cache."""
+    n = len(a) // STACK * STACK
+    stacks = lambda y: y[:n].reshape(-1, STACK, y.shape[1])
+    return a[n:].T @ b[n:] + (stacks(a).transpose(0, 2, 1) @ stacks(b)).sum(axis=0)
+
+
+def _times(a: np.ndarray, b: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """``a @ b`` of a tall array, in stacks of rows."""
+    n = len(a) // STACK * STACK
+    stacks = lambda y: y[:n].reshape(-1, STACK, y.shape[1])
+    np.matmul(stacks(a), b, out=stacks(out))
+    np.matmul(a[n:], b, out=out[n:])
+    return out
 
 
 def step(w: dict[str, np.ndarray], pairs: np.ndarray, rows: np.ndarray, target: np.ndarray,
-         known: np.ndarray) -> tuple[float, np.ndarray]:
+         known: np.ndarray, room: Room | None = None) -> tuple[float, np.ndarray]:
     """Loss a token and gradient for windows: ``rows`` (n, WINDOW) inputs, ``target`` (n, HALF) classes,
-    ``known`` (n, HALF) false beyond a document's end; ``pairs``: logits of the classes after each input."""
-    size = len(rows)
-    flat = lambda x: x.reshape(-1, x.shape[-1])
-    of_inputs = lambda x: x.reshape(size, WINDOW, -1)
-    of_targets = lambda x: x.reshape(size, HALF, -1)
-    # One product over all windows' rows each; only scores and mixtures go window by window.
+    ``known`` (n, HALF) false beyond a document's end; ``pairs``: logits of the classes after each input.
+    ``STEP_WINDOWS`` at once. The softmax over the classes stays undivided (``u``): what is narrower is divided."""
+    room = room or Room()
+    x = w["x"]
+    kind, scale = x.dtype, x.dtype.type(KEY ** -0.5)
+    wq = w["wq"] * scale
+    queries, table = x @ wq, _values_and_keys(w)
+    wvk_back, wo_back = np.concatenate([w["wv"], w["wk"]], axis=1).T.copy(), w["wo"].T.copy()
+    bias = (w["far"][np.maximum(_DISTANCE, 0)] + _HIDDEN).astype(kind)
+    after = np.add(pairs, w["b"], out=room("after", ROWS, CLASSES, kind=kind))
+    bound = float(np.abs(w["wo"]).sum(axis=0).max() + after.max())  # of the logits, as tanh is below 1
+    n = max(1, int(known.sum()))
+    loss, dfar = 0.0, np.zeros((HALF, WINDOW), kind)
+    dwq, dwvk = np.zeros((WIDTH, KEY), kind), np.zeros((WIDTH, WIDTH + KEY), kind)
+    dwo, db = np.zeros((WIDTH, CLASSES), kind), np.zeros(CLASSES, kind)
+    de = room("de", len(rows), WINDOW, WIDTH, kind=kind)
+    flat = lambda y: y.reshape(-1, y.shape[-1])
+    for lo in range(0, len(rows), STEP_WINDOWS):
+        mine = rows[lo: lo + STEP_WINDOWS]
+        size, m = len(mine), len(mine) * HALF
+        of_targets = lambda y: y.reshape(size, HALF, -1)
+        here = mine[:, HALF:].ravel()
+        vk = _taken(table, mine, room("vk", size, WINDOW, WIDTH + KEY, kind=kind))
+        v, k = vk[:, :, :WIDTH], vk[:, :, WIDTH:]
+        e = _taken(x, mine, room("e", size, WINDOW, WIDTH, kind=kind))
+        q = of_targets(_taken(queries, here, room("q", m, KEY, kind=kind)))
+        a = np.matmul(q, k.transpose(0, 2, 1), out=room("a", size, HALF, WINDOW, kind=kind))
+        a += bias
+        _exp(a)
+        begins = np.flatnonzero(mine[:, 0] == PAD)  # only these windows have places before the document
+        a[begins] *= (mine[begins] != PAD)[:, None, :]
+        a *= (1 / np.einsum("nij->ni", a))[:, :, None]
+        h = np.matmul(a, v, out=room("h", size, HALF, WIDTH, kind=kind))
+        h += e[:, HALF:]
+        h = flat(np.tanh(h, out=h))
+        u = _times(h, w["wo"], room("u", m, CLASSES, kind=kind))
+        u += _taken(after, here, room("taken", m, CLASSES, kind=kind))
+        _exp(u, bound)
+        whole = np.einsum("ij->i", u)
+        aims, valid = target[lo: lo + STEP_WINDOWS].ravel(), known[lo: lo + STEP_WINDOWS].ravel()
+        cell = np.arange(0, m * CLASSES, CLASSES) + aims
+        at = u.ravel()[cell]
+        loss -= float(np.log(np.maximum(at / whole, 1e-30))[valid].sum()) / n
+        u.ravel()[cell] = at - whole
+        part = (valid / (n * whole)).astype(kind)  # the logits' gradient is part * u
+        dmix = _times(u, wo_back, room("dmix", m, WIDTH, kind=kind))
+        dmix *= part[:, None]
+        dwo += _over_rows(np.multiply(h, part[:, None], out=room("hp", m, WIDTH, kind=kind)), u)
+        db += part @ u
+        h *= h
+        dmix *= np.subtract(1, h, out=h)
+        mixes = of_targets(dmix)
+        ds = np.matmul(mixes, v.transpose(0, 2, 1), out=room("ds", size, HALF, WINDOW, kind=kind))
+        ds -= np.einsum("nij,nij->ni", a, ds)[:, :, None]
+        ds *= a
+        dvk = room("dvk", size, WINDOW, WIDTH + KEY, kind=kind)
+        np.matmul(a.transpose(0, 2, 1), mixes, out=dvk[:, :, :WIDTH])
+        np.matmul(ds.transpose(0, 2, 1), q, out=dvk[:, :, WIDTH:])
+        dq = flat(np.matmul(ds, k, out=room("dq", size, HALF, KEY, kind=kind)))
+        dmix += dq @ wq.T
+        np.matmul(flat(dvk), wvk_back, out=flat(de[lo: lo + size]))
+        de[lo: lo + size, HALF:] += mixes
+        dfar += ds.sum(axis=0)
+        dwvk += _over_rows(flat(e), flat(dvk))
+        dwq += _over_rows(flat(e[:, HALF:]), dq)
     every = rows.ravel()
-    e = w["x"][every]
-    e2 = flat(of_inputs(e)[:, HALF:])
-    q, k, v = of_targets(e2 @ w["wq"]), of_inputs(e @ w["wk"]), of_inputs(e @ w["wv"])
-    scale = np.float32(KEY ** -0.5)
-    a = q @ k.transpose(0, 2, 1)
-    a *= scale
-    a += w["far"][np.maximum(_DISTANCE, 0)] + _HIDDEN
-    begins = np.flatnonzero(rows[:, 0] == PAD)  # only these windows have places before the document
-    a[begins] += np.where(rows[begins] == PAD, np.float32(-1e4), np.float32(0))[:, None, :]
-    a = _softmax(a)
-    h = flat(a @ v)
-    h += e2
-    np.tanh(h, out=h)
-    p = h @ w["wo"]
-    p += w["b"]
-    p += pairs[rows[:, HALF:].ravel()]
-    p = _softmax(p)
-    aims, valid = target.ravel(), known.ravel()
-    n = max(1, int(valid.sum()))
-    cell = np.arange(len(aims))
-    at = p[cell, aims]
-    loss = -float(np.log(np.maximum(at, 1e-30))[valid].sum()) / n
-    dz = p
-    dz[cell, aims] = at - 1
-    dz *= (valid / n).astype(np.float32)[:, None]
-    dpre = dz @ w["wo"].T
-    dpre *= 1 - h * h
-    dmix = of_targets(dpre)
-    da = dmix @ v.transpose(0, 2, 1)
-    dv = flat(a.transpose(0, 2, 1) @ dmix)
-    ds = a * (da - np.einsum("nij,nij->ni", a, da)[:, :, None])
-    dq, dk = flat(ds @ k), flat(ds.transpose(0, 2, 1) @ q)
-    dq *= scale
-    dk *= scale
-    de = dk @ w["wk"].T
-    de += dv @ w["wv"].T
-    of_inputs(de)[:, HALF:] += of_targets(dq @ w["wq"].T + dpre)
     order = np.argsort(every.astype(np.int16), kind="stable")
-    used, first = np.unique(every[order], return_index=True)
-    dx = np.zeros(SHAPES["x"], np.float32)
-    dx[used] = np.add.reduceat(de[order], first)
-    far = np.bincount(np.maximum(_DISTANCE, 0).ravel(), weights=(ds.sum(axis=0) * _SEEN).ravel(), minlength=WINDOW)
-    grad = {"x": dx, "wq": e2.T @ dq, "wk": e.T @ dk, "wv": e.T @ dv, "far": far, "wo": h.T @ dz, "b": dz.sum(axis=0)}
+    ranked = every[order]
+    first = np.append(0, np.flatnonzero(ranked[1:] != ranked[:-1]) + 1)
+    dx = np.zeros(SHAPES["x"], kind)
+    # As complex numbers two columns are added in one go.
+    by_row = _taken(flat(de), order, room("by_row", len(every), WIDTH, kind=kind))
+    dx[ranked[first]] = np.add.reduceat(by_row.view(np.result_type(kind, np.complex64)), first).view(kind)
+    far = np.bincount(np.maximum(_DISTANCE, 0).ravel(), weights=(dfar * _SEEN).ravel(), minlength=WINDOW)
+    grad = {"x": dx, "wq": dwq * scale, "wk": dwvk[:, WIDTH:], "wv": dwvk[:, :WIDTH], "far": far, "wo": dwo, "b": db}
     return loss, np.concatenate([grad[n].ravel() for n in SHAPES]).astype(np.float32)
 
 
 class Scorer:
     """Class log-probabilities by tables of the trained weights: one row of keys, values and queries for
-    each embedding."""
+    each embedding. Documents lie one after the other, each behind half a window of places before its start, so a
+    window is two neighbouring halves and nothing is looked up twice."""
 
     def __init__(self, flat: np.ndarray, pairs: np.ndarray, within: np.ndarray, vocabulary: Vocabulary):
         w = _unpack(flat.astype(np.float32))
-        self.q = w["x"] @ w["wq"] * np.float32(KEY ** -0.5)
-        self.k, self.v, self.x = w["x"] @ w["wk"], w["x"] @ w["wv"], w["x"]
+        self.q, self.x = w["x"] @ w["wq"] * np.float32(KEY ** -0.5), w["x"]
+        self.table = _values_and_keys(w)
         self.bias = (w["far"][np.maximum(_DISTANCE, 0)] + _HIDDEN).astype(np.float32)
-        self.wo, self.after = w["wo"].astype(np.float64), pairs + w["b"]
+        self.wo, self.after = w["wo"], (pairs + w["b"]).astype(np.float32)
+        self.bound = float(np.abs(self.wo).sum(axis=0).max() + self.after.max())
         self.vocabulary, self.within = vocabulary, within
+        self.room = Room()
 
     def logs(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """log10 probability of each id; ``ids`` holds the documents, each with its end id, one after the
         other, ``bounds`` their borders."""
-        sizes = np.diff(bounds)
-        blocks = -(-sizes // HALF)
-        first = np.cumsum(blocks) - blocks
-        owner = np.repeat(np.arange(len(sizes)), blocks)
-        begin = (np.arange(blocks.sum()) - first[owner]) * HALF  # first target of each block
+        sizes, room = np.diff(bounds), self.room
+        halves = -(-sizes // HALF) + 1
+        begins = np.cumsum(halves) - halves
+        at = np.arange(len(ids)) + np.repeat((begins + 1) * HALF - bounds[:-1], sizes)
         rows = self.vocabulary.row[ids]
-        classes = self.vocabulary.of_class[ids]
-        end_row = self.vocabulary.row[len(self.vocabulary.row) - 1]
+        before = np.empty_like(rows)
+        before[1:] = rows[:-1]
+        before[bounds[:-1]] = self.vocabulary.row[-1]  # a document's first input is the end id
+        inputs = np.full((int(halves.sum()), HALF), PAD)
+        inputs.ravel()[at] = before
+        aims = np.zeros(inputs.shape, np.int64)
+        aims.ravel()[at] = self.vocabulary.of_class[ids]
+        logs = np.zeros(inputs.shape, np.float32)
+        for lo in range(1, len(inputs), BLOCKS):
+            x = inputs[lo: lo + BLOCKS]
+            size, m = len(x), x.size
+            vk = _taken(self.table, inputs[lo - 1: lo + size], room("vk", size + 1, HALF, WIDTH + KEY))
+            vk = np.lib.stride_tricks.as_strided(vk, (size, WINDOW, WIDTH + KEY), vk.strides, writeable=False)
+            q = _taken(self.q, x, room("q", size, HALF, KEY))
+            a = np.matmul(q, vk[:, :, WIDTH:].transpose(0, 2, 1), out=room("a", size, HALF, WINDOW))
+            a += self.bias
+            _exp(a)
+            first = begins[np.searchsorted(begins, lo - 1): np.searchsorted(begins, lo + size - 1)] - lo + 1
+            a[first, :, :HALF] = 0  # places before a document weigh nothing
+            a *= (1 / np.einsum("nij->ni", a))[:, :, None]
+            h = np.matmul(a, vk[:, :, :WIDTH], out=room("h", size, HALF, WIDTH))
+            h += _taken(self.x, x, room("e", size, HALF, WIDTH))
+            # A product's last bits follow a row's place in it: one product a window keeps scores free of the batches.
+            z = np.matmul(np.tanh(h, out=h), self.wo, out=room("z", size, HALF, CLASSES))
+            z += _taken(self.after, x, room("after", size, HALF, CLASSES))
+            got = z.ravel()[np.arange(0, z.size, CLASSES) + aims[lo: lo + size].ravel()]
+            if self.bound > 60:
+                np.minimum(got, 60, out=got)
+            logs[lo: lo + size] = got.reshape(size, HALF) - np.log(np.einsum("nij->ni", _exp(z, self.bound)))
         out = self.vocabulary.log_share[ids]
-        for lo in range(0, len(owner), BLOCKS):
-            own, start = owner[lo: lo + BLOCKS], begin[lo: lo + BLOCKS]
-            # Input i of a window is the id before target i; a document's first input is the end id.
-            at = start[:, None] - HALF - 1 + np.arange(WINDOW)
-            left, size = bounds[own][:, None], sizes[own][:, None]
-            x = np.where(at >= 0, rows[np.clip(left + at, 0, len(rows) - 1)], np.where(at == -1, end_row, PAD))
-            t = start[:, None] + np.arange(HALF)
-            known = t < size
-            target = classes[np.where(known, left + t, 0)]
-            s = self.q[x[:, HALF:]] @ self.k[x].transpose(0, 2, 1)
-            s += self.bias
-            begins = np.flatnonzero(start == 0)  # only these have places before the document
-            s[begins] += np.where(x[begins] == PAD, np.float32(-1e4), np.float32(0))[:, None, :]
-            h = _softmax(s) @ self.v[x]
-            h += self.x[x[:, HALF:]]
-            # A product's last bits follow a row's place in it: doubles, rounded, keep scores free of the batches.
-            z = (np.tanh(h, out=h).reshape(-1, WIDTH).astype(np.float64) @ self.wo).astype(np.float32)
-            z += self.after[x[:, HALF:].ravel()]
-            np.minimum(z, 60, out=z)
-            got = z[np.arange(len(z)), target.ravel()]
-            logp = (got - np.log(np.exp(z, out=z).sum(axis=1))).reshape(len(own), HALF)
-            logp += self.within[x[:, HALF:], rows[np.where(known, left + t, 0)]]
-            out[(left + t)[known]] += logp[known]
+        out += logs.ravel()[at] + self.within.ravel()[before * ROWS + rows]
         return out / np.log(10)
 
 
 class Coded(NamedTuple):
-    """Ids of documents with their ends, and document borders."""
+    """Ids of documents with their ends, and document borders; names of the distinct words, and which of them each
+    word is, row by row (``before``: words before each row)."""
 
     ids: np.ndarray
     bounds: np.ndarray
+    names: np.ndarray
+    which: np.ndarray
+    before: np.ndarray
 
 
 def code(part: T.Slice, sub: Subwords) -> Coded:
-    raw, b = T.LOWER[part.data].tobytes(), part.bounds.tolist()
-    end = np.array([sub.end], "<i4").tobytes()
-    docs = [b"".join(sub.of_words(raw[b[r]: b[r + 1]].split())) + end for r in range(part.rows)]
-    sizes = np.fromiter(map(len, docs), np.int64, len(docs)) // 4
-    return Coded(np.frombuffer(b"".join(docs), "<i4"), np.concatenate([[0], np.cumsum(sizes)]))
+    """Words are told apart by their fingerprints; each distinct one is looked up once."""
+    lowered, bounds = T.LOWER[part.data], part.bounds
+    starts, ends, before = T.words(lowered, bounds)
+    named = np.empty(len(starts), np.uint64)
+    lo = 0
+    while lo < part.rows:
+        hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + T.SLICE_BYTES, "right")) - 1)
+        mine = slice(before[lo], before[hi])
+        named[mine] = T.Fingerprints(lowered[bounds[lo]: bounds[hi]]).of(starts[mine] - bounds[lo], ends[mine] - bounds[lo])
+        lo = hi
+    order = np.argsort(named)
+    ranked = named[order]
+    begins = np.ones(len(ranked), bool)
+    begins[1:] = ranked[1:] != ranked[:-1]
+    which = np.empty(len(ranked), np.int64)
+    which[order] = np.cumsum(begins) - 1
+    one, raw = order[begins], lowered.tobytes()
+    found = sub.of_words([raw[s:e] for s, e in zip(starts[one].tolist(), ends[one].tolist())])
+    pool = np.frombuffer(b"".join(found), sub.kind)
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) // pool.itemsize
+    size = sizes[which]
+    until = np.concatenate([[0], np.cumsum(size)])
+    out_bounds = until[before] + np.arange(part.rows + 1)
+    ids = np.full(out_bounds[-1], sub.end, sub.kind)
+    inside = np.ones(len(ids), bool)
+    inside[out_bounds[1:] - 1] = False
+    ids[inside] = pool[np.repeat((np.cumsum(sizes) - sizes)[which] - until[:-1], size) + np.arange(until[-1])]
+    return Coded(ids, out_bounds, ranked[begins], which, before)
+
+
+def summed(names: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by name."""
+    order = np.argsort(names)
+    names = names[order]
+    first = np.flatnonzero(np.append(True, names[1:] != names[:-1])[:len(names)])
+    return names[first], np.add.reduceat(counts[order], first) if len(first) else counts
 
 
 # --- training ---------------------------------------------------------------------------------------------
@@ -341,23 +420,51 @@ def code(part: T.Slice, sub: Subwords) -> Coded:
 def coded_documents(docs: DataFrame, train_on: Column, path: str, id_col: str, text_col: str) -> DataFrame:
     """(id, text, learn, ids, mark): every document with all its ids and its end as bytes (``_kind``), written once;
     ``mark``: a hash of document id and ids, which deals and orders the training documents."""
+    return coded_and_counted(docs, train_on, path, id_col, text_col)[0]
+
+
+def coded_and_counted(docs: DataFrame, train_on: Column, path: str, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``coded_documents``, and (name, c): counts of the training documents' words, by their fingerprints. Tasks pass on
+    sums of many rows (as rows of their own, ``learn`` NULL), so a word in every row is no hot key."""
     kind = dict(docs.dtypes)[id_col]
     small = _kind(subwords(path).end)
+    names = ["id", "text", "learn", "ids", "names", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sub = subwords(path)
+        held = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        longs, types = pa.list_(pa.int64()), None
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for lo in range(0, len(held[0]), COUNTS_A_ROW):
+                lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x))
+                         for x in (held[0][lo: lo + COUNTS_A_ROW].view(np.int64), held[1][lo: lo + COUNTS_A_ROW])]
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(1, t) for t in types), pa.nulls(1, pa.binary()), *lists], names)
+
         for batch in batches:
-            for part in T.slices(batch.column(1)):
+            types = [c.type for c in batch.columns]
+            learn = batch.column(2).to_numpy(zero_copy_only=False)
+            for part in T.slices(batch.column(1), CODED_BYTES):
                 coded = code(part, sub)
-                raw = coded.ids.astype(small)
                 lists = pa.Array.from_buffers(pa.binary(), part.rows, [
-                    None, pa.py_buffer((coded.bounds * raw.itemsize).astype(np.int32)), pa.py_buffer(raw)])
-                yield pa.RecordBatch.from_arrays([*(c.slice(part.first, part.rows) for c in batch.columns), lists],
-                                                 ["id", "text", "learn", "ids"])
+                    None, pa.py_buffer((coded.bounds * coded.ids.itemsize).astype(np.int32)), pa.py_buffer(coded.ids)])
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.slice(part.first, part.rows) for c in batch.columns), lists, *[pa.nulls(part.rows, longs)] * 2], names)
+                mine = np.repeat(learn[part.first: part.first + part.rows], np.diff(coded.before))
+                counts = np.bincount(coded.which[mine], minlength=len(coded.names))
+                seen = np.flatnonzero(counts)
+                held = summed(np.append(held[0], coded.names[seen]), np.append(held[1], counts[seen]))
+                if len(held[0]) > COUNTED_WORDS:
+                    yield from out()
+                    held = held[0][:0], held[1][:0]
+        yield from out()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(train_on, F.lit(False)).alias("learn"))
-    coded = rows.mapInArrow(run, f"id {kind}, text string, learn boolean, ids binary")
-    return written(coded.withColumn("mark", F.xxhash64("id", "ids")), "lm-ids")
+    both = rows.mapInArrow(run, f"id {kind}, text string, learn boolean, ids binary, names array<long>, counts array<long>")
+    both = written(both.withColumn("mark", F.xxhash64("id", "ids")), "lm-ids")
+    pairs = both.filter("learn IS NULL").select(F.explode(F.arrays_zip("names", "counts")).alias("w"))
+    counted = pairs.groupBy(F.col("w.names").alias("name")).agg(F.sum("w.counts").alias("c"))
+    return both.filter("learn IS NOT NULL").select("id", "text", "learn", "ids", "mark"), written(counted, "word-counts")
 
 
 def _kind(end: int) -> str:
@@ -434,6 +541,7 @@ class _Shard:
         self.pairs, self.rows, self.classes, self.number = pairs, rows, classes, number
         self.seen = self.t = self.docs = 0
         self.held: list[np.ndarray] = []
+        self.room = Room()
 
     def add(self, ids: np.ndarray, bounds: np.ndarray) -> None:
         at = 0
@@ -450,13 +558,21 @@ class _Shard:
             return
         bounds = np.concatenate([[0], np.cumsum([len(x) for x in self.held])])
         for part in windows(np.concatenate(self.held), bounds, len(self.rows) - 2, self.number):
-            x, y = part[:, :WINDOW], part[:, HALF + 1:]
-            _, g = step(_unpack(self.w), self.pairs, self.rows[x], self.classes[y], y >= 0)
+            rows, y = self.rows[part[:, :WINDOW]], part[:, HALF + 1:]
+            _, g = step(_unpack(self.w), self.pairs, rows, self.classes[y], y >= 0, self.room)
             self.t += 1
-            self.m += np.float32(0.1) * (g - self.m)
-            self.v += np.float32(0.01) * (g * g - self.v)
+            self.m *= np.float32(0.9)
+            self.v *= np.float32(0.99)
+            self.m += np.float32(0.1) * g
+            g *= g
+            g *= np.float32(0.01)
+            self.v += g
             rate = RATE / (1 + self.number) / (1 - 0.9 ** self.t) * (1 - 0.99 ** self.t) ** 0.5
-            self.w -= np.float32(rate) * self.m / (np.sqrt(self.v) + np.float32(1e-6))
+            root = np.sqrt(self.v, out=g)
+            root += np.float32(1e-6)
+            move = np.divide(self.m, root, out=root)
+            move *= np.float32(rate)
+            self.w -= move
             self.seen += len(part)
         self.held, self.docs = [], 0
 
@@ -538,13 +654,12 @@ def score_documents(docs: DataFrame, subword_path: str, train_on: Column, id_col
     """One row per document row: id, n_tokens, n_known, train_tokens, base_score, score. ``train_on`` is the
     condition on ``docs`` that picks the documents to learn from."""
     spark = docs.sparkSession
-    coded = coded_documents(docs, train_on, subword_path, id_col, text_col)
+    coded, words = coded_and_counted(docs, train_on, subword_path, id_col, text_col)
     learn = coded.filter("learn")
-    words = word_counts(learn, "text")
     n_docs = learn.count()
     sums = words.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = (sums.n or 0) + n_docs, sums.v + (n_docs > 0)
-    counts = id_counts(words, subword_path, n_docs)
+    counts = id_counts(learn, subwords(subword_path).end)
     vocabulary = Vocabulary.build(counts, subwords(subword_path).starts_word)
     pairs, within = pair_tables(learn, vocabulary, counts)
     flat = train(learn, pairs, vocabulary)
@@ -552,7 +667,7 @@ def score_documents(docs: DataFrame, subword_path: str, train_on: Column, id_col
     # The frequent words: all from the least count on that at most TOP_WORDS words reach.
     spread = words.groupBy("c").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).limit(TOP_WORDS).toPandas()
     reach = spread["c"][spread["n"].cumsum() <= TOP_WORDS]
-    top = words.filter(F.col("c") >= int(reach.min() if len(reach) else 1 << 62)).select("name", "c").toPandas()
+    top = words.filter(F.col("c") >= int(reach.min() if len(reach) else 1 << 62)).toPandas()
     names, c = top["name"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)
     order = np.argsort(names)
     names, c = names[order], c[order]
@@ -573,7 +688,9 @@ def score_documents(docs: DataFrame, subword_path: str, train_on: Column, id_col
                 rows = np.repeat(np.arange(part.rows), np.diff(before))
                 count = np.full(len(mine), -1, np.int64)  # -1: not among the most frequent
                 if len(names):
-                    at = np.minimum(np.searchsorted(names, mine), len(names) - 1)
+                    order, at = np.argsort(mine), np.empty(len(mine), np.int64)
+                    at[order] = np.searchsorted(names, mine[order])  # in order: neighbours are near in memory
+                    np.minimum(at, len(names) - 1, out=at)
                     count = np.where(names[at] == mine, c[at], -1)
                 top = count >= 0
                 per_row = lambda x: np.bincount(rows[top], weights=x, minlength=part.rows)
@@ -592,7 +709,7 @@ def score_documents(docs: DataFrame, subword_path: str, train_on: Column, id_col
         run, f"`{id_col}` {kind}, row_id long, n_tokens long, base double, known long, score double, rare array<long>"),
         "lm-scores")
     # The other words: joined with the counts, summed by row.
-    rest = (scored.select("row_id", F.explode("rare").alias("name")).join(words.select("name", "c"), "name", "left")
+    rest = (scored.select("row_id", F.explode("rare").alias("name")).join(words, "name", "left")
             .groupBy("row_id").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(SMOOTH))).alias("more"),
                                    F.count("c").alias("more_known")))
     return scored.join(rest, "row_id", "left").select(
