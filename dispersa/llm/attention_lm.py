@@ -27,7 +27,7 @@ columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dispersa.llm import text as T
-from dispersa.llm.shared import RecentCache, per_worker, release_worker, written
+from dispersa.llm.shared import per_worker, release_worker, written
 
 WINDOW = 16
 HALF = WINDOW // 2
@@ -47,16 +47,15 @@ OWN = 1024  # ids with an embedding of their own; the others share one by class
 WIDTH, KEY = 24, 8
 ROUNDS = 2
 BATCH = 512  # windows of a training step
-STEP_WINDOWS = 256  # of these, worked on at once
 STACK = 256  # rows of a product
 SHARD_IDS = 2_000_000  # training ids of a shard in a round, about
 CHUNK_DOCS = 256  # documents of a shard whose windows are mixed
 RATE = 0.02
 TOP_WORDS = 1 << 18
-CACHED_WORDS = 100_000  # per generation in a worker
+CACHED_WORDS = 1 << 19  # in a worker, about 30 bytes each
 COUNTED_WORDS = 1 << 19  # distinct words whose counts a task holds before it passes them on
 COUNTS_A_ROW = 1 << 16
-CODED_BYTES = 1 << 22  # of texts whose words are looked up together
+CODED_BYTES = 1 << 20  # of texts whose words are looked up together
 LEAN = 10.0  # counts that an input's row of the pair tables borrows from the shares whatever the input
 SUM_SHARDS = 16  # shards whose weights one task adds
 BLOCKS = 512  # half windows scored at once
@@ -66,7 +65,7 @@ SMOOTH = 0.1
 # --- subword ids ------------------------------------------------------------------------------------------
 
 class Subwords:
-    """Ids of words, cached; ``end`` is the id after the vocabulary's last."""
+    """Ids of words, kept for the next texts; ``end`` is the id after the vocabulary's last."""
 
     def __init__(self, path: str):
         import base64
@@ -82,21 +81,47 @@ class Subwords:
         self.starts_word = np.zeros(self.end + 1, bool)
         for token, i in ranks.items():
             self.starts_word[i] = token[:1] == b" "
-        self.cache = RecentCache(CACHED_WORDS)
+        # Ids of known words: sorted names (fingerprints), and where each word's ids lie in ``pool``.
+        self.names, self.starts, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool = np.zeros(0, self.kind)
 
-    def _make(self, words: list[bytes]) -> list[bytes]:
+    def _make(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after the other, and how many each has."""
         text = b" ".join(words).decode()
         # As one text: a piece begins at each space between the words, as it does at a word alone, and the ids that begin
         # with a space tell the words apart. Not so next to other white space, which the pattern may look beyond.
-        if not words or len(text.split()) != len(words):
-            return [np.array(self.bpe.encode_ordinary(" " + w), self.kind).tobytes() for w in text.split(" ")[:len(words)]]
+        if len(text.split()) != len(words):
+            lists = [self.bpe.encode_ordinary(" " + w) for w in text.split(" ")]
+            return np.concatenate(lists).astype(self.kind), np.array([len(x) for x in lists])
         ids = self.bpe.encode_to_numpy(" " + text, disallowed_special=())
-        raw, size = ids.astype(self.kind).tobytes(), np.dtype(self.kind).itemsize
-        cuts = [*(np.flatnonzero(self.starts_word[ids]) * size).tolist(), len(raw)]
-        return [raw[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
-
-    def of_words(self, words: list[bytes]) -> list[bytes]:
-        return self.cache.get_all(words, self._make)
+        return ids.astype(self.kind), np.diff(np.append(np.flatnonzero(self.starts_word[ids]), len(ids)))
+
+    def of_words(self, names: np.ndarray, words: Callable[[np.ndarray], list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """Where in ``pool`` the ids of the words of sorted distinct ``names`` begin, and how many there are; ``words``
+        gives the words at some places of ``names``."""
+        at = np.searchsorted(self.names, names)
+        known = np.append(self.names, 0)[at] == names
+        known &= at < len(self.names)
+        new = np.flatnonzero(~known)
+        if len(new):
+            ids, sizes = self._make(words(new))
+            if len(self.names) + len(new) > CACHED_WORDS:  # of the known ones only these texts' words stay
+                old = at[known]
+                self.pool = self.pool[ranges(self.starts[old], self.sizes[old])]
+                self.names, self.sizes = self.names[old], self.sizes[old]
+                self.starts = np.cumsum(self.sizes) - self.sizes
+                at = np.searchsorted(self.names, names)
+            starts = len(self.pool) + np.cumsum(sizes) - sizes
+            self.pool = np.append(self.pool, ids)
+            self.names, self.starts, self.sizes = (
+                np.insert(x, at[new], y) for x, y in ((self.names, names[new]), (self.starts, starts), (self.sizes, sizes)))
+            at = np.searchsorted(self.names, names)
+        return self.starts[at], self.sizes[at]
+
+
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places from each start on, one range after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
 
 
 def subwords(path: str) -> Subwords:
@@ -231,81 +256,84 @@ def step(w: dict[str, np.ndarray], pairs: np.ndarray, rows: np.ndarray, target:
          known: np.ndarray, room: Room | None = None) -> tuple[float, np.ndarray]:
     """Loss a token and gradient for windows: ``rows`` (n, WINDOW) inputs, ``target`` (n, HALF) classes,
     ``known`` (n, HALF) false beyond a document's end; ``pairs``: logits of the classes after each input.
-    ``STEP_WINDOWS`` at once. The softmax over the classes stays undivided (``u``): what is narrower is divided."""
+    Keys, values and queries are looked up by embedding row, and their gradients are summed by row before they go on.
+    The softmax over the classes stays undivided (``u``): what is narrower is divided."""
     room = room or Room()
     x = w["x"]
     kind, scale = x.dtype, x.dtype.type(KEY ** -0.5)
+    flat = lambda y: y.reshape(-1, y.shape[-1])
+    size, m = len(rows), len(rows) * HALF
+    of_targets = lambda y: y.reshape(size, HALF, -1)
+    every, here = rows.ravel(), rows[:, HALF:].ravel()
     wq = w["wq"] * scale
     queries, table = x @ wq, _values_and_keys(w)
-    wvk_back, wo_back = np.concatenate([w["wv"], w["wk"]], axis=1).T.copy(), w["wo"].T.copy()
+    vk = _taken(table, rows, room("vk", size, WINDOW, WIDTH + KEY, kind=kind))
+    v, k = vk[:, :, :WIDTH], vk[:, :, WIDTH:]
+    q = of_targets(_taken(queries, here, room("q", m, KEY, kind=kind)))
+    # A copy of the turned keys: small products with a turned second factor are slow.
+    turned = room("turned", size, KEY, WINDOW, kind=kind)
+    turned[:] = k.transpose(0, 2, 1)
+    a = np.matmul(q, turned, out=room("a", size, HALF, WINDOW, kind=kind))
     bias = (w["far"][np.maximum(_DISTANCE, 0)] + _HIDDEN).astype(kind)
+    a += bias
+    _exp(a, _longest(queries) * _longest(table[:, WIDTH:]) + float(bias.max()))
+    begins = np.flatnonzero(rows[:, 0] == PAD)  # only these windows have places before the document
+    a[begins] *= (rows[begins] != PAD)[:, None, :]
+    a *= (1 / np.einsum("nij->ni", a))[:, :, None]
+    h = np.matmul(a, v, out=room("h", size, HALF, WIDTH, kind=kind))
+    h += of_targets(_taken(x, here, room("e", m, WIDTH, kind=kind)))
+    h = flat(np.tanh(h, out=h))
     after = np.add(pairs, w["b"], out=room("after", ROWS, CLASSES, kind=kind))
-    bound = float(np.abs(w["wo"]).sum(axis=0).max() + after.max())  # of the logits, as tanh is below 1
-    n = max(1, int(known.sum()))
-    loss, dfar = 0.0, np.zeros((HALF, WINDOW), kind)
-    dwq, dwvk = np.zeros((WIDTH, KEY), kind), np.zeros((WIDTH, WIDTH + KEY), kind)
-    dwo, db = np.zeros((WIDTH, CLASSES), kind), np.zeros(CLASSES, kind)
-    de = room("de", len(rows), WINDOW, WIDTH, kind=kind)
-    flat = lambda y: y.reshape(-1, y.shape[-1])
-    for lo in range(0, len(rows), STEP_WINDOWS):
-        mine = rows[lo: lo + STEP_WINDOWS]
-        size, m = len(mine), len(mine) * HALF
-        of_targets = lambda y: y.reshape(size, HALF, -1)
-        here = mine[:, HALF:].ravel()
-        vk = _taken(table, mine, room("vk", size, WINDOW, WIDTH + KEY, kind=kind))
-        v, k = vk[:, :, :WIDTH], vk[:, :, WIDTH:]
-        e = _taken(x, mine, room("e", size, WINDOW, WIDTH, kind=kind))
-        q = of_targets(_taken(queries, here, room("q", m, KEY, kind=kind)))
-        a = np.matmul(q, k.transpose(0, 2, 1), out=room("a", size, HALF, WINDOW, kind=kind))
-        a += bias
-        _exp(a)
-        begins = np.flatnonzero(mine[:, 0] == PAD)  # only these windows have places before the document
-        a[begins] *= (mine[begins] != PAD)[:, None, :]
-        a *= (1 / np.einsum("nij->ni", a))[:, :, None]
-        h = np.matmul(a, v, out=room("h", size, HALF, WIDTH, kind=kind))
-        h += e[:, HALF:]
-        h = flat(np.tanh(h, out=h))
-        u = _times(h, w["wo"], room("u", m, CLASSES, kind=kind))
-        u += _taken(after, here, room("taken", m, CLASSES, kind=kind))
-        _exp(u, bound)
-        whole = np.einsum("ij->i", u)
-        aims, valid = target[lo: lo + STEP_WINDOWS].ravel(), known[lo: lo + STEP_WINDOWS].ravel()
-        cell = np.arange(0, m * CLASSES, CLASSES) + aims
-        at = u.ravel()[cell]
-        loss -= float(np.log(np.maximum(at / whole, 1e-30))[valid].sum()) / n
-        u.ravel()[cell] = at - whole
-        part = (valid / (n * whole)).astype(kind)  # the logits' gradient is part * u
-        dmix = _times(u, wo_back, room("dmix", m, WIDTH, kind=kind))
-        dmix *= part[:, None]
-        dwo += _over_rows(np.multiply(h, part[:, None], out=room("hp", m, WIDTH, kind=kind)), u)
-        db += part @ u
-        h *= h
-        dmix *= np.subtract(1, h, out=h)
-        mixes = of_targets(dmix)
-        ds = np.matmul(mixes, v.transpose(0, 2, 1), out=room("ds", size, HALF, WINDOW, kind=kind))
-        ds -= np.einsum("nij,nij->ni", a, ds)[:, :, None]
-        ds *= a
-        dvk = room("dvk", size, WINDOW, WIDTH + KEY, kind=kind)
-        np.matmul(a.transpose(0, 2, 1), mixes, out=dvk[:, :, :WIDTH])
-        np.matmul(ds.transpose(0, 2, 1), q, out=dvk[:, :, WIDTH:])
-        dq = flat(np.matmul(ds, k, out=room("dq", size, HALF, KEY, kind=kind)))
-        dmix += dq @ wq.T
-        np.matmul(flat(dvk), wvk_back, out=flat(de[lo: lo + size]))
-        de[lo: lo + size, HALF:] += mixes
-        dfar += ds.sum(axis=0)
-        dwvk += _over_rows(flat(e), flat(dvk))
-        dwq += _over_rows(flat(e[:, HALF:]), dq)
-    every = rows.ravel()
-    order = np.argsort(every.astype(np.int16), kind="stable")
-    ranked = every[order]
+    u = _times(h, w["wo"], room("u", m, CLASSES, kind=kind))
+    u += _taken(after, here, room("taken", m, CLASSES, kind=kind))
+    _exp(u, float(np.abs(w["wo"]).sum(axis=0).max() + after.max()))  # tanh is below 1
+    whole = np.einsum("ij->i", u)
+    aims, valid = target.ravel(), known.ravel()
+    n = max(1, int(valid.sum()))
+    cell = np.arange(0, u.size, CLASSES) + aims
+    at = u.ravel()[cell]
+    loss = -float(np.log(np.maximum(at / whole, 1e-30))[valid].sum()) / n
+    u.ravel()[cell] = at - whole
+    part = (valid / (n * whole)).astype(kind)  # the logits' gradient is part * u
+    dmix = _times(u, w["wo"].T.copy(), room("dmix", m, WIDTH, kind=kind))
+    dmix *= part[:, None]
+    dwo = _over_rows(np.multiply(h, part[:, None], out=room("hp", m, WIDTH, kind=kind)), u)
+    db = part @ u
+    h *= h
+    dmix *= np.subtract(1, h, out=h)
+    dmix = of_targets(dmix)
+    ds = np.matmul(dmix, v.transpose(0, 2, 1), out=room("ds", size, HALF, WINDOW, kind=kind))
+    ds -= np.einsum("nij,nij->ni", a, ds)[:, :, None]
+    ds *= a
+    # Gradients of the values and keys at all inputs, of the own embeddings and queries at the second halves'.
+    dvk = room("dvk", size, WINDOW, WIDTH + KEY, kind=kind)
+    np.matmul(a.transpose(0, 2, 1), dmix, out=dvk[:, :, :WIDTH])
+    np.matmul(ds.transpose(0, 2, 1), q, out=dvk[:, :, WIDTH:])
+    dxq = room("dxq", size, HALF, WIDTH + KEY, kind=kind)
+    dxq[:, :, :WIDTH] = dmix
+    np.matmul(ds, k, out=dxq[:, :, WIDTH:])
+    dvk, dxq = _by_row(every, flat(dvk), room), _by_row(here, flat(dxq), room)
+    dq, dwvk = dxq[:, WIDTH:], x.T @ dvk
+    dx = dvk @ np.concatenate([w["wv"], w["wk"]], axis=1).T + dxq[:, :WIDTH] + dq @ wq.T
+    far = np.bincount(np.maximum(_DISTANCE, 0).ravel(), weights=(ds.sum(axis=0) * _SEEN).ravel(), minlength=WINDOW)
+    grad = {"x": dx, "wq": x.T @ dq * scale, "wk": dwvk[:, WIDTH:], "wv": dwvk[:, :WIDTH], "far": far, "wo": dwo, "b": db}
+    return loss, np.concatenate([grad[n].ravel() for n in SHAPES]).astype(np.float32)
+
+
+def _longest(vectors: np.ndarray) -> float:
+    return float(np.einsum("ij,ij->i", vectors, vectors).max()) ** 0.5
+
+
+def _by_row(rows: np.ndarray, values: np.ndarray, room: Room) -> np.ndarray:
+    """Sums of ``values`` by embedding row."""
+    order = np.argsort(rows.astype(np.int16), kind="stable")
+    ranked = rows[order]
     first = np.append(0, np.flatnonzero(ranked[1:] != ranked[:-1]) + 1)
-    dx = np.zeros(SHAPES["x"], kind)
+    out = np.zeros((ROWS, values.shape[1]), values.dtype)
     # As complex numbers two columns are added in one go.
-    by_row = _taken(flat(de), order, room("by_row", len(every), WIDTH, kind=kind))
-    dx[ranked[first]] = np.add.reduceat(by_row.view(np.result_type(kind, np.complex64)), first).view(kind)
-    far = np.bincount(np.maximum(_DISTANCE, 0).ravel(), weights=(dfar * _SEEN).ravel(), minlength=WINDOW)
-    grad = {"x": dx, "wq": dwq * scale, "wk": dwvk[:, WIDTH:], "wv": dwvk[:, :WIDTH], "far": far, "wo": dwo, "b": db}
-    return loss, np.concatenate([grad[n].ravel() for n in SHAPES]).astype(np.float32)
+    values = _taken(values, order, room("ranked", *values.shape, kind=values.dtype)).view(np.result_type(values, np.complex64))
+    out[ranked[first]] = np.add.reduceat(values, first).view(out.dtype)
+    return out
 
 
 class Scorer:
@@ -320,6 +348,7 @@ class Scorer:
         self.bias = (w["far"][np.maximum(_DISTANCE, 0)] + _HIDDEN).astype(np.float32)
         self.wo, self.after = w["wo"], (pairs + w["b"]).astype(np.float32)
         self.bound = float(np.abs(self.wo).sum(axis=0).max() + self.after.max())
+        self.score_bound = _longest(self.q) * _longest(self.table[:, WIDTH:]) + float(self.bias.max())
         self.vocabulary, self.within = vocabulary, within
         self.room = Room()
 
@@ -343,15 +372,19 @@ class Scorer:
             x = inputs[lo: lo + BLOCKS]
             size, m = len(x), x.size
             vk = _taken(self.table, inputs[lo - 1: lo + size], room("vk", size + 1, HALF, WIDTH + KEY))
-            vk = np.lib.stride_tricks.as_strided(vk, (size, WINDOW, WIDTH + KEY), vk.strides, writeable=False)
+            turned = room("turned", size + 1, KEY, HALF)
+            turned[:] = vk[:, :, WIDTH:].transpose(0, 2, 1)
+            v = np.lib.stride_tricks.as_strided(vk, (size, WINDOW, WIDTH), vk.strides, writeable=False)
             q = _taken(self.q, x, room("q", size, HALF, KEY))
-            a = np.matmul(q, vk[:, :, WIDTH:].transpose(0, 2, 1), out=room("a", size, HALF, WINDOW))
+            a = room("a", size, HALF, WINDOW)
+            np.matmul(q, turned[:-1], out=a[:, :, :HALF])
+            np.matmul(q, turned[1:], out=a[:, :, HALF:])
             a += self.bias
-            _exp(a)
+            _exp(a, self.score_bound)
             first = begins[np.searchsorted(begins, lo - 1): np.searchsorted(begins, lo + size - 1)] - lo + 1
             a[first, :, :HALF] = 0  # places before a document weigh nothing
             a *= (1 / np.einsum("nij->ni", a))[:, :, None]
-            h = np.matmul(a, vk[:, :, :WIDTH], out=room("h", size, HALF, WIDTH))
+            h = np.matmul(a, v, out=room("h", size, HALF, WIDTH))
             h += _taken(self.x, x, room("e", size, HALF, WIDTH))
             # A product's last bits follow a row's place in it: one product a window keeps scores free of the batches.
             z = np.matmul(np.tanh(h, out=h), self.wo, out=room("z", size, HALF, CLASSES))
@@ -393,18 +426,16 @@ def code(part: T.Slice, sub: Subwords) -> Coded:
     begins[1:] = ranked[1:] != ranked[:-1]
     which = np.empty(len(ranked), np.int64)
     which[order] = np.cumsum(begins) - 1
-    one, raw = order[begins], lowered.tobytes()
-    found = sub.of_words([raw[s:e] for s, e in zip(starts[one].tolist(), ends[one].tolist())])
-    pool = np.frombuffer(b"".join(found), sub.kind)
-    sizes = np.fromiter(map(len, found), np.int64, len(found)) // pool.itemsize
-    size = sizes[which]
+    names, one, raw = ranked[begins], order[begins], lowered.tobytes()
+    start, size = sub.of_words(names, lambda at: [raw[s:e] for s, e in zip(starts[one[at]].tolist(), ends[one[at]].tolist())])
+    start, size = start[which], size[which]
     until = np.concatenate([[0], np.cumsum(size)])
     out_bounds = until[before] + np.arange(part.rows + 1)
     ids = np.full(out_bounds[-1], sub.end, sub.kind)
     inside = np.ones(len(ids), bool)
     inside[out_bounds[1:] - 1] = False
-    ids[inside] = pool[np.repeat((np.cumsum(sizes) - sizes)[which] - until[:-1], size) + np.arange(until[-1])]
-    return Coded(ids, out_bounds, ranked[begins], which, before)
+    ids[inside] = sub.pool[ranges(start, size)]
+    return Coded(ids, out_bounds, names, which, before)
 
 
 def summed(names: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -522,15 +553,17 @@ def windows(ids: np.ndarray, bounds: np.ndarray, end: int, number: int) -> Itera
     the last one, -1 before a document's start and beyond its end. Each id is a target of one window."""
     sizes = np.diff(bounds)
     blocks = -(-sizes // HALF)
-    owner = np.repeat(np.arange(len(sizes)), blocks)
-    turn = np.arange(blocks.sum()) - (np.cumsum(blocks) - blocks)[owner]
-    mine = np.random.default_rng(number).permutation(len(owner))  # windows of many documents in a step
+    # Each document behind HALF places and the end id, filled up to whole halves: a window is WINDOW + 1 places in a row.
+    first = np.cumsum(blocks + 2) - blocks - 2
+    laid = np.full(int((blocks + 2).sum()) * HALF, -1, np.int64)
+    laid[(first + 1) * HALF] = end
+    laid[np.arange(len(ids)) + np.repeat((first + 1) * HALF + 1 - bounds[:-1], sizes)] = ids
+    begin = ranges(first, blocks)
+    step_bytes = laid.itemsize
+    cut = np.lib.stride_tricks.as_strided(laid, (len(laid) // HALF - 2, WINDOW + 1), (HALF * step_bytes, step_bytes), writeable=False)
+    mine = np.random.default_rng(number).permutation(len(begin))  # windows of many documents in a step
     for lo in range(0, len(mine), BATCH):
-        own = owner[mine[lo: lo + BATCH]]
-        at = turn[mine[lo: lo + BATCH], None] * HALF - HALF - 1 + np.arange(WINDOW + 1)
-        left, size = bounds[own][:, None], sizes[own][:, None]
-        inside = (at >= 0) & (at < size)
-        yield np.where(inside, ids[np.where(inside, left + at, 0)], np.where(at == -1, end, -1))
+        yield cut[begin[mine[lo: lo + BATCH]]]
 
 
 class _Shard:
@@ -558,8 +591,8 @@ class _Shard:
             return
         bounds = np.concatenate([[0], np.cumsum([len(x) for x in self.held])])
         for part in windows(np.concatenate(self.held), bounds, len(self.rows) - 2, self.number):
-            rows, y = self.rows[part[:, :WINDOW]], part[:, HALF + 1:]
-            _, g = step(_unpack(self.w), self.pairs, rows, self.classes[y], y >= 0, self.room)
+            rows, y = self.rows.take(part[:, :WINDOW]), part[:, HALF + 1:]
+            _, g = step(_unpack(self.w), self.pairs, rows, self.classes.take(y), y >= 0, self.room)
             self.t += 1
             self.m *= np.float32(0.9)
             self.v *= np.float32(0.99)
@@ -577,22 +610,23 @@ class _Shard:
         self.held, self.docs = [], 0
 
 
-def dealt(learn: DataFrame, end: int, rounds: int) -> tuple[DataFrame, int]:
+def dealt(learn: DataFrame, end: int, rounds: int, n_ids: int | None = None) -> tuple[DataFrame, int]:
     """(ids, mark, round, shard) of ``learn (ids, mark)`` and the number of shards of a round, which follows from the
     ids of the documents: each document is in one shard of one round."""
-    n_ids = (learn.agg(F.sum(F.length("ids")).alias("n")).first().n or 0) // np.dtype(_kind(end)).itemsize
+    if n_ids is None:
+        n_ids = (learn.agg(F.sum(F.length("ids")).alias("n")).first().n or 0) // np.dtype(_kind(end)).itemsize
     shards = -(-n_ids // (rounds * SHARD_IDS))
     slot = F.pmod("mark", F.lit(max(1, shards) * rounds)).cast("int")
     return learn.select("ids", "mark", (slot % rounds).alias("round"), F.floor(slot / rounds).cast("int").alias("shard")), shards
 
 
-def train(learn: DataFrame, pairs: np.ndarray, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
+def train(learn: DataFrame, pairs: np.ndarray, vocabulary: Vocabulary, n_ids: int, rounds: int = ROUNDS) -> np.ndarray:
     """Weights after ``rounds`` rounds of local Adam by shard and averaging over ``learn (ids, mark)``."""
     spark = learn.sparkSession
     flat = initial()
     row_of = np.append(vocabulary.row, PAD)  # -1: before the start
     class_of = np.append(vocabulary.of_class, 0)
-    deal, shards = dealt(learn, len(vocabulary.row) - 1, rounds)
+    deal, shards = dealt(learn, len(vocabulary.row) - 1, rounds, n_ids)
     for number in range(rounds if shards else 0):
         shared = spark.sparkContext.broadcast((flat, pairs, row_of, class_of))
 
@@ -656,13 +690,13 @@ def score_documents(docs: DataFrame, subword_path: str, train_on: Column, id_col
     spark = docs.sparkSession
     coded, words = coded_and_counted(docs, train_on, subword_path, id_col, text_col)
     learn = coded.filter("learn")
-    n_docs = learn.count()
+    counts = id_counts(learn, subwords(subword_path).end)
+    n_docs = int(counts[-1])  # one end each
     sums = words.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = (sums.n or 0) + n_docs, sums.v + (n_docs > 0)
-    counts = id_counts(learn, subwords(subword_path).end)
     vocabulary = Vocabulary.build(counts, subwords(subword_path).starts_word)
     pairs, within = pair_tables(learn, vocabulary, counts)
-    flat = train(learn, pairs, vocabulary)
+    flat = train(learn, pairs, vocabulary, int(counts.sum()))
 
     # The frequent words: all from the least count on that at most TOP_WORDS words reach.
     spread = words.groupBy("c").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).limit(TOP_WORDS).toPandas()
@@ -677,6 +711,7 @@ def score_documents(docs: DataFrame, subword_path: str, train_on: Column, id_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, c, flat, pairs, within, vocabulary = shared.value
         scorer = Scorer(flat, pairs, within, Vocabulary(*vocabulary))
+        log_c = np.log10(c + SMOOTH)
         row_id = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in T.slices(batch.column(1)):
@@ -686,20 +721,22 @@ def score_documents(docs: DataFrame, subword_path: str, train_on: Column, id_col
                 ids, bounds = _of_lists(batch.column(2).slice(part.first, part.rows), len(vocabulary[1]) - 1)
                 logs = np.add.reduceat(scorer.logs(ids, bounds), bounds[:-1])
                 rows = np.repeat(np.arange(part.rows), np.diff(before))
-                count = np.full(len(mine), -1, np.int64)  # -1: not among the most frequent
+                top = np.zeros(len(mine), bool)  # among the most frequent
                 if len(names):
                     order, at = np.argsort(mine), np.empty(len(mine), np.int64)
                     at[order] = np.searchsorted(names, mine[order])  # in order: neighbours are near in memory
                     np.minimum(at, len(names) - 1, out=at)
-                    count = np.where(names[at] == mine, c[at], -1)
-                top = count >= 0
+                    top = names[at] == mine
+                    at = at[top]
+                else:
+                    at = np.zeros(0, np.int64)
                 per_row = lambda x: np.bincount(rows[top], weights=x, minlength=part.rows)
                 rare = ~top
                 cut = np.searchsorted(rows[rare], np.arange(part.rows + 1))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(part.first, part.rows), pa.array(row_id + np.arange(part.rows)),
-                     pa.array(np.diff(before) + 1), pa.array(per_row(np.log10(count[top] + SMOOTH)) + np.log10(n_docs + SMOOTH)),
-                     pa.array(per_row(count[top] > 0).astype(np.int64) + int(n_docs > 0)), pa.array(logs),
+                     pa.array(np.diff(before) + 1), pa.array(per_row(log_c[at]) + np.log10(n_docs + SMOOTH)),
+                     pa.array(per_row(c[at] > 0).astype(np.int64) + int(n_docs > 0)), pa.array(logs),
                      pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(mine[rare].view(np.int64)))],
                     [id_col, "row_id", "n_tokens", "base", "known", "score", "rare"])
                 row_id += part.rows
