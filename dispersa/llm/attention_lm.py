@@ -55,6 +55,7 @@ TOP_WORDS = 1 << 18
 CACHED_WORDS = 1 << 19  # in a worker, about 30 bytes each
 COUNTED_WORDS = 1 << 19  # distinct words whose counts a task holds before it passes them on
 COUNTS_A_ROW = 1 << 16
+SCORED_BYTES = 1 << 17  # of ids scored together
 CODED_BYTES = 1 << 20  # of texts whose words are looked up together
 LEAN = 10.0  # counts that an input's row of the pair tables borrows from the shares whatever the input
 SUM_SHARDS = 16  # shards whose weights one task adds
@@ -81,8 +82,9 @@ class Subwords:
         self.starts_word = np.zeros(self.end + 1, bool)
         for token, i in ranks.items():
             self.starts_word[i] = token[:1] == b" "
-        # Ids of known words: sorted names (fingerprints), and where each word's ids lie in ``pool``.
-        self.names, self.starts, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # Known words: sorted fingerprints of their bytes, names, and where their ids lie in ``pool``.
+        self.prints, self.names = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pool = np.zeros(0, self.kind)
 
     def _make(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -96,27 +98,34 @@ class Subwords:
         ids = self.bpe.encode_to_numpy(" " + text, disallowed_special=())
         return ids.astype(self.kind), np.diff(np.append(np.flatnonzero(self.starts_word[ids]), len(ids)))
 
-    def of_words(self, names: np.ndarray, words: Callable[[np.ndarray], list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """Where in ``pool`` the ids of the words of sorted distinct ``names`` begin, and how many there are; ``words``
-        gives the words at some places of ``names``."""
-        at = np.searchsorted(self.names, names)
-        known = np.append(self.names, 0)[at] == names
-        known &= at < len(self.names)
+    def of_words(self, prints: np.ndarray, words: Callable[[np.ndarray], list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Names of the words with sorted distinct fingerprints ``prints``, and where in ``pool`` their ids begin and how
+        many there are; ``words`` gives the words at some places of ``prints``."""
+        at = np.searchsorted(self.prints, prints)
+        known = np.append(self.prints, 0)[at] == prints
+        known &= at < len(self.prints)
         new = np.flatnonzero(~known)
         if len(new):
             ids, sizes = self._make(words(new))
-            if len(self.names) + len(new) > CACHED_WORDS:  # of the known ones only these texts' words stay
+            if len(self.prints) + len(new) > CACHED_WORDS:  # of the known ones only these texts' words stay
                 old = at[known]
                 self.pool = self.pool[ranges(self.starts[old], self.sizes[old])]
-                self.names, self.sizes = self.names[old], self.sizes[old]
+                self.prints, self.names, self.sizes = self.prints[old], self.names[old], self.sizes[old]
                 self.starts = np.cumsum(self.sizes) - self.sizes
-                at = np.searchsorted(self.names, names)
-            starts = len(self.pool) + np.cumsum(sizes) - sizes
+                at = np.searchsorted(self.prints, prints)
+            until = np.cumsum(sizes)
+            more = prints[new], word_names(ids, until - sizes, until, self.end), len(self.pool) + until - sizes, sizes
             self.pool = np.append(self.pool, ids)
-            self.names, self.starts, self.sizes = (
-                np.insert(x, at[new], y) for x, y in ((self.names, names[new]), (self.starts, starts), (self.sizes, sizes)))
-            at = np.searchsorted(self.names, names)
-        return self.starts[at], self.sizes[at]
+            self.prints, self.names, self.starts, self.sizes = (
+                np.insert(x, at[new], y) for x, y in zip((self.prints, self.names, self.starts, self.sizes), more))
+            at = np.searchsorted(self.prints, prints)
+        return self.names[at], self.starts[at], self.sizes[at]
+
+
+def word_names(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray, end: int) -> np.ndarray:
+    """Names of words by their ids, of which each word has its own: fingerprints of fewer units than bytes."""
+    codes = per_worker("id codes", lambda: T.mix(np.arange(1, 1 << 16, dtype=np.uint64)))
+    return T.Fingerprints(codes[ids] if end < len(codes) else T.mix(ids.astype(np.uint64) + np.uint64(1))).of(starts, ends)
 
 
 def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -410,24 +419,22 @@ class Coded(NamedTuple):
 
 
 def code(part: T.Slice, sub: Subwords) -> Coded:
-    """Words are told apart by their fingerprints; each distinct one is looked up once."""
+    """Words are told apart by the fingerprints of their bytes; each distinct one is looked up once."""
     lowered, bounds = T.LOWER[part.data], part.bounds
     starts, ends, before = T.words(lowered, bounds)
     named = np.empty(len(starts), np.uint64)
-    lo = 0
-    while lo < part.rows:
-        hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + T.SLICE_BYTES, "right")) - 1)
+    for lo, hi in stretches(bounds, T.SLICE_BYTES):
         mine = slice(before[lo], before[hi])
         named[mine] = T.Fingerprints(lowered[bounds[lo]: bounds[hi]]).of(starts[mine] - bounds[lo], ends[mine] - bounds[lo])
-        lo = hi
     order = np.argsort(named)
     ranked = named[order]
     begins = np.ones(len(ranked), bool)
     begins[1:] = ranked[1:] != ranked[:-1]
     which = np.empty(len(ranked), np.int64)
     which[order] = np.cumsum(begins) - 1
-    names, one, raw = ranked[begins], order[begins], lowered.tobytes()
-    start, size = sub.of_words(names, lambda at: [raw[s:e] for s, e in zip(starts[one[at]].tolist(), ends[one[at]].tolist())])
+    one, raw = order[begins], lowered.tobytes()
+    names, start, size = sub.of_words(
+        ranked[begins], lambda at: [raw[s:e] for s, e in zip(starts[one[at]].tolist(), ends[one[at]].tolist())])
     start, size = start[which], size[which]
     until = np.concatenate([[0], np.cumsum(size)])
     out_bounds = until[before] + np.arange(part.rows + 1)
@@ -438,6 +445,15 @@ def code(part: T.Slice, sub: Subwords) -> Coded:
     return Coded(ids, out_bounds, names, which, before)
 
 
+def stretches(bounds: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``limit`` units (or a single longer row)."""
+    lo = 0
+    while lo < len(bounds) - 1:
+        hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + limit, "right")) - 1)
+        yield lo, hi
+        lo = hi
+
+
 def summed(names: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Counts by name."""
     order = np.argsort(names)
@@ -449,17 +465,17 @@ def summed(names: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 # --- training ---------------------------------------------------------------------------------------------
 
 def coded_documents(docs: DataFrame, train_on: Column, path: str, id_col: str, text_col: str) -> DataFrame:
-    """(id, text, learn, ids, mark): every document with all its ids and its end as bytes (``_kind``), written once;
+    """(id, learn, ids, mark): every document with all its ids and its end as bytes (``_kind``), written once;
     ``mark``: a hash of document id and ids, which deals and orders the training documents."""
     return coded_and_counted(docs, train_on, path, id_col, text_col)[0]
 
 
 def coded_and_counted(docs: DataFrame, train_on: Column, path: str, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """``coded_documents``, and (name, c): counts of the training documents' words, by their fingerprints. Tasks pass on
+    """``coded_documents``, and (name, c): counts of the training documents' words, by their names. Tasks pass on
     sums of many rows (as rows of their own, ``learn`` NULL), so a word in every row is no hot key."""
     kind = dict(docs.dtypes)[id_col]
     small = _kind(subwords(path).end)
-    names = ["id", "text", "learn", "ids", "names", "counts"]
+    names = ["id", "learn", "ids", "names", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sub = subwords(path)
@@ -473,14 +489,14 @@ def coded_and_counted(docs: DataFrame, train_on: Column, path: str, id_col: str,
                 yield pa.RecordBatch.from_arrays([*(pa.nulls(1, t) for t in types), pa.nulls(1, pa.binary()), *lists], names)
 
         for batch in batches:
-            types = [c.type for c in batch.columns]
+            types = [batch.column(0).type, batch.column(2).type]
             learn = batch.column(2).to_numpy(zero_copy_only=False)
             for part in T.slices(batch.column(1), CODED_BYTES):
                 coded = code(part, sub)
                 lists = pa.Array.from_buffers(pa.binary(), part.rows, [
                     None, pa.py_buffer((coded.bounds * coded.ids.itemsize).astype(np.int32)), pa.py_buffer(coded.ids)])
                 yield pa.RecordBatch.from_arrays(
-                    [*(c.slice(part.first, part.rows) for c in batch.columns), lists, *[pa.nulls(part.rows, longs)] * 2], names)
+                    [*(batch.column(c).slice(part.first, part.rows) for c in (0, 2)), lists, *[pa.nulls(part.rows, longs)] * 2], names)
                 mine = np.repeat(learn[part.first: part.first + part.rows], np.diff(coded.before))
                 counts = np.bincount(coded.which[mine], minlength=len(coded.names))
                 seen = np.flatnonzero(counts)
@@ -491,11 +507,11 @@ def coded_and_counted(docs: DataFrame, train_on: Column, path: str, id_col: str,
         yield from out()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(train_on, F.lit(False)).alias("learn"))
-    both = rows.mapInArrow(run, f"id {kind}, text string, learn boolean, ids binary, names array<long>, counts array<long>")
+    both = rows.mapInArrow(run, f"id {kind}, learn boolean, ids binary, names array<long>, counts array<long>")
     both = written(both.withColumn("mark", F.xxhash64("id", "ids")), "lm-ids")
     pairs = both.filter("learn IS NULL").select(F.explode(F.arrays_zip("names", "counts")).alias("w"))
     counted = pairs.groupBy(F.col("w.names").alias("name")).agg(F.sum("w.counts").alias("c"))
-    return both.filter("learn IS NOT NULL").select("id", "text", "learn", "ids", "mark"), written(counted, "word-counts")
+    return both.filter("learn IS NOT NULL").select("id", "learn", "ids", "mark"), written(counted, "word-counts")
 
 
 def _kind(end: int) -> str:
@@ -503,10 +519,13 @@ def _kind(end: int) -> str:
     return "<u2" if end < 1 << 16 else "<i4"
 
 
+def _offsets(lists: pa.Array) -> np.ndarray:
+    return np.frombuffer(lists.buffers()[1], np.int32)[lists.offset: lists.offset + len(lists) + 1].astype(np.int64)
+
+
 def _of_lists(lists: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of a column of id bytes, and the documents' borders."""
-    _, offsets, data = lists.buffers()
-    at = np.frombuffer(offsets, np.int32)[lists.offset: lists.offset + len(lists) + 1].astype(np.int64)
+    data, at = lists.buffers()[2], _offsets(lists)
     kind = np.dtype(_kind(end))
     raw = np.frombuffer(data, np.uint8)[at[0]: at[-1]] if data is not None else np.zeros(0, np.uint8)
     return raw.view(kind).astype(np.int64), (at - at[0]) // kind.itemsize
@@ -706,21 +725,27 @@ def score_documents(docs: DataFrame, subword_path: str, train_on: Column, id_col
     order = np.argsort(names)
     names, c = names[order], c[order]
     whole = np.log10(n + SMOOTH * (v + 1))
-    shared = spark.sparkContext.broadcast((names, c, flat, pairs, within, tuple(vocabulary)))  # plain: no class to import
+    stops = subwords(subword_path).starts_word.copy()
+    stops[-1] = True  # the end id
+    shared = spark.sparkContext.broadcast((names, c, flat, pairs, within, tuple(vocabulary), stops))  # plain: no class to import
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, c, flat, pairs, within, vocabulary = shared.value
+        names, c, flat, pairs, within, vocabulary, stops = shared.value
+        end = len(stops) - 1
         scorer = Scorer(flat, pairs, within, Vocabulary(*vocabulary))
         log_c = np.log10(c + SMOOTH)
         row_id = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for part in T.slices(batch.column(1)):
-                lowered = T.LOWER[part.data]
-                starts, ends, before = T.words(lowered, part.bounds)
-                mine = T.Fingerprints(lowered).of(starts, ends)
-                ids, bounds = _of_lists(batch.column(2).slice(part.first, part.rows), len(vocabulary[1]) - 1)
+            for lo, hi in stretches(_offsets(batch.column(1)), SCORED_BYTES):
+                ids, bounds = _of_lists(batch.column(1).slice(lo, hi - lo), end)
                 logs = np.add.reduceat(scorer.logs(ids, bounds), bounds[:-1])
-                rows = np.repeat(np.arange(part.rows), np.diff(before))
+                # A word's ids reach from one that begins with a space to the next such one, or the end.
+                at = np.flatnonzero(stops[ids])
+                begins = ids[at] != end
+                starts, ends = at[begins], at[1:][begins[:-1]]
+                before = np.searchsorted(starts, bounds)
+                mine = word_names(ids, starts, ends, end)
+                rows = np.repeat(np.arange(hi - lo), np.diff(before))
                 top = np.zeros(len(mine), bool)  # among the most frequent
                 if len(names):
                     order, at = np.argsort(mine), np.empty(len(mine), np.int64)
@@ -730,19 +755,19 @@ def score_documents(docs: DataFrame, subword_path: str, train_on: Column, id_col
                     at = at[top]
                 else:
                     at = np.zeros(0, np.int64)
-                per_row = lambda x: np.bincount(rows[top], weights=x, minlength=part.rows)
+                per_row = lambda x: np.bincount(rows[top], weights=x, minlength=hi - lo)
                 rare = ~top
-                cut = np.searchsorted(rows[rare], np.arange(part.rows + 1))
+                cut = np.searchsorted(rows[rare], np.arange(hi - lo + 1))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(part.first, part.rows), pa.array(row_id + np.arange(part.rows)),
+                    [batch.column(0).slice(lo, hi - lo), pa.array(row_id + np.arange(hi - lo)),
                      pa.array(np.diff(before) + 1), pa.array(per_row(log_c[at]) + np.log10(n_docs + SMOOTH)),
                      pa.array(per_row(c[at] > 0).astype(np.int64) + int(n_docs > 0)), pa.array(logs),
                      pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(mine[rare].view(np.int64)))],
                     [id_col, "row_id", "n_tokens", "base", "known", "score", "rare"])
-                row_id += part.rows
+                row_id += hi - lo
 
     kind = dict(docs.dtypes)[id_col]
-    scored = written(coded.select("id", "text", "ids").mapInArrow(
+    scored = written(coded.select("id", "ids").mapInArrow(
         run, f"`{id_col}` {kind}, row_id long, n_tokens long, base double, known long, score double, rare array<long>"),
         "lm-scores")
     # The other words: joined with the counts, summed by row.
