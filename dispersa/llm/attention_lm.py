@@ -143,19 +143,12 @@ def fold(id_col: str, parts: int) -> Column:
 
 # --- counts -----------------------------------------------------------------------------------------------
 
-def id_counts(learn: DataFrame, end: int) -> np.ndarray:
-    """Counts of all ids in the training documents, ends included; collected as one number an id."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(end + 1, np.int64)
-        for batch in batches:
-            total += np.bincount(_of_lists(batch.column(0), end)[0], minlength=end + 1)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], ["id", "n"])
-
-    found = learn.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+def id_counts(counted: DataFrame, end: int) -> np.ndarray:
+    """Counts of all ids in the training documents, ends included, from (name, c) of ids by task; collected as one
+    number an id."""
+    found = counted.groupBy("name").agg(F.sum("c").alias("c")).toPandas()
     out = np.zeros(end + 1, np.int64)
-    out[found["id"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    out[found["name"].to_numpy(np.int64)] = found["c"].to_numpy(np.int64)
     return out
 
 
@@ -470,9 +463,11 @@ def coded_documents(docs: DataFrame, train_on: Column, path: str, id_col: str, t
     return coded_and_counted(docs, train_on, path, id_col, text_col)[0]
 
 
-def coded_and_counted(docs: DataFrame, train_on: Column, path: str, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """``coded_documents``, and (name, c): counts of the training documents' words, by their names. Tasks pass on
-    sums of many rows (as rows of their own, ``learn`` NULL), so a word in every row is no hot key."""
+def coded_and_counted(docs: DataFrame, train_on: Column, path: str, id_col: str,
+                      text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``coded_documents``, (name, c): counts of the training documents' words by their names, and a task's counts of
+    their ids in the same form. Tasks pass on sums of many rows (as rows of their own, ``learn`` NULL, those of ids with
+    empty ``ids``), so a word in every row is no hot key."""
     kind = dict(docs.dtypes)[id_col]
     small = _kind(subwords(path).end)
     names = ["id", "learn", "ids", "names", "counts"]
@@ -480,13 +475,14 @@ def coded_and_counted(docs: DataFrame, train_on: Column, path: str, id_col: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sub = subwords(path)
         held = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        of_ids = np.zeros(sub.end + 1, np.int64)
         longs, types = pa.list_(pa.int64()), None
 
-        def out() -> Iterator[pa.RecordBatch]:
-            for lo in range(0, len(held[0]), COUNTS_A_ROW):
+        def out(keys: np.ndarray, counts: np.ndarray, ids: bytes | None) -> Iterator[pa.RecordBatch]:
+            for lo in range(0, len(keys), COUNTS_A_ROW):
                 lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x))
-                         for x in (held[0][lo: lo + COUNTS_A_ROW].view(np.int64), held[1][lo: lo + COUNTS_A_ROW])]
-                yield pa.RecordBatch.from_arrays([*(pa.nulls(1, t) for t in types), pa.nulls(1, pa.binary()), *lists], names)
+                         for x in (keys[lo: lo + COUNTS_A_ROW].view(np.int64), counts[lo: lo + COUNTS_A_ROW])]
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(1, t) for t in types), pa.array([ids], pa.binary()), *lists], names)
 
         for batch in batches:
             types = [batch.column(0).type, batch.column(2).type]
@@ -501,17 +497,23 @@ def coded_and_counted(docs: DataFrame, train_on: Column, path: str, id_col: str,
                 counts = np.bincount(coded.which[mine], minlength=len(coded.names))
                 seen = np.flatnonzero(counts)
                 held = summed(np.append(held[0], coded.names[seen]), np.append(held[1], counts[seen]))
+                of_ids += np.bincount(coded.ids[np.repeat(learn[part.first: part.first + part.rows], np.diff(coded.bounds))],
+                                      minlength=len(of_ids))
                 if len(held[0]) > COUNTED_WORDS:
-                    yield from out()
+                    yield from out(*held, None)
                     held = held[0][:0], held[1][:0]
-        yield from out()
+        yield from out(*held, None)
+        seen = np.flatnonzero(of_ids)
+        yield from out(seen, of_ids[seen], b"")
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(train_on, F.lit(False)).alias("learn"))
     both = rows.mapInArrow(run, f"id {kind}, learn boolean, ids binary, names array<long>, counts array<long>")
-    both = written(both.withColumn("mark", F.xxhash64("id", "ids")), "lm-ids")
-    pairs = both.filter("learn IS NULL").select(F.explode(F.arrays_zip("names", "counts")).alias("w"))
-    counted = pairs.groupBy(F.col("w.names").alias("name")).agg(F.sum("w.counts").alias("c"))
-    return both.filter("learn IS NOT NULL").select("id", "learn", "ids", "mark"), written(counted, "word-counts")
+    both = written(both.withColumn("mark", F.xxhash64("id", "ids")), "lm-ids", compression="none")
+    counts = both.filter("learn IS NULL").select("ids", F.explode(F.arrays_zip("names", "counts")).alias("w")).select(
+        "ids", F.col("w.names").alias("name"), F.col("w.counts").alias("c"))
+    words = counts.filter("ids IS NULL").groupBy("name").agg(F.sum("c").alias("c"))
+    return (both.filter("learn IS NOT NULL").select("id", "learn", "ids", "mark"), written(words, "word-counts"),
+            counts.filter("ids IS NOT NULL").select("name", "c"))
 
 
 def _kind(end: int) -> str:
@@ -542,9 +544,12 @@ def pair_tables(learn: DataFrame, vocabulary: Vocabulary, counts: np.ndarray) ->
         total = np.zeros(ROWS * ROWS, np.int64)
         for batch in batches:
             ids, bounds = _of_lists(batch.column(0), len(row_of) - 1)
-            before = np.concatenate([[len(row_of) - 1], ids[:-1]])
-            before[bounds[:-1]] = len(row_of) - 1  # a document's first input is the end id
-            total += np.bincount(row_of[before] * ROWS + row_of[ids], minlength=len(total))
+            rows = row_of.take(ids)
+            cell = np.append(0, rows[:-1])
+            cell[bounds[:-1]] = row_of[-1]  # a document's first input is the end id
+            cell *= ROWS
+            cell += rows
+            total += np.bincount(cell, minlength=len(total))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], ["cell", "n"])
 
@@ -707,9 +712,9 @@ def score_documents(docs: DataFrame, subword_path: str, train_on: Column, id_col
     """One row per document row: id, n_tokens, n_known, train_tokens, base_score, score. ``train_on`` is the
     condition on ``docs`` that picks the documents to learn from."""
     spark = docs.sparkSession
-    coded, words = coded_and_counted(docs, train_on, subword_path, id_col, text_col)
+    coded, words, ids = coded_and_counted(docs, train_on, subword_path, id_col, text_col)
     learn = coded.filter("learn")
-    counts = id_counts(learn, subwords(subword_path).end)
+    counts = id_counts(ids, subwords(subword_path).end)
     n_docs = int(counts[-1])  # one end each
     sums = words.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = (sums.n or 0) + n_docs, sums.v + (n_docs > 0)
@@ -734,6 +739,10 @@ def score_documents(docs: DataFrame, subword_path: str, train_on: Column, id_col
         end = len(stops) - 1
         scorer = Scorer(flat, pairs, within, Vocabulary(*vocabulary))
         log_c = np.log10(c + SMOOTH)
+        # Names are spread evenly: their first bits give a place just before, or at, each one's among the frequent ones.
+        bits = len(names).bit_length() + 1
+        shift, upward = np.uint64(64 - bits), np.append(names, np.uint64(2 ** 64 - 1))
+        first = np.searchsorted(names, np.arange(1 << bits, dtype=np.uint64) << shift)
         row_id = TaskContext.get().partitionId() << 40
         for batch in batches:
             for lo, hi in stretches(_offsets(batch.column(1)), SCORED_BYTES):
@@ -746,15 +755,13 @@ def score_documents(docs: DataFrame, subword_path: str, train_on: Column, id_col
                 before = np.searchsorted(starts, bounds)
                 mine = word_names(ids, starts, ends, end)
                 rows = np.repeat(np.arange(hi - lo), np.diff(before))
-                top = np.zeros(len(mine), bool)  # among the most frequent
-                if len(names):
-                    order, at = np.argsort(mine), np.empty(len(mine), np.int64)
-                    at[order] = np.searchsorted(names, mine[order])  # in order: neighbours are near in memory
-                    np.minimum(at, len(names) - 1, out=at)
-                    top = names[at] == mine
-                    at = at[top]
-                else:
-                    at = np.zeros(0, np.int64)
+                at = first[mine >> shift]
+                less = np.flatnonzero(upward[at] < mine)
+                while len(less):
+                    at[less] += 1
+                    less = less[upward[at[less]] < mine[less]]
+                top = (upward[at] == mine) & (at < len(names))  # among the most frequent
+                at = at[top]
                 per_row = lambda x: np.bincount(rows[top], weights=x, minlength=hi - lo)
                 rare = ~top
                 cut = np.searchsorted(rows[rare], np.arange(hi - lo + 1))

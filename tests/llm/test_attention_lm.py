@@ -179,3 +179,65 @@ def test_copies_are_dealt_over_rounds_and_shards(spark, monkeypatch):
     deal, shards = A.dealt(coded, A.subwords(PATH).end, A.ROUNDS)
     loads = [r["count"] for r in deal.groupBy("round", "shard").count().collect()]
     assert shards > 3 and len(loads) == shards * A.ROUNDS and max(loads) < 3 * 800 / len(loads)
+
+
+ODD = ["it's", "'s", "a\u0085", " b", "c　d", " ", "x\x1cy", "É日本", "a1b2", "--'ll", "\u0085", "𝒳​", "café's"]
+
+
+def test_words_have_the_ids_that_they_have_alone(spark, monkeypatch):
+    monkeypatch.setattr(A, "CACHED_WORDS", 6)  # what is known is dropped again and again
+    sub = A.Subwords(PATH)
+    rows = [" ".join(ODD), None, "it's it's a1b2", "plain words only", " ".join(reversed(ODD)), "", "\n".join(["plain", "it's"])]
+    for texts in (rows, rows[3:], rows[:1], rows):
+        got = A.code(next(A.T.slices(A.pa.array(texts, A.pa.string()))), sub)
+        alone = [[sub.bpe.encode_ordinary(" " + w) for w in cases.words((t or "").translate(cases.LOWER))] for t in texts]
+        want = [[i for w in doc for i in w] + [sub.end] for doc in alone]
+        assert [got.ids[a:b].tolist() for a, b in zip(got.bounds, got.bounds[1:])] == want
+        # Each word's ids begin with one that begins with a space, and no other does.
+        assert all(sub.starts_word[w[0]] and not sub.starts_word[w[1:]].any() for doc in alone for w in doc)
+
+
+def test_base_of_words_next_to_odd_white_space(spark, monkeypatch):
+    monkeypatch.setattr(A, "TOP_WORDS", 4)
+    rows = [(n, " ".join(ODD[: n % len(ODD) + 1] + ["and"] * n)) for n in range(30)]
+    check(spark, rows, lambda i: i % 3 > 0, F.col("doc_id") % 3 > 0)
+
+
+def test_counts_of_words_and_ids_come_with_the_encoding(spark, monkeypatch):
+    monkeypatch.setattr(A, "COUNTED_WORDS", 7)
+    monkeypatch.setattr(A, "COUNTS_A_ROW", 3)
+    rows = [(n, f"a b c{n % 4} " * (n % 7)) for n in range(40)]
+    coded, words, ids = A.coded_and_counted(cases.frame(spark, rows).repartition(3), F.col("doc_id") % 2 == 0, PATH, "doc_id", "text")
+    assert coded.columns == ["id", "learn", "ids", "mark"] and coded.count() == len(rows)  # texts are not kept
+    of_words = Counter(w for n, t in rows if n % 2 == 0 for w in t.split())
+    assert Counter(r.c for r in words.collect()) == Counter(of_words.values())
+    end = A.subwords(PATH).end
+    of_ids = Counter(i for r in coded.filter("learn").collect() for i in np.frombuffer(r.ids, "<u2").tolist())
+    got = A.id_counts(ids, end)
+    assert {i: n for i, n in enumerate(got.tolist()) if n} == of_ids and got[end] == 20
+
+
+def test_steps_use_their_large_arrays_again():
+    rng = np.random.default_rng(4)
+    voc = A.Vocabulary.build(rng.integers(0, 50, 3000), rng.random(3000) < 0.5)
+    w, pairs, room = A._unpack(A.initial()), rng.normal(size=(A.ROWS, A.CLASSES)).astype(np.float32), A.Room()
+    found = []
+    for size in (A.BATCH, 37, A.BATCH):
+        rows = voc.row[rng.integers(0, 3000, (size, A.WINDOW))]
+        target, known = rng.integers(0, A.CLASSES, (size, A.HALF)), rng.random((size, A.HALF)) < 0.9
+        found.append((A.step(w, pairs, rows, target, known, room), A.step(w, pairs, rows, target, known)))
+        held = {k: id(v) for k, v in room.held.items()} if size == A.BATCH and len(found) == 1 else held
+        assert {k: id(v) for k, v in room.held.items()} == held
+    assert all(a[0] == b[0] and np.array_equal(a[1], b[1]) for a, b in found)
+
+
+def test_scores_do_not_follow_the_documents_beside(spark):
+    rng = np.random.default_rng(5)
+    voc = A.Vocabulary.build(rng.integers(0, 50, 2000), rng.random(2000) < 0.5)
+    pairs, within = (rng.normal(size=s).astype(np.float32) for s in ((A.ROWS, A.CLASSES), (A.ROWS, A.ROWS)))
+    scorer = A.Scorer(A.initial(), pairs, within, voc)
+    docs = [np.append(rng.integers(0, 1999, n - 1), 1999) for n in [1, 9, 8, A.BLOCKS * A.HALF + 5, 3, 70]]
+    bounds = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
+    together = scorer.logs(np.concatenate(docs), bounds)
+    for d, lo, hi in zip(docs, bounds, bounds[1:]):
+        assert np.array_equal(scorer.logs(d, np.array([0, len(d)])), together[lo:hi])
