@@ -17,7 +17,8 @@ starts from there. The weights so follow from the documents alone, whatever the
 training document is cut into windows like those of the scores, so every id is a target once.
 
 Base: counts of all training words are summed in Spark. The most frequent words, at most ``TOP_WORDS``, go to
-all tasks; the rest of each document's words is joined with the counts.
+all tasks; the rest of each document's words is joined with the counts. A word is named by the fingerprint of its ids;
+the ids also show where words begin, so texts are read only to be encoded.
 
 Defined results: a NULL or empty text is the end alone; without training documents the counts are 0, the
 base is log10(0.1 / 0.1) = 0 a token and the model is its start (uniform shares); rows are scored one by one
